@@ -1,0 +1,91 @@
+"""Shuffle-based block path for query sets too large to broadcast.
+
+Rows and queries are cut into blocks; every (row block, query block) pair
+meets in one cogroup task, like a block nested-loop join.  Rows are
+replicated once per query block and queries once per row block, both via
+``explode(sequence(..))`` (no cross join), and every task holds one row
+block and one query block, both bounded by construction.  The task emits
+only its top-k per query (or its per-row minimum), never the pairs.
+"""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.selection import NULL, TopKState
+from .bank import QueryBank
+
+# rows of the vector table per block task, and bytes of query points per block
+ROWS_PER_BLOCK = 1_000_000
+QUERY_BYTES_PER_BLOCK = 32 * 1024 * 1024
+
+
+def block_counts(n_rows: int, q_rows: int, q_elements: int,
+                 rows_per_block: int = ROWS_PER_BLOCK,
+                 query_bytes: int = QUERY_BYTES_PER_BLOCK):
+    nvb = max(1, math.ceil(n_rows / rows_per_block))
+    nqb = max(1, math.ceil((8 * q_elements + 32 * q_rows) / query_bytes))
+    return nvb, nqb
+
+
+def _replicate(df: DataFrame, own_col: str, own_key, own_n: int, other_col: str, other_n: int):
+    return (df.withColumn(own_col, F.pmod(F.xxhash64(own_key), F.lit(own_n)))
+            .withColumn(other_col, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)))))
+
+
+def block_top_k(vectors: DataFrame, points: DataFrame, spec, id_col: str, qid_col: str,
+                point_col: str, k: int, nvb: int, nqb: int, dist_col: str = "dist") -> DataFrame:
+    """Candidates ``(query_id, id, dist)``: at most k per query per block pair."""
+    from ..operators.scoring import topk_scorer
+
+    left = _replicate(vectors.select(id_col, *spec.columns), "_vb", F.col(id_col), nvb, "_qb", nqb)
+    right = _replicate(points.select(F.col(qid_col).alias("query_id"), F.col(point_col).alias("point")),
+                       "_qb", F.col("query_id"), nqb, "_vb", nvb)
+
+    def per_block(lt: pa.Table, rt: pa.Table) -> pa.Table:
+        schema = pa.schema([("query_id", pa.int64()), (id_col, pa.int64()), (dist_col, pa.float64())])
+        if lt.num_rows == 0 or rt.num_rows == 0:
+            return schema.empty_table()
+        bank = QueryBank.from_table(rt, "query_id", "point")
+        holder = type("B", (), {"value": bank})()
+        run = topk_scorer(holder, spec, id_col, k, dist_col=dist_col)
+        batches = list(run(iter(lt.combine_chunks().to_batches())))
+        if not batches:
+            return schema.empty_table()
+        return pa.Table.from_batches(batches).select(["query_id", id_col, dist_col])
+
+    return (left.groupBy("_qb", "_vb").cogroup(right.groupBy("_qb", "_vb"))
+            .applyInArrow(per_block, f"query_id long, {id_col} long, {dist_col} double"))
+
+
+def block_set_min(vectors: DataFrame, members: DataFrame, spec, id_col: str, member_col: str,
+                  nvb: int, nsb: int, dist_col: str = "min_dist") -> DataFrame:
+    """Per row, the minimum over set blocks; combine with ``groupBy(id).min``."""
+    from ..operators.scoring import set_min_scorer
+
+    left = _replicate(vectors.select(id_col, *spec.columns), "_vb", F.col(id_col), nvb, "_sb", nsb)
+    right = _replicate(members.select(F.col(member_col).cast("array<double>").alias("point")),
+                       "_sb", F.col("point"), nsb, "_vb", nvb)
+
+    def per_block(lt: pa.Table, rt: pa.Table) -> pa.Table:
+        schema = pa.schema([(id_col, pa.int64()), (dist_col, pa.float64())])
+        if lt.num_rows == 0 or rt.num_rows == 0:
+            return schema.empty_table()
+        bank = QueryBank.from_arrays(np.zeros(rt.num_rows, dtype=np.int64),
+                                     rt.column("point").combine_chunks())
+        holder = type("B", (), {"value": bank})()
+        run = set_min_scorer(holder, spec, id_col, dist_col)
+        batches = list(run(iter(lt.combine_chunks().to_batches())))
+        return pa.Table.from_batches(batches, schema=schema) if batches else schema.empty_table()
+
+    parts = (left.groupBy("_sb", "_vb").cogroup(right.groupBy("_sb", "_vb"))
+             .applyInArrow(per_block, f"{id_col} long, {dist_col} double"))
+    return parts.groupBy(id_col).agg(F.min(dist_col).alias(dist_col))
+
+
+__all__ = ["block_counts", "block_top_k", "block_set_min", "NULL", "TopKState"]
