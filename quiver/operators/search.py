@@ -83,6 +83,8 @@ def search(df: DataFrame, query, k: int = 10, vec="embedding", id_col: str = "id
     ``exact=True`` is S1e (plain cosine, no refinement).  Order is
     ``dist ASC NULLS LAST, id ASC``.
     """
+    if not isinstance(id_col, str):
+        return _search_composite(df, query, k, vec, list(id_col), options, exact, dist_col)
     spark = _spark(df)
     spec = VectorSpec(vec)
     bank_bc, _ = _single_bank(spark, query, options, exact)
@@ -92,6 +94,21 @@ def search(df: DataFrame, query, k: int = 10, vec="embedding", id_col: str = "id
     return global_top_k(cands.select(id_col, dist_col), id_col, dist_col, k)
 
 
+def _search_composite(df, query, k, vec, id_cols, options, exact, dist_col):
+    """S1 with a multi-column row key.
+
+    Scores through the Arrow UDF (only the vector crosses to Python, one
+    double comes back) and lets ``TakeOrderedAndProject`` keep k rows per
+    task with the full ``(dist, key...)`` order.
+    """
+    spec = VectorSpec(vec)
+    scored = fractal_distance(df.select(*id_cols, *[c for c in spec.columns if c not in id_cols]),
+                              query, vec, dist_col, options, exact)
+    return (scored.select(*id_cols, dist_col)
+            .orderBy(F.col(dist_col).asc_nulls_last(), *[F.col(c).asc() for c in id_cols])
+            .limit(k))
+
+
 def exact_search(df: DataFrame, query, k: int = 10, **kw) -> DataFrame:
     """S1e."""
     return search(df, query, k, exact=True, **kw)
