@@ -148,6 +148,14 @@ def q_exact_self_top_k(spark, sf):
         .select("query_id", "rank", "vec_id", _r("dist"))
 
 
+def q_self_top_k(spark, sf):
+    """S1m refined, every embedding as a query against all embeddings (top-10)."""
+    emb = _t(spark, sf, "embeddings")
+    queries = emb.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    return search_many(emb, queries, K, "embedding", "vec_id") \
+        .select("query_id", "rank", "vec_id", _r("dist"))
+
+
 def q_lineitem_top_k(spark, sf):
     """S1 over lineitem measure vectors (4-D), keyed by the lineitem row key."""
     li = _t(spark, sf, "lineitem")
@@ -276,6 +284,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "radius_search": q_radius_search,
         "multi_query_top_k": q_multi_query_top_k,
         "exact_self_top_k": q_exact_self_top_k,
+        "self_top_k": q_self_top_k,
         "lineitem_top_k": q_lineitem_top_k,
         "cosine_distance": q_cosine_distance,
         "vector_validity": q_vector_validity,

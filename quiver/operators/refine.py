@@ -93,14 +93,16 @@ def distinct_queries(queries: DataFrame, query_col: str = "query",
                      parallelism: int | None = None) -> DataFrame:
     """One row per distinct query vector, hash-spread over ``parallelism`` tasks.
 
-    The explicit ``repartition(n, query)`` keeps AQE from coalescing the
-    (small but CPU-heavy) refinement input into one task.
+    The input is tiny in bytes but heavy in CPU, so it must not collapse
+    into one task.  ``repartition(n, xxhash64(query))`` is a partitioning
+    the dedup aggregate does not already satisfy (so the optimizer keeps
+    it), and AQE never coalesces an explicit partition count.
     """
     spark = queries.sparkSession
-    n = parallelism or default_parallelism(spark)
+    n = parallelism or 2 * default_parallelism(spark)
     return (queries.select(F.col(query_col).cast("array<double>").alias("query"))
             .dropDuplicates(["query"])
-            .repartition(n, "query"))
+            .repartition(n, F.xxhash64("query")))
 
 
 def refine_queries(queries: DataFrame, query_col: str = "query",

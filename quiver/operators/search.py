@@ -26,7 +26,7 @@ from ..plans.bank import (QueryBank, broadcast_bank, collect_bank, estimated_byt
 from ..plans.blocks import block_counts, block_top_k
 from ..plans.session import DEFAULT_BROADCAST_BYTES, default_parallelism
 from ..plans.topk import auto_salt, global_top_k, top_k_per_key
-from .refine import explore_queries, refine_queries, refine_with_ids
+from .refine import REFINED_SCHEMA, _refine_fn, explore_queries, refine_with_ids
 from .scoring import VectorSpec, point_scorer, radius_scorer, topk_scorer
 from .sfs import RefineOptions
 
@@ -51,7 +51,9 @@ def refined_point(spark: SparkSession, query, options: RefineOptions | None = No
         return None
     if exact:
         return np.asarray(query, dtype=np.float64)
-    row = refine_queries(_query_frame(spark, query), options=options, parallelism=1).collect()[0]
+    # one literal row: nothing to deduplicate or spread, so no shuffle
+    opts = options or RefineOptions()
+    row = _query_frame(spark, query).mapInArrow(_refine_fn(opts), REFINED_SCHEMA).collect()[0]
     return None if row["best_point"] is None else np.asarray(row["best_point"], dtype=np.float64)
 
 

@@ -76,23 +76,22 @@ class CosineObjective:
     """f(x) = 1 - x.q / (|q| |x|), a zero norm counted as 1 (per query)."""
 
     def __init__(self, queries: np.ndarray):
-        self.q = np.asarray(queries, dtype=np.float64)              # (Q, d)
-        nq = np.sqrt(np.einsum("qd,qd->q", self.q, self.q))
-        self.nq = np.where(nq == 0, 1.0, nq)
+        q = np.asarray(queries, dtype=np.float64)                   # (Q, d)
+        nq = np.sqrt(np.einsum("qd,qd->q", q, q))
+        nq = np.where(nq == 0, 1.0, nq)
+        self.unit = q / nq[:, None]                                 # q / |q|, zero stays zero
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        # x: (Q, d) or (Q, P, d)
+        # x: (Q, d) or (Q, P, d); errors are silenced by the caller
         if x.ndim == 2:
-            dot = np.einsum("qd,qd->q", x, self.q)
+            dot = np.einsum("qd,qd->q", x, self.unit)
             nx = np.sqrt(np.einsum("qd,qd->q", x, x))
-            nq = self.nq
         else:
-            dot = np.einsum("qpd,qd->qp", x, self.q)
+            dot = np.einsum("qpd,qd->qp", x, self.unit)
             nx = np.sqrt(np.einsum("qpd,qpd->qp", x, x))
-            nq = self.nq[:, None]
-        nx = np.where(nx == 0, 1.0, nx)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            return 1.0 - dot / (nq * nx)
+        nx[nx == 0] = 1.0
+        dot /= nx
+        return 1.0 - dot
 
 
 class SetObjective:
@@ -151,37 +150,43 @@ def refine(queries: np.ndarray, opts: RefineOptions, objective=None,
     X = np.empty((Q, P, d))
     for q in range(Q):
         X[q] = lo + rngs[q].random((P, d)) * span
-    fit = f(X)
-    b = _first_best(fit)
-    qi = np.arange(Q)
-    walk = float(opts.walk)
-    local_step = LOCAL_STEP * span
-
-    for _ in range(G):
-        Z = np.empty((Q, P, M, d))
-        for q in range(Q):
-            rngs[q].standard_normal((P, M, d), out=Z[q])
-        if walk > 0:
-            Z *= walk
-        for i in range(P):
-            B = X[qi, b]                                   # copy: fixed for this i
-            for m in range(M):
-                xi = X[:, i]
-                if walk > 0:
-                    t = B + Z[:, i, m] * (B - xi)
-                else:
-                    t = xi + Z[:, i, m] * local_step
-                if opts.clip:
-                    np.maximum(t, lo, out=t)
-                    np.minimum(t, hi, out=t)
-                ft = f(t)
-                imp = ft < fit[:, i]
-                if imp.any():
-                    X[imp, i] = t[imp]
-                    fit[imp, i] = ft[imp]
-                    better = imp & (ft < fit[qi, b])
-                    if better.any():
-                        b = np.where(better, i, b)
+    with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
+        fit = f(X)
+        b = _first_best(fit)
+        qi = np.arange(Q)
+        walk = float(opts.walk)
+        local_step = LOCAL_STEP * span
+        t = np.empty((Q, d))
+        for _ in range(G):
+            Z = np.empty((Q, P, M, d))
+            for q in range(Q):
+                rngs[q].standard_normal((P, M, d), out=Z[q])
+            if walk > 0:
+                Z *= walk
+            else:
+                Z *= local_step
+            for i in range(P):
+                B = X[qi, b]                               # copy: fixed for this i
+                for m in range(M):
+                    xi = X[:, i]
+                    if walk > 0:                           # t = B + z * (B - x_i)
+                        np.subtract(B, xi, out=t)
+                        t *= Z[:, i, m]
+                        t += B
+                    else:                                  # t = x_i + z * step
+                        np.multiply(Z[:, i, m], 1.0, out=t)
+                        t += xi
+                    if opts.clip:
+                        np.maximum(t, lo, out=t)
+                        np.minimum(t, hi, out=t)
+                    ft = f(t)
+                    imp = ft < fit[:, i]
+                    if imp.any():
+                        X[imp, i] = t[imp]
+                        fit[imp, i] = ft[imp]
+                        better = imp & (ft < fit[qi, b])
+                        if better.any():
+                            b = np.where(better, i, b)
     best = X[qi, b].copy()
     best_fit = fit[qi, b].copy()
     if want_population:
