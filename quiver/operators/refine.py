@@ -23,8 +23,15 @@ REFINED_SCHEMA = "query array<double>, best_point array<double>, best_fit double
 POPULATION_SCHEMA = ("query array<double>, particle int, point array<double>, "
                      "fit double, is_best boolean")
 
-# queries refined together in one lockstep call (bounds task memory)
+# queries refined together in one lockstep call, and the cap on the
+# per-generation noise block (queries x population x trials x dim doubles)
 LOCKSTEP = 256
+NOISE_ELEMENTS = 1 << 21
+
+
+def lockstep_size(opts: RefineOptions, dim: int) -> int:
+    per_query = max(1, int(opts.population) * int(opts.diffusion) * max(dim, 1))
+    return max(1, min(LOCKSTEP, NOISE_ELEMENTS // per_query))
 
 
 def _refine_array(qarr: pa.Array, opts: RefineOptions, want_population: bool = False):
@@ -38,9 +45,10 @@ def _refine_array(qarr: pa.Array, opts: RefineOptions, want_population: bool = F
     for d in np.unique(dims[dims >= 0]):
         rows = np.flatnonzero(dims == d)
         mat, _ = list_to_matrix(qarr.take(pa.array(rows)), int(d))
-        for lo in range(0, len(rows), LOCKSTEP):
-            part = rows[lo:lo + LOCKSTEP]
-            out = refine(mat[lo:lo + LOCKSTEP], opts, want_population=want_population)
+        step = lockstep_size(opts, int(d))
+        for lo in range(0, len(rows), step):
+            part = rows[lo:lo + step]
+            out = refine(mat[lo:lo + step], opts, want_population=want_population)
             for j, r in enumerate(part):
                 best[r] = out[0][j]
                 fit[r] = out[1][j]

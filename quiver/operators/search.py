@@ -24,7 +24,7 @@ from pyspark.sql.types import DoubleType
 from ..plans.bank import (QueryBank, broadcast_bank, collect_bank, estimated_bytes,
                           fits_broadcast, vector_table_size)
 from ..plans.blocks import block_counts, block_top_k
-from ..plans.session import DEFAULT_BROADCAST_BYTES, default_parallelism
+from ..plans.session import DEFAULT_BROADCAST_BYTES, checkpoint_dir, default_parallelism
 from ..plans.topk import auto_salt, global_top_k, top_k_per_key
 from .refine import REFINED_SCHEMA, _refine_fn, explore_queries, refine_with_ids
 from .scoring import VectorSpec, point_scorer, radius_scorer, topk_scorer
@@ -57,7 +57,10 @@ def refined_point(spark: SparkSession, query, options: RefineOptions | None = No
     return None if row["best_point"] is None else np.asarray(row["best_point"], dtype=np.float64)
 
 
-def _single_bank(spark, query, options, exact):
+def _single_bank(spark, query, options, exact,
+                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES):
+    if query is not None and not fits_broadcast(1, len(query), broadcast_bytes):
+        raise ValueError(f"a {len(query)}-dimensional query exceeds the broadcast budget")
     point = refined_point(spark, query, options, exact)
     return broadcast_bank(spark, QueryBank.single(point)), point
 
@@ -212,6 +215,11 @@ def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedd
             _cand_schema(id_col, dist_col))
         tasks = _tasks(vectors)
     else:
+        # many queries: their refinement is the expensive input of every
+        # block task, so write it to the shared checkpoint folder once
+        # (reliable checkpoint: a lost executor does not redo the search)
+        checkpoint_dir(spark)
+        points = points.checkpoint(eager=True)
         n_rows = vectors.count()
         nvb, nqb = block_counts(n_rows, q_rows, q_elems)
         cands = block_top_k(vectors, points, spec, id_col, "query_id", "best_point", k,
