@@ -26,9 +26,9 @@ from ..plans.bank import (QueryBank, broadcast_bank, collect_bank, estimated_byt
 from ..plans.blocks import block_counts, block_top_k
 from ..plans.session import DEFAULT_BROADCAST_BYTES, checkpoint_dir, default_parallelism
 from ..plans.topk import auto_salt, global_top_k, top_k_per_key
-from .refine import REFINED_SCHEMA, _refine_fn, explore_queries, refine_with_ids
+from .refine import refine_with_ids
 from .scoring import VectorSpec, point_scorer, radius_scorer, topk_scorer
-from .sfs import RefineOptions
+from .sfs import RefineOptions, refine
 
 
 def _spark(df: DataFrame) -> SparkSession:
@@ -44,17 +44,20 @@ def refined_point(spark: SparkSession, query, options: RefineOptions | None = No
                   exact: bool = False):
     """The point rows are scored against for one constant query.
 
-    Refinement runs as a one-task Spark job (the same code path as many
-    queries); ``exact`` skips it.  Returns a float64 array or None.
+    A literal query is a constant, and its refinement is a pure function
+    of that constant (3,050 objective evaluations, independent of any
+    table), so it is folded here, once, the way Catalyst folds constant
+    expressions while planning.  Query *tables* are refined as Spark jobs
+    (:func:`quiver.operators.refine.refine_queries`); both use the same
+    seeded kernel, so they give the same point.  Returns float64 or None.
     """
     if query is None or any(v is None for v in query):
         return None
+    q = np.asarray(query, dtype=np.float64)
     if exact:
-        return np.asarray(query, dtype=np.float64)
-    # one literal row: nothing to deduplicate or spread, so no shuffle
-    opts = options or RefineOptions()
-    row = _query_frame(spark, query).mapInArrow(_refine_fn(opts), REFINED_SCHEMA).collect()[0]
-    return None if row["best_point"] is None else np.asarray(row["best_point"], dtype=np.float64)
+        return q
+    best, _ = refine(q[None, :], options or RefineOptions())
+    return best[0]
 
 
 def _single_bank(spark, query, options, exact,
@@ -293,13 +296,15 @@ def multi_probe_search(df: DataFrame, query, k: int = 10, probes: int = 5, vec="
 
 def probe_points(spark: SparkSession, query, probes: int,
                  options: RefineOptions | None = None):
-    """The ``probes`` best particles of R3's population for one query (a Spark job)."""
+    """The ``probes`` best particles of R3's final population for one literal
+    query (best fit first, ties by particle index); folded like
+    :func:`refined_point`."""
     if query is None or any(v is None for v in query):
         return None
-    pop = explore_queries(_query_frame(spark, query), options=options, parallelism=1)
-    rows = (pop.orderBy(F.col("fit").asc_nulls_last(), F.col("particle")).limit(probes)
-            .select("point").collect())
-    return [np.asarray(r["point"], dtype=np.float64) for r in rows]
+    q = np.asarray(query, dtype=np.float64)[None, :]
+    _, _, X, fit = refine(q, options or RefineOptions(), want_population=True)
+    order = np.lexsort((np.arange(X.shape[1]), np.where(np.isnan(fit[0]), np.inf, fit[0])))
+    return [X[0, i] for i in order[:probes]]
 
 
 __all__ = [
