@@ -79,8 +79,11 @@ def score_against_queries(vec: pa.Array, query: pa.Array, opts: RefineOptions |
         d = int(d)
         qsub = query if len(rows) == n else query.take(pa.array(rows))
         qmat, _ = list_to_matrix(qsub, d)
-        uniq, inverse = np.unique(qmat, axis=0, return_inverse=True) if d else (
-            np.empty((1, 0)), np.zeros(len(rows), dtype=np.int64))
+        if d == 0 or (qmat == qmat[0]).all():
+            # the usual case: a constant query column (one literal / parameter)
+            uniq, inverse = qmat[:1], np.zeros(len(rows), dtype=np.int64)
+        else:
+            uniq, inverse = np.unique(qmat, axis=0, return_inverse=True)
         inverse = np.asarray(inverse).reshape(-1)
         points = uniq if exact else refined_points(uniq, opts)
         vsub = vec if len(rows) == n else vec.take(pa.array(rows))

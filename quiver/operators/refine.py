@@ -129,13 +129,19 @@ def refine_queries(queries: DataFrame, query_col: str = "query",
 
 def refine_with_ids(queries: DataFrame, id_col: str = "query_id",
                     query_col: str = "query", options: RefineOptions | None = None,
-                    parallelism: int | None = None) -> DataFrame:
+                    parallelism: int | None = None, bounded: bool = False) -> DataFrame:
     """Refine each distinct vector once and join the points back to ids.
 
     Returns ``(id_col, query, best_point, best_fit)``; the join is on the
     array value (hash + equality), so equal queries share one refinement.
+    ``bounded=True`` states that the caller measured the query set under a
+    broadcast budget (the refined side is no larger), so the join-back is a
+    broadcast hash join instead of two more shuffles; otherwise Spark (and
+    AQE at run time) picks the join.
     """
     refined = refine_queries(queries, query_col, options, parallelism)
+    if bounded:
+        refined = F.broadcast(refined)
     q = queries.select(F.col(id_col), F.col(query_col).cast("array<double>").alias("query"))
     # NULL queries never match an equi-join; keep them with a NULL point
     return (q.join(refined, on=q["query"].eqNullSafe(refined["query"]), how="left")

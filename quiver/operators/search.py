@@ -206,11 +206,12 @@ def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedd
     qsel = queries.select(F.col(query_id_col).alias("query_id"),
                           F.col(query_col).cast("array<double>").alias("query"))
     par = max(1, min(q_rows, 4 * default_parallelism(spark)))
+    small = fits_broadcast(q_rows, q_elems, broadcast_bytes)
     if exact:
         points = qsel.select("query_id", F.col("query").alias("best_point"))
     else:
-        points = refine_with_ids(qsel, "query_id", "query", options, par)
-    if fits_broadcast(q_rows, q_elems, broadcast_bytes):
+        points = refine_with_ids(qsel, "query_id", "query", options, par, bounded=small)
+    if small:
         bank = collect_bank(points, "query_id", "best_point", broadcast_bytes)
         bank_bc = broadcast_bank(spark, bank)
         cands = vectors.select(id_col, *spec.columns).mapInArrow(
