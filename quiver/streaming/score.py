@@ -2,10 +2,8 @@
 
 Scoring is stateless (each row against constant refined points), so the
 stream needs no watermark: ``readStream -> withColumn(arrow UDF) ->
-writeStream`` in append mode.  The running top-k keeps its state in a
-table: every micro-batch writes its own top-k candidates under its
-``batch_id`` (overwrite of that partition, so a replayed batch is
-idempotent) and the current answer is the top-k over that table.
+writeStream`` in append mode.  The running top-k keeps k rows of state in
+a table, one version per micro-batch (see :func:`run_stream_top_k`).
 """
 
 from __future__ import annotations
@@ -70,14 +68,29 @@ def run_stream_score(spark: SparkSession, stream: DataFrame, query, id_col: str,
     return handle, out_path
 
 
+def _latest_version(spark: SparkSession, table_path: str, below: int | None = None):
+    """Largest ``batch_id`` written under ``table_path`` (optionally < ``below``)."""
+    try:
+        versions = spark.read.parquet(table_path).select("batch_id")
+    except Exception:  # nothing written yet
+        return None
+    if below is not None:
+        versions = versions.filter(F.col("batch_id") < below)
+    return versions.agg(F.max("batch_id")).collect()[0][0]
+
+
 def run_stream_top_k(spark: SparkSession, stream: DataFrame, query, k: int, id_col: str,
                      vec="embedding", table_path: str | None = None,
                      checkpoint: str | None = None, options: RefineOptions | None = None,
                      available_now: bool = True):
-    """Running top-k of a stream: per-batch candidates kept by ``batch_id``.
-
-    Returns ``(query handle, candidates path)``; read the answer with
-    :func:`current_top_k`.
+    """Running top-k of a stream, kept as versioned k-row state.
+
+    Micro-batch ``b`` merges the state of the latest earlier batch with its
+    own per-task candidates and writes the result as version ``b``
+    (dynamic partition overwrite).  A replayed batch reads the same earlier
+    version and rewrites the same rows, so the state is idempotent; the
+    answer is always one k-row version, however long the stream runs.
+    Returns ``(query handle, state path)``; read it with :func:`current_top_k`.
     """
     table_path = table_path or scratch_path(spark, "stream-topk")
     checkpoint = checkpoint or scratch_path(spark, "stream-topk-ckpt")
@@ -87,8 +100,14 @@ def run_stream_top_k(spark: SparkSession, stream: DataFrame, query, k: int, id_c
     schema = _cand_schema(id_col, "dist")
 
     def merge(batch_df: DataFrame, batch_id: int):
-        cands = batch_df.select(id_col, *spec.columns).mapInArrow(scorer, schema)
-        top = global_top_k(cands.select(id_col, "dist"), id_col, "dist", k)
+        cands = batch_df.select(id_col, *spec.columns).mapInArrow(scorer, schema) \
+            .select(id_col, "dist")
+        prev = _latest_version(batch_df.sparkSession, table_path, below=batch_id)
+        if prev is not None:
+            state = (batch_df.sparkSession.read.parquet(table_path)
+                     .filter(F.col("batch_id") == prev).select(id_col, "dist"))
+            cands = cands.unionByName(state)
+        top = global_top_k(cands, id_col, "dist", k)
         (top.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
          .parquet(table_path))
@@ -102,5 +121,7 @@ def run_stream_top_k(spark: SparkSession, stream: DataFrame, query, k: int, id_c
 
 
 def current_top_k(spark: SparkSession, table_path: str, k: int, id_col: str) -> DataFrame:
-    cands = spark.read.parquet(table_path)
-    return global_top_k(cands.select(id_col, "dist"), id_col, "dist", k)
+    """The latest state version (k rows), ordered."""
+    latest = _latest_version(spark, table_path)
+    state = spark.read.parquet(table_path).filter(F.col("batch_id") == latest)
+    return global_top_k(state.select(id_col, "dist"), id_col, "dist", k)
