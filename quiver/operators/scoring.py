@@ -13,7 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from ..functions.arrays import columns_to_matrix, cosine_to_points, list_to_matrix, sq_norms
+from ..functions.arrays import (columns_to_matrix, cosine_to_points, list_dims,
+                               list_to_matrix, sq_norms)
 from ..functions.selection import NULL, TopKState, classify, keep_first_k, topk_columns
 
 # cap on elements of one distance block (rows x queries) held at once
@@ -250,12 +251,11 @@ def set_min_scorer(bank_bc, spec: VectorSpec, id_col: str, dist_col: str = "min_
                     cur = np.minimum(cur, D.min(axis=1))
                 best[vidx] = np.minimum(best[vidx], cur)
             if not bank.groups:
-                # empty set: the running minimum never moves from 1
-                seen = np.ones(n, dtype=bool)
-                for c in spec.columns:
-                    arr = batch.column(c)
-                    if arr.null_count:
-                        seen &= ~np.asarray(arr.is_null().to_numpy(zero_copy_only=False))
+                # empty set: the running minimum never moves from 1 (valid rows only)
+                if spec.array_col:
+                    seen = list_dims(batch.column(spec.array_col)) >= 0
+                else:
+                    seen = columns_to_matrix([batch.column(c) for c in spec.cols])[1]
             cols = [batch.column(c) for c in [id_col] + passthrough]
             cols.append(pa.array(best, type=pa.float64(), mask=~seen))
             yield pa.RecordBatch.from_arrays(cols, names=[id_col] + passthrough + [dist_col])

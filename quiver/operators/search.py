@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, IntegralType
 
 from ..plans.bank import (QueryBank, broadcast_bank, collect_bank, estimated_bytes,
                           fits_broadcast, vector_table_size)
@@ -93,6 +93,9 @@ def search(df: DataFrame, query, k: int = 10, vec="embedding", id_col: str = "id
     """
     if not isinstance(id_col, str):
         return _search_composite(df, query, k, vec, list(id_col), options, exact, dist_col)
+    if not isinstance(df.schema[id_col].dataType, IntegralType):
+        # string / decimal / ... keys: Spark's own ordering on the key
+        return _search_composite(df, query, k, vec, [id_col], options, exact, dist_col)
     spark = _spark(df)
     spec = VectorSpec(vec)
     bank_bc, _ = _single_bank(spark, query, options, exact)

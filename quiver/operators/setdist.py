@@ -28,8 +28,11 @@ def min_distance_to_set(df: DataFrame, members: DataFrame, vec="embedding",
                         passthrough: list[str] | None = None) -> DataFrame:
     """V4: ``min(1, min_i cosdist(row, member_i))`` for every row.
 
-    Members that are NULL, hold a NULL element or have another length do
-    not take part; a zero norm makes that pair's distance 1.  A small set
+    A row is compared with the valid members of its own length (NULL
+    members, members with a NULL element and members of other lengths do
+    not take part); a zero norm makes that pair's distance 1.  A row that
+    is NULL, holds a NULL element, or has no member of its length gets
+    NULL; with an empty set every valid row gets 1.  A small set
     (measured) is broadcast and each row is reduced in its own task; a large
     one goes through the block cogroup plus ``groupBy(id).min``.
     """
@@ -37,7 +40,7 @@ def min_distance_to_set(df: DataFrame, members: DataFrame, vec="embedding",
     spec = VectorSpec(vec)
     m = members.select(F.col(member_col).cast("array<double>").alias("point"))
     rows, elems = vector_table_size(m, "point")
-    if fits_broadcast(rows, elems, broadcast_bytes):
+    if rows == 0 or fits_broadcast(rows, elems, broadcast_bytes):   # empty: trivially bounded
         bank = collect_bank(m.select(F.lit(0).cast("long").alias("_o"), "point"), "_o", "point",
                             broadcast_bytes)
         bank_bc = broadcast_bank(spark, bank)

@@ -239,3 +239,10 @@ def test_generators(spark):
     b = random_vectors(spark, 100, 3, seed=5, partitions=4).collect()
     assert a == b and len(a[0]["embedding"]) == 3
     assert all(0 <= x < 1 for r in a for x in r["embedding"])
+
+
+def test_string_ids_use_key_ordering(spark, edge_df):
+    df = edge_df.withColumn("id", F.format_string("r%02d", "id"))
+    got = [r["id"] for r in search(df, [0.6, 0.8], 11, exact=True).collect()]
+    ids = [r["id"] for r in search(edge_df, [0.6, 0.8], 11, exact=True).collect()]
+    assert got == ["r%02d" % i for i in ids]
