@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DoubleType, IntegralType
@@ -314,5 +314,5 @@ def probe_points(spark: SparkSession, query, probes: int,
 __all__ = [
     "search", "exact_search", "search_groups", "radius_search", "fractal_distance",
     "search_many", "search_top_k", "multi_probe_search", "probe_points", "refined_point",
-    "with_payload", "query_bank_bytes", "Column",
+    "with_payload", "query_bank_bytes",
 ]

@@ -17,7 +17,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.selection import NULL, TopKState
 from .bank import QueryBank
 
 # rows of the vector table per block task, and bytes of query points per block
@@ -87,5 +86,3 @@ def block_set_min(vectors: DataFrame, members: DataFrame, spec, id_col: str, mem
              .applyInArrow(per_block, f"{id_col} long, {dist_col} double"))
     return parts.groupBy(id_col).agg(F.min(dist_col).alias(dist_col))
 
-
-__all__ = ["block_counts", "block_top_k", "block_set_min", "NULL", "TopKState"]
