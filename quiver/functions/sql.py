@@ -25,8 +25,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ..operators.refine import lockstep_size
 from ..operators.sfs import RefineOptions, refine
 from .arrays import list_dims, list_to_matrix, sq_norms
+from ..plans.session import attach
 from .vectors import cosine_distance_sql
 
 # refined points kept per Python worker process
@@ -59,9 +61,11 @@ def refined_points(queries: np.ndarray, opts: RefineOptions) -> np.ndarray:
             missing.append(i)
         else:
             out[i] = hit
-    if missing:
-        best, _ = refine(queries[missing], opts)
-        for j, i in enumerate(missing):
+    step = lockstep_size(opts, queries.shape[1])
+    for lo in range(0, len(missing), step):
+        part = missing[lo:lo + step]
+        best, _ = refine(queries[part], opts)
+        for j, i in enumerate(part):
             out[i] = best[j]
             _memo_put((queries[i].tobytes(), okey), best[j].copy())
     return out
@@ -103,6 +107,7 @@ def score_against_queries(vec: pa.Array, query: pa.Array, opts: RefineOptions |
 
 def fractal_search_udf(options: RefineOptions | None = None, exact: bool = False):
     opts = options or RefineOptions()
+    attach()
 
     def fractal_search(vector: pa.Array, query_vector: pa.Array) -> pa.Array:
         return score_against_queries(vector, query_vector, opts, exact)
@@ -117,6 +122,7 @@ def fractal_search(vector, query, options: RefineOptions | None = None):
 
 def register(spark: SparkSession, options: RefineOptions | None = None) -> list[str]:
     """Register the SQL functions on ``spark``; returns their names."""
+    attach(spark)
     spark.udf.register("fractal_search", fractal_search_udf(options))
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION cosine_distance(a ARRAY<DOUBLE>, b ARRAY<DOUBLE>) "

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import list_dims, list_to_matrix, ragged_list_array
-from ..plans.session import default_parallelism
+from ..plans.session import attach, default_parallelism
 from .sfs import RefineOptions, refine
 
 REFINED_SCHEMA = "query array<double>, best_point array<double>, best_fit double"
@@ -107,6 +107,7 @@ def distinct_queries(queries: DataFrame, query_col: str = "query",
     it), and AQE never coalesces an explicit partition count.
     """
     spark = queries.sparkSession
+    attach(spark)
     n = parallelism or 2 * default_parallelism(spark)
     return (queries.select(F.col(query_col).cast("array<double>").alias("query"))
             .dropDuplicates(["query"])

@@ -24,7 +24,8 @@ from pyspark.sql.types import DoubleType, IntegralType
 from ..plans.bank import (QueryBank, broadcast_bank, collect_bank, estimated_bytes,
                           fits_broadcast, vector_table_size)
 from ..plans.blocks import block_counts, block_top_k
-from ..plans.session import DEFAULT_BROADCAST_BYTES, checkpoint_dir, default_parallelism
+from ..plans.session import (DEFAULT_BROADCAST_BYTES, attach, checkpoint_dir,
+                             default_parallelism)
 from ..plans.topk import auto_salt, global_top_k, top_k_per_key
 from .refine import refine_with_ids
 from .scoring import VectorSpec, point_scorer, radius_scorer, topk_scorer
@@ -32,6 +33,7 @@ from .sfs import RefineOptions, refine
 
 
 def _spark(df: DataFrame) -> SparkSession:
+    attach(df.sparkSession)
     return df.sparkSession
 
 

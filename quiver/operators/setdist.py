@@ -13,7 +13,7 @@ from ..functions.arrays import list_dims, list_to_matrix
 from ..plans.bank import (QueryBank, broadcast_bank, collect_bank, fits_broadcast,
                           vector_table_size)
 from ..plans.blocks import ROWS_PER_BLOCK, block_set_min
-from ..plans.session import DEFAULT_BROADCAST_BYTES
+from ..plans.session import DEFAULT_BROADCAST_BYTES, attach
 from .scoring import VectorSpec, set_min_scorer
 from .sfs import RefineOptions, SetObjective, refine
 
@@ -37,6 +37,7 @@ def min_distance_to_set(df: DataFrame, members: DataFrame, vec="embedding",
     one goes through the block cogroup plus ``groupBy(id).min``.
     """
     spark = df.sparkSession
+    attach(spark)
     spec = VectorSpec(vec)
     m = members.select(F.col(member_col).cast("array<double>").alias("point"))
     rows, elems = vector_table_size(m, "point")
@@ -92,6 +93,7 @@ def refine_against_sets(df: DataFrame, by: str, vec: str = "embedding",
     from pyspark.sql.pandas.types import to_arrow_type
 
     opts = options or RefineOptions()
+    attach(df.sparkSession)
     biggest = df.groupBy(by).count().agg(F.max("count")).collect()[0][0] or 0
     if biggest > max_set_rows:
         raise ValueError(f"largest set has {biggest} rows, above max_set_rows={max_set_rows}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -70,3 +71,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def default_parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.sparkContext.defaultParallelism))
+
+
+_ATTACHED: set = set()
+
+
+def attach(spark: SparkSession | None = None) -> None:
+    """Ship this package to the Python workers (once per application).
+
+    Arrow functions are pickled by reference to ``quiver`` modules, so the
+    workers must be able to import the package wherever the driver was
+    started: it is zipped and added with ``SparkContext.addPyFile``.
+    """
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _ATTACHED:
+        return
+    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="quiver-pkg-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _ATTACHED.add(app)

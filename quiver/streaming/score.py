@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.scoring import VectorSpec, topk_scorer
 from ..operators.search import _cand_schema, refined_point
 from ..plans.bank import QueryBank, broadcast_bank
-from ..plans.session import scratch_path
+from ..plans.session import attach, scratch_path
 from ..plans.topk import global_top_k
 from ..operators.search import fractal_distance
 from ..operators.sfs import RefineOptions
@@ -92,6 +92,7 @@ def run_stream_top_k(spark: SparkSession, stream: DataFrame, query, k: int, id_c
     answer is always one k-row version, however long the stream runs.
     Returns ``(query handle, state path)``; read it with :func:`current_top_k`.
     """
+    attach(spark)
     table_path = table_path or scratch_path(spark, "stream-topk")
     checkpoint = checkpoint or scratch_path(spark, "stream-topk-ckpt")
     spec = VectorSpec(vec)

@@ -70,3 +70,20 @@ def test_registered_queries_match_duckdb(spark, name):
     rel = con.sql(entry.oracle_sql()[name])
     theirs = sorted(tuple(r[rel.columns.index(c)] for c in cols) for r in rel.fetchall())
     assert mine == theirs
+
+
+def test_entry_runs_from_another_working_directory(tmp_dir):
+    """Workers must import the package even when the driver starts elsewhere."""
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "import __spark_entry__ as E\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "print('ROWS', len(E.entry(s).collect()))\n" % ROOT)
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, capture_output=True, text=True,
+                         timeout=300)
+    assert "ROWS 10" in out.stdout, out.stderr[-2000:]
