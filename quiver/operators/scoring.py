@@ -284,3 +284,83 @@ def point_scorer(point, spec: VectorSpec):
         return pa.array(out, type=pa.float64(), mask=~valid)
 
     return score
+
+
+def query_side_scorer(vec_bank_bc, k: int, qid_col: str, point_col: str, id_col: str,
+                      dist_col: str = "dist"):
+    """Top-k rows per query when the *vectors* are the broadcast side.
+
+    Input batches hold refined queries ``(query_id, point)``; every task
+    sees all vectors, so each query's top-k is complete in the task and is
+    emitted ranked: ``(query_id, rank, id, dist)``, no shuffle needed.
+    """
+
+    def run(batches):
+        vb = vec_bank_bc.value
+        ids = vb.query_ids
+        # per dimension: the k smallest ids whose vector is not comparable
+        nulls = {}
+
+        def null_ids(dim):
+            if dim not in nulls:
+                same = np.zeros(len(ids), dtype=bool)
+                for d, entries, _, _ in vb.groups:
+                    if d == dim:
+                        same[entries] = True
+                nulls[dim] = np.sort(ids[~same])[:k]
+            return nulls[dim]
+
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            qids = np.asarray(batch.column(qid_col).to_numpy(zero_copy_only=False), dtype=np.int64)
+            qarr = batch.column(point_col)
+            qdims = list_dims(qarr)
+            out_q, out_id, out_cls, out_d = [], [], [], []
+            for qdim in np.unique(qdims):
+                qrows = np.flatnonzero(qdims == qdim)
+                group = next((g for g in vb.groups if g[0] == qdim), None) if qdim >= 0 else None
+                if group is not None:
+                    qmat, _ = list_to_matrix(qarr.take(pa.array(qrows)), int(qdim))
+                    _, entries, pts, psq = group
+                    state = TopKState(len(qrows), k)
+                    qsq = sq_norms(qmat)
+                    step = _block_rows(len(qrows))
+                    for lo in range(0, len(entries), step):
+                        # rows = vectors, columns = queries
+                        D = cosine_to_points(pts[lo:lo + step], qmat, psq[lo:lo + step], qsq)
+                        q, cls, dist, cid = topk_columns(D, ids[entries[lo:lo + step]], k)
+                        state.add([q], cls, dist, cid)
+                    nid = null_ids(int(qdim))
+                else:
+                    state = TopKState(len(qrows), k)
+                    nid = np.sort(ids)[:k]
+                if len(nid):
+                    for j in range(len(qrows)):
+                        state.add([np.full(len(nid), j, dtype=np.int64)],
+                                  np.full(len(nid), NULL, dtype=np.int8), np.zeros(len(nid)), nid)
+                res = state.result()
+                if res is None:
+                    continue
+                keys, cls, dist, rid = res
+                out_q.append(qids[qrows[keys[0]]])
+                out_id.append(rid)
+                out_cls.append(cls)
+                out_d.append(dist)
+            if not out_q:
+                continue
+            q = np.concatenate(out_q)
+            rid = np.concatenate(out_id)
+            cls = np.concatenate(out_cls)
+            dist = np.concatenate(out_d)
+            order = np.lexsort((rid, dist, cls, q))
+            q, rid, cls, dist = q[order], rid[order], cls[order], dist[order]
+            starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
+            rank = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)])) + 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(q, type=pa.int64()), pa.array(rank.astype(np.int32), type=pa.int32()),
+                 pa.array(rid, type=pa.int64()),
+                 pa.array(np.where(cls == 1, np.nan, dist), type=pa.float64(), mask=(cls == NULL))],
+                names=["query_id", "rank", id_col, dist_col])
+
+    return run

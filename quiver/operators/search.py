@@ -28,7 +28,8 @@ from ..plans.session import (DEFAULT_BROADCAST_BYTES, attach, checkpoint_dir,
                              default_parallelism)
 from ..plans.topk import auto_salt, global_top_k, top_k_per_key
 from .refine import refine_with_ids
-from .scoring import VectorSpec, point_scorer, radius_scorer, topk_scorer
+from .scoring import (VectorSpec, point_scorer, query_side_scorer, radius_scorer,
+                      topk_scorer)
 from .sfs import RefineOptions, refine
 
 
@@ -197,13 +198,19 @@ def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedd
                 query_col: str = "query", options: RefineOptions | None = None,
                 exact: bool = False, dist_col: str = "dist",
                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                salt_buckets: int | None = None) -> DataFrame:
+                salt_buckets: int | None = None,
+                vector_broadcast_bytes: int | None = None) -> DataFrame:
     """S1m: top-k rows per query: ``(query_id, rank, id, dist)``.
 
-    Each distinct query vector is refined once (R4).  When the measured
-    query set fits ``broadcast_bytes`` the points are broadcast to the
-    scoring tasks; otherwise rows and queries meet block by block in a
-    cogroup, with no query set held whole anywhere.
+    Each distinct query vector is refined once (R4).  Three plans, chosen
+    by measured sizes against ``broadcast_bytes``:
+
+    * query points fit: broadcast them; scan the vectors, keep a running
+      top-k per query per task, then one shuffle on ``query_id``;
+    * otherwise the vector table fits: broadcast the vectors; each task
+      holding a batch of queries completes their top-k (no shuffle);
+    * neither: rows and queries meet block by block in a cogroup, and no
+      side is held whole anywhere.
     """
     spark = _spark(vectors)
     spec = VectorSpec(vec)
@@ -224,13 +231,24 @@ def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedd
             _cand_schema(id_col, dist_col))
         tasks = _tasks(vectors)
     else:
-        # many queries: their refinement is the expensive input of every
+        vsel = vectors.select(F.col(id_col).alias("_vid"), _vector_column(spec).alias("_vec"))
+        v_rows, v_elems = vector_table_size(vsel, "_vec")
+        vbudget = broadcast_bytes if vector_broadcast_bytes is None else vector_broadcast_bytes
+        if fits_broadcast(v_rows, v_elems, vbudget):
+            # many queries, small vector table: broadcast the vectors and
+            # finish every query's top-k inside the task holding it
+            vbank = collect_bank(vsel, "_vid", "_vec", vbudget)
+            vbank_bc = broadcast_bank(spark, vbank)
+            out = points.select("query_id", "best_point").mapInArrow(
+                query_side_scorer(vbank_bc, k, "query_id", "best_point", id_col, dist_col),
+                f"query_id long, rank int, `{id_col}` long, `{dist_col}` double")
+            return out.select(F.col("query_id").alias(query_id_col), "rank", id_col, dist_col)
+        # both sides large: their refinement is the expensive input of every
         # block task, so write it to the shared checkpoint folder once
         # (reliable checkpoint: a lost executor does not redo the search)
         checkpoint_dir(spark)
         points = points.checkpoint(eager=True)
-        n_rows = vectors.count()
-        nvb, nqb = block_counts(n_rows, q_rows, q_elems)
+        nvb, nqb = block_counts(v_rows, q_rows, q_elems)
         cands = block_top_k(vectors, points, spec, id_col, "query_id", "best_point", k,
                             nvb, nqb, dist_col)
         tasks = nvb
@@ -239,6 +257,12 @@ def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedd
     return out.select(F.col("query_id").alias(query_id_col), "rank", id_col, dist_col)
 
 
+def _vector_column(spec: VectorSpec):
+    if spec.array_col:
+        return F.col(spec.array_col).cast("array<double>")
+    return F.array(*[F.col(c).cast("double") for c in spec.cols])
+
+
 def query_bank_bytes(queries: DataFrame, query_col: str = "query") -> int:
     rows, elems = vector_table_size(queries, query_col)
     return estimated_bytes(rows, elems)

@@ -18,7 +18,7 @@ from .scoring import VectorSpec, set_min_scorer
 from .sfs import RefineOptions, SetObjective, refine
 
 # largest set one refinement task may hold (rows); larger sets are refused
-MAX_SET_ROWS = 2_000_000
+MAX_SET_ROWS = 250_000
 
 
 def min_distance_to_set(df: DataFrame, members: DataFrame, vec="embedding",

@@ -101,14 +101,16 @@ def test_group_top_k_random_tables(spark, seed, n, k, parts, salt):
 
 @SETTINGS
 @given(seed=st.integers(0, 10_000), n=st.integers(2, 40), parts=st.integers(1, 5),
-       block=st.booleans())
-def test_many_queries_random_tables(spark, seed, n, parts, block):
+       plan=st.sampled_from(["queries", "vectors", "blocks"]))
+def test_many_queries_random_tables(spark, seed, n, parts, plan):
     rows = _table(seed, n)
     df = _df(spark, rows, parts)
     queries = spark.createDataFrame([(0, [0.3, -0.2, 0.9]), (1, [1.0, 1.0, 1.0]), (2, None),
                                      (3, [0.0, 0.0, 0.0]), (4, [1.0, 2.0])],
                                     "query_id long, query array<double>")
-    out = search_many(df, queries, 3, exact=True, broadcast_bytes=1 if block else 1 << 26).collect()
+    budgets = {"queries": (1 << 26, None), "vectors": (1, 1 << 26), "blocks": (1, 1)}[plan]
+    out = search_many(df, queries, 3, exact=True, broadcast_bytes=budgets[0],
+                      vector_broadcast_bytes=budgets[1]).collect()
     got = {}
     for r in sorted(out, key=lambda r: (r["query_id"], r["rank"])):
         got.setdefault(r["query_id"], []).append(r["id"])

@@ -106,8 +106,10 @@ def test_many_queries_broadcast_and_block_paths_agree(spark):
     qs = emb.filter(F.col("vec_id") < 12).select(F.col("vec_id").alias("query_id"),
                                                  F.col("embedding").alias("query"))
     a = search_many(emb, qs, 5, id_col="vec_id").orderBy("query_id", "rank").collect()
-    b = search_many(emb, qs, 5, id_col="vec_id", broadcast_bytes=1).orderBy("query_id", "rank").collect()
-    assert a == b and len(a) == 60
+    b = search_many(emb, qs, 5, id_col="vec_id", broadcast_bytes=1,
+                    vector_broadcast_bytes=1).orderBy("query_id", "rank").collect()
+    c = search_many(emb, qs, 5, id_col="vec_id", broadcast_bytes=1).orderBy("query_id", "rank").collect()
+    assert a == b == c and len(a) == 60
     ids, E, _ = _emb_np(spark)
     p, _ = refine_local(E[3])
     d = np.array([_cos(e, p) for e in E])
