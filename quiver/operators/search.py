@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DoubleType, IntegralType
@@ -275,25 +275,24 @@ def search_top_k(df: DataFrame, query, k: int = 10, by: str | None = None, vec="
                  exact: bool = False, out: str = "top_k") -> DataFrame:
     """The top-k as one array value ``array<struct<id, dist>>`` (per group).
 
-    The list is built from at most k ranked rows per group, so the
-    ``collect_list`` is bounded by k.
+    The list is built from at most k selected rows per group, so the
+    ``collect_list`` is bounded by k; the array is ordered by
+    ``(dist NULLS LAST, id)`` inside the aggregate (NaN after numbers, as
+    Spark orders doubles), with no extra window.
     """
     if by is None:
         top = search(df, query, k, vec, id_col, options, exact)
-        # k rows: a single-partition window over a bounded input
-        ranked = top.withColumn("rank", F.row_number().over(
-            Window.orderBy(F.col("dist").asc_nulls_last(), F.col(id_col))))
         keys = []
     else:
-        ranked = search_groups(df, query, by, k, vec, id_col, options, exact)
+        top = search_groups(df, query, by, k, vec, id_col, options, exact)
         keys = [by]
-    agg = F.transform(
-        F.array_sort(F.collect_list(F.struct(F.col("rank").alias("r"), F.col(id_col).alias("id"),
-                                             F.col("dist").alias("dist")))),
-        lambda s: F.struct(s["id"].alias(id_col), s["dist"].alias("dist")))
+    ordered = F.array_sort(F.collect_list(F.struct(
+        F.col("dist").isNull().alias("n"), F.coalesce(F.col("dist"), F.lit(0.0)).alias("d"),
+        F.col(id_col).alias("i"), F.col("dist").alias("dist"))))
+    agg = F.transform(ordered, lambda s: F.struct(s["i"].alias(id_col), s["dist"].alias("dist")))
     if keys:
-        return ranked.groupBy(*keys).agg(agg.alias(out))
-    return ranked.agg(agg.alias(out))
+        return top.groupBy(*keys).agg(agg.alias(out))
+    return top.agg(agg.alias(out))
 
 
 # ---------------------------------------------------------------- S1x

@@ -248,3 +248,22 @@ def test_string_ids_use_key_ordering(spark, edge_df):
     got = [r["id"] for r in search(df, [0.6, 0.8], 11, exact=True).collect()]
     ids = [r["id"] for r in search(edge_df, [0.6, 0.8], 11, exact=True).collect()]
     assert got == ["r%02d" % i for i in ids]
+
+
+def test_top_k_agg_orders_nan_and_null_last(spark, edge_df):
+    arr = search_top_k(edge_df, [0.6, 0.8], 11, exact=True).collect()[0]["top_k"]
+    flat = search(edge_df, [0.6, 0.8], 11, exact=True).collect()
+    assert [x["id"] for x in arr] == [r["id"] for r in flat]
+
+
+def test_io_helpers(spark, tmp_dir):
+    from quiver.sources.io import create_table_as, read_parquet, vectors
+
+    emb = read_parquet(spark, f"{SF001}/embeddings.parquet")
+    v = vectors(emb, "vec_id", "embedding")
+    assert dict(v.dtypes)["embedding"] == "array<double>"
+    t = create_table_as(v.filter("label = 2"), "quiver_ctas_test")
+    assert spark.table("quiver_ctas_test").count() == t.count() == emb.filter("label = 2").count()
+    path = f"{tmp_dir}/parts"
+    emb.repartition(3).write.parquet(path)
+    assert read_parquet(spark, f"{path}/*.parquet").count() == emb.count()
