@@ -147,48 +147,52 @@ def refine(queries: np.ndarray, opts: RefineOptions, objective=None,
         seeds = [query_seed(q, opts.seed) for q in queries]
     rngs = [np.random.Generator(np.random.PCG64(int(s))) for s in seeds]
 
-    X = np.empty((Q, P, d))
+    # particle-major layout: the slices touched in the sequential loop,
+    # X[i] and Z[i, m], are contiguous (Q, d) blocks
+    X = np.empty((P, Q, d))
     for q in range(Q):
-        X[q] = lo + rngs[q].random((P, d)) * span
+        X[:, q] = lo + rngs[q].random((P, d)) * span
     with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
-        fit = f(X)
-        b = _first_best(fit)
+        fit = np.ascontiguousarray(f(X.transpose(1, 0, 2)).T)        # (P, Q)
+        b = _first_best(fit.T)
         qi = np.arange(Q)
         walk = float(opts.walk)
         local_step = LOCAL_STEP * span
         t = np.empty((Q, d))
+        draw = np.empty((P, M, d))
+        Z = np.empty((P, M, Q, d))
         for _ in range(G):
-            Z = np.empty((Q, P, M, d))
             for q in range(Q):
-                rngs[q].standard_normal((P, M, d), out=Z[q])
+                rngs[q].standard_normal((P, M, d), out=draw)
+                Z[:, :, q, :] = draw
             if walk > 0:
                 Z *= walk
             else:
                 Z *= local_step
             for i in range(P):
-                B = X[qi, b]                               # copy: fixed for this i
+                B = X[b, qi]                               # copy: fixed for this i
+                xi = X[i]
+                fi = fit[i]
                 for m in range(M):
-                    xi = X[:, i]
                     if walk > 0:                           # t = B + z * (B - x_i)
                         np.subtract(B, xi, out=t)
-                        t *= Z[:, i, m]
+                        t *= Z[i, m]
                         t += B
                     else:                                  # t = x_i + z * step
-                        np.multiply(Z[:, i, m], 1.0, out=t)
-                        t += xi
+                        np.add(xi, Z[i, m], out=t)
                     if opts.clip:
                         np.maximum(t, lo, out=t)
                         np.minimum(t, hi, out=t)
                     ft = f(t)
-                    imp = ft < fit[:, i]
+                    imp = ft < fi
                     if imp.any():
-                        X[imp, i] = t[imp]
-                        fit[imp, i] = ft[imp]
-                        better = imp & (ft < fit[qi, b])
+                        xi[imp] = t[imp]
+                        fi[imp] = ft[imp]
+                        better = imp & (ft < fit[b, qi])
                         if better.any():
                             b = np.where(better, i, b)
-    best = X[qi, b].copy()
-    best_fit = fit[qi, b].copy()
+    best = X[b, qi].copy()
+    best_fit = fit[b, qi].copy()
     if want_population:
-        return best, best_fit, X, fit
+        return best, best_fit, X.transpose(1, 0, 2).copy(), fit.T.copy()
     return best, best_fit
