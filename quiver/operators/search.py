@@ -71,6 +71,13 @@ def _single_bank(spark, query, options, exact,
     return broadcast_bank(spark, QueryBank.single(point)), point
 
 
+def _require_integral_id(df: DataFrame, id_col: str, what: str):
+    if not isinstance(df.schema[id_col].dataType, IntegralType):
+        raise ValueError(f"{what} ranks rows by an integer id; {id_col!r} is "
+                         f"{df.schema[id_col].dataType.simpleString()} (add a numeric surrogate "
+                         "key, e.g. a hash or a row id written with the table)")
+
+
 def _cand_schema(id_col: str, dist_col: str, group_col: str | None = None,
                  group_type: str | None = None) -> str:
     g = f", `{group_col}` {group_type}" if group_col else ""
@@ -148,6 +155,7 @@ def search_groups(df: DataFrame, query, by: str, k: int = 10, vec="embedding",
     table sends no more rows to the shuffle than any other.
     """
     spark = _spark(df)
+    _require_integral_id(df, id_col, "search_groups")
     spec = VectorSpec(vec)
     bank_bc, _ = _single_bank(spark, query, options, exact)
     gfield = df.schema[by]
@@ -213,6 +221,8 @@ def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedd
       side is held whole anywhere.
     """
     spark = _spark(vectors)
+    _require_integral_id(vectors, id_col, "search_many")
+    _require_integral_id(queries, query_id_col, "search_many")
     spec = VectorSpec(vec)
     q_rows, q_elems = vector_table_size(queries, query_col)
     qsel = queries.select(F.col(query_id_col).alias("query_id"),

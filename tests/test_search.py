@@ -267,3 +267,14 @@ def test_io_helpers(spark, tmp_dir):
     path = f"{tmp_dir}/parts"
     emb.repartition(3).write.parquet(path)
     assert read_parquet(spark, f"{path}/*.parquet").count() == emb.count()
+
+
+def test_sql_vector_valid_and_id_type_errors(spark, edge_df):
+    register(spark)
+    edge_df.createOrReplaceTempView("edge_v")
+    v = {r["id"]: r["v"] for r in spark.sql("SELECT id, vector_valid(embedding, 2) AS v FROM edge_v").collect()}
+    assert v[1] is None or v[1] is False
+    assert [bool(v[i]) for i in range(2, 12)] == [False, False, False, False] + [True] * 6
+    sdf = edge_df.withColumn("id", F.col("id").cast("string"))
+    with pytest.raises(ValueError, match="integer id"):
+        search_groups(sdf.withColumn("g", F.lit(1)), [0.6, 0.8], "g", 2)
