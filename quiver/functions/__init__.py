@@ -1 +1 @@
-
+"""Column expressions, Arrow/NumPy kernels and the SQL surface."""

@@ -1 +1 @@
-
+"""Readers, writers and generators for vector tables."""

@@ -1 +1 @@
-
+"""Structured Streaming scoring and running top-k."""

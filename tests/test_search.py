@@ -278,3 +278,13 @@ def test_sql_vector_valid_and_id_type_errors(spark, edge_df):
     sdf = edge_df.withColumn("id", F.col("id").cast("string"))
     with pytest.raises(ValueError, match="integer id"):
         search_groups(sdf.withColumn("g", F.lit(1)), [0.6, 0.8], "g", 2)
+
+
+def test_feature_columns_with_integer_ids(spark):
+    rows = smoke_rows()
+    df = spark.createDataFrame([(i, v[0], v[1], v[2]) for i, v in rows], "id long, a double, b double, c double")
+    q = [0.5, 0.5, 0.0]
+    got = [r["id"] for r in search(df, q, 4, vec=["a", "b", "c"], exact=True).collect()]
+    assert got == [i for _, i in sorted((_cos(v, q), i) for i, v in rows)[:4]]
+    grp = search_groups(df.withColumn("g", F.col("id") % 2), q, "g", 2, vec=["a", "b", "c"], exact=True)
+    assert grp.count() == 4
