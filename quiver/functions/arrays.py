@@ -108,18 +108,25 @@ def cosine_to_points(mat: np.ndarray, points: np.ndarray,
     """Cosine distance of every row of ``mat`` (n, d) to every point (q, d).
 
     ``1 - a.b / (sqrt(|a|^2) * sqrt(|b|^2))``; exactly 1.0 when either norm
-    is zero; NaN/Inf propagate through the arithmetic.  Returns (n, q).
+    is zero; NaN/Inf propagate.  Returns (n, q) in column-major order, so
+    each query's distances are contiguous for the per-query selection, and
+    the arithmetic runs in place on the one product matrix.
     """
     if mat_sq is None:
         mat_sq = sq_norms(mat)
     if pts_sq is None:
         pts_sq = sq_norms(points)
-    dots = mat @ points.T
+    out = (points @ mat.T).T                       # (n, q), Fortran order
+    denom = np.multiply.outer(np.sqrt(mat_sq), np.sqrt(pts_sq))
     with np.errstate(divide="ignore", invalid="ignore"):
-        out = 1.0 - dots / (np.sqrt(mat_sq)[:, None] * np.sqrt(pts_sq)[None, :])
-    zero = (mat_sq == 0)[:, None] | (pts_sq == 0)[None, :]
-    if zero.any():
-        out[zero] = 1.0
+        np.divide(out, denom, out=out)
+    np.subtract(1.0, out, out=out)
+    zr = mat_sq == 0
+    if zr.any():
+        out[zr, :] = 1.0
+    zc = pts_sq == 0
+    if zc.any():
+        out[:, zc] = 1.0
     return out
 
 

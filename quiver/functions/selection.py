@@ -17,6 +17,9 @@ import numpy as np
 
 NUMBER, NAN, NULL = 0, 1, 2
 
+# smallest candidate buffer before a running top-k reduces itself
+MIN_BUFFER = 4096
+
 
 def classify(dist: np.ndarray):
     """Split raw distances into (cls, filled dist)."""
@@ -89,9 +92,19 @@ class TopKState:
     def __init__(self, n_keys: int, k: int):
         self.k = k
         self.n_keys = n_keys
-        self.limit = max(4 * k * max(n_keys, 1), 4096)
+        self.limit = max(4 * k * max(n_keys, 1), MIN_BUFFER)
         self._parts: list[tuple] = []
         self._size = 0
+        self._thr = None
+
+    def thresholds(self):
+        """Per key (single-key states): the k-th best numeric distance kept
+        at the last reduction, NaN while fewer than k numbers are kept.
+
+        A later row can only enter a key's top-k if its distance is <= this
+        value, so callers may drop the rest before adding (ties are kept).
+        """
+        return self._thr
 
     def add(self, keys: list[np.ndarray], cls, dist, ids):
         if len(ids) == 0:
@@ -119,6 +132,14 @@ class TopKState:
         keep = keep_first_k(keys, cls, dist, ids, self.k)
         self._parts = [([key[keep] for key in keys], cls[keep], dist[keep], ids[keep])]
         self._size = len(keep)
+        if len(keys) == 1 and self.n_keys:
+            kk, kc, kd = keys[0][keep], cls[keep], dist[keep]
+            num = kc == NUMBER
+            counts = np.bincount(kk[num], minlength=self.n_keys)
+            thr = np.full(self.n_keys, -np.inf)
+            np.maximum.at(thr, kk[num], kd[num])
+            thr[counts < self.k] = np.nan
+            self._thr = thr
 
     def result(self):
         self._reduce()

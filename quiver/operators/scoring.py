@@ -160,8 +160,20 @@ def topk_scorer(bank_bc, spec: VectorSpec, id_col: str, k: int,
 
 def _add(state, D, targets, vid, k, gcodes):
     if gcodes is None:
+        targets = np.asarray(targets)
+        thr = state.thresholds()
+        if thr is not None:
+            t = thr[targets]
+            if not np.isnan(t).any():
+                # every query already holds k numbers: only rows at or under
+                # its current k-th distance can still enter (exact)
+                r, c = np.nonzero(D <= t[None, :])
+                if len(r):
+                    d = D[r, c]
+                    state.add([targets[c]], np.zeros(len(r), dtype=np.int8), d, vid[r])
+                return
         q, cls, dist, cid = topk_columns(D, vid, k)
-        state.add([np.asarray(targets)[q]], cls, dist, cid)
+        state.add([targets[q]], cls, dist, cid)
         return
     for j in range(D.shape[1]):
         cls, dist = classify(D[:, j])
@@ -247,8 +259,8 @@ def set_min_scorer(bank_bc, spec: VectorSpec, id_col: str, dist_col: str = "min_
                 cur = np.ones(len(vidx))
                 for lo in range(0, len(entries), step):
                     D = cosine_to_points(mat, pts[lo:lo + step], msq, psq[lo:lo + step])
-                    D = np.where(np.isnan(D), np.inf, D)
-                    cur = np.minimum(cur, D.min(axis=1))
+                    # fmin skips NaN: a NaN pair never lowers the minimum
+                    np.fmin(cur, np.fmin.reduce(D, axis=1), out=cur)
                 best[vidx] = np.minimum(best[vidx], cur)
             if not bank.groups:
                 # empty set: the running minimum never moves from 1 (valid rows only)

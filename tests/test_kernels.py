@@ -100,3 +100,36 @@ def test_null_class_sorts_last(k):
     cls = np.array([2, 1, 0, 2], dtype=np.int8)
     keep = keep_first_k(keys, cls, np.zeros(4), np.array([0, 1, 2, 3]), k)
     assert keep.tolist() == [2, 1, 0][:k]
+
+
+@settings(max_examples=40, deadline=None)
+@given(seed=st.integers(0, 10_000), q=st.integers(1, 4), k=st.integers(1, 6),
+       levels=st.integers(2, 8), nan_frac=st.floats(0, 0.2))
+def test_running_top_k_with_threshold_filter(seed, q, k, levels, nan_frac):
+    import quiver.functions.selection as sel
+    from quiver.operators.scoring import _add
+
+    with pytest.MonkeyPatch.context() as mp:
+        mp.setattr(sel, "MIN_BUFFER", 8)
+        state = sel.TopKState(q, k)          # reduces every few batches: thresholds in play
+    rng = np.random.default_rng(seed)
+    allD, allids = [], []
+    next_id = 0
+    for _ in range(25):
+        n = int(rng.integers(1, 30))
+        D = rng.integers(0, levels, size=(n, q)).astype(float) / levels
+        D[rng.random((n, q)) < nan_frac] = np.nan
+        ids = np.arange(next_id, next_id + n, dtype=np.int64)[rng.permutation(n)]
+        next_id += n
+        _add(state, np.asfortranarray(D), np.arange(q), ids, k, None)
+        allD.append(D)
+        allids.append(ids)
+    assert state.thresholds() is not None
+    keys, cls, dist, rid = state.result()
+    D = np.vstack(allD)
+    ids = np.concatenate(allids)
+    want = _brute(D, ids, k)
+    for c in range(q):
+        got = sorted(((int(i), int(cc), float(d)) for kk, cc, d, i in zip(keys[0], cls, dist, rid)
+                      if kk == c), key=lambda t: (t[1], t[2], t[0]))
+        assert got == want[c]
