@@ -7,9 +7,11 @@ Plan shape of every search (checked with ``explain``):
         or  Exchange(hash key) -> WindowGroupLimit/row_number<=k (per key)
 
 Only the id and the vector columns reach the Python tasks (Catalyst prunes
-the scan); payload columns can be joined back on the k winners.  Query
-points reach the tasks as a size-checked broadcast; larger query sets take
-the block path of :mod:`quiver.plans.blocks`.
+the scan, filters below the call are pushed to Parquet); payload columns can
+be joined back on the k winners.  Query points reach the tasks as a
+size-checked broadcast; when the query set is too large, ``search_many``
+broadcasts the (measured) vector table instead, or falls back to the block
+cogroup of :mod:`quiver.plans.blocks`.
 """
 
 from __future__ import annotations
@@ -38,11 +40,6 @@ def _spark(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
-def _query_frame(spark: SparkSession, query) -> DataFrame:
-    q = None if query is None else [None if v is None else float(v) for v in query]
-    return spark.createDataFrame([(q,)], "query array<double>")
-
-
 def refined_point(spark: SparkSession, query, options: RefineOptions | None = None,
                   exact: bool = False):
     """The point rows are scored against for one constant query.
@@ -173,7 +170,15 @@ def search_groups(df: DataFrame, query, by: str, k: int = 10, vec="embedding",
 def radius_search(df: DataFrame, query, radius: float, vec="embedding", id_col: str = "id",
                   options: RefineOptions | None = None, exact: bool = False,
                   dist_col: str = "dist") -> DataFrame:
-    """S1r: every row with ``dist <= radius`` to one constant query: ``(id, dist)``."""
+    """S1r: every row with ``dist <= radius`` to one constant query: ``(id, dist)``.
+
+    NULL and NaN distances never match.  Non-integer keys take the Arrow
+    UDF plus a Spark ``filter``.
+    """
+    if not isinstance(df.schema[id_col].dataType, IntegralType):
+        scored = fractal_distance(df.select(id_col, *VectorSpec(vec).columns), query, vec,
+                                  dist_col, options, exact)
+        return scored.select(id_col, dist_col).filter(F.col(dist_col) <= F.lit(float(radius)))
     spark = _spark(df)
     spec = VectorSpec(vec)
     bank_bc, _ = _single_bank(spark, query, options, exact)
@@ -316,6 +321,7 @@ def multi_probe_search(df: DataFrame, query, k: int = 10, probes: int = 5, vec="
     (ties by particle index).  ``(id, dist)`` with ``dist`` the minimum.
     """
     spark = _spark(df)
+    _require_integral_id(df, id_col, "multi_probe_search")
     spec = VectorSpec(vec)
     points = probe_points(spark, query, probes, options)
     if points is None:

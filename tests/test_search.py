@@ -248,6 +248,9 @@ def test_string_ids_use_key_ordering(spark, edge_df):
     got = [r["id"] for r in search(df, [0.6, 0.8], 11, exact=True).collect()]
     ids = [r["id"] for r in search(edge_df, [0.6, 0.8], 11, exact=True).collect()]
     assert got == ["r%02d" % i for i in ids]
+    rs = sorted(r["id"] for r in radius_search(df, [0.6, 0.8], 0.5, exact=True).collect())
+    ri = sorted(r["id"] for r in radius_search(edge_df, [0.6, 0.8], 0.5, exact=True).collect())
+    assert rs == ["r%02d" % i for i in ri] and len(ri) >= 3
 
 
 def test_top_k_agg_orders_nan_and_null_last(spark, edge_df):
