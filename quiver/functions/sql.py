@@ -6,6 +6,8 @@
       are refined (memoised per Python worker, and seeded by the query
       bytes, so every worker gets the same point) and each row is scored
       against its own query.
+  fractal_refine(query_vector) -> ARRAY<DOUBLE>
+      the refined point itself (R1 in SQL), same memo and seed.
   cosine_distance(a, b) -> DOUBLE
       exact cosine distance, a SQL function (pure Catalyst expression).
   vector_valid(v, dim) -> BOOLEAN
@@ -115,6 +117,34 @@ def fractal_search_udf(options: RefineOptions | None = None, exact: bool = False
     return F.arrow_udf(fractal_search, DoubleType())
 
 
+def refine_array(query: pa.Array, opts: RefineOptions) -> pa.Array:
+    """Refined point of each row's query (NULL for NULL / NULL-element queries)."""
+    n = len(query)
+    out = [None] * n
+    qdims = list_dims(query)
+    for d in np.unique(qdims[qdims >= 0]):
+        rows = np.flatnonzero(qdims == d)
+        qmat, _ = list_to_matrix(query.take(pa.array(rows)), int(d))
+        if int(d) == 0 or (qmat == qmat[0]).all():
+            pts = np.repeat(refined_points(qmat[:1], opts), len(rows), axis=0)
+        else:
+            uniq, inverse = np.unique(qmat, axis=0, return_inverse=True)
+            pts = refined_points(uniq, opts)[np.asarray(inverse).reshape(-1)]
+        for j, r in enumerate(rows):
+            out[r] = pts[j]
+    return pa.array(out, type=pa.list_(pa.float64()))
+
+
+def fractal_refine_udf(options: RefineOptions | None = None):
+    opts = options or RefineOptions()
+    attach()
+
+    def fractal_refine(query_vector: pa.Array) -> pa.Array:
+        return refine_array(query_vector, opts)
+
+    return F.arrow_udf(fractal_refine, "array<double>")
+
+
 def fractal_search(vector, query, options: RefineOptions | None = None):
     """Column form of the SQL function (per-row query allowed)."""
     return fractal_search_udf(options)(vector, query)
@@ -124,6 +154,7 @@ def register(spark: SparkSession, options: RefineOptions | None = None) -> list[
     """Register the SQL functions on ``spark``; returns their names."""
     attach(spark)
     spark.udf.register("fractal_search", fractal_search_udf(options))
+    spark.udf.register("fractal_refine", fractal_refine_udf(options))
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION cosine_distance(a ARRAY<DOUBLE>, b ARRAY<DOUBLE>) "
         "RETURNS DOUBLE RETURN " + cosine_distance_sql("a", "b"))
@@ -131,4 +162,4 @@ def register(spark: SparkSession, options: RefineOptions | None = None) -> list[
         "CREATE OR REPLACE TEMPORARY FUNCTION vector_valid(v ARRAY<DOUBLE>, dim INT) "
         "RETURNS BOOLEAN RETURN v IS NOT NULL AND NOT exists(v, x -> x IS NULL) "
         "AND size(v) = dim")
-    return ["fractal_search", "cosine_distance", "vector_valid"]
+    return ["fractal_search", "fractal_refine", "cosine_distance", "vector_valid"]

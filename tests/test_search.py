@@ -291,3 +291,11 @@ def test_feature_columns_with_integer_ids(spark):
     assert got == [i for _, i in sorted((_cos(v, q), i) for i, v in rows)[:4]]
     grp = search_groups(df.withColumn("g", F.col("id") % 2), q, "g", 2, vec=["a", "b", "c"], exact=True)
     assert grp.count() == 4
+
+
+def test_sql_fractal_refine_matches_jobs(spark):
+    register(spark)
+    row = spark.sql("SELECT fractal_refine(array(0.6D, 0.8D)) AS p, fractal_refine(CAST(NULL AS ARRAY<DOUBLE>)) AS n, "
+                    "cosine_distance(array(0.6D, 0.8D), fractal_refine(array(0.6D, 0.8D))) AS r").collect()[0]
+    p, _ = refine_local([0.6, 0.8])
+    assert np.array_equal(np.array(row["p"]), p) and row["n"] is None and abs(row["r"]) <= 0.01
