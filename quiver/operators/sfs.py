@@ -16,7 +16,7 @@ own generator seeded by ``crc32(query bytes) ^ seed``.  The result therefore
 depends only on the query and the options, never on batching, partitioning,
 task order or retries.
 
-Random numbers: NumPy ``Generator(PCG64(seed))``; standard normals come from
+Random numbers: NumPy ``Generator(SFC64(seed))``; standard normals come from
 its ziggurat sampler, which draws the same N(0, 1) as Box-Muller at about a
 quarter of the cost.  Streams are reproducible for a given NumPy version.
 """
@@ -145,7 +145,7 @@ def refine(queries: np.ndarray, opts: RefineOptions, objective=None,
     f = objective if objective is not None else CosineObjective(queries)
     if seeds is None:
         seeds = [query_seed(q, opts.seed) for q in queries]
-    rngs = [np.random.Generator(np.random.PCG64(int(s))) for s in seeds]
+    rngs = [np.random.Generator(np.random.SFC64(int(s))) for s in seeds]
 
     # particle-major layout: the slices touched in the sequential loop,
     # X[i] and Z[i, m], are contiguous (Q, d) blocks

@@ -10,7 +10,7 @@ from quiver.operators.checks import check_convergence
 
 
 def _initial_best(q, opts):
-    rng = np.random.Generator(np.random.PCG64(query_seed(q, opts.seed)))
+    rng = np.random.Generator(np.random.SFC64(query_seed(q, opts.seed)))
     lo, hi = opts.box(len(q))
     X = lo + rng.random((opts.population, len(q))) * (hi - lo)
     return np.nanmin(CosineObjective(q[None, :])(X[None])[0])
