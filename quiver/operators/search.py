@@ -68,6 +68,11 @@ def _single_bank(spark, query, options, exact,
     return broadcast_bank(spark, QueryBank.single(point)), point
 
 
+def _require_k(k: int):
+    if int(k) != k or k < 1:
+        raise ValueError(f"k must be a positive integer, got {k!r}")
+
+
 def _require_integral_id(df: DataFrame, id_col: str, what: str):
     if not isinstance(df.schema[id_col].dataType, IntegralType):
         raise ValueError(f"{what} ranks rows by an integer id; {id_col!r} is "
@@ -96,8 +101,9 @@ def search(df: DataFrame, query, k: int = 10, vec="embedding", id_col: str = "id
     """The ``k`` rows nearest to one constant query: ``(id, dist)``.
 
     ``exact=True`` is S1e (plain cosine, no refinement).  Order is
-    ``dist ASC NULLS LAST, id ASC``.
+    ``dist ASC NULLS LAST, id ASC``; ids are expected to be unique.
     """
+    _require_k(k)
     if not isinstance(id_col, str):
         return _search_composite(df, query, k, vec, list(id_col), options, exact, dist_col)
     if not isinstance(df.schema[id_col].dataType, IntegralType):
@@ -151,6 +157,7 @@ def search_groups(df: DataFrame, query, by: str, k: int = 10, vec="embedding",
     Each task keeps k rows per group, so a group holding a third of the
     table sends no more rows to the shuffle than any other.
     """
+    _require_k(k)
     spark = _spark(df)
     _require_integral_id(df, id_col, "search_groups")
     spec = VectorSpec(vec)
@@ -225,6 +232,7 @@ def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedd
     * neither: rows and queries meet block by block in a cogroup, and no
       side is held whole anywhere.
     """
+    _require_k(k)
     spark = _spark(vectors)
     _require_integral_id(vectors, id_col, "search_many")
     _require_integral_id(queries, query_id_col, "search_many")
@@ -320,6 +328,9 @@ def multi_probe_search(df: DataFrame, query, k: int = 10, probes: int = 5, vec="
     The probes are R3's final population for the query, best fit first
     (ties by particle index).  ``(id, dist)`` with ``dist`` the minimum.
     """
+    _require_k(k)
+    if int(probes) != probes or probes < 1:
+        raise ValueError(f"probes must be a positive integer, got {probes!r}")
     spark = _spark(df)
     _require_integral_id(df, id_col, "multi_probe_search")
     spec = VectorSpec(vec)

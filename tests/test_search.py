@@ -299,3 +299,9 @@ def test_sql_fractal_refine_matches_jobs(spark):
                     "cosine_distance(array(0.6D, 0.8D), fractal_refine(array(0.6D, 0.8D))) AS r").collect()[0]
     p, _ = refine_local([0.6, 0.8])
     assert np.array_equal(np.array(row["p"]), p) and row["n"] is None and abs(row["r"]) <= 0.01
+
+
+@pytest.mark.parametrize("k", [0, -1, 2.5])
+def test_bad_k_is_rejected(spark, edge_df, k):
+    with pytest.raises(ValueError, match="k must be"):
+        search(edge_df, [0.6, 0.8], k)
