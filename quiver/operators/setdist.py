@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import list_dims, list_to_matrix
 from ..plans.bank import (QueryBank, broadcast_bank, collect_bank, fits_broadcast,
                           vector_table_size)
-from ..plans.blocks import ROWS_PER_BLOCK, block_set_min
+from ..plans.blocks import block_counts, block_set_min
 from ..plans.session import DEFAULT_BROADCAST_BYTES, attach
 from .scoring import VectorSpec, set_min_scorer
 from .sfs import RefineOptions, SetObjective, refine
@@ -51,14 +51,20 @@ def min_distance_to_set(df: DataFrame, members: DataFrame, vec="embedding",
                            for f in df.select(*cols).schema.fields) + f", `{out}` double"
         return df.select(*cols, *[c for c in spec.columns if c not in cols]).mapInArrow(
             set_min_scorer(bank_bc, spec, id_col, out, cols[1:]), schema)
-    n_rows = df.count()
-    nvb = max(1, -(-n_rows // ROWS_PER_BLOCK))
-    nsb = max(1, -(-(8 * elems) // (32 * 1024 * 1024)))
+    v_rows, v_elems = vector_table_size(
+        df.select(_as_vector(spec).alias("_v")), "_v")
+    nvb, nsb = block_counts(v_rows, rows, elems, v_elems)
     mins = block_set_min(df, m, spec, id_col, "point", nvb, nsb, out)
     # rows whose every block was empty would be missing: bring all ids back
     return df.select(id_col).join(mins, id_col, "left")
 
 
+def _as_vector(spec: VectorSpec):
+    if spec.array_col:
+        return F.col(spec.array_col)
+    return F.array(*[F.col(c).cast("double") for c in spec.cols])
+
+
 def _set_refine_fn(key_col: str, vec_col: str, opts: RefineOptions, key_type):
     def run(table: pa.Table) -> pa.Table:
         key = table.column(key_col)[0].as_py()

@@ -19,15 +19,21 @@ from pyspark.sql import functions as F
 
 from .bank import QueryBank
 
-# rows of the vector table per block task, and bytes of query points per block
-ROWS_PER_BLOCK = 1_000_000
+# float64 bytes of vectors per block task (a block is materialised whole in
+# its cogroup task), and bytes of query points per block
+VECTOR_BYTES_PER_BLOCK = 128 * 1024 * 1024
 QUERY_BYTES_PER_BLOCK = 32 * 1024 * 1024
+# kept for row-count sizing where the width is unknown
+ROWS_PER_BLOCK = 200_000
 
 
-def block_counts(n_rows: int, q_rows: int, q_elements: int,
-                 rows_per_block: int = ROWS_PER_BLOCK,
+def block_counts(n_rows: int, q_rows: int, q_elements: int, v_elements: int | None = None,
+                 vector_bytes: int = VECTOR_BYTES_PER_BLOCK,
                  query_bytes: int = QUERY_BYTES_PER_BLOCK):
-    nvb = max(1, math.ceil(n_rows / rows_per_block))
+    if v_elements is not None:
+        nvb = max(1, math.ceil((8 * v_elements + 32 * n_rows) / vector_bytes))
+    else:
+        nvb = max(1, math.ceil(n_rows / ROWS_PER_BLOCK))
     nqb = max(1, math.ceil((8 * q_elements + 32 * q_rows) / query_bytes))
     return nvb, nqb
 
