@@ -130,6 +130,89 @@ def cosine_to_points(mat: np.ndarray, points: np.ndarray,
     return out
 
 
+def ordered_dot(A: np.ndarray, B: np.ndarray) -> np.ndarray:
+    """Row-wise dot products summed left to right over the dimension.
+
+    One rounding per product and one per addition, in index order: the
+    value a scalar loop ``for j: acc += a[j] * b[j]`` produces, whatever the
+    batch, alignment, BLAS or machine.  ``B`` may be a single point (d,).
+    """
+    m, d = A.shape
+    if d == 0:
+        return np.zeros(m)
+    At = np.ascontiguousarray(A.T)
+    if B.ndim == 1:
+        acc = At[0] * B[0]
+        tmp = np.empty(m)
+        for j in range(1, d):
+            np.multiply(At[j], B[j], out=tmp)
+            acc += tmp
+        return acc
+    Bt = At if B is A else np.ascontiguousarray(B.T)
+    acc = At[0] * Bt[0]
+    tmp = np.empty(m)
+    for j in range(1, d):
+        np.multiply(At[j], Bt[j], out=tmp)
+        acc += tmp
+    return acc
+
+
+def _ordered_dot_and_norm(A: np.ndarray, p: np.ndarray):
+    """``ordered_dot(A, p)`` and ``ordered_dot(A, A)`` sharing one pass."""
+    m, d = A.shape
+    if d == 0:
+        return np.zeros(m), np.zeros(m)
+    At = np.ascontiguousarray(A.T)
+    dot = At[0] * p[0]
+    sq = At[0] * At[0]
+    tmp = np.empty(m)
+    for j in range(1, d):
+        row = At[j]
+        np.multiply(row, p[j], out=tmp)
+        dot += tmp
+        np.multiply(row, row, out=tmp)
+        sq += tmp
+    return dot, sq
+
+
+def ordered_sq_norm(v: np.ndarray) -> float:
+    """|v|^2 summed left to right (the point side of :func:`ordered_dot`)."""
+    acc = 0.0
+    for x in np.asarray(v, dtype=np.float64).tolist():
+        acc += x * x
+    return acc
+
+
+def exact_cosine(A: np.ndarray, B: np.ndarray, a_sq: np.ndarray | None = None,
+                 b_sq=None) -> np.ndarray:
+    """Cosine distance of row pairs (or rows against one point ``B`` (d,)),
+    bit-identical to ``1 - dot / (sqrt(|a|^2) * sqrt(|b|^2))`` computed by a
+    scalar left-to-right loop; 1.0 when either norm is zero."""
+    if a_sq is None and B.ndim == 1:
+        dot, a_sq = _ordered_dot_and_norm(A, B)
+    else:
+        dot = ordered_dot(A, B)
+        if a_sq is None:
+            a_sq = ordered_dot(A, A)
+    if b_sq is None:
+        b_sq = ordered_sq_norm(B) if B.ndim == 1 else ordered_dot(B, B)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out = 1.0 - dot / (np.sqrt(a_sq) * np.sqrt(b_sq))
+    zero = (a_sq == 0) | (np.asarray(b_sq) == 0)
+    if np.any(zero):
+        out = np.where(zero, 1.0, out)
+    return out
+
+
+def screen_margin(dim: int) -> float:
+    """Bound on |BLAS cosine distance - ordered cosine distance|.
+
+    Each side is within (2d + 4) unit roundoffs of the true value (the dot
+    product and both norms, with |a.b| <= |a||b|); twice that with slack.
+    """
+    return (4 * dim + 16) * 2.0 ** -52
+
+
 def list_array(rows: np.ndarray | None, mask: np.ndarray | None = None,
                n: int | None = None) -> pa.Array:
     """Build a list<double> array from a 2-D matrix; ``mask`` marks NULL rows."""

@@ -29,7 +29,7 @@ from pyspark.sql.types import DoubleType
 
 from ..operators.refine import lockstep_size
 from ..operators.sfs import RefineOptions, refine
-from .arrays import list_dims, list_to_matrix, sq_norms
+from .arrays import exact_cosine, list_dims, list_to_matrix
 from ..plans.session import attach
 from .vectors import cosine_distance_sql
 
@@ -97,11 +97,10 @@ def score_against_queries(vec: pa.Array, query: pa.Array, opts: RefineOptions |
         if not valid.any():
             continue
         vrows = rows[valid]
-        p = points[inverse[valid]]
-        msq, psq = sq_norms(mat), sq_norms(p)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            dist = 1.0 - np.einsum("ij,ij->i", mat, p) / (np.sqrt(msq) * np.sqrt(psq))
-        dist[(msq == 0) | (psq == 0)] = 1.0
+        if len(uniq) == 1:
+            dist = exact_cosine(mat, points[0])
+        else:
+            dist = exact_cosine(mat, points[inverse[valid]])
         out[vrows] = dist
         ok[vrows] = True
     return pa.array(out, type=pa.float64(), mask=~ok)

@@ -5,6 +5,14 @@ The query bank arrives as a Spark broadcast variable (size-checked by the
 caller).  Top-k scorers keep a running top-k per key for the whole task and
 emit it once, so a task ships ``keys * k`` rows to the shuffle whatever its
 input size, and a hot group costs no more than any other.
+
+Screen, then exact: a BLAS product ranks a whole batch fast but its last
+bits depend on matrix shape and alignment, so it only *screens*.  Every
+pair that could be selected (within :func:`screen_margin` of the cut) is
+recomputed with the ordered formula (:func:`exact_cosine`), and selection
+and output use those values.  Distances are therefore bit-identical to a
+scalar ``1 - a.b / (|a| |b|)`` loop and to the Catalyst expression, and
+ties (duplicate vectors) break by id, whatever the batching or partitioning.
 """
 
 from __future__ import annotations
@@ -13,9 +21,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from ..functions.arrays import (columns_to_matrix, cosine_to_points, list_dims,
-                               list_to_matrix, sq_norms)
-from ..functions.selection import NULL, TopKState, classify, keep_first_k, topk_columns
+from ..functions.arrays import (columns_to_matrix, cosine_to_points, exact_cosine, list_dims,
+                               list_to_matrix, screen_margin, sq_norms)
+from ..functions.selection import NULL, TopKState, classify, keep_first_k
 
 # cap on elements of one distance block (rows x queries) held at once
 BLOCK_ELEMENTS = 1 << 22
@@ -119,19 +127,24 @@ def topk_scorer(bank_bc, spec: VectorSpec, id_col: str, k: int,
                 else:
                     targets = owners[2][gi]          # owner index per run in this group
                 if len(vidx):
-                    msq = sq_norms(mat)
                     vid = ids[vidx]
-                    if owners is None:
+                    eps = screen_margin(dim)
+                    if gcodes is not None:
+                        _add_grouped(state, mat, pts, targets, vid, k, gcodes[vidx])
+                    elif owners is None:
+                        msq = sq_norms(mat)
                         step = _block_rows(len(vidx))
                         for lo in range(0, len(entries), step):
-                            D = cosine_to_points(mat, pts[lo:lo + step], msq, psq[lo:lo + step])
-                            _add(state, D, targets[lo:lo + step], vid, k,
-                                 None if gcodes is None else gcodes[vidx])
+                            chunk = pts[lo:lo + step]
+                            D = cosine_to_points(mat, chunk, msq, psq[lo:lo + step])
+                            _add(state, D, targets[lo:lo + step], vid, k, eps,
+                                 lambda r, c, chunk=chunk: exact_cosine(mat[r], chunk[c]))
                     else:
-                        D = cosine_to_points(mat, pts, msq, psq)
-                        D = _owner_min(D, owners[1][gi])
-                        _add(state, D, targets, vid, k,
-                             None if gcodes is None else gcodes[vidx])
+                        starts = owners[1][gi]
+                        D = _owner_min(cosine_to_points(mat, pts, sq_norms(mat), psq), starts)
+                        ends = np.append(starts[1:], len(pts))
+                        _add(state, D, targets, vid, k, eps,
+                             lambda r, c: _exact_owner_min(mat, pts, starts, ends, r, c))
                 inv = np.flatnonzero(~valid)
                 if len(inv):
                     _add_nulls(state, targets, ids[inv], k,
@@ -158,25 +171,55 @@ def topk_scorer(bank_bc, spec: VectorSpec, id_col: str, k: int,
     return run
 
 
-def _add(state, D, targets, vid, k, gcodes):
-    if gcodes is None:
-        targets = np.asarray(targets)
-        thr = state.thresholds()
-        if thr is not None:
-            t = thr[targets]
-            if not np.isnan(t).any():
-                # every query already holds k numbers: only rows at or under
-                # its current k-th distance can still enter (exact)
-                r, c = np.nonzero(D <= t[None, :])
-                if len(r):
-                    d = D[r, c]
-                    state.add([targets[c]], np.zeros(len(r), dtype=np.int8), d, vid[r])
-                return
-        q, cls, dist, cid = topk_columns(D, vid, k)
-        state.add([targets[q]], cls, dist, cid)
+def _screen(D: np.ndarray, k: int, eps: float, thr=None):
+    """(row, col) pairs that may belong to each column's exact top-k.
+
+    The cut per column is the running exact k-th distance when the task
+    already holds k numbers for it, else the screened k-th value of this
+    block; anything within ``eps`` of the cut stays.  A column whose k-th
+    value is NaN (fewer than k numbers) keeps every row.
+    """
+    n, Q = D.shape
+    if n <= k:
+        return np.nonzero(np.ones((n, Q), dtype=bool))
+    cut = np.full(Q, np.nan) if thr is None else np.array(thr, dtype=np.float64)
+    need = np.isnan(cut)
+    if need.any():
+        cols = np.flatnonzero(need)
+        cut[cols] = np.partition(D[:, cols], k - 1, axis=0)[k - 1]
+    bound = cut + eps
+    mask = D <= bound[None, :]
+    loose = np.isnan(bound)
+    if loose.any():
+        mask[:, loose] = True
+    return np.nonzero(mask)
+
+
+def _add(state, D, targets, vid, k, eps, exact):
+    targets = np.asarray(targets)
+    thr = state.thresholds()
+    r, c = _screen(D, k, eps, None if thr is None else thr[targets])
+    if len(r) == 0:
         return
-    for j in range(D.shape[1]):
-        cls, dist = classify(D[:, j])
+    cls, dist = classify(exact(r, c))
+    state.add([targets[c]], cls, dist, vid[r])
+
+
+def _exact_owner_min(mat, pts, starts, ends, r, c):
+    """Exact min over each owner's probes for candidate pairs (NaN propagates)."""
+    out = np.empty(len(r))
+    for o in np.unique(c):
+        sel = np.flatnonzero(c == o)
+        rows = mat[r[sel]]
+        vals = np.stack([exact_cosine(rows, pts[j]) for j in range(starts[o], ends[o])])
+        out[sel] = vals.min(axis=0)
+    return out
+
+
+def _add_grouped(state, mat, pts, targets, vid, k, gcodes):
+    """Per query, exact distances for every row, then k per group."""
+    for j in range(pts.shape[0]):
+        cls, dist = classify(exact_cosine(mat, pts[j]))
         keep = keep_first_k([gcodes], cls, dist, vid, k)
         state.add([np.full(len(keep), targets[j], dtype=np.int64), gcodes[keep]],
                   cls[keep], dist[keep], vid[keep])
@@ -215,16 +258,23 @@ def radius_scorer(bank_bc, spec: VectorSpec, id_col: str, radius: float,
                 if not len(vidx):
                     continue
                 msq = sq_norms(mat)
+                eps = screen_margin(dim)
                 step = _block_rows(len(vidx))
                 for lo in range(0, len(entries), step):
-                    D = cosine_to_points(mat, pts[lo:lo + step], msq, psq[lo:lo + step])
-                    r, c = np.nonzero(D <= radius)
+                    chunk = pts[lo:lo + step]
+                    D = cosine_to_points(mat, chunk, msq, psq[lo:lo + step])
+                    r, c = np.nonzero(D <= radius + eps)         # screen, then exact
+                    if len(r) == 0:
+                        continue
+                    exact = exact_cosine(mat[r], chunk[c])
+                    hit = exact <= radius
+                    r, c, exact = r[hit], c[hit], exact[hit]
                     if len(r) == 0:
                         continue
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(bank.query_ids[entries[lo + c]], type=pa.int64()),
                          pa.array(ids[vidx[r]], type=pa.int64()),
-                         pa.array(D[r, c], type=pa.float64())],
+                         pa.array(exact, type=pa.float64())],
                         names=["query_id", id_col, dist_col])
 
     return run
@@ -255,12 +305,19 @@ def set_min_scorer(bank_bc, spec: VectorSpec, id_col: str, dist_col: str = "min_
                     continue
                 seen[vidx] = True
                 msq = sq_norms(mat)
+                eps = screen_margin(dim)
                 step = _block_rows(len(vidx))
                 cur = np.ones(len(vidx))
                 for lo in range(0, len(entries), step):
-                    D = cosine_to_points(mat, pts[lo:lo + step], msq, psq[lo:lo + step])
-                    # fmin skips NaN: a NaN pair never lowers the minimum
-                    np.fmin(cur, np.fmin.reduce(D, axis=1), out=cur)
+                    chunk = pts[lo:lo + step]
+                    D = cosine_to_points(mat, chunk, msq, psq[lo:lo + step])
+                    # screen: pairs within eps of the row's screened minimum
+                    # (fmin skips NaN: a NaN pair never lowers the minimum)
+                    low = np.fmin.reduce(D, axis=1)
+                    r, c = np.nonzero(D <= (np.fmin(low, cur) + eps)[:, None])
+                    if len(r):
+                        exact = exact_cosine(mat[r], chunk[c])
+                        np.fmin.at(cur, r, exact)
                 best[vidx] = np.minimum(best[vidx], cur)
             if not bank.groups:
                 # empty set: the running minimum never moves from 1 (valid rows only)
@@ -292,7 +349,7 @@ def point_scorer(point, spec: VectorSpec):
                 mat = mat[:0]
         out = np.zeros(n)
         if valid.any():
-            out[valid] = cosine_to_points(mat, p[None, :])[:, 0]
+            out[valid] = exact_cosine(mat, p)
         return pa.array(out, type=pa.float64(), mask=~valid)
 
     return score
@@ -338,11 +395,13 @@ def query_side_scorer(vec_bank_bc, k: int, qid_col: str, point_col: str, id_col:
                     state = TopKState(len(qrows), k)
                     qsq = sq_norms(qmat)
                     step = _block_rows(len(qrows))
+                    eps = screen_margin(int(qdim))
                     for lo in range(0, len(entries), step):
                         # rows = vectors, columns = queries
-                        D = cosine_to_points(pts[lo:lo + step], qmat, psq[lo:lo + step], qsq)
-                        q, cls, dist, cid = topk_columns(D, ids[entries[lo:lo + step]], k)
-                        state.add([q], cls, dist, cid)
+                        vchunk = pts[lo:lo + step]
+                        D = cosine_to_points(vchunk, qmat, psq[lo:lo + step], qsq)
+                        _add(state, D, np.arange(len(qrows)), ids[entries[lo:lo + step]], k, eps,
+                             lambda r, c, vchunk=vchunk: exact_cosine(vchunk[r], qmat[c]))
                     nid = null_ids(int(qdim))
                 else:
                     state = TopKState(len(qrows), k)

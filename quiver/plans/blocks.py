@@ -28,8 +28,9 @@ ROWS_PER_BLOCK = 200_000
 
 
 def block_counts(n_rows: int, q_rows: int, q_elements: int, v_elements: int | None = None,
-                 vector_bytes: int = VECTOR_BYTES_PER_BLOCK,
-                 query_bytes: int = QUERY_BYTES_PER_BLOCK):
+                 vector_bytes: int | None = None, query_bytes: int | None = None):
+    vector_bytes = vector_bytes or VECTOR_BYTES_PER_BLOCK
+    query_bytes = query_bytes or QUERY_BYTES_PER_BLOCK
     if v_elements is not None:
         nvb = max(1, math.ceil((8 * v_elements + 32 * n_rows) / vector_bytes))
     else:

@@ -121,7 +121,8 @@ def test_running_top_k_with_threshold_filter(seed, q, k, levels, nan_frac):
         D[rng.random((n, q)) < nan_frac] = np.nan
         ids = np.arange(next_id, next_id + n, dtype=np.int64)[rng.permutation(n)]
         next_id += n
-        _add(state, np.asfortranarray(D), np.arange(q), ids, k, None)
+        Df = np.asfortranarray(D)
+        _add(state, Df, np.arange(q), ids, k, 0.0, lambda r, c, Df=Df: Df[r, c])
         allD.append(D)
         allids.append(ids)
     assert state.thresholds() is not None
@@ -133,3 +134,35 @@ def test_running_top_k_with_threshold_filter(seed, q, k, levels, nan_frac):
         got = sorted(((int(i), int(cc), float(d)) for kk, cc, d, i in zip(keys[0], cls, dist, rid)
                       if kk == c), key=lambda t: (t[1], t[2], t[0]))
         assert got == want[c]
+
+
+def test_screen_then_exact_is_bitwise_scalar_and_position_free():
+    from quiver.functions.arrays import cosine_to_points, exact_cosine, screen_margin
+
+    rng = np.random.default_rng(5)
+    d = 64
+    v = rng.normal(size=d)
+    P = rng.normal(size=(7, d))
+    seen = set()
+    for off in range(4):
+        for n in (1, 3, 17, 200):
+            buf = rng.normal(size=n * d + off)
+            M = buf[off:off + n * d].reshape(n, d)          # misaligned rows
+            M[0] = v
+            M[-1] = v
+            E = np.stack([exact_cosine(M, P[j]) for j in range(7)], axis=1)
+            seen.add(tuple(E[0]))
+            seen.add(tuple(E[-1]))
+            B = cosine_to_points(M, P)
+            assert np.abs(B - E).max() <= screen_margin(d)
+    assert len(seen) == 1                                    # same bits everywhere
+
+    def scalar(a, b):
+        dot = na = nb = 0.0
+        for x, y in zip(a.tolist(), b.tolist()):
+            dot += x * y
+            na += x * x
+            nb += y * y
+        return 1.0 if na == 0 or nb == 0 else 1.0 - dot / (na ** 0.5 * nb ** 0.5)
+
+    assert list(seen)[0] == tuple(scalar(v, P[j]) for j in range(7))

@@ -305,3 +305,34 @@ def test_sql_fractal_refine_matches_jobs(spark):
 def test_bad_k_is_rejected(spark, edge_df, k):
     with pytest.raises(ValueError, match="k must be"):
         search(edge_df, [0.6, 0.8], k)
+
+
+def test_block_path_with_several_blocks_each_side(spark, monkeypatch):
+    import quiver.plans.blocks as blocks
+
+    monkeypatch.setattr(blocks, "VECTOR_BYTES_PER_BLOCK", 40_000)    # ~60 rows of 64-D per block
+    monkeypatch.setattr(blocks, "QUERY_BYTES_PER_BLOCK", 2_000)      # ~4 queries per block
+    emb = _emb(spark)
+    qs = emb.filter(F.col("vec_id") < 20).select(F.col("vec_id").alias("query_id"),
+                                                 F.col("embedding").alias("query"))
+    assert blocks.block_counts(500, 20, 20 * 64, 500 * 64)[0] > 1
+    many = search_many(emb, qs, 4, id_col="vec_id", exact=True, broadcast_bytes=1,
+                       vector_broadcast_bytes=1).orderBy("query_id", "rank").collect()
+    ref = search_many(emb, qs, 4, id_col="vec_id", exact=True).orderBy("query_id", "rank").collect()
+    assert many == ref and len(many) == 80
+    members = emb.filter("label = 4")
+    a = {r["vec_id"]: r["min_dist"] for r in min_distance_to_set(emb, members, id_col="vec_id").collect()}
+    b = {r["vec_id"]: r["min_dist"] for r in
+         min_distance_to_set(emb, members, id_col="vec_id", broadcast_bytes=1).collect()}
+    assert a.keys() == b.keys() and all(abs(a[i] - b[i]) < 1e-12 for i in a)
+
+
+def test_arrow_and_catalyst_distances_are_bit_identical(spark):
+    emb = _emb(spark)
+    q = [float(x) for x in np.round(np.sin(np.arange(64) * 0.37), 6)]
+    arrow = {r["vec_id"]: r["dist"] for r in fractal_distance(emb, q, exact=True).collect()}
+    native = {r["vec_id"]: r["d"] for r in emb.select(
+        "vec_id", cosine_distance("embedding", F.array(*[F.lit(x) for x in q])).alias("d")).collect()}
+    assert arrow == native
+    top = {r["vec_id"]: r["dist"] for r in exact_search(emb, q, 25, id_col="vec_id").collect()}
+    assert all(native[i] == d for i, d in top.items())
