@@ -87,3 +87,24 @@ def test_entry_runs_from_another_working_directory(tmp_dir):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, capture_output=True, text=True,
                          timeout=300)
     assert "ROWS 10" in out.stdout, out.stderr[-2000:]
+
+
+def test_stream_restart_from_checkpoint_is_exactly_once(spark, tmp_dir):
+    """A restarted stream picks up only new files; the sink holds every row once."""
+    emb = spark.read.parquet(f"{SF001}/embeddings.parquet")
+    src = os.path.join(tmp_dir, "src")
+    out = os.path.join(tmp_dir, "out")
+    ck = os.path.join(tmp_dir, "ck")
+    tk, tkck = os.path.join(tmp_dir, "tk"), os.path.join(tmp_dir, "tkck")
+    emb.filter("vec_id < 200").write.parquet(os.path.join(src, "a"))
+    stream = lambda: vector_stream(spark, os.path.join(src, "*"), schema=emb.schema)
+    run_stream_score(spark, stream(), entry.main_query(), "vec_id", out_path=out, checkpoint=ck)
+    run_stream_top_k(spark, stream(), entry.main_query(), 10, "vec_id", table_path=tk, checkpoint=tkck)
+    assert spark.read.parquet(out).count() == 200
+    emb.filter("vec_id >= 200").write.parquet(os.path.join(src, "b"))
+    run_stream_score(spark, stream(), entry.main_query(), "vec_id", out_path=out, checkpoint=ck)
+    run_stream_top_k(spark, stream(), entry.main_query(), 10, "vec_id", table_path=tk, checkpoint=tkck)
+    got = spark.read.parquet(out)
+    assert got.count() == emb.count() and got.select("vec_id").distinct().count() == emb.count()
+    want = [r["vec_id"] for r in search(emb, entry.main_query(), 10, id_col="vec_id").collect()]
+    assert [r["vec_id"] for r in current_top_k(spark, tk, 10, "vec_id").collect()] == want
