@@ -213,19 +213,6 @@ def screen_margin(dim: int) -> float:
     return (4 * dim + 16) * 2.0 ** -52
 
 
-def list_array(rows: np.ndarray | None, mask: np.ndarray | None = None,
-               n: int | None = None) -> pa.Array:
-    """Build a list<double> array from a 2-D matrix; ``mask`` marks NULL rows."""
-    rows = np.asarray(rows, dtype=np.float64)
-    n = rows.shape[0] if n is None else n
-    d = rows.shape[1] if rows.ndim == 2 else 0
-    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * d, type=pa.int32())
-    values = pa.array(rows.reshape(-1), type=pa.float64())
-    if mask is not None and mask.any():
-        return pa.ListArray.from_arrays(offsets, values, mask=pa.array(mask, type=pa.bool_()))
-    return pa.ListArray.from_arrays(offsets, values)
-
-
 def ragged_list_array(vectors: list) -> pa.Array:
     """list<double> array from a list of 1-D arrays (or None for NULL rows)."""
     return pa.array([None if v is None else np.asarray(v, dtype=np.float64) for v in vectors],

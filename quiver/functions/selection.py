@@ -48,40 +48,6 @@ def keep_first_k(keys: list[np.ndarray], cls, dist, ids, k: int) -> np.ndarray:
     return order[rank < k]
 
 
-def topk_columns(D: np.ndarray, ids: np.ndarray, k: int):
-    """Per-column top-k of a distance matrix ``D`` (n rows, Q queries).
-
-    Returns candidate arrays ``(qidx, cls, dist, ids)`` with at most ``k``
-    rows per column.  Uses ``argpartition`` and falls back to an exact sort
-    only for columns with ties at the k-th value or with NaN among the k.
-    """
-    n, Q = D.shape
-    if n == 0 or Q == 0:
-        e = np.empty(0, dtype=np.int64)
-        return e, e.astype(np.int8), e.astype(np.float64), e
-    if n <= k:
-        rows = np.broadcast_to(np.arange(n)[:, None], (n, Q))
-    else:
-        rows = np.argpartition(D, k - 1, axis=0)[:k]
-        sel = np.take_along_axis(D, rows, axis=0)
-        kth = sel.max(axis=0)
-        redo = np.isnan(kth)
-        fine = np.flatnonzero(~redo)
-        if fine.size:
-            count_le = (D[:, fine] <= kth[fine][None, :]).sum(axis=0)
-            redo[fine[count_le > k]] = True
-        if redo.any():
-            rows = rows.copy()
-            for c in np.flatnonzero(redo):
-                col = D[:, c]
-                cls, filled = classify(col)
-                rows[:, c] = np.lexsort((ids, filled, cls))[:k]
-    qidx = np.broadcast_to(np.arange(Q)[None, :], rows.shape)
-    d = D[rows, qidx].ravel()
-    cls, filled = classify(d)
-    return qidx.ravel().astype(np.int64), cls, filled, ids[rows].ravel()
-
-
 class TopKState:
     """Running top-k per key over many batches of one task.
 

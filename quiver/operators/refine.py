@@ -8,8 +8,6 @@ recomputing a lost partition reproduces the same points.
 
 from __future__ import annotations
 
-import json
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -177,7 +175,3 @@ def refine_local(query, options: RefineOptions | None = None):
     q = np.asarray(query, dtype=np.float64)[None, :]
     bp, bf = refine(q, opts)
     return bp[0], float(bf[0])
-
-
-def report_text(best_point, best_fit) -> str:
-    return json.dumps({"best_point": list(map(float, best_point)), "best_fit": float(best_fit)})

@@ -83,9 +83,3 @@ def smoke_rows(n: int = 32):
 
 # Fixed value: the four lineitem measures used as a feature vector.
 LINEITEM_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-
-
-def lineitem_vectors(df: DataFrame) -> DataFrame:
-    """``lineitem`` as vectors: id = (orderkey, linenumber) packed in a bigint."""
-    return df.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
-                     *LINEITEM_FEATURES)

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 from quiver.functions.arrays import (columns_to_matrix, cosine_to_points, list_dims,
                                      list_to_matrix)
-from quiver.functions.selection import TopKState, classify, keep_first_k, topk_columns
+from quiver.functions.selection import TopKState, classify, keep_first_k
 
 
 def test_list_to_matrix_validity_rules():
@@ -57,23 +57,6 @@ def _brute(D, ids, k):
     return out
 
 
-@settings(max_examples=60, deadline=None)
-@given(n=st.integers(1, 40), q=st.integers(1, 5), k=st.integers(1, 8),
-       levels=st.integers(1, 6), seed=st.integers(0, 10_000), nan_frac=st.floats(0, 0.5))
-def test_topk_columns_matches_full_sort(n, q, k, levels, seed, nan_frac):
-    rng = np.random.default_rng(seed)
-    D = rng.integers(0, levels, size=(n, q)).astype(float) / levels   # many ties
-    D[rng.random((n, q)) < nan_frac] = np.nan
-    ids = rng.permutation(n * 3)[:n].astype(np.int64)
-    qi, cls, dist, cid = topk_columns(D, ids, k)
-    got = [[] for _ in range(q)]
-    for a, c, d, i in zip(qi, cls, dist, cid):
-        got[a].append((int(i), int(c), float(d)))
-    for c in range(q):
-        got[c].sort(key=lambda t: (t[1], t[2], t[0]))
-    assert got == _brute(D, ids, k)
-
-
 def test_keep_first_k_per_group_and_state_merge():
     rng = np.random.default_rng(3)
     n, k = 500, 4

@@ -336,3 +336,15 @@ def test_arrow_and_catalyst_distances_are_bit_identical(spark):
     assert arrow == native
     top = {r["vec_id"]: r["dist"] for r in exact_search(emb, q, 25, id_col="vec_id").collect()}
     assert all(native[i] == d for i, d in top.items())
+
+
+def test_with_payload_and_read_table(spark):
+    from quiver import with_payload
+    from quiver.sources.io import read_table
+
+    emb = _emb(spark)
+    emb.createOrReplaceTempView("emb_payload")
+    top = search(read_table(spark, "emb_payload"), Q, 5, id_col="vec_id")
+    wide = with_payload(top, emb, "vec_id", ["label"]).collect()
+    labels = {r["vec_id"]: r["label"] for r in emb.collect()}
+    assert len(wide) == 5 and all(r["label"] == labels[r["vec_id"]] for r in wide)
