@@ -35,8 +35,8 @@ from quiver.operators.refine import refine_local
 from quiver.operators.search import probe_points
 from quiver.operators.setdist import min_distance_to_set, refine_against_sets
 from quiver.sources.io import LINEITEM_FEATURES
-from quiver.streaming.score import (current_top_k, run_stream_score, run_stream_top_k,
-                                    vector_stream)
+from quiver.streaming.score import (current_top_k, run_stream_radius, run_stream_score,
+                                    run_stream_top_k, vector_stream)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -267,6 +267,22 @@ def q_stream_top_k(spark, sf):
     return current_top_k(spark, path, K, "vec_id").select("vec_id", _r("dist"))
 
 
+def q_stream_multi_top_k(spark, sf):
+    """S7 against fixed queries: running top-10 per query of the 8-query family."""
+    stream = vector_stream(spark, f"{sf}/embeddings.parquet")
+    _, path = run_stream_top_k(spark, stream, _family_frame(spark), K, "vec_id", "embedding")
+    return current_top_k(spark, path, K, "vec_id", per_query=True) \
+        .select("query_id", "rank", "vec_id", _r("dist"))
+
+
+def q_stream_radius(spark, sf):
+    """S7 stateless matching: stream rows within 0.85 of the refined main query."""
+    stream = vector_stream(spark, f"{sf}/embeddings.parquet")
+    q = spark.createDataFrame([(0, main_query())], "query_id long, query array<double>")
+    _, path = run_stream_radius(spark, stream, q, RADIUS, "vec_id", "embedding")
+    return spark.read.parquet(path).select("vec_id", _r("dist"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: top-10 embeddings nearest to the refined main query, sf0.001."""
     return q_top_k(spark, SMOKE_DIR)
@@ -299,6 +315,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "result_check": q_result_check,
         "stream_score": q_stream_score,
         "stream_top_k": q_stream_top_k,
+        "stream_multi_top_k": q_stream_multi_top_k,
+        "stream_radius": q_stream_radius,
     }
 
 
@@ -360,7 +378,7 @@ def oracle_sql() -> dict[str, str]:
              f"SELECT label, rank, vec_id, {_rnd('dist')} AS dist FROM r WHERE rank <= {GROUP_K}")
     scalar = (f"WITH q AS (SELECT {p_main} AS p) SELECT vec_id, {_rnd(d_main)} AS dist "
               f"FROM embeddings, q")
-    return {
+    out = {
         "fractal_search_scalar": scalar,
         "top_k": top_k,
         "sql_top_k": top_k,
@@ -418,3 +436,6 @@ def oracle_sql() -> dict[str, str]:
         "stream_score": scalar,
         "stream_top_k": top_k,
     }
+    out["stream_multi_top_k"] = out["multi_query_top_k"]
+    out["stream_radius"] = out["radius_search"]
+    return out

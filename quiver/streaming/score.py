@@ -2,8 +2,10 @@
 
 Scoring is stateless (each row against constant refined points), so the
 stream needs no watermark: ``readStream -> withColumn(arrow UDF) ->
-writeStream`` in append mode.  The running top-k keeps k rows of state in
-a table, one version per micro-batch (see :func:`run_stream_top_k`).
+writeStream`` in append mode; against several fixed queries, only matches
+(within a radius) or a running top-k per query are emitted.  The running
+top-k keeps k rows per query of state in a table, one version per
+micro-batch (see :func:`run_stream_top_k`).
 """
 
 from __future__ import annotations
@@ -13,13 +15,14 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.scoring import VectorSpec, topk_scorer
-from ..operators.search import _cand_schema, refined_point
-from ..plans.bank import QueryBank, broadcast_bank
-from ..plans.session import attach, scratch_path
-from ..plans.topk import global_top_k
-from ..operators.search import fractal_distance
+from ..operators.refine import refine_with_ids
+from ..operators.scoring import VectorSpec, radius_scorer, topk_scorer
+from ..operators.search import _cand_schema, fractal_distance, refined_point
 from ..operators.sfs import RefineOptions
+from ..plans.bank import (QueryBank, broadcast_bank, collect_bank, fits_broadcast,
+                          vector_table_size)
+from ..plans.session import DEFAULT_BROADCAST_BYTES, attach, scratch_path
+from ..plans.topk import global_top_k, top_k_per_key
 
 
 def vector_stream(spark: SparkSession, path: str, schema=None, max_files: int | None = None) -> DataFrame:
@@ -79,36 +82,55 @@ def _latest_version(spark: SparkSession, table_path: str, below: int | None = No
     return versions.agg(F.max("batch_id")).collect()[0][0]
 
 
-def run_stream_top_k(spark: SparkSession, stream: DataFrame, query, k: int, id_col: str,
+def _bank_for(spark: SparkSession, queries, options: RefineOptions | None,
+              broadcast_bytes: int, query_id_col: str = "query_id", query_col: str = "query"):
+    """Refined, size-checked query bank: one literal vector or a queries table."""
+    if isinstance(queries, DataFrame):
+        rows, elems = vector_table_size(queries, query_col)
+        if not fits_broadcast(rows, elems, broadcast_bytes):
+            raise ValueError("the streaming query set exceeds the broadcast budget; "
+                             "split it into several streams")
+        qsel = queries.select(F.col(query_id_col).alias("query_id"),
+                              F.col(query_col).cast("array<double>").alias("query"))
+        points = refine_with_ids(qsel, "query_id", "query", options, bounded=True)
+        return broadcast_bank(spark, collect_bank(points, "query_id", "best_point",
+                                                  broadcast_bytes)), True
+    return broadcast_bank(spark, QueryBank.single(refined_point(spark, queries, options))), False
+
+
+def run_stream_top_k(spark: SparkSession, stream: DataFrame, queries, k: int, id_col: str,
                      vec="embedding", table_path: str | None = None,
                      checkpoint: str | None = None, options: RefineOptions | None = None,
-                     available_now: bool = True):
-    """Running top-k of a stream, kept as versioned k-row state.
-
-    Micro-batch ``b`` merges the state of the latest earlier batch with its
-    own per-task candidates and writes the result as version ``b``
-    (dynamic partition overwrite).  A replayed batch reads the same earlier
-    version and rewrites the same rows, so the state is idempotent; the
-    answer is always one k-row version, however long the stream runs.
+                     available_now: bool = True,
+                     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES):
+    """Running top-k of a stream, kept as versioned k-rows-per-query state.
+
+    ``queries`` is one literal vector or a ``(query_id, query)`` table
+    (refined once, size-checked, broadcast).  Micro-batch ``b`` merges the
+    state of the latest earlier batch with its own per-task candidates and
+    writes the result as version ``b`` (dynamic partition overwrite).  A
+    replayed batch reads the same earlier version and rewrites the same
+    rows, so the state is idempotent; the answer is always one version of
+    at most ``k`` rows per query, however long the stream runs.
     Returns ``(query handle, state path)``; read it with :func:`current_top_k`.
     """
     attach(spark)
     table_path = table_path or scratch_path(spark, "stream-topk")
     checkpoint = checkpoint or scratch_path(spark, "stream-topk-ckpt")
     spec = VectorSpec(vec)
-    bank_bc = broadcast_bank(spark, QueryBank.single(refined_point(spark, query, options)))
+    bank_bc, many = _bank_for(spark, queries, options, broadcast_bytes)
     scorer = topk_scorer(bank_bc, spec, id_col, k)
     schema = _cand_schema(id_col, "dist")
 
     def merge(batch_df: DataFrame, batch_id: int):
         cands = batch_df.select(id_col, *spec.columns).mapInArrow(scorer, schema) \
-            .select(id_col, "dist")
+            .select("query_id", id_col, "dist")
         prev = _latest_version(batch_df.sparkSession, table_path, below=batch_id)
         if prev is not None:
             state = (batch_df.sparkSession.read.parquet(table_path)
-                     .filter(F.col("batch_id") == prev).select(id_col, "dist"))
+                     .filter(F.col("batch_id") == prev).select("query_id", id_col, "dist"))
             cands = cands.unionByName(state)
-        top = global_top_k(cands, id_col, "dist", k)
+        top = top_k_per_key(cands, ["query_id"], id_col, "dist", k).drop("rank")
         (top.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
          .parquet(table_path))
@@ -121,8 +143,40 @@ def run_stream_top_k(spark: SparkSession, stream: DataFrame, query, k: int, id_c
     return handle, table_path
 
 
-def current_top_k(spark: SparkSession, table_path: str, k: int, id_col: str) -> DataFrame:
-    """The latest state version (k rows), ordered."""
+def current_top_k(spark: SparkSession, table_path: str, k: int, id_col: str,
+                  per_query: bool = False) -> DataFrame:
+    """The latest state version, ordered: ``(id, dist)`` for one query, or
+    ``(query_id, rank, id, dist)`` with ``per_query=True``."""
     latest = _latest_version(spark, table_path)
     state = spark.read.parquet(table_path).filter(F.col("batch_id") == latest)
+    if per_query:
+        return top_k_per_key(state.select("query_id", id_col, "dist"), ["query_id"], id_col,
+                             "dist", k).select("query_id", "rank", id_col, "dist")
     return global_top_k(state.select(id_col, "dist"), id_col, "dist", k)
+
+
+def run_stream_radius(spark: SparkSession, stream: DataFrame, queries, radius: float,
+                      id_col: str, vec="embedding", out_path: str | None = None,
+                      checkpoint: str | None = None, options: RefineOptions | None = None,
+                      available_now: bool = True,
+                      broadcast_bytes: int = DEFAULT_BROADCAST_BYTES):
+    """Stateless stream matching: every (query, row) with ``dist <= radius``.
+
+    Appends ``(query_id, id, dist)`` matches to a Parquet sink (exactly once
+    through the sink's log); only matches are emitted, never all pairs.
+    """
+    attach(spark)
+    out_path = out_path or scratch_path(spark, "stream-radius")
+    checkpoint = checkpoint or scratch_path(spark, "stream-radius-ckpt")
+    spec = VectorSpec(vec)
+    bank_bc, _ = _bank_for(spark, queries, options, broadcast_bytes)
+    matches = stream.select(id_col, *spec.columns).mapInArrow(
+        radius_scorer(bank_bc, spec, id_col, float(radius), "dist"),
+        _cand_schema(id_col, "dist"))
+    w = (matches.writeStream.format("parquet").option("path", out_path)
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    handle = w.start()
+    if available_now:
+        handle.awaitTermination()
+    return handle, out_path
