@@ -33,9 +33,10 @@ from .arrays import exact_cosine, list_dims, list_to_matrix
 from ..plans.session import attach
 from .vectors import cosine_distance_sql
 
-# refined points kept per Python worker process
-MEMO_SIZE = 4096
+# refined points kept per Python worker process (least recently used out)
+MEMO_BYTES = 16 * 1024 * 1024
 _MEMO: OrderedDict = OrderedDict()
+_MEMO_USED = [0]
 
 
 def _memo_get(key):
@@ -46,10 +47,14 @@ def _memo_get(key):
 
 
 def _memo_put(key, value):
+    old = _MEMO.pop(key, None)
+    if old is not None:
+        _MEMO_USED[0] -= old.nbytes + len(key[0])
     _MEMO[key] = value
-    _MEMO.move_to_end(key)
-    while len(_MEMO) > MEMO_SIZE:
-        _MEMO.popitem(last=False)
+    _MEMO_USED[0] += value.nbytes + len(key[0])
+    while _MEMO_USED[0] > MEMO_BYTES and len(_MEMO) > 1:
+        k, v = _MEMO.popitem(last=False)
+        _MEMO_USED[0] -= v.nbytes + len(k[0])
 
 
 def refined_points(queries: np.ndarray, opts: RefineOptions) -> np.ndarray:
