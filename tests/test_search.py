@@ -348,3 +348,37 @@ def test_with_payload_and_read_table(spark):
     wide = with_payload(top, emb, "vec_id", ["label"]).collect()
     labels = {r["vec_id"]: r["label"] for r in emb.collect()}
     assert len(wide) == 5 and all(r["label"] == labels[r["vec_id"]] for r in wide)
+
+
+def _brute_top(ids, E, q, k):
+    p, _ = refine_local(q)
+    d = np.array([_cos(e, p) for e in E]) if len(E) < 5000 else \
+        1.0 - (E @ p) / (np.linalg.norm(E, axis=1) * np.linalg.norm(p))
+    order = np.lexsort((ids, d))[:k]
+    return ids[order].tolist(), d[order]
+
+
+def test_reference_samples_f3_f4(spark):
+    register(spark)
+    # the load script's basic call, a vector scored against itself
+    f3 = spark.sql("SELECT fractal_search(array(0.6D, 0.8D, 0.0D), array(0.6D, 0.8D, 0.0D)) AS d").collect()
+    assert abs(f3[0]["d"]) <= 0.01
+    # 999 rows of three uniform randoms (ids 1..999), query [0.5, 0.5, 0.5], top-10
+    df = random_vectors(spark, 999, 3, seed=4, start=1, partitions=3)
+    rows = df.collect()
+    ids = np.array([r["id"] for r in rows])
+    E = np.array([r["embedding"] for r in rows])
+    want, _ = _brute_top(ids, E, [0.5, 0.5, 0.5], 10)
+    assert [r["id"] for r in search(df, [0.5, 0.5, 0.5], 10).collect()] == want
+
+
+def test_reference_sample_f5_million_rows(spark):
+    # 1,000,000 rows of three uniform randoms (ids 0..999,999), top-10
+    df = random_vectors(spark, 1_000_000, 3, seed=5, partitions=8)
+    top = search(df, [0.5, 0.5, 0.5], 10).collect()
+    arr = df.toArrow()
+    ids = arr.column("id").to_numpy()
+    E = np.asarray(arr.column("embedding").combine_chunks().flatten().to_numpy()).reshape(-1, 3)
+    want, d = _brute_top(ids, E, [0.5, 0.5, 0.5], 10)
+    assert [r["id"] for r in top] == want
+    assert np.allclose([r["dist"] for r in top], d, atol=1e-12)
