@@ -40,8 +40,15 @@ def block_counts(n_rows: int, q_rows: int, q_elements: int, v_elements: int | No
 
 
 def _replicate(df: DataFrame, own_col: str, own_key, own_n: int, other_col: str, other_n: int):
-    return (df.withColumn(own_col, F.pmod(F.xxhash64(own_key), F.lit(own_n)))
-            .withColumn(other_col, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)))))
+    """Tag rows with their own block and replicate them over the other side's blocks.
+
+    Both block keys are INT on both sides: the cogroup hash-partitions each
+    side on its own key columns, and an INT and a BIGINT of equal value hash
+    differently, which would send matching blocks to different tasks.
+    """
+    return (df.withColumn(own_col, F.pmod(F.xxhash64(own_key), F.lit(own_n)).cast("int"))
+            .withColumn(other_col, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1))
+                                             .cast("array<int>"))))
 
 
 def block_top_k(vectors: DataFrame, points: DataFrame, spec, id_col: str, qid_col: str,

@@ -16,8 +16,11 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from quiver.plans.session import build_session
 
+    # no partition coalescing: tiny test data would otherwise collapse every
+    # shuffle into one task and hide partitioning mistakes
     s = build_session("local[4]", app="quiver-tests", shuffle_partitions=8,
-                      extra={"spark.driver.memory": "4g"})
+                      extra={"spark.driver.memory": "4g",
+                             "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     sc = s.sparkContext
     if not sc.getCheckpointDir() and not s.conf.get("spark.checkpoint.dir", None):
         # tests run locally: a temporary folder is the shared folder here

@@ -312,6 +312,18 @@ def test_block_path_with_several_blocks_each_side(spark, monkeypatch):
 
     monkeypatch.setattr(blocks, "VECTOR_BYTES_PER_BLOCK", 40_000)    # ~60 rows of 64-D per block
     monkeypatch.setattr(blocks, "QUERY_BYTES_PER_BLOCK", 2_000)      # ~4 queries per block
+    # keep every shuffle partition: coalescing into one task would hide a
+    # block key that hashes differently on the two sides of the cogroup
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        _check_several_blocks(spark, blocks)
+    finally:
+        spark.conf.set(key, before)
+
+
+def _check_several_blocks(spark, blocks):
     emb = _emb(spark)
     qs = emb.filter(F.col("vec_id") < 20).select(F.col("vec_id").alias("query_id"),
                                                  F.col("embedding").alias("query"))
