@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from ..functions.arrays import (columns_to_matrix, cosine_to_points, exact_cosine, list_dims,
-                               list_to_matrix, screen_margin, sq_norms)
+                               list_to_matrix, screen_margin, sq_norms, unit_rows)
 from ..functions.selection import NULL, TopKState, classify, keep_first_k
 
 # cap on elements of one distance block (rows x queries) held at once
@@ -133,10 +133,11 @@ def topk_scorer(bank_bc, spec: VectorSpec, id_col: str, k: int,
                         _add_grouped(state, mat, pts, targets, vid, k, gcodes[vidx])
                     elif owners is None:
                         msq = sq_norms(mat)
+                        units = bank.unit(gi)
                         step = _block_rows(len(vidx))
                         for lo in range(0, len(entries), step):
                             chunk = pts[lo:lo + step]
-                            D = cosine_to_points(mat, chunk, msq, psq[lo:lo + step])
+                            D = cosine_to_points(mat, chunk, msq, psq[lo:lo + step], units[lo:lo + step])
                             _add(state, D, targets[lo:lo + step], vid, k, eps,
                                  lambda r, c, chunk=chunk: exact_cosine(mat[r], chunk[c]))
                     else:
@@ -176,15 +177,18 @@ def _screen(D: np.ndarray, k: int, eps: float, thr=None):
 
     The cut per column is the running exact k-th distance when the task
     already holds k numbers for it, else the screened k-th value of this
-    block; anything within ``eps`` of the cut stays.  A column whose k-th
-    value is NaN (fewer than k numbers) keeps every row.
+    block (a values-only partition); every row within ``eps`` of the cut
+    stays.  A column whose k-th value is NaN (fewer than k numbers) keeps
+    every row.
     """
     n, Q = D.shape
     if n <= k:
         return np.nonzero(np.ones((n, Q), dtype=bool))
     cut = np.full(Q, np.nan) if thr is None else np.array(thr, dtype=np.float64)
     need = np.isnan(cut)
-    if need.any():
+    if need.all():
+        cut = np.partition(D, k - 1, axis=0)[k - 1]
+    elif need.any():
         cols = np.flatnonzero(need)
         cut[cols] = np.partition(D[:, cols], k - 1, axis=0)[k - 1]
     bound = cut + eps
@@ -252,17 +256,18 @@ def radius_scorer(bank_bc, spec: VectorSpec, id_col: str, radius: float,
             if batch.num_rows == 0:
                 continue
             ids = _ids(batch, id_col)
-            for dim, entries, pts, psq in bank.groups:
+            for gi, (dim, entries, pts, psq) in enumerate(bank.groups):
                 mat, valid = spec.matrix(batch, dim)
                 vidx = np.flatnonzero(valid)
                 if not len(vidx):
                     continue
                 msq = sq_norms(mat)
                 eps = screen_margin(dim)
+                units = bank.unit(gi)
                 step = _block_rows(len(vidx))
                 for lo in range(0, len(entries), step):
                     chunk = pts[lo:lo + step]
-                    D = cosine_to_points(mat, chunk, msq, psq[lo:lo + step])
+                    D = cosine_to_points(mat, chunk, msq, psq[lo:lo + step], units[lo:lo + step])
                     r, c = np.nonzero(D <= radius + eps)         # screen, then exact
                     if len(r) == 0:
                         continue
@@ -298,7 +303,7 @@ def set_min_scorer(bank_bc, spec: VectorSpec, id_col: str, dist_col: str = "min_
                 continue
             best = np.ones(n)
             seen = np.zeros(n, dtype=bool)
-            for dim, entries, pts, psq in bank.groups:
+            for gi, (dim, entries, pts, psq) in enumerate(bank.groups):
                 mat, valid = spec.matrix(batch, dim)
                 vidx = np.flatnonzero(valid)
                 if not len(vidx):
@@ -306,11 +311,12 @@ def set_min_scorer(bank_bc, spec: VectorSpec, id_col: str, dist_col: str = "min_
                 seen[vidx] = True
                 msq = sq_norms(mat)
                 eps = screen_margin(dim)
+                units = bank.unit(gi)
                 step = _block_rows(len(vidx))
                 cur = np.ones(len(vidx))
                 for lo in range(0, len(entries), step):
                     chunk = pts[lo:lo + step]
-                    D = cosine_to_points(mat, chunk, msq, psq[lo:lo + step])
+                    D = cosine_to_points(mat, chunk, msq, psq[lo:lo + step], units[lo:lo + step])
                     # screen: pairs within eps of the row's screened minimum
                     # (fmin skips NaN: a NaN pair never lowers the minimum)
                     low = np.fmin.reduce(D, axis=1)
@@ -393,13 +399,13 @@ def query_side_scorer(vec_bank_bc, k: int, qid_col: str, point_col: str, id_col:
                     qmat, _ = list_to_matrix(qarr.take(pa.array(qrows)), int(qdim))
                     _, entries, pts, psq = group
                     state = TopKState(len(qrows), k)
-                    qsq = sq_norms(qmat)
+                    qunit = unit_rows(qmat)
                     step = _block_rows(len(qrows))
                     eps = screen_margin(int(qdim))
                     for lo in range(0, len(entries), step):
                         # rows = vectors, columns = queries
                         vchunk = pts[lo:lo + step]
-                        D = cosine_to_points(vchunk, qmat, psq[lo:lo + step], qsq)
+                        D = cosine_to_points(vchunk, qmat, psq[lo:lo + step], pts_unit=qunit)
                         _add(state, D, np.arange(len(qrows)), ids[entries[lo:lo + step]], k, eps,
                              lambda r, c, vchunk=vchunk: exact_cosine(vchunk[r], qmat[c]))
                     nid = null_ids(int(qdim))

@@ -35,6 +35,10 @@ from .scoring import (VectorSpec, point_scorer, query_side_scorer, radius_scorer
 from .sfs import RefineOptions, refine
 
 
+# queries per task when the vector table is the broadcast side
+QUERIES_PER_TASK = 20_000
+
+
 def _spark(df: DataFrame) -> SparkSession:
     attach(df.sparkSession)
     return df.sparkSession
@@ -262,7 +266,11 @@ def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedd
             # finish every query's top-k inside the task holding it
             vbank = collect_bank(vsel, "_vid", "_vec", vbudget)
             vbank_bc = broadcast_bank(spark, vbank)
-            out = points.select("query_id", "best_point").mapInArrow(
+            # the queries are the large side here: spread them over tasks
+            n_tasks = max(2 * default_parallelism(spark), -(-q_rows // QUERIES_PER_TASK))
+            spread = points.select("query_id", "best_point").repartition(
+                n_tasks, F.xxhash64("query_id"))
+            out = spread.mapInArrow(
                 query_side_scorer(vbank_bc, k, "query_id", "best_point", id_col, dist_col),
                 f"query_id long, rank int, `{id_col}` long, `{dist_col}` double")
             return out.select(F.col("query_id").alias(query_id_col), "rank", id_col, dist_col)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import list_dims, list_to_matrix, sq_norms
+from ..functions.arrays import list_dims, list_to_matrix, sq_norms, unit_rows
 
 
 @dataclass
@@ -26,6 +26,19 @@ class QueryBank:
     groups: list                          # [(dim, entry idx (Qd,), points (Qd, d), sq (Qd,))]
     null_idx: np.ndarray                  # entries whose point is NULL
 
+    def unit(self, gi: int) -> np.ndarray:
+        """Unit-length points of dimension group ``gi`` (cached per worker)."""
+        cache = self.__dict__.setdefault("_units", {})
+        if gi not in cache:
+            _, _, pts, psq = self.groups[gi]
+            cache[gi] = unit_rows(pts, psq)
+        return cache[gi]
+
+    def __getstate__(self):
+        state = dict(self.__dict__)
+        state.pop("_units", None)
+        return state
+
     @property
     def size(self) -> int:
         return len(self.query_ids)

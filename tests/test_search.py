@@ -166,7 +166,9 @@ def test_null_query_and_empty_query(spark, edge_df):
     z = fractal_distance(edge_df, [0.0, 0.0]).collect()                                  # N7
     assert all(r["dist"] is None or math.isfinite(r["dist"]) or r["id"] == 10 for r in z)
     zx = {r["id"]: r["dist"] for r in fractal_distance(edge_df, [0.0, 0.0], exact=True).collect()}
-    assert zx[7] == 1.0
+    assert zx[7] == 1.0 and zx[10] == 1.0          # the zero-norm rule comes before NaN
+    top = search(edge_df, [0.0, 0.0], 7, exact=True).collect()
+    assert [r["id"] for r in top] == [6, 7, 8, 9, 10, 11, 1] and top[-1]["dist"] is None
 
 
 def test_per_row_query_column(spark):
