@@ -279,7 +279,8 @@ def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedd
         # (reliable checkpoint: a lost executor does not redo the search)
         checkpoint_dir(spark)
         points = points.checkpoint(eager=True)
-        nvb, nqb = block_counts(v_rows, q_rows, q_elems, v_elems)
+        nvb, nqb = block_counts(v_rows, q_rows, q_elems, v_elems,
+                                min_tasks=2 * default_parallelism(spark))
         cands = block_top_k(vectors, points, spec, id_col, "query_id", "best_point", k,
                             nvb, nqb, dist_col)
         tasks = nvb

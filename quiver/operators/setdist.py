@@ -53,7 +53,8 @@ def min_distance_to_set(df: DataFrame, members: DataFrame, vec="embedding",
             set_min_scorer(bank_bc, spec, id_col, out, cols[1:]), schema)
     v_rows, v_elems = vector_table_size(
         df.select(_as_vector(spec).alias("_v")), "_v")
-    nvb, nsb = block_counts(v_rows, rows, elems, v_elems)
+    nvb, nsb = block_counts(v_rows, rows, elems, v_elems,
+                            min_tasks=2 * max(1, spark.sparkContext.defaultParallelism))
     mins = block_set_min(df, m, spec, id_col, "point", nvb, nsb, out)
     # rows whose every block was empty would be missing: bring all ids back
     return df.select(id_col).join(mins, id_col, "left")

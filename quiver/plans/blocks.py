@@ -28,7 +28,12 @@ ROWS_PER_BLOCK = 200_000
 
 
 def block_counts(n_rows: int, q_rows: int, q_elements: int, v_elements: int | None = None,
-                 vector_bytes: int | None = None, query_bytes: int | None = None):
+                 vector_bytes: int | None = None, query_bytes: int | None = None,
+                 min_tasks: int = 1):
+    """(row blocks, query blocks): each block within its byte budget, and at
+    least ``min_tasks`` block pairs so the whole cluster takes part (extra
+    splits go to the rows: only the query blocks, the smaller side per
+    pair, are replicated per row block)."""
     vector_bytes = vector_bytes or VECTOR_BYTES_PER_BLOCK
     query_bytes = query_bytes or QUERY_BYTES_PER_BLOCK
     if v_elements is not None:
@@ -36,6 +41,8 @@ def block_counts(n_rows: int, q_rows: int, q_elements: int, v_elements: int | No
     else:
         nvb = max(1, math.ceil(n_rows / ROWS_PER_BLOCK))
     nqb = max(1, math.ceil((8 * q_elements + 32 * q_rows) / query_bytes))
+    if nvb * nqb < min_tasks:
+        nvb = min(max(1, n_rows), math.ceil(min_tasks / nqb))
     return nvb, nqb
 
 
