@@ -55,11 +55,14 @@ def _dist(v, q):
 
 
 def _key(d, i):
+    # raw values: the engine reports the scalar formula's own bits (``_dist``
+    # is that formula), so parallel vectors that differ in the last bit are
+    # ordered by those bits, and only equal values fall back to the id
     if d is None:
         return (2, 0.0, i)
     if math.isnan(d):
         return (1, 0.0, i)
-    return (0, round(d, 9), i)
+    return (0, d, i)
 
 
 def _brute_topk(rows, q, k):
