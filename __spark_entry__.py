@@ -9,8 +9,9 @@ Refinement is a seeded stochastic search that SQL cannot run, so oracles of
 refined searches embed the refined point as a literal, computed in-process
 by the same kernel (same query bytes, same seed, same point).  They check
 scoring and selection; refinement itself is checked by the property tests.
-Refinement-only outputs (R1, R2, R3, R1b, S5, per-row queries) have no
-oracle and get the row-count check.
+Refinement-only outputs (R1, R2, R3, R1b, S5, per-row queries, and S1m
+with every embedding refined as a query) have no oracle and get the
+row-count check; their properties are tested in ``tests/``.
 
 Distances are rounded to 6 digits on both sides; ties break by id.
 """
