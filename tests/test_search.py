@@ -408,3 +408,18 @@ def test_reference_sample_f5_million_rows(spark):
     want, d = _brute_top(ids, E, [0.5, 0.5, 0.5], 10)
     assert [r["id"] for r in top] == want
     assert [r["dist"] for r in top] == d.tolist()                # bit for bit
+
+
+def test_group_top_k_string_groups_with_null(spark):
+    emb = _emb(spark).withColumn(
+        "grp", F.when(F.col("label") < 3, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("g"), (F.col("label") % 2).cast("string"))))
+    out = search_groups(emb, Q, "grp", 3, id_col="vec_id", exact=True).collect()
+    groups = {}
+    for r in sorted(out, key=lambda r: ((r["grp"] or ""), r["rank"])):
+        groups.setdefault(r["grp"], []).append(r["vec_id"])
+    assert set(groups) == {None, "g0", "g1"} and all(len(v) == 3 for v in groups.values())
+    ids, E, labels = _emb_np(spark)
+    d = np.array([_cos(e, Q) for e in E])
+    sel = np.flatnonzero(labels < 3)
+    assert groups[None] == ids[sel][np.lexsort((ids[sel], d[sel]))][:3].tolist()
