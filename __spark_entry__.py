@@ -361,7 +361,7 @@ def oracle_sql() -> dict[str, str]:
     p_main = _lit(_refined(tuple(main_query())))
     q_main = _lit(main_query())
     d_main = _dist(E, "q.p")
-    fam_vals = ", ".join(f"({i}, {_lit(_refined(tuple(q)))}, {_lit(q)})"
+    fam_vals = ", ".join(f"(CAST({i} AS BIGINT), {_lit(_refined(tuple(q)))}, {_lit(q)})"
                          for i, q in enumerate(query_family()))
     fam = f"fam(query_id, p, raw) AS (VALUES {fam_vals})"
     li_vec = "[" + ", ".join(f"({c}::DOUBLE / {LINEITEM_SCALE[c]!r})" for c in LINEITEM_FEATURES) + "]"
@@ -430,8 +430,8 @@ def oracle_sql() -> dict[str, str]:
             f"ELSE 0 END) AS BIGINT) AS hits, sum(CASE WHEN rr <= {K} AND re <= {K} THEN 1 ELSE 0 END) / "
             f"{float(K)} AS recall FROM r GROUP BY query_id"),
         "result_check": (
-            f"WITH t AS ({top_k}) SELECT count(*) AS n, count_if(dist IS NULL) AS n_null, "
-            f"count_if(dist IS NOT NULL AND NOT isfinite(dist)) AS n_nonfinite, "
+            f"WITH t AS ({top_k}) SELECT count(*) AS n, CAST(count_if(dist IS NULL) AS BIGINT) AS n_null, "
+            f"CAST(count_if(dist IS NOT NULL AND NOT isfinite(dist)) AS BIGINT) AS n_nonfinite, "
             f"(count(*) = {K} AND count_if(dist IS NULL) = 0 AND "
             f"count_if(dist IS NOT NULL AND NOT isfinite(dist)) = 0) AS ok FROM t"),
         "stream_score": scalar,

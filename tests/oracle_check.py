@@ -56,6 +56,14 @@ def main():
             print(f"{name:24s} COLUMN MISMATCH spark={cols} oracle={sorted(ocols)}")
             bad += 1
             continue
+        spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        mapping = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN",
+                   "string": "VARCHAR", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+        type_diff = {c: (spark_types[c], duck_types[c]) for c in cols
+                     if mapping.get(spark_types[c], spark_types[c]) != duck_types[c]}
+        if type_diff:
+            print(f"{name:24s} TYPE MISMATCH {type_diff}")
         data = rel.fetchall()
         orows = sorted((tuple(norm(r[ocols.index(c)]) for c in cols) for r in data), key=repr)
         ok = rows == orows
