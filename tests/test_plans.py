@@ -57,3 +57,37 @@ def test_set_distance_broadcast_path_has_no_shuffle(spark):
     df = min_distance_to_set(emb, emb.filter("label = 0"), id_col="vec_id")
     assert count_nodes(df, "Exchange") == 0
     assert "CartesianProduct" not in plan_text(df, "simple")
+
+
+def test_vector_broadcast_plan_has_no_window_shuffle(spark):
+    emb = _emb(spark)
+    qs = emb.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    df = search_many(emb, qs, 5, id_col="vec_id", exact=True, broadcast_bytes=1,
+                     vector_broadcast_bytes=1 << 26)
+    text = plan_text(df, "simple")
+    assert count_nodes(df, "Exchange") == 1 and "xxhash64(query_id" in text   # the query spread
+    assert "Window" not in text and "CartesianProduct" not in text
+
+
+def test_hot_group_ships_at_most_k_per_task(spark):
+    """A group holding 90% of the rows sends no more than k rows per task."""
+    from quiver.operators.scoring import VectorSpec, topk_scorer
+    from quiver.operators.search import _cand_schema
+    from quiver.plans.bank import QueryBank, broadcast_bank
+
+    emb = _emb(spark).withColumn("g", F.when(F.col("vec_id") % 10 == 0, F.col("label")).otherwise(-1))
+    parts = 6
+    df = emb.repartition(parts, "vec_id")
+    k = 4
+    bank_bc = broadcast_bank(spark, QueryBank.single(Q))
+    import pyarrow as pa
+    cands = df.select("vec_id", "g", "embedding").mapInArrow(
+        topk_scorer(bank_bc, VectorSpec("embedding"), "vec_id", k, group_col="g",
+                    group_type=pa.int32()),
+        _cand_schema("vec_id", "dist", "g", "int"))
+    per_task = cands.groupBy(F.spark_partition_id().alias("p"), "g").count().collect()
+    assert max(r["count"] for r in per_task) <= k
+    n_groups = emb.select("g").distinct().count()
+    assert cands.count() <= parts * n_groups * k
+    got = search_groups(df, Q, "g", k, id_col="vec_id").filter("g = -1").count()
+    assert got == k
