@@ -98,11 +98,31 @@ def _bank_for(spark: SparkSession, queries, options: RefineOptions | None,
     return broadcast_bank(spark, QueryBank.single(refined_point(spark, queries, options))), False
 
 
+def _drop_versions_before(spark: SparkSession, table_path: str, keep_from: int):
+    """Delete state versions ``batch_id < keep_from`` (Hadoop FileSystem API,
+    so it works on HDFS and object stores alike)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(table_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("batch_id="):
+            try:
+                version = int(name[len("batch_id="):])
+            except ValueError:
+                continue
+            if version < keep_from:
+                fs.delete(status.getPath(), True)
+
+
 def run_stream_top_k(spark: SparkSession, stream: DataFrame, queries, k: int, id_col: str,
                      vec="embedding", table_path: str | None = None,
                      checkpoint: str | None = None, options: RefineOptions | None = None,
                      available_now: bool = True,
-                     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES):
+                     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                     keep_versions: int | None = 2):
     """Running top-k of a stream, kept as versioned k-rows-per-query state.
 
     ``queries`` is one literal vector or a ``(query_id, query)`` table
@@ -111,7 +131,9 @@ def run_stream_top_k(spark: SparkSession, stream: DataFrame, queries, k: int, id
     writes the result as version ``b`` (dynamic partition overwrite).  A
     replayed batch reads the same earlier version and rewrites the same
     rows, so the state is idempotent; the answer is always one version of
-    at most ``k`` rows per query, however long the stream runs.
+    at most ``k`` rows per query, however long the stream runs.  Versions
+    older than the last ``keep_versions`` are deleted after each batch (a
+    replay only ever reads the version before its own); ``None`` keeps all.
     Returns ``(query handle, state path)``; read it with :func:`current_top_k`.
     """
     attach(spark)
@@ -134,6 +156,10 @@ def run_stream_top_k(spark: SparkSession, stream: DataFrame, queries, k: int, id
         (top.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
          .parquet(table_path))
+        if keep_versions and prev is not None:
+            # keep this version and the ones a replay could still read
+            _drop_versions_before(batch_df.sparkSession, table_path,
+                                  min(prev, batch_id - keep_versions + 1))
 
     w = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
