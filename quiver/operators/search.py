@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DoubleType, IntegralType
@@ -162,8 +162,9 @@ def search_groups(df: DataFrame, query, by: str, k: int = 10, vec="embedding",
     table sends no more rows to the shuffle than any other.
     """
     _require_k(k)
+    if not isinstance(id_col, str) or not isinstance(df.schema[id_col].dataType, IntegralType):
+        return _search_groups_by_key(df, query, by, k, vec, id_col, options, exact, dist_col)
     spark = _spark(df)
-    _require_integral_id(df, id_col, "search_groups")
     spec = VectorSpec(vec)
     bank_bc, _ = _single_bank(spark, query, options, exact)
     gfield = df.schema[by]
@@ -176,6 +177,21 @@ def search_groups(df: DataFrame, query, by: str, k: int = 10, vec="embedding",
     return out.select(by, "rank", id_col, dist_col)
 
 
+def _search_groups_by_key(df, query, by, k, vec, id_col, options, exact, dist_col):
+    """S1g for string / decimal / multi-column keys: Arrow UDF scores, then
+    ``row_number() <= k`` per group over ``(dist, key...)``, which Spark plans
+    with a partial WindowGroupLimit before the shuffle (k rows per group
+    per task, whatever the skew)."""
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    spec = VectorSpec(vec)
+    cols = ids + [by] + [c for c in spec.columns if c not in ids and c != by]
+    scored = fractal_distance(df.select(*cols), query, vec, dist_col, options, exact)
+    w = Window.partitionBy(by).orderBy(F.col(dist_col).asc_nulls_last(),
+                                       *[F.col(c).asc() for c in ids])
+    return (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .select(by, "rank", *ids, dist_col))
+
+
 # ---------------------------------------------------------------- S1r
 
 def radius_search(df: DataFrame, query, radius: float, vec="embedding", id_col: str = "id",

@@ -91,3 +91,11 @@ def test_hot_group_ships_at_most_k_per_task(spark):
     assert cands.count() <= parts * n_groups * k
     got = search_groups(df, Q, "g", k, id_col="vec_id").filter("g = -1").count()
     assert got == k
+
+
+def test_group_top_k_by_key_limits_before_the_shuffle(spark):
+    emb = _emb(spark).withColumn("key", F.format_string("k%04d", "vec_id"))
+    df = search_groups(emb, Q, "label", 5, id_col="key")
+    text = plan_text(df, "simple")
+    assert "WindowGroupLimit" in text and "Partial" in text and "Final" in text
+    assert count_nodes(df, "Exchange") == 1

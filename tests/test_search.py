@@ -282,7 +282,7 @@ def test_sql_vector_valid_and_id_type_errors(spark, edge_df):
     assert [bool(v[i]) for i in range(2, 12)] == [False, False, False, False] + [True] * 6
     sdf = edge_df.withColumn("id", F.col("id").cast("string"))
     with pytest.raises(ValueError, match="integer id"):
-        search_groups(sdf.withColumn("g", F.lit(1)), [0.6, 0.8], "g", 2)
+        search_many(sdf, spark.createDataFrame([(0, [0.6, 0.8])], "query_id long, query array<double>"), 2)
 
 
 def test_feature_columns_with_integer_ids(spark):
@@ -423,3 +423,18 @@ def test_group_top_k_string_groups_with_null(spark):
     d = np.array([_cos(e, Q) for e in E])
     sel = np.flatnonzero(labels < 3)
     assert groups[None] == ids[sel][np.lexsort((ids[sel], d[sel]))][:3].tolist()
+
+
+def test_group_top_k_any_key_type(spark):
+    emb = _emb(spark)
+    by_int = search_groups(emb, Q, "label", 3, id_col="vec_id", exact=True).collect()
+    s_emb = emb.withColumn("key", F.format_string("k%04d", "vec_id"))
+    by_str = search_groups(s_emb, Q, "label", 3, id_col="key", exact=True).collect()
+    assert sorted((r["label"], r["rank"], "k%04d" % r["vec_id"], r["dist"]) for r in by_int) == \
+        sorted((r["label"], r["rank"], r["key"], r["dist"]) for r in by_str)
+    two = search_groups(emb.withColumn("part", F.lit(7)), Q, "label", 3,
+                        id_col=["part", "vec_id"], exact=True).collect()
+    assert sorted((r["label"], r["rank"], r["vec_id"]) for r in two) == \
+        sorted((r["label"], r["rank"], r["vec_id"]) for r in by_int)
+    agg = search_top_k(s_emb, Q, 2, by="label", id_col="key", exact=True).collect()
+    assert all(len(r["top_k"]) == 2 and r["top_k"][0]["key"].startswith("k") for r in agg)
