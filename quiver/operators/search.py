@@ -260,7 +260,7 @@ def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedd
     q_rows, q_elems = vector_table_size(queries, query_col)
     qsel = queries.select(F.col(query_id_col).alias("query_id"),
                           F.col(query_col).cast("array<double>").alias("query"))
-    par = max(1, min(q_rows, 4 * default_parallelism(spark)))
+    par = max(1, min(q_rows, 2 * default_parallelism(spark)))
     small = fits_broadcast(q_rows, q_elems, broadcast_bytes)
     if exact:
         points = qsel.select("query_id", F.col("query").alias("best_point"))
