@@ -101,10 +101,11 @@ def topk_scorer(bank_bc, spec: VectorSpec, id_col: str, k: int,
                 dist_col: str = "dist", owners=None):
     """Running top-k per (query[, group]) for one task.
 
-    ``owners``: optional (owner ids (O,), starts) when several bank entries
-    (probes) belong to one output query and the row's distance to that
-    query is the minimum over its probes.  Entries must then be ordered by
-    owner within each dimension group.
+    ``owners``: optional ``(owner ids (O,), run starts per dim group, owner
+    index per run per dim group)`` when several bank entries (probes) belong
+    to one output query and a row's distance to that query is the minimum
+    over its probes.  Entries must then be ordered by owner within each
+    dimension group.
     """
 
     def run(batches):
@@ -231,19 +232,18 @@ def _add_grouped(state, mat, pts, targets, vid, k, gcodes):
 
 def _add_nulls(state, targets, inv_ids, k, gcodes):
     """Rows with a NULL distance for every query in ``targets``."""
-    zeros = np.zeros(len(inv_ids), dtype=np.int8)
+    targets = np.asarray(targets, dtype=np.int64)
     if gcodes is None:
         keep = np.sort(inv_ids)[:k]
-        nk = len(keep)
-        for t in np.asarray(targets):
-            state.add([np.full(nk, t, dtype=np.int64)], np.full(nk, NULL, dtype=np.int8),
-                      np.zeros(nk), keep)
-        return
-    keep = keep_first_k([gcodes], zeros, np.zeros(len(inv_ids)), inv_ids, k)
-    nk = len(keep)
-    for t in np.asarray(targets):
-        state.add([np.full(nk, t, dtype=np.int64), gcodes[keep]],
-                  np.full(nk, NULL, dtype=np.int8), np.zeros(nk), inv_ids[keep])
+        key_cols = [np.repeat(targets, len(keep))]
+    else:
+        zeros = np.zeros(len(inv_ids))
+        pick = keep_first_k([gcodes], zeros.astype(np.int8), zeros, inv_ids, k)
+        keep = inv_ids[pick]
+        key_cols = [np.repeat(targets, len(keep)), np.tile(gcodes[pick], len(targets))]
+    n = len(targets) * len(keep)
+    if n:
+        state.add(key_cols, np.full(n, NULL, dtype=np.int8), np.zeros(n), np.tile(keep, len(targets)))
 
 
 def radius_scorer(bank_bc, spec: VectorSpec, id_col: str, radius: float,
