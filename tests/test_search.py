@@ -438,3 +438,16 @@ def test_group_top_k_any_key_type(spark):
         sorted((r["label"], r["rank"], r["vec_id"]) for r in by_int)
     agg = search_top_k(s_emb, Q, 2, by="label", id_col="key", exact=True).collect()
     assert all(len(r["top_k"]) == 2 and r["top_k"][0]["key"].startswith("k") for r in agg)
+
+
+def test_empty_inputs(spark):
+    emb = _emb(spark)
+    none_q = spark.createDataFrame([], "query_id long, query array<double>")
+    assert search_many(emb, none_q, 3, id_col="vec_id").count() == 0
+    empty = emb.filter("vec_id < 0")
+    qs = emb.filter("vec_id < 3").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    assert search_many(empty, qs, 3, id_col="vec_id").count() == 0
+    assert search(empty, Q, 5, id_col="vec_id").count() == 0
+    assert search_groups(empty, Q, "label", 5, id_col="vec_id").count() == 0
+    assert radius_search(empty, Q, 0.5, id_col="vec_id").count() == 0
+    assert min_distance_to_set(emb, empty, id_col="vec_id").filter("min_dist = 1.0").count() == emb.count()
