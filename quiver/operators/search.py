@@ -263,7 +263,10 @@ def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedd
     par = max(1, min(q_rows, 2 * default_parallelism(spark)))
     small = fits_broadcast(q_rows, q_elems, broadcast_bytes)
     if exact:
-        points = qsel.select("query_id", F.col("query").alias("best_point"))
+        # keep the stored element type (e.g. float): the kernels widen it
+        # exactly, and any shuffle of the queries moves half the bytes
+        points = queries.select(F.col(query_id_col).alias("query_id"),
+                                F.col(query_col).alias("best_point"))
     else:
         points = refine_with_ids(qsel, "query_id", "query", options, par, bounded=small)
     if small:
