@@ -59,7 +59,7 @@ def _refine_array(qarr: pa.Array, opts: RefineOptions, want_population: bool = F
 def _refine_fn(opts: RefineOptions):
     def run(batches):
         for batch in batches:
-            qarr = batch.column(0)
+            qarr = batch.column(0).cast(pa.list_(pa.float64()))
             best, fit, fit_null, _ = _refine_array(qarr, opts)
             yield pa.RecordBatch.from_arrays(
                 [qarr.cast(pa.list_(pa.float64())), ragged_list_array(best),
@@ -107,7 +107,10 @@ def distinct_queries(queries: DataFrame, query_col: str = "query",
     spark = queries.sparkSession
     attach(spark)
     n = parallelism or 2 * default_parallelism(spark)
-    return (queries.select(F.col(query_col).cast("array<double>").alias("query"))
+    # deduplicate the stored values (float widens to double exactly and
+    # one-to-one, so the distinct set is the same): the shuffles move the
+    # narrow type, and the Arrow function widens to double
+    return (queries.select(F.col(query_col).alias("query"))
             .dropDuplicates(["query"])
             .repartition(n, F.xxhash64("query")))
 
