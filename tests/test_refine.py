@@ -111,3 +111,12 @@ def test_convergence_check_job(spark):
     assert not check_convergence(far).collect()[0]["converged"]
     with pytest.raises(Exception, match="convergence failed"):
         check_convergence(far, raise_on_failure=True).collect()
+
+
+def test_float_queries_refine_like_their_double_widening(spark):
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").filter("vec_id < 6")
+    got = {r["vec_id"]: r["best_point"] for r in refine_with_ids(
+        emb.select("vec_id", F.col("embedding").alias("query")), "vec_id").collect()}
+    for r in emb.collect():
+        want, _ = refine(np.asarray([r["embedding"]], dtype=np.float64), RefineOptions())
+        assert np.array_equal(np.asarray(got[r["vec_id"]]), want[0])
