@@ -30,8 +30,8 @@ from ..plans.session import (DEFAULT_BROADCAST_BYTES, attach, checkpoint_dir,
                              default_parallelism)
 from ..plans.topk import auto_salt, global_top_k, top_k_per_key
 from .refine import refine_with_ids
-from .scoring import (VectorSpec, point_scorer, query_side_scorer, radius_scorer,
-                      topk_scorer)
+from .scoring import (VectorSpec, point_scorer, probes_scorer, query_side_scorer,
+                      radius_scorer, topk_scorer)
 from .sfs import RefineOptions, refine
 
 
@@ -360,9 +360,15 @@ def multi_probe_search(df: DataFrame, query, k: int = 10, probes: int = 5, vec="
     if int(probes) != probes or probes < 1:
         raise ValueError(f"probes must be a positive integer, got {probes!r}")
     spark = _spark(df)
-    _require_integral_id(df, id_col, "multi_probe_search")
     spec = VectorSpec(vec)
     points = probe_points(spark, query, probes, options)
+    if not isinstance(id_col, str) or not isinstance(df.schema[id_col].dataType, IntegralType):
+        # any key type: exact min over probes in an Arrow UDF, Spark's ordered limit
+        ids = [id_col] if isinstance(id_col, str) else list(id_col)
+        score = F.arrow_udf(probes_scorer(points, spec), DoubleType())
+        scored = df.select(*ids, score(*[F.col(c) for c in spec.columns]).alias(dist_col))
+        return (scored.orderBy(F.col(dist_col).asc_nulls_last(), *[F.col(c).asc() for c in ids])
+                .limit(k))
     if points is None:
         bank = QueryBank.single(None)
         owners = None

@@ -451,3 +451,11 @@ def test_empty_inputs(spark):
     assert search_groups(empty, Q, "label", 5, id_col="vec_id").count() == 0
     assert radius_search(empty, Q, 0.5, id_col="vec_id").count() == 0
     assert min_distance_to_set(emb, empty, id_col="vec_id").filter("min_dist = 1.0").count() == emb.count()
+
+
+def test_multi_probe_any_key_type(spark):
+    emb = _emb(spark)
+    a = multi_probe_search(emb, Q, 6, probes=4, id_col="vec_id").collect()
+    s_emb = emb.withColumn("key", F.format_string("k%04d", "vec_id"))
+    b = multi_probe_search(s_emb, Q, 6, probes=4, id_col="key").collect()
+    assert [("k%04d" % r["vec_id"], r["dist"]) for r in a] == [(r["key"], r["dist"]) for r in b]
