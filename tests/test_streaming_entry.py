@@ -109,3 +109,20 @@ def test_stream_restart_from_checkpoint_is_exactly_once(spark, tmp_dir):
     assert got.count() == emb.count() and got.select("vec_id").distinct().count() == emb.count()
     want = [r["vec_id"] for r in search(emb, entry.main_query(), 10, id_col="vec_id").collect()]
     assert [r["vec_id"] for r in current_top_k(spark, tk, 10, "vec_id").collect()] == want
+
+
+def test_bench_runs_from_another_working_directory(tmp_dir):
+    """bench.py must print one JSON line wherever the driver starts it."""
+    import json
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py"), "top_k", "group_top_k"],
+                         cwd=tmp_dir, capture_output=True, text=True, timeout=600, env=env)
+    lines = [l for l in out.stdout.splitlines() if l.strip()]
+    assert len(lines) == 1, out.stderr[-2000:]
+    res = json.loads(lines[0])
+    assert set(res["queries"]) == {"top_k", "group_top_k"} and "errors" not in res
