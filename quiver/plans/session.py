@@ -83,9 +83,9 @@ def attach(spark: SparkSession | None = None) -> None:
     workers must be able to import the package wherever the driver was
     started: it is zipped and added with ``SparkContext.addPyFile``.
     """
-    spark = spark or SparkSession.getActiveSession()
     if spark is None:
-        return
+        # the session of this thread, else the process's existing one
+        spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _ATTACHED:
