@@ -97,12 +97,14 @@ def _population_fn(opts: RefineOptions):
 
 def distinct_queries(queries: DataFrame, query_col: str = "query",
                      parallelism: int | None = None) -> DataFrame:
-    """One row per distinct query vector, hash-spread over ``parallelism`` tasks.
+    """One row per distinct query vector, spread evenly over ``parallelism`` tasks.
 
     The input is tiny in bytes but heavy in CPU, so it must not collapse
-    into one task.  ``repartition(n, xxhash64(query))`` is a partitioning
-    the dedup aggregate does not already satisfy (so the optimizer keeps
-    it), and AQE never coalesces an explicit partition count.
+    into one task.  A round-robin ``repartition(n)`` balances the queries
+    exactly (a hash spread leaves tasks uneven), the optimizer keeps it
+    (the dedup's own partitioning does not satisfy it), and AQE never
+    coalesces an explicit partition count.  Which task refines a query
+    does not matter: each result depends on the query bytes alone.
     """
     spark = queries.sparkSession
     attach(spark)
@@ -112,7 +114,7 @@ def distinct_queries(queries: DataFrame, query_col: str = "query",
     # narrow type, and the Arrow function widens to double
     return (queries.select(F.col(query_col).alias("query"))
             .dropDuplicates(["query"])
-            .repartition(n, F.xxhash64("query")))
+            .repartition(n))
 
 
 def refine_queries(queries: DataFrame, query_col: str = "query",
