@@ -120,3 +120,8 @@ def test_float_queries_refine_like_their_double_widening(spark):
     for r in emb.collect():
         want, _ = refine(np.asarray([r["embedding"]], dtype=np.float64), RefineOptions())
         assert np.array_equal(np.asarray(got[r["vec_id"]]), want[0])
+
+
+def test_invalid_population_is_rejected():
+    with pytest.raises(ValueError, match="population"):
+        refine(np.array([[0.6, 0.8]]), RefineOptions(population=0))

@@ -459,3 +459,14 @@ def test_multi_probe_any_key_type(spark):
     s_emb = emb.withColumn("key", F.format_string("k%04d", "vec_id"))
     b = multi_probe_search(s_emb, Q, 6, probes=4, id_col="key").collect()
     assert [("k%04d" % r["vec_id"], r["dist"]) for r in a] == [(r["key"], r["dist"]) for r in b]
+
+
+def test_result_check_raises_on_bad_results(spark, edge_df):
+    short = search(edge_df, [0.6, 0.8], 3, exact=True)
+    row = check_search_result(short, 5).collect()[0]
+    assert not row["ok"] and row["status"] == "expected 5 top-k rows, got 3"
+    with pytest.raises(Exception, match="expected 5 top-k rows"):
+        check_search_result(short, 5, raise_on_failure=True).collect()
+    with_null = search(edge_df, [0.6, 0.8], 11, exact=True)           # NULL and NaN rows included
+    row = check_search_result(with_null, 11).collect()[0]
+    assert row["n_null"] == 5 and row["n_nonfinite"] == 1 and not row["ok"]
