@@ -125,3 +125,12 @@ def test_float_queries_refine_like_their_double_widening(spark):
 def test_invalid_population_is_rejected():
     with pytest.raises(ValueError, match="population"):
         refine(np.array([[0.6, 0.8]]), RefineOptions(population=0))
+
+
+def test_report_json_round_trips(spark):
+    import json
+
+    df = spark.createDataFrame([([0.6, 0.8],), ([0.3, -0.1, 0.5],)], "query array<double>")
+    for r in refinement_report(df).collect():
+        rep = json.loads(r["report"])
+        assert rep["best_point"] == list(r["best_point"]) and rep["best_fit"] == r["best_fit"]

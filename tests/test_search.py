@@ -470,3 +470,10 @@ def test_result_check_raises_on_bad_results(spark, edge_df):
     with_null = search(edge_df, [0.6, 0.8], 11, exact=True)           # NULL and NaN rows included
     row = check_search_result(with_null, 11).collect()[0]
     assert row["n_null"] == 5 and row["n_nonfinite"] == 1 and not row["ok"]
+
+
+def test_iceberg_without_runtime_is_a_clear_error(spark):
+    from quiver.sources.io import read_iceberg
+
+    with pytest.raises(RuntimeError, match="Iceberg"):
+        read_iceberg(spark, "db.embeddings").count()
