@@ -284,13 +284,28 @@ def q_stream_radius(spark, sf):
     return spark.read.parquet(path).select("vec_id", _r("dist"))
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the ``llm`` subpackage and its pipeline, where they exist."""
+    try:
+        import corpus_pipeline
+        from quiver.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name in ("corpus_pipeline", "quiver.llm"):
+            return {}, {}
+        raise
+    sql = dict(llm.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: top-10 embeddings nearest to the refined main query, sf0.001."""
     return q_top_k(spark, SMOKE_DIR)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    out = {
         "fractal_search_scalar": q_fractal_search_scalar,
         "fractal_search_column": q_fractal_search_column,
         "top_k": q_top_k,
@@ -319,6 +334,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_multi_top_k": q_stream_multi_top_k,
         "stream_radius": q_stream_radius,
     }
+    out.update(_llm()[0])
+    return out
 
 
 # ------------------------------------------------------------------ oracles
@@ -439,4 +456,5 @@ def oracle_sql() -> dict[str, str]:
     }
     out["stream_multi_top_k"] = out["multi_query_top_k"]
     out["stream_radius"] = out["radius_search"]
+    out.update(_llm()[1])
     return out
