@@ -9,10 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, sharding
+from . import linededup, mixing, packing, sharding, substrings, tokenfile
 
 MIN_SITES = 10
 SHARDS = 16
+WINDOW = 35
+SEQUENCE = 4096
+FILE_END_ID = 2
+PACK_END_ID = 1
 MIX_CAP = 3
 
 
@@ -30,6 +34,32 @@ def op2_line_dedup(spark, sf_dir):
     return line_digest(linededup.dedup_lines(_table(spark, sf_dir, "documents"), MIN_SITES))
 
 
+def _vocabulary(name: str) -> str:
+    """The installed public vocabulary file, at one path on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op4_substring_dedup(spark, sf_dir):
+    """Words under repeated 35-word windows cut from all documents."""
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"), WINDOW, texts=False) \
+        .withColumnRenamed("kept", "kept_sha256")
+
+
+def op5_token_files(spark, sf_dir):
+    """All documents written as wavelet-matrix token files and read back."""
+    path = tokenfile.write_token_files(_table(spark, sf_dir, "documents"),
+                                       _vocabulary("byte_bpe_50k.json"), FILE_END_ID)
+    return tokenfile.read_documents(spark, path)
+
+
+def op9_best_fit_packing(spark, sf_dir):
+    """All documents packed into sequences of at most 4096 tokens."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"),
+                                  _vocabulary("word_bpe_49k.json"), PACK_END_ID, SEQUENCE)
+
+
 def op8_mix_sources(spark, sf_dir):
     """All documents mixed to their sources' targets."""
     return mixing.mix_sources(_table(spark, sf_dir, "documents"), MIX_CAP) \
@@ -43,7 +73,10 @@ def op10_shard_documents(spark, sf_dir):
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_token_files": op5_token_files,
     "op8_mix_sources": op8_mix_sources,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_shard_documents": op10_shard_documents,
 }
 
