@@ -95,6 +95,17 @@ def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
     return (np.concatenate(parts) if parts else np.zeros(0, dtype=U)), counts
 
 
+def by_bytes(batch: pa.RecordBatch, column: int, limit: int = 4 << 20):
+    """Parts of a batch with at most ``limit`` bytes of text each (or one row)."""
+    texts = pc.fill_null(batch.column(column), "").cast(pa.large_string())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    row = 0
+    while row < len(texts):
+        end = max(row + 1, int(np.searchsorted(ends, ends[row] + limit, side="right")) - 1)
+        yield batch.slice(row, end - row)
+        row = end
+
+
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """Hash of the ``width`` words from each place on; places too late give windows cut short.
 

@@ -9,10 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, packing, sharding, substrings, tokenfile
+from . import (impact, jaccard, linededup, mixing, multiindex, packing, sharding, substrings, tokenfile,
+               toxicity)
 
 MIN_SITES = 10
 SHARDS = 16
+SCALE = 64
+EMBEDDING_DIM = 64
 WINDOW = 35
 SEQUENCE = 4096
 FILE_END_ID = 2
@@ -29,6 +32,12 @@ def line_digest(cleaned: DataFrame) -> DataFrame:
                           F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op1_jaccard_join(spark, sf_dir):
+    """Near-duplicate components of all documents."""
+    return jaccard.link_documents(_table(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_shingles", "component_id")
+
+
 def op2_line_dedup(spark, sf_dir):
     """Boilerplate lines (10 sources or more) cut from all documents."""
     return line_digest(linededup.dedup_lines(_table(spark, sf_dir, "documents"), MIN_SITES))
@@ -41,6 +50,13 @@ def _vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op3_exact_top_k(spark, sf_dir):
+    """The 20 largest inner products of every 20th vector with all others."""
+    vectors = impact.quantised(_table(spark, sf_dir, "embeddings"), SCALE)
+    index = impact.build_index(vectors)
+    return impact.search_index(index, vectors.filter("vec_id % 20 = 0"), EMBEDDING_DIM, 20)
+
+
 def op4_substring_dedup(spark, sf_dir):
     """Words under repeated 35-word windows cut from all documents."""
     return substrings.remove_repeats(_table(spark, sf_dir, "documents"), WINDOW, texts=False) \
@@ -54,6 +70,20 @@ def op5_token_files(spark, sf_dir):
     return tokenfile.read_documents(spark, path)
 
 
+def op6_toxicity(spark, sf_dir):
+    """All documents scored by their nearest labelled examples."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return toxicity.score_documents(docs, labels).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op7_nearest_neighbours(spark, sf_dir):
+    """The 5 nearest found of every 50th vector among all others."""
+    vectors = multiindex.usable_vectors(_table(spark, sf_dir, "embeddings"))
+    return multiindex.search_multi_index(vectors, vectors.filter("vec_id % 50 = 0"), 5)
+
+
 def op9_best_fit_packing(spark, sf_dir):
     """All documents packed into sequences of at most 4096 tokens."""
     return packing.pack_documents(_table(spark, sf_dir, "documents"),
@@ -72,9 +102,13 @@ def op10_shard_documents(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_line_dedup": op2_line_dedup,
+    "op3_exact_top_k": op3_exact_top_k,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_token_files": op5_token_files,
+    "op6_toxicity": op6_toxicity,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_mix_sources": op8_mix_sources,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_shard_documents": op10_shard_documents,
