@@ -34,7 +34,7 @@ from ..plans.session import attach
 from .components import components
 from .exchange import bucket_count, shared_places
 from .hashing import U, by_bytes, mix, places, window_hashes, word_hashes
-from .shared import save, small_side
+from .shared import boxed, save, small_side, unboxed
 
 WORDS = 5
 PERCENT = 75
@@ -280,17 +280,19 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, width: int = WORDS)
 def keep_one_of_each(docs: DataFrame, percent: int = PERCENT, width: int = WORDS) -> DataFrame:
     """``docs`` with one document of each component: that of the smallest id.
 
-    Documents without words all stay; of rows that repeat in id and text one
-    stays.  Rows without an id stay unless their component has one with an id.
+    Documents without words all stay (rows that repeat in id and text may
+    become one where any such row has words).  Rows without an id stay, one for
+    each text, unless their component has one with an id.
     """
-    linked = link_documents(docs, percent, width)
+    linked = save(link_documents(docs, percent, width), "linked")
     gone = (linked.filter(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
             .select(F.col("doc_id").alias("g_id"), F.col("fp").alias("g_fp")).distinct())
     gone = save(gone, "near-duplicates")
-    keyed = docs.withColumn("d_fp", F.xxhash64("text"))
-    rest = keyed.join(small_side(gone, 24), F.col("doc_id").eqNullSafe(F.col("g_id"))
-                      & (F.col("d_fp") == F.col("g_fp")), "left_anti")
-    twice = rest.groupBy("doc_id", "d_fp").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    if twice.isEmpty():
-        return rest.select(*docs.columns)
-    return rest.dropDuplicates(["doc_id", "d_fp"]).select(*docs.columns)
+    keyed = boxed(docs).withColumn("fp", F.xxhash64("v.text"))
+    rest = keyed.join(small_side(gone, 24), F.col("v.doc_id").eqNullSafe(F.col("g_id"))
+                      & (F.col("fp") == F.col("g_fp")), "left_anti")
+    twice = linked.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("m"), F.max("n_shingles").alias("n")) \
+        .filter("m > 1 AND n > 0")
+    if not twice.isEmpty():
+        rest = rest.withColumn("id", F.col("v.doc_id")).dropDuplicates(["id", "fp"])
+    return unboxed(rest, docs.columns)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import save, small_side
+from .shared import boxed, save, small_side, unboxed
 
 # 2^12 registers: a relative error of 1.6 %; up to some hundreds of sites the
 # sketch keeps its entries one by one and is nearly exact
@@ -68,19 +68,25 @@ def dedup_lines(docs: DataFrame, min_sites: int = 10, site_col: str = "source")
            .agg(F.collect_list("pos").alias("cut")))
     cut = save(cut, "line-cuts")
 
-    keyed = docs.select(*columns, F.xxhash64("text").alias("d_fp"))
-    joined = keyed.join(small_side(cut, 200), F.col("doc_id").eqNullSafe(F.col("c_id"))
-                        & (F.col("d_fp") == F.col("c_fp")), "left")
-    parts = F.split("text", "\n")
+    text = F.col("v.text")
+    keyed = boxed(docs.select(*[F.col(f"`{c}`") for c in columns])).withColumn("fp", F.xxhash64(text))
+    joined = keyed.join(small_side(cut, 200), F.col("v.doc_id").eqNullSafe(F.col("c_id"))
+                        & (F.col("fp") == F.col("c_fp")), "left")
+    joined = joined.withColumn("parts", F.when(F.col("cut").isNotNull(), F.split(text, "\n")))
     # a set difference and look-ups by place: linear in the number of lines
     kept = F.transform(F.array_except(F.sequence(F.lit(1), F.size("parts")),
                                       F.transform("cut", lambda p: p + 1)),
                        lambda i: F.element_at(F.col("parts"), i))
-    text = F.when(F.col("cut").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    counted = F.size(F.filter(_lines(F.col("text")), lambda x: F.btrim(x, F.lit(BLANK)) != ""))
-    out = (joined.withColumn("parts", F.when(F.col("cut").isNotNull(), parts))
-           .withColumn("n_lines", counted.cast("long"))
-           .withColumn("n_removed", F.coalesce(F.size("cut"), F.lit(0)).cast("long"))
-           .withColumn("n_removed", F.greatest("n_removed", F.lit(0).cast("long")))
-           .withColumn("text", text))
-    return out.select(*columns, "n_lines", "n_removed")
+    cleaned = F.when(F.col("cut").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    counted = F.size(F.filter(_lines(text), lambda x: F.btrim(x, F.lit(BLANK)) != ""))
+    removed = F.when(F.col("cut").isNull(), 0).otherwise(F.size("cut"))
+    return unboxed(joined, columns, text=cleaned, n_lines=counted.cast("long"), n_removed=removed.cast("long"))
+
+
+def cleaned_documents(docs: DataFrame, min_sites: int = 10, site_col: str = "source") -> DataFrame:
+    """``docs`` without boilerplate lines, in its own columns (``n_chars`` counted anew)."""
+    out = dedup_lines(docs, min_sites, site_col)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
+                             .otherwise(F.col("n_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

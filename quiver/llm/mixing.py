@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import WORD, power_of_two, save, word_count
+from .shared import boxed, power_of_two, save, unboxed, word_count
 
 KEY_BITS = 60
 ROWS_PER_RANGE = 200_000
@@ -99,23 +99,32 @@ def mixed_documents(docs: DataFrame, cap: int = 3, seed: str = "mix") -> DataFra
     counted anew).  Documents of which nothing is taken are left out, as are
     those without a word.
     """
-    taken = (mix_sources(docs, cap, seed).filter("taken > 0")
-             .groupBy("doc_id", "source", "fp", "size").agg(F.collect_list("taken").alias("t"))
-             .select(*[F.col(c).alias(f"m_{c}") for c in ("doc_id", "source", "fp", "size", "t")]))
-    keyed = docs.withColumn("m_fp0", F.xxhash64("text"))
-    same = (F.col("doc_id").eqNullSafe(F.col("m_doc_id"))
-            & F.col("source").eqNullSafe(F.col("m_source")) & (F.col("m_fp0") == F.col("m_fp")))
-    once = keyed.dropDuplicates(["doc_id", "source", "m_fp0"]).join(taken, same)
-    whole = (F.col("m_t") / F.col("m_size")).cast("int")
+    taken = save(mix_sources(docs, cap, seed)
+                 .groupBy("doc_id", "source", "fp", "size").agg(
+                     F.count(F.lit(1)).alias("rows"),
+                     F.filter(F.collect_list("taken"), lambda t: t > 0).alias("t"))
+                 .filter(F.size("t") > 0)
+                 .select(*[F.col(c).alias(f"m_{c}") for c in ("doc_id", "source", "fp", "size", "rows", "t")]),
+                 "mix-taken")
+    keyed = boxed(docs).withColumn("fp", F.xxhash64("v.text"))
+    same = (F.col("v.doc_id").eqNullSafe(F.col("m_doc_id"))
+            & F.col("v.source").eqNullSafe(F.col("m_source")) & (F.col("fp") == F.col("m_fp")))
+    once = keyed.join(taken.filter("m_rows = 1"), same)
+    several = taken.filter("m_rows > 1")
+    if not several.isEmpty():
+        # rows alike in id, source and text share what the mix takes of them
+        once = once.unionByName(keyed.join(several, same).dropDuplicates(["m_doc_id", "m_source", "m_fp"]))
+    one = once.withColumn("m_t", F.explode("m_t"))
+    whole = F.floor(F.col("m_t") / F.col("m_size")).cast("int")
     rest = F.col("m_t") - whole * F.col("m_size")
     parts = F.concat(F.array_repeat(F.col("m_size"), whole),
                      F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    out = (once.withColumn("m_t", F.explode("m_t")).withColumn("m_words", F.explode(parts)))
-    head = F.regexp_extract(F.col("text"), F.concat(
-        F.lit(f"^(?s:[\\x20\\x09-\\x0D]*(?:{WORD}[\\x20\\x09-\\x0D]*){{"),
-        (F.col("m_words") - 1).cast("string"), F.lit(f"}}{WORD})")), 0)
-    text = F.when(F.col("m_words") < F.col("m_size"), head).otherwise(F.col("text"))
-    out = out.withColumn("text", text)
+    out = one.withColumn("words", F.explode(parts))
+    # parts end where a word ends, so they join to the text's beginning as it is
+    ends = F.split(F.col("v.text"), "(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])")
+    head = F.array_join(F.slice(ends, F.lit(1), F.greatest(F.col("words"), F.lit(1)).cast("int")), "")
+    cut = F.col("words") < F.col("m_size")
+    new = {"text": F.when(cut, head).otherwise(F.col("v.text"))}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(cut, F.length(head).cast("long")).otherwise(F.col("v.n_chars"))
+    return unboxed(out, docs.columns, **new)

@@ -43,7 +43,7 @@ def op2_line_dedup(spark, sf_dir):
     return line_digest(linededup.dedup_lines(_table(spark, sf_dir, "documents"), MIN_SITES))
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     """The installed public vocabulary file, at one path on every machine."""
     import public_tokenizers
 
@@ -66,7 +66,7 @@ def op4_substring_dedup(spark, sf_dir):
 def op5_token_files(spark, sf_dir):
     """All documents written as wavelet-matrix token files and read back."""
     path = tokenfile.write_token_files(_table(spark, sf_dir, "documents"),
-                                       _vocabulary("byte_bpe_50k.json"), FILE_END_ID)
+                                       vocabulary("byte_bpe_50k.json"), FILE_END_ID)
     return tokenfile.read_documents(spark, path)
 
 
@@ -87,7 +87,7 @@ def op7_nearest_neighbours(spark, sf_dir):
 def op9_best_fit_packing(spark, sf_dir):
     """All documents packed into sequences of at most 4096 tokens."""
     return packing.pack_documents(_table(spark, sf_dir, "documents"),
-                                  _vocabulary("word_bpe_49k.json"), PACK_END_ID, SEQUENCE)
+                                  vocabulary("word_bpe_49k.json"), PACK_END_ID, SEQUENCE)
 
 
 def op8_mix_sources(spark, sf_dir):

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.session import attach
-from .shared import save, small_side
+from .shared import boxed, save, small_side, unboxed
 
 SAMPLE = 30_000
 TERMS = 4_000
@@ -247,6 +247,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """``docs`` without the documents that score ``threshold`` or more."""
     toxic = save(score_documents(docs, labels).filter(F.col("score") >= threshold)
                  .select(F.col("doc_id").alias("t_id"), F.col("fp").alias("t_fp")).distinct(), "toxic")
-    return (docs.withColumn("d_fp", F.xxhash64("text"))
-            .join(small_side(toxic, 24), F.col("doc_id").eqNullSafe(F.col("t_id"))
-                  & (F.col("d_fp") == F.col("t_fp")), "left_anti").select(*docs.columns))
+    kept = boxed(docs).withColumn("fp", F.xxhash64("v.text")).join(
+        small_side(toxic, 24), F.col("v.doc_id").eqNullSafe(F.col("t_id")) & (F.col("fp") == F.col("t_fp")),
+        "left_anti")
+    return unboxed(kept, docs.columns)
