@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.session import attach
+from .hashing import by_bytes
 
 ENTRY_SCHEMA = "bucket int, known boolean, keys binary, counts binary, hashes binary, places binary, marks binary"
 _NAMES = ["bucket", "known", "keys", "counts", "hashes", "places", "marks"]
@@ -123,10 +124,11 @@ def _answer(width: type, repeats: bool):
 
 
 def shared_places(rows: DataFrame, hashed: Callable[[pa.RecordBatch], Hashed], buckets: int,
-                  exact: bool, repeats: bool) -> DataFrame:
+                  exact: bool, repeats: bool, text: int = 0) -> DataFrame:
     """``(key, places)``: where rows hold hashes that occur elsewhere too.
 
-    ``hashed`` gives the hashes of an Arrow batch of ``rows``.  With
+    ``hashed`` gives the hashes of an Arrow batch of ``rows``, whose texts are
+    in column ``text``; batches are cut by bytes of text.  With
     ``repeats`` any second occurrence counts, in the same row or in a copy of
     it; without, only one in a row of another key.  ``exact`` compares all 64
     bits, else 32 besides the bucket's (some places too many, none too few).
@@ -137,8 +139,8 @@ def shared_places(rows: DataFrame, hashed: Callable[[pa.RecordBatch], Hashed], b
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield from _pack(hashed(batch), buckets, width, repeats)
+            for part in by_bytes(batch, text):
+                yield from _pack(hashed(part), buckets, width, repeats)
 
     answers = (rows.mapInArrow(pack, ENTRY_SCHEMA).groupBy("bucket")
                .applyInArrow(_answer(width, repeats), "key long, places array<int>"))

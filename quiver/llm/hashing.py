@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 # bytes hashed at a time; longer texts are cut at white space
-SLICE = 4 << 20
+SLICE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

@@ -103,11 +103,11 @@ def remove_repeats(docs: DataFrame, width: int = 35, texts: bool = True) -> Data
     attach(docs.sparkSession)
     rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), "text", "doc_id")
     buckets = bucket_count(docs)
-    marks = save(shared_places(rows.select("key", "text"), _anchors(width), buckets, False, True), "anchors")
+    marks = save(shared_places(rows.select("key", "text"), _anchors(width), buckets, False, True, 1), "anchors")
     # both joins read the texts by the same exchange
     near = (rows.join(marks.withColumnRenamed("key", "k"), F.col("key") == F.col("k"))
             .select("key", "text", "places", "doc_id"))
-    windows = shared_places(near, _extended(width), buckets, True, True)
+    windows = shared_places(near, _extended(width), buckets, True, True, 1)
     joined = rows.join(windows.withColumnRenamed("key", "k"), F.col("key") == F.col("k"), "left")
     return joined.select("doc_id", "text", "places").mapInArrow(
         _cut(width, texts), "doc_id long, n_words long, n_removed long, kept string")
