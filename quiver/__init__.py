@@ -13,7 +13,7 @@ from .operators.checks import (check_convergence, check_search_result, refinemen
 from .operators.refine import (explore_queries, refine_queries, refine_with_ids,
                                refinement_report)
 from .operators.search import (exact_search, fractal_distance, multi_probe_search,
-                               radius_search, search, search_groups, search_many,
+                               radius_many, radius_search, search, search_groups, search_many,
                                search_top_k, with_payload)
 from .operators.setdist import min_distance_to_set, refine_against_sets
 from .operators.sfs import RefineOptions
@@ -21,7 +21,7 @@ from .operators.sfs import RefineOptions
 __all__ = [
     "RefineOptions", "register", "fractal_search", "cosine_distance", "feature_vector",
     "valid_vector", "refine_queries", "refine_with_ids", "refinement_report", "explore_queries",
-    "search", "exact_search", "search_groups", "radius_search", "fractal_distance",
+    "search", "exact_search", "search_groups", "radius_search", "radius_many", "fractal_distance",
     "search_many", "search_top_k", "multi_probe_search", "with_payload",
     "min_distance_to_set", "refine_against_sets", "check_convergence", "check_search_result",
     "refinement_quality", "single_query_quality",

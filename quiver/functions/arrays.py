@@ -229,7 +229,11 @@ def screen_margin(dim: int) -> float:
     return (8 * dim + 32) * 2.0 ** -52
 
 
-def ragged_list_array(vectors: list) -> pa.Array:
-    """list<double> array from a list of 1-D arrays (or None for NULL rows)."""
-    return pa.array([None if v is None else np.asarray(v, dtype=np.float64) for v in vectors],
-                    type=pa.list_(pa.float64()))
+# squared norms outside these bounds: products may overflow or lose digits,
+# and the screen's error bound does not hold
+SMALLEST_NORM, LARGEST_NORM = 1e-290, 1e290
+
+
+def doubtful(sq: np.ndarray) -> np.ndarray:
+    """Rows whose screened distances say nothing (zero norms are exact)."""
+    return ~((sq == 0) | ((sq >= SMALLEST_NORM) & (sq <= LARGEST_NORM)))

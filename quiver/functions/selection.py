@@ -8,13 +8,15 @@ the batch boundaries are.
 
 Candidates travel as parallel arrays: one or more int64 key arrays (query
 index, group code), ``cls`` (0 number, 1 NaN, 2 NULL), ``dist`` (float64,
-0 where cls != 0) and ``ids`` (int64).
+0 where cls != 0) and ``ids`` (int64, or objects that compare as Spark orders them).
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+from ..plans.keys import as_objects
+
 NUMBER, NAN, NULL = 0, 1, 2
 
 # smallest candidate buffer before a running top-k reduces itself
@@ -33,6 +35,8 @@ def keep_first_k(keys: list[np.ndarray], cls, dist, ids, k: int) -> np.ndarray:
     n = len(ids)
     if n == 0:
         return np.empty(0, dtype=np.int64)
+    if ids.dtype == object:
+        ids = np.unique(ids, return_inverse=True)[1]
     sort_keys = [ids, dist, cls] + list(reversed(keys))
     order = np.lexsort(sort_keys)
     if not keys:
@@ -52,7 +56,7 @@ class TopKState:
     """Running top-k per key over many batches of one task.
 
     Memory stays O(keys * k): candidates are reduced whenever the buffer
-    grows past a few times the kept size.
+    has doubled since the last reduction.
     """
 
     def __init__(self, n_keys: int, k: int):
@@ -87,7 +91,10 @@ class TopKState:
         keys = [np.concatenate([p[0][j] for p in self._parts]) for j in range(nk)]
         cls = np.concatenate([p[1] for p in self._parts])
         dist = np.concatenate([p[2] for p in self._parts])
-        ids = np.concatenate([p[3] for p in self._parts])
+        parts = [p[3] for p in self._parts]
+        if any(p.dtype == object for p in parts):
+            parts = [as_objects(p) for p in parts]
+        ids = np.concatenate(parts)
         return keys, cls, dist, ids
 
     def _reduce(self):
@@ -98,6 +105,9 @@ class TopKState:
         keep = keep_first_k(keys, cls, dist, ids, self.k)
         self._parts = [([key[keep] for key in keys], cls[keep], dist[keep], ids[keep])]
         self._size = len(keep)
+        # as many rows again before the next reduction: its cost stays a
+        # constant per row added, however many keys the state holds
+        self.limit = max(self.limit, 2 * self._size)
         if len(keys) == 1 and self.n_keys:
             kk, kc, kd = keys[0][keep], cls[keep], dist[keep]
             num = kc == NUMBER

@@ -53,7 +53,7 @@ def check_search_result(result: DataFrame, k: int, dist_col: str = "dist",
 
 
 def refinement_quality(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedding",
-                       id_col: str = "id", query_id_col: str = "query_id",
+                       id_col="id", query_id_col="query_id",
                        query_col: str = "query", options: RefineOptions | None = None,
                        **kw) -> DataFrame:
     """S1q: per query, recall@k of refined search against exact search.
@@ -61,12 +61,15 @@ def refinement_quality(vectors: DataFrame, queries: DataFrame, k: int = 10, vec=
     ``(query_id, hits, recall)``; both searches are S1m jobs and the overlap
     is an equi-join on ``(query_id, id)`` of k rows per query.
     """
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    by = [query_id_col] if isinstance(query_id_col, str) else list(query_id_col)
+    by = [f"query_{c}" if c in ids else c for c in by]
     fr = search_many(vectors, queries, k, vec, id_col, query_id_col, query_col, options,
-                     exact=False, **kw).select(query_id_col, id_col)
+                     exact=False, **kw).select(*by, *ids)
     ex = search_many(vectors, queries, k, vec, id_col, query_id_col, query_col, options,
-                     exact=True, **kw).select(query_id_col, id_col)
-    hits = (ex.join(fr.withColumn("_hit", F.lit(1)), [query_id_col, id_col], "left")
-            .groupBy(query_id_col)
+                     exact=True, **kw).select(*by, *ids)
+    hits = (ex.join(fr.withColumn("_hit", F.lit(1)), [*by, *ids], "left")
+            .groupBy(*by)
             .agg(F.sum(F.coalesce(F.col("_hit"), F.lit(0))).alias("hits")))
     return hits.withColumn("recall", F.col("hits") / F.lit(float(k)))
 

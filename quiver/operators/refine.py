@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import list_dims, list_to_matrix, ragged_list_array
-from ..plans.session import attach, default_parallelism
+from ..functions.arrays import list_dims, list_to_matrix
+from ..plans.session import attach, default_parallelism, planned_bytes
 from .sfs import RefineOptions, refine
 
 REFINED_SCHEMA = "query array<double>, best_point array<double>, best_fit double"
@@ -24,6 +24,10 @@ POPULATION_SCHEMA = ("query array<double>, particle int, point array<double>, "
 # queries refined together in one lockstep call, and the cap on the
 # per-generation noise block (queries x population x trials x dim doubles)
 LOCKSTEP = 256
+# planned bytes of query vectors per refining task (some thousand vectors)
+BYTES_PER_TASK = 1 << 20
+# parts into which one repeated query is dealt where queries and points are joined
+SALT = 16
 NOISE_ELEMENTS = 1 << 21
 
 
@@ -32,66 +36,71 @@ def lockstep_size(opts: RefineOptions, dim: int) -> int:
     return max(1, min(LOCKSTEP, NOISE_ELEMENTS // per_query))
 
 
-def _refine_array(qarr: pa.Array, opts: RefineOptions, want_population: bool = False):
-    """Refine every row of a list array; invalid queries give NULL results."""
-    n = len(qarr)
+def _same_numpy(version: str):
+    """Random draws are only the same everywhere under one NumPy version."""
+    if np.__version__ != version:
+        raise RuntimeError(f"the driver has NumPy {version}, this worker {np.__version__}: "
+                           "their random streams may differ")
+
+
+def _chunks(qarr: pa.Array, opts: RefineOptions):
+    """``(rows, matrix)`` of queries that are refined together, then the rows without a query."""
     dims = list_dims(qarr)
-    best = [None] * n
-    fit = np.full(n, np.nan)
-    fit_null = np.ones(n, dtype=bool)
-    pops = [None] * n
     for d in np.unique(dims[dims >= 0]):
         rows = np.flatnonzero(dims == d)
-        mat, _ = list_to_matrix(qarr.take(pa.array(rows)), int(d))
         step = lockstep_size(opts, int(d))
         for lo in range(0, len(rows), step):
             part = rows[lo:lo + step]
-            out = refine(mat[lo:lo + step], opts, want_population=want_population)
-            for j, r in enumerate(part):
-                best[r] = out[0][j]
-                fit[r] = out[1][j]
-                fit_null[r] = False
-                if want_population:
-                    pops[r] = (out[2][j], out[3][j])
-    return best, fit, fit_null, pops
+            yield part, list_to_matrix(qarr.take(pa.array(part)), int(d))[0]
+    rest = np.flatnonzero(dims < 0)
+    if len(rest):
+        yield rest, None
+
+
+def matrix_lists(rows: np.ndarray) -> pa.Array:
+    """Rows of a matrix as a list array."""
+    n, d = rows.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * d),
+                                    pa.array(np.ascontiguousarray(rows).reshape(-1), pa.float64()))
 
 
 def _refine_fn(opts: RefineOptions):
+    version = np.__version__
+
     def run(batches):
+        _same_numpy(version)
         for batch in batches:
             qarr = batch.column(0).cast(pa.list_(pa.float64()))
-            best, fit, fit_null, _ = _refine_array(qarr, opts)
-            yield pa.RecordBatch.from_arrays(
-                [qarr.cast(pa.list_(pa.float64())), ragged_list_array(best),
-                 pa.array(fit, type=pa.float64(), mask=fit_null)],
-                names=["query", "best_point", "best_fit"])
+            for rows, mat in _chunks(qarr, opts):
+                query = qarr.take(pa.array(rows))
+                if mat is None:
+                    best, fit = pa.nulls(len(rows), pa.list_(pa.float64())), pa.nulls(len(rows), pa.float64())
+                else:
+                    points, fits = refine(mat, opts)
+                    best, fit = matrix_lists(points), pa.array(fits, pa.float64())
+                yield pa.RecordBatch.from_arrays([query, best, fit], names=["query", "best_point", "best_fit"])
     return run
 
 
 def _population_fn(opts: RefineOptions):
+    version = np.__version__
+
     def run(batches):
+        _same_numpy(version)
         for batch in batches:
             qarr = batch.column(0).cast(pa.list_(pa.float64()))
-            best, fit, fit_null, pops = _refine_array(qarr, opts, want_population=True)
-            take, particle, points, fits, is_best = [], [], [], [], []
-            for r in range(len(qarr)):
-                if pops[r] is None:
+            for rows, mat in _chunks(qarr, opts):
+                if mat is None:
                     continue
-                X, f = pops[r]
-                b = best[r]
-                for i in range(X.shape[0]):
-                    take.append(r)
-                    particle.append(i)
-                    points.append(X[i])
-                    fits.append(f[i])
-                    is_best.append(bool(np.array_equal(X[i], b)) and f[i] == fit[r])
-            if not take:
-                continue
-            yield pa.RecordBatch.from_arrays(
-                [qarr.take(pa.array(take, type=pa.int64())),
-                 pa.array(particle, type=pa.int32()), ragged_list_array(points),
-                 pa.array(fits, type=pa.float64()), pa.array(is_best, type=pa.bool_())],
-                names=["query", "particle", "point", "fit", "is_best"])
+                points, fits, particles, each = refine(mat, opts, want_population=True)
+                n, size, d = particles.shape
+                best = (particles == points[:, None, :]).all(axis=2) & (each == fits[:, None])
+                yield pa.RecordBatch.from_arrays(
+                    [qarr.take(pa.array(np.repeat(rows, size))),
+                     pa.array(np.tile(np.arange(size, dtype=np.int32), n)),
+                     matrix_lists(particles.reshape(n * size, d)), pa.array(each.reshape(-1), pa.float64()),
+                     pa.array(best.reshape(-1))],
+                    names=["query", "particle", "point", "fit", "is_best"])
     return run
 
 
@@ -108,7 +117,8 @@ def distinct_queries(queries: DataFrame, query_col: str = "query",
     """
     spark = queries.sparkSession
     attach(spark)
-    n = parallelism or 2 * default_parallelism(spark)
+    n = parallelism or max(2 * default_parallelism(spark),
+                           -(-(planned_bytes(queries.select(query_col)) or 0) // BYTES_PER_TASK))
     # deduplicate the stored values (float widens to double exactly and
     # one-to-one, so the distinct set is the same): the shuffles move the
     # narrow type, and the Arrow function widens to double
@@ -131,25 +141,36 @@ def refine_queries(queries: DataFrame, query_col: str = "query",
         _refine_fn(opts), REFINED_SCHEMA)
 
 
-def refine_with_ids(queries: DataFrame, id_col: str = "query_id",
+def refine_with_ids(queries: DataFrame, id_col="query_id",
                     query_col: str = "query", options: RefineOptions | None = None,
                     parallelism: int | None = None, bounded: bool = False) -> DataFrame:
     """Refine each distinct vector once and join the points back to ids.
 
-    Returns ``(id_col, query, best_point, best_fit)``; the join is on the
+    Returns ``(id columns, query, best_point, best_fit)``; the join is on the
     array value (hash + equality), so equal queries share one refinement.
     ``bounded=True`` states that the caller measured the query set under a
     broadcast budget (the refined side is no larger), so the join-back is a
-    broadcast hash join instead of two more shuffles; otherwise Spark (and
-    AQE at run time) picks the join.
+    broadcast hash join.  Otherwise a query that many rows repeat is dealt
+    over several parts of the join, and NULL queries go around it.
     """
-    refined = refine_queries(queries, query_col, options, parallelism)
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    q = queries.select(*ids, F.col(query_col).alias("query"))
+    have = q.filter(F.col("query").isNotNull())
+    refined = refine_queries(have, "query", options, parallelism)
     if bounded:
-        refined = F.broadcast(refined)
-    q = queries.select(F.col(id_col), F.col(query_col).cast("array<double>").alias("query"))
-    # NULL queries never match an equi-join; keep them with a NULL point
-    return (q.join(refined, on=q["query"].eqNullSafe(refined["query"]), how="left")
-            .select(q[id_col], q["query"], refined["best_point"], refined["best_fit"]))
+        points = F.broadcast(refined.withColumnRenamed("query", "__query"))
+        found = have.join(points, F.col("query").cast("array<double>").eqNullSafe(F.col("__query")), "left")
+    else:
+        points = (refined.withColumnRenamed("query", "__query")
+                  .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))))
+        dealt = have.withColumn("__part", F.pmod(F.xxhash64(*ids), F.lit(SALT)).cast("int"))
+        found = dealt.join(points, F.col("query").cast("array<double>").eqNullSafe(F.col("__query"))
+                           & (F.col("__part") == F.col("__salt")), "left")
+    columns = [*ids, F.col("query").cast("array<double>").alias("query"), "best_point", "best_fit"]
+    none = q.filter(F.col("query").isNull()).select(
+        *ids, F.col("query").cast("array<double>").alias("query"),
+        F.lit(None).cast("array<double>").alias("best_point"), F.lit(None).cast("double").alias("best_fit"))
+    return found.select(*columns).unionByName(none)
 
 
 def refinement_report(queries: DataFrame, query_col: str = "query",

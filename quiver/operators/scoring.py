@@ -21,9 +21,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from ..functions.arrays import (columns_to_matrix, cosine_to_points, exact_cosine, list_dims,
+from ..functions.arrays import (columns_to_matrix, cosine_to_points, doubtful, exact_cosine, list_dims,
                                list_to_matrix, screen_margin, sq_norms, unit_rows)
 from ..functions.selection import NULL, TopKState, classify, keep_first_k
+from ..plans.keys import RowKey, as_objects, quoted
 
 # cap on elements of one distance block (rows x queries) held at once
 BLOCK_ELEMENTS = 1 << 22
@@ -44,9 +45,12 @@ class VectorSpec:
     def columns(self) -> list[str]:
         return [self.array_col] if self.array_col else list(self.cols)
 
-    @property
-    def fixed_dim(self):
-        return None if self.array_col else len(self.cols)
+    def select(self) -> list:
+        """The vector's columns under inner names."""
+        return [quoted(c).alias(a) for c, a in zip(self.columns, self.inner().columns)]
+
+    def inner(self) -> "VectorSpec":
+        return VectorSpec("__v" if self.array_col else [f"__v{i}" for i in range(len(self.cols))])
 
     def matrix(self, batch: pa.RecordBatch, dim: int):
         if self.array_col:
@@ -57,13 +61,6 @@ class VectorSpec:
         return columns_to_matrix([batch.column(c) for c in self.cols])
 
 
-def _ids(batch, id_col):
-    arr = batch.column(id_col)
-    if arr.null_count:
-        raise ValueError(f"id column {id_col!r} must not contain NULL")
-    return np.asarray(arr.to_numpy(zero_copy_only=False), dtype=np.int64)
-
-
 class _Codes:
     """Partition-wide dictionary for a group column (values -> int codes)."""
 
@@ -72,17 +69,24 @@ class _Codes:
         self.values: list = []
 
     def encode(self, arr: pa.Array) -> np.ndarray:
+        if pa.types.is_nested(arr.type):
+            values = arr.to_pylist()
+            local = [self._code(repr(v), v) for v in values]
+            return np.asarray(local, dtype=np.int64)
         enc = pc.dictionary_encode(arr, null_encoding="encode")
         local = []
         for v in enc.dictionary.to_pylist():
-            code = self.index.get(v)
-            if code is None:
-                code = self.index[v] = len(self.values)
-                self.values.append(v)
-            local.append(code)
+            local.append(self._code(v, v))
         local = np.asarray(local, dtype=np.int64)
         return local[np.asarray(enc.indices.to_numpy(zero_copy_only=False), dtype=np.int64)]
 
+    def _code(self, key, value) -> int:
+        code = self.index.get(key)
+        if code is None:
+            code = self.index[key] = len(self.values)
+            self.values.append(value)
+        return code
+
     def decode(self, codes: np.ndarray, typ: pa.DataType) -> pa.Array:
         return pa.array([self.values[c] for c in codes], type=typ)
 
@@ -96,37 +100,56 @@ def _owner_min(D: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.minimum.reduceat(D, starts, axis=1)
 
 
-def topk_scorer(bank_bc, spec: VectorSpec, id_col: str, k: int,
-                group_col: str | None = None, group_type: pa.DataType | None = None,
-                dist_col: str = "dist", owners=None):
+def candidate_ddl(key: RowKey, query_key: RowKey | None = None, group_type: str | None = None) -> str:
+    """Schema of scored rows: query position, query key, group, row key, distance."""
+    parts = ["__q long", query_key.ddl if query_key else None, f"__g {group_type}" if group_type else None,
+             key.ddl, "__d double"]
+    return ", ".join(p for p in parts if p)
+
+
+def _candidates(bank, entries: np.ndarray, key: RowKey, ids: np.ndarray, dist: pa.Array, group=None):
+    """One output batch; ``entries`` are places in the bank."""
+    columns = [pa.array(bank.base + entries, type=pa.int64())]
+    names = ["__q"]
+    for name, values in zip(bank.key_names, bank.keys):
+        columns.append(values.take(pa.array(entries, pa.int64())))
+        names.append(name)
+    if group is not None:
+        columns.append(group)
+        names.append("__g")
+    return pa.RecordBatch.from_arrays(columns + key.write(ids) + [dist], names=names + key.inner + ["__d"])
+
+
+def topk_scorer(bank_bc, spec: VectorSpec, key: RowKey, k: int, group_type: pa.DataType | None = None,
+                owners=None):
     """Running top-k per (query[, group]) for one task.
 
-    ``owners``: optional ``(owner ids (O,), run starts per dim group, owner
-    index per run per dim group)`` when several bank entries (probes) belong
-    to one output query and a row's distance to that query is the minimum
-    over its probes.  Entries must then be ordered by owner within each
-    dimension group.
+    Input columns have their inner names (``key.select()``, ``spec.select()``,
+    ``__g``); ``spec`` is the inner one.  ``owners``: optional ``(owner
+    entries (O,), run starts per dim group, owner index per run per dim
+    group)`` when several bank entries (probes) belong to one output query and
+    a row's distance to that query is the minimum over its probes.  Entries
+    must then be ordered by owner within each dimension group.
     """
 
     def run(batches):
         bank = bank_bc.value
-        out_ids = bank.query_ids if owners is None else owners[0]
-        state = TopKState(len(out_ids) * (16 if group_col else 1), k)
-        codes = _Codes() if group_col else None
+        out_entries = np.arange(bank.size) if owners is None else owners[0]
+        state = TopKState(len(out_entries) * (16 if group_type else 1), k)
+        codes = _Codes() if group_type else None
+        # rows without a distance: the same k smallest keys for every query of a group
+        unscored: dict[int, np.ndarray] = {}
         saw = False
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             saw = True
-            ids = _ids(batch, id_col)
-            gcodes = codes.encode(batch.column(group_col)) if group_col else None
+            ids = key.read(batch)
+            gcodes = codes.encode(batch.column("__g")) if group_type else None
             for gi, (dim, entries, pts, psq) in enumerate(bank.groups):
                 mat, valid = spec.matrix(batch, dim)
                 vidx = np.flatnonzero(valid)
-                if owners is None:
-                    targets = entries
-                else:
-                    targets = owners[2][gi]          # owner index per run in this group
+                targets = entries if owners is None else owners[2][gi]
                 if len(vidx):
                     vid = ids[vidx]
                     eps = screen_margin(dim)
@@ -140,70 +163,97 @@ def topk_scorer(bank_bc, spec: VectorSpec, id_col: str, k: int,
                             chunk = pts[lo:lo + step]
                             D = cosine_to_points(mat, chunk, msq, psq[lo:lo + step], units[lo:lo + step])
                             _add(state, D, targets[lo:lo + step], vid, k, eps,
-                                 lambda r, c, chunk=chunk: exact_cosine(mat[r], chunk[c]))
+                                 lambda r, c, chunk=chunk: exact_cosine(mat[r], chunk[c]),
+                                 doubtful(msq), doubtful(psq[lo:lo + step]))
                     else:
                         starts = owners[1][gi]
-                        D = _owner_min(cosine_to_points(mat, pts, sq_norms(mat), psq), starts)
+                        msq = sq_norms(mat)
+                        D = _owner_min(cosine_to_points(mat, pts, msq, psq), starts)
                         ends = np.append(starts[1:], len(pts))
                         _add(state, D, targets, vid, k, eps,
-                             lambda r, c: _exact_owner_min(mat, pts, starts, ends, r, c))
+                             lambda r, c: _exact_owner_min(mat, pts, starts, ends, r, c),
+                             doubtful(msq), np.logical_or.reduceat(doubtful(psq), starts))
                 inv = np.flatnonzero(~valid)
-                if len(inv):
-                    _add_nulls(state, targets, ids[inv], k,
-                               None if gcodes is None else gcodes[inv])
+                if len(inv) and gcodes is not None:
+                    _add_nulls(state, targets, ids[inv], k, gcodes[inv])
+                elif len(inv):
+                    unscored[gi] = _smallest(unscored.get(gi), ids[inv], k)
             if len(bank.null_idx) and owners is None:
-                _add_nulls(state, bank.null_idx, ids, k, gcodes)
+                if gcodes is not None:
+                    _add_nulls(state, bank.null_idx, ids, k, gcodes)
+                else:
+                    unscored[-1] = _smallest(unscored.get(-1), ids, k)
         if not saw:
             return
+        for gi, rows in unscored.items():
+            targets = bank.null_idx if gi < 0 else bank.groups[gi][1] if owners is None else owners[2][gi]
+            step = max(1, BLOCK_ELEMENTS // max(len(rows), 1))
+            for lo in range(0, len(targets), step):
+                _add_nulls(state, targets[lo:lo + step], rows, k, None)
         res = state.result()
         if res is None:
             return
         keys, cls, dist, rid = res
-        dist_arr = pa.array(np.where(cls == NULL, 0.0, np.where(cls == 1, np.nan, dist)),
-                            type=pa.float64(), mask=(cls == NULL))
-        cols = [pa.array(out_ids[keys[0]], type=pa.int64())]
-        names = ["query_id"]
-        if group_col:
-            cols.append(codes.decode(keys[1], group_type))
-            names.append(group_col)
-        cols += [pa.array(rid, type=pa.int64()), dist_arr]
-        names += [id_col, dist_col]
-        yield pa.RecordBatch.from_arrays(cols, names=names)
+        step = BLOCK_ELEMENTS
+        for lo in range(0, len(rid), step):
+            part = slice(lo, lo + step)
+            c = cls[part]
+            dist_arr = pa.array(np.where(c == NULL, 0.0, np.where(c == 1, np.nan, dist[part])),
+                                type=pa.float64(), mask=(c == NULL))
+            yield _candidates(bank, out_entries[keys[0][part]], key, rid[part], dist_arr,
+                              codes.decode(keys[1][part], group_type) if group_type else None)
 
     return run
 
 
-def _screen(D: np.ndarray, k: int, eps: float, thr=None):
+def _smallest(held, ids: np.ndarray, k: int) -> np.ndarray:
+    if held is not None:
+        if held.dtype == object or ids.dtype == object:
+            held, ids = as_objects(held), as_objects(ids)
+        ids = np.concatenate([held, ids])
+    return np.sort(ids)[:k]
+
+
+def _screen(D: np.ndarray, k: int, eps: float, thr=None, odd_rows=None, odd_columns=None):
     """(row, col) pairs that may belong to each column's exact top-k.
 
     The cut per column is the running exact k-th distance when the task
     already holds k numbers for it, else the screened k-th value of this
     block (a values-only partition); every row within ``eps`` of the cut
     stays.  A column whose k-th value is NaN (fewer than k numbers) keeps
-    every row.
+    every row.  Rows and columns marked odd (their products overflow or lose
+    digits) always stay and take no part in the cut.
     """
     n, Q = D.shape
     if n <= k:
         return np.nonzero(np.ones((n, Q), dtype=bool))
     cut = np.full(Q, np.nan) if thr is None else np.array(thr, dtype=np.float64)
     need = np.isnan(cut)
-    if need.all():
-        cut = np.partition(D, k - 1, axis=0)[k - 1]
+    odd = odd_rows is not None and odd_rows.any()
+    known = D[~odd_rows] if odd else D
+    if len(known) < k:
+        cut[need] = np.nan
+    elif need.all():
+        cut = np.partition(known, k - 1, axis=0)[k - 1]
     elif need.any():
         cols = np.flatnonzero(need)
-        cut[cols] = np.partition(D[:, cols], k - 1, axis=0)[k - 1]
+        cut[cols] = np.partition(known[:, cols], k - 1, axis=0)[k - 1]
     bound = cut + eps
     mask = D <= bound[None, :]
+    if odd:
+        mask[odd_rows] = True
+    if odd_columns is not None and odd_columns.any():
+        mask[:, odd_columns] = True
     loose = np.isnan(bound)
     if loose.any():
         mask[:, loose] = True
     return np.nonzero(mask)
 
 
-def _add(state, D, targets, vid, k, eps, exact):
+def _add(state, D, targets, vid, k, eps, exact, odd_rows=None, odd_columns=None):
     targets = np.asarray(targets)
     thr = state.thresholds()
-    r, c = _screen(D, k, eps, None if thr is None else thr[targets])
+    r, c = _screen(D, k, eps, None if thr is None else thr[targets], odd_rows, odd_columns)
     if len(r) == 0:
         return
     cls, dist = classify(exact(r, c))
@@ -246,8 +296,7 @@ def _add_nulls(state, targets, inv_ids, k, gcodes):
         state.add(key_cols, np.full(n, NULL, dtype=np.int8), np.zeros(n), np.tile(keep, len(targets)))
 
 
-def radius_scorer(bank_bc, spec: VectorSpec, id_col: str, radius: float,
-                  dist_col: str = "dist"):
+def radius_scorer(bank_bc, spec: VectorSpec, key: RowKey, radius: float):
     """Every (query, row) pair with ``dist <= radius`` (NULL and NaN never match)."""
 
     def run(batches):
@@ -255,7 +304,7 @@ def radius_scorer(bank_bc, spec: VectorSpec, id_col: str, radius: float,
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            ids = _ids(batch, id_col)
+            ids = key.read(batch)
             for gi, (dim, entries, pts, psq) in enumerate(bank.groups):
                 mat, valid = spec.matrix(batch, dim)
                 vidx = np.flatnonzero(valid)
@@ -264,36 +313,35 @@ def radius_scorer(bank_bc, spec: VectorSpec, id_col: str, radius: float,
                 msq = sq_norms(mat)
                 eps = screen_margin(dim)
                 units = bank.unit(gi)
+                odd = doubtful(msq)
                 step = _block_rows(len(vidx))
                 for lo in range(0, len(entries), step):
                     chunk = pts[lo:lo + step]
                     D = cosine_to_points(mat, chunk, msq, psq[lo:lo + step], units[lo:lo + step])
-                    r, c = np.nonzero(D <= radius + eps)         # screen, then exact
+                    near = D <= radius + eps                     # screen, then exact
+                    near[odd] = True
+                    near[:, doubtful(psq[lo:lo + step])] = True
+                    r, c = np.nonzero(near)
                     if len(r) == 0:
                         continue
                     exact = exact_cosine(mat[r], chunk[c])
                     hit = exact <= radius
                     r, c, exact = r[hit], c[hit], exact[hit]
-                    if len(r) == 0:
-                        continue
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(bank.query_ids[entries[lo + c]], type=pa.int64()),
-                         pa.array(ids[vidx[r]], type=pa.int64()),
-                         pa.array(exact, type=pa.float64())],
-                        names=["query_id", id_col, dist_col])
+                    if len(r):
+                        yield _candidates(bank, entries[lo + c], key, ids[vidx[r]],
+                                          pa.array(exact, type=pa.float64()))
 
     return run
 
 
-def set_min_scorer(bank_bc, spec: VectorSpec, id_col: str, dist_col: str = "min_dist",
-                   passthrough: list[str] | None = None):
-    """Per row: ``min(1, min_i cosdist(row, s_i))`` over the bank (V4).
+def set_min_scorer(bank_bc, spec: VectorSpec, first: bool, empty: bool):
+    """One part of a set: lowers the running minimum of every row (V4).
 
-    Zero norms give 1 for that pair; NaN pairs never lower the minimum;
-    a row that is NULL / has a NULL element / has the wrong length for every
-    member dimension gets NULL.
+    Adds ``__m`` (the minimum over the members met so far, from 1) and
+    ``__s`` (whether any had the row's length); the first part starts them.
+    With an ``empty`` set (no valid member in any part) every valid row is
+    seen.  Zero norms give 1 for that pair; NaN pairs never lower the minimum.
     """
-    passthrough = passthrough or []
 
     def run(batches):
         bank = bank_bc.value
@@ -301,8 +349,9 @@ def set_min_scorer(bank_bc, spec: VectorSpec, id_col: str, dist_col: str = "min_
             n = batch.num_rows
             if n == 0:
                 continue
-            best = np.ones(n)
-            seen = np.zeros(n, dtype=bool)
+            best = np.ones(n) if first else batch.column("__m").to_numpy(zero_copy_only=False).copy()
+            seen = (np.zeros(n, dtype=bool) if first
+                    else batch.column("__s").to_numpy(zero_copy_only=False).astype(bool))
             for gi, (dim, entries, pts, psq) in enumerate(bank.groups):
                 mat, valid = spec.matrix(batch, dim)
                 vidx = np.flatnonzero(valid)
@@ -312,28 +361,33 @@ def set_min_scorer(bank_bc, spec: VectorSpec, id_col: str, dist_col: str = "min_
                 msq = sq_norms(mat)
                 eps = screen_margin(dim)
                 units = bank.unit(gi)
+                odd = doubtful(msq)
                 step = _block_rows(len(vidx))
                 cur = np.ones(len(vidx))
                 for lo in range(0, len(entries), step):
                     chunk = pts[lo:lo + step]
                     D = cosine_to_points(mat, chunk, msq, psq[lo:lo + step], units[lo:lo + step])
+                    strange = doubtful(psq[lo:lo + step])
                     # screen: pairs within eps of the row's screened minimum
                     # (fmin skips NaN: a NaN pair never lowers the minimum)
-                    low = np.fmin.reduce(D, axis=1)
-                    r, c = np.nonzero(D <= (np.fmin(low, cur) + eps)[:, None])
+                    sure = D if not strange.any() else np.where(strange[None, :], np.nan, D)
+                    low = np.fmin.reduce(sure, axis=1)
+                    near = D <= (np.fmin(low, cur) + eps)[:, None]
+                    near[odd] = True
+                    near[:, strange] = True
+                    r, c = np.nonzero(near)
                     if len(r):
                         exact = exact_cosine(mat[r], chunk[c])
                         np.fmin.at(cur, r, exact)
                 best[vidx] = np.minimum(best[vidx], cur)
-            if not bank.groups:
-                # empty set: the running minimum never moves from 1 (valid rows only)
+            if empty:
                 if spec.array_col:
                     seen = list_dims(batch.column(spec.array_col)) >= 0
                 else:
                     seen = columns_to_matrix([batch.column(c) for c in spec.cols])[1]
-            cols = [batch.column(c) for c in [id_col] + passthrough]
-            cols.append(pa.array(best, type=pa.float64(), mask=~seen))
-            yield pa.RecordBatch.from_arrays(cols, names=[id_col] + passthrough + [dist_col])
+            kept = [c for c in batch.schema.names if c not in ("__m", "__s")]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [pa.array(best), pa.array(seen)],
+                                             names=kept + ["__m", "__s"])
 
     return run
 
@@ -386,83 +440,72 @@ def point_scorer(point, spec: VectorSpec):
     return score
 
 
-def query_side_scorer(vec_bank_bc, k: int, qid_col: str, point_col: str, id_col: str,
-                      dist_col: str = "dist"):
+def query_side_scorer(vec_bank_bc, k: int, key: RowKey, query_key: RowKey):
     """Top-k rows per query when the *vectors* are the broadcast side.
 
-    Input batches hold refined queries ``(query_id, point)``; every task
-    sees all vectors, so each query's top-k is complete in the task and is
-    emitted ranked: ``(query_id, rank, id, dist)``, no shuffle needed.
+    Input batches hold queries (key columns, ``__p``); every task sees all
+    vectors, in the order of their keys, so a place in the bank breaks ties.
+    Each query's top-k is complete in the task and is emitted ranked: no
+    shuffle needed.
     """
 
     def run(batches):
         vb = vec_bank_bc.value
-        ids = vb.query_ids
-        # per dimension: the k smallest ids whose vector is not comparable
+        places = np.arange(vb.size)
+        # per dimension: the first k rows that are not comparable
         nulls = {}
 
-        def null_ids(dim):
+        def unscored(dim):
             if dim not in nulls:
-                same = np.zeros(len(ids), dtype=bool)
+                same = np.zeros(vb.size, dtype=bool)
                 for d, entries, _, _ in vb.groups:
                     if d == dim:
                         same[entries] = True
-                nulls[dim] = np.sort(ids[~same])[:k]
+                nulls[dim] = np.flatnonzero(~same)[:k]
             return nulls[dim]
 
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            qids = np.asarray(batch.column(qid_col).to_numpy(zero_copy_only=False), dtype=np.int64)
-            qarr = batch.column(point_col)
+            qarr = batch.column("__p")
             qdims = list_dims(qarr)
-            out_q, out_id, out_cls, out_d = [], [], [], []
+            parts = []
             for qdim in np.unique(qdims):
                 qrows = np.flatnonzero(qdims == qdim)
                 group = next((g for g in vb.groups if g[0] == qdim), None) if qdim >= 0 else None
+                state = TopKState(len(qrows), k)
                 if group is not None:
                     qmat, _ = list_to_matrix(qarr.take(pa.array(qrows)), int(qdim))
                     _, entries, pts, psq = group
-                    state = TopKState(len(qrows), k)
-                    qunit = unit_rows(qmat)
+                    qsq = sq_norms(qmat)
+                    qunit = unit_rows(qmat, qsq)
                     step = _block_rows(len(qrows))
                     eps = screen_margin(int(qdim))
                     for lo in range(0, len(entries), step):
                         # rows = vectors, columns = queries
                         vchunk = pts[lo:lo + step]
-                        D = cosine_to_points(vchunk, qmat, psq[lo:lo + step], pts_unit=qunit)
-                        _add(state, D, np.arange(len(qrows)), ids[entries[lo:lo + step]], k, eps,
-                             lambda r, c, vchunk=vchunk: exact_cosine(vchunk[r], qmat[c]))
-                    nid = null_ids(int(qdim))
-                else:
-                    state = TopKState(len(qrows), k)
-                    nid = np.sort(ids)[:k]
-                if len(nid):
-                    for j in range(len(qrows)):
-                        state.add([np.full(len(nid), j, dtype=np.int64)],
-                                  np.full(len(nid), NULL, dtype=np.int8), np.zeros(len(nid)), nid)
+                        D = cosine_to_points(vchunk, qmat, psq[lo:lo + step], qsq, qunit)
+                        _add(state, D, np.arange(len(qrows)), entries[lo:lo + step], k, eps,
+                             lambda r, c, vchunk=vchunk: exact_cosine(vchunk[r], qmat[c]),
+                             doubtful(psq[lo:lo + step]), doubtful(qsq))
+                rest = unscored(int(qdim)) if group is not None else places[:k]
+                _add_nulls(state, np.arange(len(qrows)), rest, k, None)
                 res = state.result()
-                if res is None:
-                    continue
-                keys, cls, dist, rid = res
-                out_q.append(qids[qrows[keys[0]]])
-                out_id.append(rid)
-                out_cls.append(cls)
-                out_d.append(dist)
-            if not out_q:
+                if res is not None:
+                    keys, cls, dist, place = res
+                    parts.append((qrows[keys[0]], place, cls, dist))
+            if not parts:
                 continue
-            q = np.concatenate(out_q)
-            rid = np.concatenate(out_id)
-            cls = np.concatenate(out_cls)
-            dist = np.concatenate(out_d)
-            order = np.lexsort((rid, dist, cls, q))
-            q, rid, cls, dist = q[order], rid[order], cls[order], dist[order]
+            q, place, cls, dist = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((place, dist, cls, q))
+            q, place, cls, dist = q[order], place[order], cls[order], dist[order]
             starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
             rank = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)])) + 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(q, type=pa.int64()), pa.array(rank.astype(np.int32), type=pa.int32()),
-                 pa.array(rid, type=pa.int64()),
-                 pa.array(np.where(cls == 1, np.nan, dist), type=pa.float64(), mask=(cls == NULL))],
-                names=["query_id", "rank", id_col, dist_col])
+                [batch.column(c).take(pa.array(q)) for c in query_key.inner]
+                + [pa.array(rank.astype(np.int32), type=pa.int32())]
+                + [a.take(pa.array(place)) for a in vb.keys]
+                + [pa.array(np.where(cls == 1, np.nan, dist), type=pa.float64(), mask=(cls == NULL))],
+                names=query_key.inner + ["__r"] + key.inner + ["__d"])
 
     return run

@@ -6,37 +6,43 @@ Plan shape of every search (checked with ``explain``):
         ->  TakeOrderedAndProject (one query)
         or  Exchange(hash key) -> WindowGroupLimit/row_number<=k (per key)
 
-Only the id and the vector columns reach the Python tasks (Catalyst prunes
-the scan, filters below the call are pushed to Parquet); payload columns can
-be joined back on the k winners.  Query points reach the tasks as a
-size-checked broadcast; when the query set is too large, ``search_many``
-broadcasts the (measured) vector table instead, or falls back to the block
-cogroup of :mod:`quiver.plans.blocks`.
+Only the row key and the vector columns reach the Python tasks (Catalyst
+prunes the scan, filters below the call are pushed to Parquet); payload
+columns can be joined back on the winners.  Inside a plan every column has a
+name of its own (:mod:`quiver.plans.keys`), so input columns may have any
+name.  Keys may have any type that Spark can sort, and several columns.
+
+Query points reach the tasks as a size-checked broadcast.  When a query table
+is larger, ``search_many`` broadcasts the (measured) vector table instead, or
+cuts the queries into several broadcasts and scans the vectors once for each.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DoubleType, IntegralType
-
-from ..plans.bank import (QueryBank, broadcast_bank, collect_bank, estimated_bytes,
-                          fits_broadcast, vector_table_size)
-from ..plans.blocks import block_counts, block_top_k
-from ..plans.session import (DEFAULT_BROADCAST_BYTES, attach, checkpoint_dir,
-                             default_parallelism)
+from pyspark.sql.types import DoubleType
+
+from ..functions.vectors import cosine_distance
+from ..plans.bank import (QueryBank, broadcast_bank, broadcast_banks, collect_bank, fits_broadcast,
+                          vector_table_size)
+from ..plans.keys import RowKey, quoted
+from ..plans.session import (DEFAULT_BROADCAST_BYTES, attach, default_parallelism, materialize,
+                             planned_bytes, planned_tasks)
 from ..plans.topk import auto_salt, global_top_k, top_k_per_key
 from .refine import refine_with_ids
-from .scoring import (VectorSpec, point_scorer, probes_scorer, query_side_scorer,
+from .scoring import (VectorSpec, candidate_ddl, point_scorer, query_side_scorer,
                       radius_scorer, topk_scorer)
 from .sfs import RefineOptions, refine
 
 
-# queries per task when the vector table is the broadcast side
+# queries per task when the vector table is the broadcast side, and when
+# queries are refined
 QUERIES_PER_TASK = 20_000
+REFINED_PER_TASK = 2_000
 
 
 def _spark(df: DataFrame) -> SparkSession:
@@ -64,12 +70,9 @@ def refined_point(spark: SparkSession, query, options: RefineOptions | None = No
     return best[0]
 
 
-def _single_bank(spark, query, options, exact,
-                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES):
-    if query is not None and not fits_broadcast(1, len(query), broadcast_bytes):
-        raise ValueError(f"a {len(query)}-dimensional query exceeds the broadcast budget")
-    point = refined_point(spark, query, options, exact)
-    return broadcast_bank(spark, QueryBank.single(point)), point
+def _single_bank(spark, query, options, exact):
+    """A literal is in driver memory already, so its broadcast needs no check."""
+    return broadcast_bank(spark, QueryBank.single(refined_point(spark, query, options, exact)))
 
 
 def _require_k(k: int):
@@ -77,64 +80,28 @@ def _require_k(k: int):
         raise ValueError(f"k must be a positive integer, got {k!r}")
 
 
-def _require_integral_id(df: DataFrame, id_col: str, what: str):
-    if not isinstance(df.schema[id_col].dataType, IntegralType):
-        raise ValueError(f"{what} ranks rows by an integer id; {id_col!r} is "
-                         f"{df.schema[id_col].dataType.simpleString()} (add a numeric surrogate "
-                         "key, e.g. a hash or a row id written with the table)")
-
-
-def _cand_schema(id_col: str, dist_col: str, group_col: str | None = None,
-                 group_type: str | None = None) -> str:
-    g = f", `{group_col}` {group_type}" if group_col else ""
-    return f"query_id long{g}, `{id_col}` long, `{dist_col}` double"
-
-
-def _tasks(df: DataFrame) -> int:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - e.g. Spark Connect
-        return default_parallelism(_spark(df))
+def _inner(df: DataFrame, key: RowKey, spec: VectorSpec, *more: Column) -> DataFrame:
+    """What a scoring task reads, under inner names."""
+    return df.select(*key.select(), *spec.select(), *more)
 
 
 # ---------------------------------------------------------------- S1 / S1e
 
-def search(df: DataFrame, query, k: int = 10, vec="embedding", id_col: str = "id",
+def search(df: DataFrame, query, k: int = 10, vec="embedding", id_col="id",
            options: RefineOptions | None = None, exact: bool = False,
            dist_col: str = "dist") -> DataFrame:
-    """The ``k`` rows nearest to one constant query: ``(id, dist)``.
+    """The ``k`` rows nearest to one constant query: ``(key columns, dist)``.
 
-    ``exact=True`` is S1e (plain cosine, no refinement).  Order is
-    ``dist ASC NULLS LAST, id ASC``; ids are expected to be unique.
+    ``id_col`` names the row key: a column or a list of columns.  ``exact=True``
+    is S1e (plain cosine, no refinement).  Order is ``dist ASC NULLS LAST``,
+    then the key (NULL first); keys are expected to be unique.
     """
     _require_k(k)
-    if not isinstance(id_col, str):
-        return _search_composite(df, query, k, vec, list(id_col), options, exact, dist_col)
-    if not isinstance(df.schema[id_col].dataType, IntegralType):
-        # string / decimal / ... keys: Spark's own ordering on the key
-        return _search_composite(df, query, k, vec, [id_col], options, exact, dist_col)
     spark = _spark(df)
-    spec = VectorSpec(vec)
-    bank_bc, _ = _single_bank(spark, query, options, exact)
-    cands = df.select(id_col, *spec.columns).mapInArrow(
-        topk_scorer(bank_bc, spec, id_col, k, dist_col=dist_col),
-        _cand_schema(id_col, dist_col))
-    return global_top_k(cands.select(id_col, dist_col), id_col, dist_col, k)
-
-
-def _search_composite(df, query, k, vec, id_cols, options, exact, dist_col):
-    """S1 with a multi-column row key.
-
-    Scores through the Arrow UDF (only the vector crosses to Python, one
-    double comes back) and lets ``TakeOrderedAndProject`` keep k rows per
-    task with the full ``(dist, key...)`` order.
-    """
-    spec = VectorSpec(vec)
-    scored = fractal_distance(df.select(*id_cols, *[c for c in spec.columns if c not in id_cols]),
-                              query, vec, dist_col, options, exact)
-    return (scored.select(*id_cols, dist_col)
-            .orderBy(F.col(dist_col).asc_nulls_last(), *[F.col(c).asc() for c in id_cols])
-            .limit(k))
+    spec, key = VectorSpec(vec), RowKey(df, id_col)
+    bank_bc = _single_bank(spark, query, options, exact)
+    cands = _inner(df, key, spec).mapInArrow(topk_scorer(bank_bc, spec.inner(), key, k), candidate_ddl(key))
+    return global_top_k(cands, key, k).select(*key.restore(), F.col("__d").alias(dist_col))
 
 
 def exact_search(df: DataFrame, query, k: int = 10, **kw) -> DataFrame:
@@ -143,180 +110,202 @@ def exact_search(df: DataFrame, query, k: int = 10, **kw) -> DataFrame:
 
 
 def with_payload(top: DataFrame, df: DataFrame, id_col: str, payload: list[str]) -> DataFrame:
-    """Join wide payload columns back onto the k winners.
+    """Join wide payload columns back onto winners.
 
-    ``top`` holds at most k rows, a proven bound, so it is the broadcast side.
+    Spark picks the join from the sizes it measures: the winners of a plain
+    search are few and get broadcast, those of a search per group or query
+    need not be.
     """
-    return df.select(id_col, *payload).join(F.broadcast(top), id_col)
+    return df.select(quoted(id_col), *[quoted(c) for c in payload]).join(top, id_col)
 
 
 # ---------------------------------------------------------------- S1g
 
 def search_groups(df: DataFrame, query, by: str, k: int = 10, vec="embedding",
-                  id_col: str = "id", options: RefineOptions | None = None,
+                  id_col="id", options: RefineOptions | None = None,
                   exact: bool = False, dist_col: str = "dist",
                   salt_buckets: int | None = None) -> DataFrame:
-    """S1g: top-k per value of ``by``: ``(by, rank, id, dist)``.
+    """S1g: top-k per value of ``by``: ``(by, rank, key columns, dist)``.
 
     Each task keeps k rows per group, so a group holding a third of the
     table sends no more rows to the shuffle than any other.
     """
     _require_k(k)
-    if not isinstance(id_col, str) or not isinstance(df.schema[id_col].dataType, IntegralType):
-        return _search_groups_by_key(df, query, by, k, vec, id_col, options, exact, dist_col)
     spark = _spark(df)
-    spec = VectorSpec(vec)
-    bank_bc, _ = _single_bank(spark, query, options, exact)
-    gfield = df.schema[by]
-    gtype = to_arrow_type(gfield.dataType)
-    cands = df.select(id_col, by, *[c for c in spec.columns if c != by]).mapInArrow(
-        topk_scorer(bank_bc, spec, id_col, k, group_col=by, group_type=gtype, dist_col=dist_col),
-        _cand_schema(id_col, dist_col, by, gfield.dataType.simpleString()))
-    salt = salt_buckets if salt_buckets is not None else auto_salt(_tasks(df), k)
-    out = top_k_per_key(cands, [by], id_col, dist_col, k, salt)
-    return out.select(by, "rank", id_col, dist_col)
-
-
-def _search_groups_by_key(df, query, by, k, vec, id_col, options, exact, dist_col):
-    """S1g for string / decimal / multi-column keys: Arrow UDF scores, then
-    ``row_number() <= k`` per group over ``(dist, key...)``, which Spark plans
-    with a partial WindowGroupLimit before the shuffle (k rows per group
-    per task, whatever the skew)."""
-    ids = [id_col] if isinstance(id_col, str) else list(id_col)
-    spec = VectorSpec(vec)
-    cols = ids + [by] + [c for c in spec.columns if c not in ids and c != by]
-    scored = fractal_distance(df.select(*cols), query, vec, dist_col, options, exact)
-    w = Window.partitionBy(by).orderBy(F.col(dist_col).asc_nulls_last(),
-                                       *[F.col(c).asc() for c in ids])
-    return (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select(by, "rank", *ids, dist_col))
+    spec, key = VectorSpec(vec), RowKey(df, id_col)
+    bank_bc = _single_bank(spark, query, options, exact)
+    group = df.schema[by].dataType
+    cands = _inner(df, key, spec, quoted(by).alias("__g")).mapInArrow(
+        topk_scorer(bank_bc, spec.inner(), key, k, group_type=to_arrow_type(group)),
+        candidate_ddl(key, group_type=group.simpleString()))
+    salt = salt_buckets if salt_buckets is not None else auto_salt(planned_tasks(df), k)
+    out = top_k_per_key(cands, ["__g"], key, k, salt)
+    return out.select(F.col("__g").alias(by), F.col("__r").alias("rank"), *key.restore(),
+                      F.col("__d").alias(dist_col))
 
 
 # ---------------------------------------------------------------- S1r
 
-def radius_search(df: DataFrame, query, radius: float, vec="embedding", id_col: str = "id",
+def radius_search(df: DataFrame, query, radius: float, vec="embedding", id_col="id",
                   options: RefineOptions | None = None, exact: bool = False,
                   dist_col: str = "dist") -> DataFrame:
-    """S1r: every row with ``dist <= radius`` to one constant query: ``(id, dist)``.
+    """S1r: every row with ``dist <= radius`` to one constant query: ``(key columns, dist)``.
 
-    NULL and NaN distances never match.  Non-integer keys take the Arrow
-    UDF plus a Spark ``filter``.
+    NULL and NaN distances never match.
     """
-    if not isinstance(df.schema[id_col].dataType, IntegralType):
-        scored = fractal_distance(df.select(id_col, *VectorSpec(vec).columns), query, vec,
-                                  dist_col, options, exact)
-        return scored.select(id_col, dist_col).filter(F.col(dist_col) <= F.lit(float(radius)))
     spark = _spark(df)
-    spec = VectorSpec(vec)
-    bank_bc, _ = _single_bank(spark, query, options, exact)
-    cands = df.select(id_col, *spec.columns).mapInArrow(
-        radius_scorer(bank_bc, spec, id_col, float(radius), dist_col),
-        _cand_schema(id_col, dist_col))
-    return cands.select(id_col, dist_col)
+    spec, key = VectorSpec(vec), RowKey(df, id_col)
+    bank_bc = _single_bank(spark, query, options, exact)
+    cands = _inner(df, key, spec).mapInArrow(radius_scorer(bank_bc, spec.inner(), key, float(radius)),
+                                             candidate_ddl(key))
+    return cands.select(*key.restore(), F.col("__d").alias(dist_col))
+
+
+def radius_many(vectors: DataFrame, queries: DataFrame, radius: float, vec="embedding", id_col="id",
+                query_id_col="query_id", query_col: str = "query",
+                options: RefineOptions | None = None, exact: bool = False, dist_col: str = "dist",
+                broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """S1r for a query table: every (query, row) pair with ``dist <= radius``.
+
+    Only matches leave a task.  Returns ``(query key, row key, dist)``.
+    """
+    _spark(vectors)
+    spec, key = VectorSpec(vec), RowKey(vectors, id_col)
+    query_key = RowKey(queries, query_id_col, "__k")
+    points, rows, elements = query_points(queries, query_key, query_col, options, exact, broadcast_bytes)
+    banks = broadcast_banks(points, "__p", query_key.inner, rows, elements, broadcast_bytes)
+    frame, inner = _inner(vectors, key, spec), spec.inner()
+    found = _union([frame.mapInArrow(radius_scorer(b, inner, key, float(radius)), candidate_ddl(key, query_key))
+                    for b in banks])
+    return found.select(*query_key.restore(_query_names(query_key, key)), *key.restore(),
+                        F.col("__d").alias(dist_col))
 
 
 # ---------------------------------------------------------------- S3 / V3
 
 def fractal_distance(df: DataFrame, query, vec="embedding", out: str = "dist",
                      options: RefineOptions | None = None, exact: bool = False) -> DataFrame:
-    """S3: add the distance of every row to one constant query as ``out``.
+    """S3 / V3: add the distance of every row to its query as ``out``.
 
-    The refined point is a constant of an Arrow UDF: only the vector column
-    crosses to Python, all other columns stay in the JVM row.
+    ``query`` is one constant vector or a column expression with a query per
+    row.  The refined point of a constant is part of an Arrow UDF: only the
+    vector column crosses to Python, all other columns stay in the JVM row.
+    Queries of a column are refined once per distinct value as a job of their
+    own and joined back; the distance is then a native expression.
     """
     spark = _spark(df)
     spec = VectorSpec(vec)
+    if isinstance(query, Column):
+        return _distance_to_column(df, query, spec, out, options, exact)
     point = refined_point(spark, query, options, exact)
     score = F.arrow_udf(point_scorer(point, spec), DoubleType())
-    return df.withColumn(out, score(*[F.col(c) for c in spec.columns]))
+    return df.withColumn(out, score(*[quoted(c) for c in spec.columns]))
+
+
+def _distance_to_column(df, query, spec, out, options, exact):
+    row = df.select(F.struct(*[quoted(c) for c in df.columns]).alias("__row"),
+                    query.cast("array<double>").alias("query"), _vector_column(spec).alias("__v"))
+    if exact:
+        points = row.withColumn("best_point", F.col("query"))
+    else:
+        points = refine_with_ids(row, ["__row", "__v"], "query", options)
+    scored = points.select("__row", cosine_distance(F.col("__v"), F.col("best_point")).alias("__d"))
+    kept = [c for c in df.columns if c != out]
+    return scored.select(*[F.col("__row").getField(c).alias(c) for c in kept], F.col("__d").alias(out))
 
 
 # ---------------------------------------------------------------- S1m
 
+def _query_names(query_key: RowKey, key: RowKey) -> list[str]:
+    """Query key names of a result; one that the row key has too gets ``query_`` before it."""
+    return [f"query_{n}" if n in key.names else n for n in query_key.names]
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def query_points(queries: DataFrame, query_key: RowKey, query_col: str, options, exact: bool,
+                 broadcast_bytes: int) -> tuple[DataFrame, int, int]:
+    """The written ``(query key, __p)`` table of points to score against, its rows and elements.
+
+    ``queries`` is evaluated once: everything later reads what was written.
+    """
+    spark = queries.sparkSession
+    # the stored element type: kernels widen it exactly, shuffles move half the bytes
+    held = materialize(queries.select(*query_key.select(), quoted(query_col).alias("query")), "queries")
+    rows, elements = vector_table_size(held, "query")
+    if exact:
+        return held.withColumnRenamed("query", "__p"), rows, elements
+    tasks = max(1, min(rows, max(2 * default_parallelism(spark), -(-rows // REFINED_PER_TASK))))
+    refined = refine_with_ids(held, query_key.inner, "query", options, tasks,
+                              bounded=fits_broadcast(rows, elements, broadcast_bytes))
+    points = refined.select(*query_key.inner, F.col("best_point").alias("__p"))
+    return materialize(points, "refined"), rows, elements
+
+
 def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedding",
-                id_col: str = "id", query_id_col: str = "query_id",
+                id_col="id", query_id_col="query_id",
                 query_col: str = "query", options: RefineOptions | None = None,
                 exact: bool = False, dist_col: str = "dist",
                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                 salt_buckets: int | None = None,
                 vector_broadcast_bytes: int | None = None) -> DataFrame:
-    """S1m: top-k rows per query: ``(query_id, rank, id, dist)``.
+    """S1m: top-k rows per query: ``(query key, rank, row key, dist)``.
 
-    Each distinct query vector is refined once (R4).  Three plans, chosen
-    by measured sizes against ``broadcast_bytes``:
+    Both keys may have any type and several columns; a query key column named
+    like a row key column comes back with ``query_`` before its name.  Query
+    rows that repeat a key are queries of their own.  Each distinct query
+    vector is refined once (R4).  Three plans with equal results, chosen by
+    measured sizes against ``broadcast_bytes``:
 
     * query points fit: broadcast them; scan the vectors, keep a running
-      top-k per query per task, then one shuffle on ``query_id``;
+      top-k per query per task, then one shuffle on the query;
     * otherwise the vector table fits: broadcast the vectors; each task
       holding a batch of queries completes their top-k (no shuffle);
-    * neither: rows and queries meet block by block in a cogroup, and no
-      side is held whole anywhere.
+    * neither: the same as the first with the points cut into several
+      broadcasts, one scan of the vectors each; no vector is shuffled.
     """
     _require_k(k)
     spark = _spark(vectors)
-    _require_integral_id(vectors, id_col, "search_many")
-    _require_integral_id(queries, query_id_col, "search_many")
-    spec = VectorSpec(vec)
-    q_rows, q_elems = vector_table_size(queries, query_col)
-    qsel = queries.select(F.col(query_id_col).alias("query_id"),
-                          F.col(query_col).cast("array<double>").alias("query"))
-    par = max(1, min(q_rows, 2 * default_parallelism(spark)))
-    small = fits_broadcast(q_rows, q_elems, broadcast_bytes)
-    if exact:
-        # keep the stored element type (e.g. float): the kernels widen it
-        # exactly, and any shuffle of the queries moves half the bytes
-        points = queries.select(F.col(query_id_col).alias("query_id"),
-                                F.col(query_col).alias("best_point"))
-    else:
-        points = refine_with_ids(qsel, "query_id", "query", options, par, bounded=small)
-    if small:
-        bank = collect_bank(points, "query_id", "best_point", broadcast_bytes)
-        bank_bc = broadcast_bank(spark, bank)
-        cands = vectors.select(id_col, *spec.columns).mapInArrow(
-            topk_scorer(bank_bc, spec, id_col, k, dist_col=dist_col),
-            _cand_schema(id_col, dist_col))
-        tasks = _tasks(vectors)
-    else:
-        vsel = vectors.select(F.col(id_col).alias("_vid"), _vector_column(spec).alias("_vec"))
-        v_rows, v_elems = vector_table_size(vsel, "_vec")
-        vbudget = broadcast_bytes if vector_broadcast_bytes is None else vector_broadcast_bytes
-        if fits_broadcast(v_rows, v_elems, vbudget):
-            # many queries, small vector table: broadcast the vectors and
-            # finish every query's top-k inside the task holding it
-            vbank = collect_bank(vsel, "_vid", "_vec", vbudget)
-            vbank_bc = broadcast_bank(spark, vbank)
-            # the queries are the large side here: spread them over tasks
-            n_tasks = max(2 * default_parallelism(spark), -(-q_rows // QUERIES_PER_TASK))
-            spread = points.select("query_id", "best_point").repartition(
-                n_tasks, F.xxhash64("query_id"))
-            out = spread.mapInArrow(
-                query_side_scorer(vbank_bc, k, "query_id", "best_point", id_col, dist_col),
-                f"query_id long, rank int, `{id_col}` long, `{dist_col}` double")
-            return out.select(F.col("query_id").alias(query_id_col), "rank", id_col, dist_col)
-        # both sides large: their refinement is the expensive input of every
-        # block task, so write it to the shared checkpoint folder once
-        # (reliable checkpoint: a lost executor does not redo the search)
-        checkpoint_dir(spark)
-        points = points.checkpoint(eager=True)
-        nvb, nqb = block_counts(v_rows, q_rows, q_elems, v_elems,
-                                min_tasks=2 * default_parallelism(spark))
-        cands = block_top_k(vectors, points, spec, id_col, "query_id", "best_point", k,
-                            nvb, nqb, dist_col)
-        tasks = nvb
-    salt = salt_buckets if salt_buckets is not None else auto_salt(tasks, k)
-    out = top_k_per_key(cands, ["query_id"], id_col, dist_col, k, salt)
-    return out.select(F.col("query_id").alias(query_id_col), "rank", id_col, dist_col)
+    spec, key = VectorSpec(vec), RowKey(vectors, id_col)
+    query_key = RowKey(queries, query_id_col, "__k")
+    points, rows, elements = query_points(queries, query_key, query_col, options, exact, broadcast_bytes)
+    names = _query_names(query_key, key)
+
+    if not fits_broadcast(rows, elements, broadcast_bytes):
+        budget = broadcast_bytes if vector_broadcast_bytes is None else vector_broadcast_bytes
+        planned = planned_bytes(vectors.select(*[quoted(c) for c in key.names + spec.columns]))
+        # compressed files hold a few times their size; far larger ones are not even measured
+        if vector_broadcast_bytes is not None or (planned is not None and planned <= budget):
+            held = vectors.select(*key.select(), _vector_column(spec).alias("__p"))
+            n, e = vector_table_size(held, "__p")
+            if fits_broadcast(n, e, budget):
+                bank = broadcast_bank(spark, collect_bank(held.orderBy(*key.order()), "__p", key.inner))
+                tasks = max(2 * default_parallelism(spark), -(-rows // QUERIES_PER_TASK))
+                out = points.repartition(tasks, F.xxhash64(*query_key.inner)).mapInArrow(
+                    query_side_scorer(bank, k, key, query_key),
+                    f"{query_key.ddl}, __r int, {key.ddl}, __d double")
+                return out.select(*query_key.restore(names), F.col("__r").alias("rank"), *key.restore(),
+                                  F.col("__d").alias(dist_col))
+
+    banks = broadcast_banks(points, "__p", query_key.inner, rows, elements, broadcast_bytes)
+    frame, inner = _inner(vectors, key, spec), spec.inner()
+    cands = _union([frame.mapInArrow(topk_scorer(b, inner, key, k), candidate_ddl(key, query_key))
+                    for b in banks])
+    salt = salt_buckets if salt_buckets is not None else auto_salt(planned_tasks(vectors), k)
+    out = top_k_per_key(cands, ["__q"], key, k, salt)
+    return out.select(*query_key.restore(names), F.col("__r").alias("rank"), *key.restore(),
+                      F.col("__d").alias(dist_col))
 
 
 def _vector_column(spec: VectorSpec):
     if spec.array_col:
-        return F.col(spec.array_col).cast("array<double>")
-    return F.array(*[F.col(c).cast("double") for c in spec.cols])
-
-
-def query_bank_bytes(queries: DataFrame, query_col: str = "query") -> int:
-    rows, elems = vector_table_size(queries, query_col)
-    return estimated_bytes(rows, elems)
+        return quoted(spec.array_col).cast("array<double>")
+    return F.array(*[quoted(c).cast("double") for c in spec.cols])
 
 
 # ---------------------------------------------------------------- S2
@@ -362,26 +351,18 @@ def multi_probe_search(df: DataFrame, query, k: int = 10, probes: int = 5, vec="
     spark = _spark(df)
     spec = VectorSpec(vec)
     points = probe_points(spark, query, probes, options)
-    if not isinstance(id_col, str) or not isinstance(df.schema[id_col].dataType, IntegralType):
-        # any key type: exact min over probes in an Arrow UDF, Spark's ordered limit
-        ids = [id_col] if isinstance(id_col, str) else list(id_col)
-        score = F.arrow_udf(probes_scorer(points, spec), DoubleType())
-        scored = df.select(*ids, score(*[F.col(c) for c in spec.columns]).alias(dist_col))
-        return (scored.orderBy(F.col(dist_col).asc_nulls_last(), *[F.col(c).asc() for c in ids])
-                .limit(k))
+    key = RowKey(df, id_col)
     if points is None:
         bank = QueryBank.single(None)
         owners = None
     else:
-        arr = pa.array(list(points), type=pa.list_(pa.float64()))
-        bank = QueryBank.from_arrays(np.zeros(len(points), dtype=np.int64), arr)
-        # all probes share dim; one owner (output query 0) with one run
-        owners = (np.array([0], dtype=np.int64), [np.array([0])], [np.array([0])])
+        bank = QueryBank.from_arrays(pa.array(list(points), type=pa.list_(pa.float64())))
+        # all probes share dim; one owner (the first entry) with one run
+        owners = (np.array([0]), [np.array([0])], [np.array([0])])
     bank_bc = broadcast_bank(spark, bank)
-    cands = df.select(id_col, *spec.columns).mapInArrow(
-        topk_scorer(bank_bc, spec, id_col, k, dist_col=dist_col, owners=owners),
-        _cand_schema(id_col, dist_col))
-    return global_top_k(cands.select(id_col, dist_col), id_col, dist_col, k)
+    cands = _inner(df, key, spec).mapInArrow(topk_scorer(bank_bc, spec.inner(), key, k, owners=owners),
+                                             candidate_ddl(key))
+    return global_top_k(cands, key, k).select(*key.restore(), F.col("__d").alias(dist_col))
 
 
 def probe_points(spark: SparkSession, query, probes: int,
@@ -398,7 +379,7 @@ def probe_points(spark: SparkSession, query, probes: int,
 
 
 __all__ = [
-    "search", "exact_search", "search_groups", "radius_search", "fractal_distance",
+    "search", "exact_search", "search_groups", "radius_search", "radius_many", "fractal_distance",
     "search_many", "search_top_k", "multi_probe_search", "probe_points", "refined_point",
-    "with_payload", "query_bank_bytes",
+    "with_payload",
 ]

@@ -6,109 +6,156 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from ..functions.arrays import list_dims, list_to_matrix
-from ..plans.bank import (QueryBank, broadcast_bank, collect_bank, fits_broadcast,
-                          vector_table_size)
-from ..plans.blocks import block_counts, block_set_min
-from ..plans.session import DEFAULT_BROADCAST_BYTES, attach
+from ..functions.arrays import list_to_matrix
+from ..plans.bank import broadcast_banks, vector_table_size
+from ..plans.keys import RowKey, quoted
+from ..plans.session import DEFAULT_BROADCAST_BYTES, attach, materialize, scratch_path
 from .scoring import VectorSpec, set_min_scorer
-from .sfs import RefineOptions, SetObjective, refine
+from .sfs import RefineOptions, query_box_start, set_distances, step_all
 
-# largest set one refinement task may hold (rows); larger sets are refused
-MAX_SET_ROWS = 250_000
+# parts of a set that one pass over the rows holds at a time
+PARTS_PER_PASS = 4
+
+
+def _whole(vec: Column) -> Column:
+    return vec.isNotNull() & ~F.exists(vec, lambda x: x.isNull())
 
 
 def min_distance_to_set(df: DataFrame, members: DataFrame, vec="embedding",
-                        member_col: str = "embedding", id_col: str = "id",
+                        member_col: str = "embedding", id_col="id",
                         out: str = "min_dist",
                         broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                         passthrough: list[str] | None = None) -> DataFrame:
     """V4: ``min(1, min_i cosdist(row, member_i))`` for every row.
 
-    A row is compared with the valid members of its own length (NULL
-    members, members with a NULL element and members of other lengths do
-    not take part); a zero norm makes that pair's distance 1.  A row that
-    is NULL, holds a NULL element, or has no member of its length gets
-    NULL; with an empty set every valid row gets 1.  A small set
-    (measured) is broadcast and each row is reduced in its own task; a large
-    one goes through the block cogroup plus ``groupBy(id).min``.
+    Returns the key columns, ``passthrough`` and ``out``, a row for each row
+    of ``df``.  A row is compared with the valid members of its own length
+    (NULL members, members with a NULL element and members of other lengths
+    do not take part); a zero norm makes that pair's distance 1.  A row that
+    is NULL, holds a NULL element, or has no member of its length gets NULL;
+    with a set that has no valid member at all every valid row gets 1.
+
+    ``members`` is evaluated once.  A set above ``broadcast_bytes`` is cut
+    into several broadcasts that lower each row's minimum one after the other
+    in the task that holds the row: rows are never shuffled or joined back.
     """
     spark = df.sparkSession
     attach(spark)
-    spec = VectorSpec(vec)
-    m = members.select(F.col(member_col).cast("array<double>").alias("point"))
-    rows, elems = vector_table_size(m, "point")
-    if rows == 0 or fits_broadcast(rows, elems, broadcast_bytes):   # empty: trivially bounded
-        bank = collect_bank(m.select(F.lit(0).cast("long").alias("_o"), "point"), "_o", "point",
-                            broadcast_bytes)
-        bank_bc = broadcast_bank(spark, bank)
-        passthrough = passthrough or []
-        cols = [id_col] + [c for c in passthrough if c != id_col]
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                           for f in df.select(*cols).schema.fields) + f", `{out}` double"
-        return df.select(*cols, *[c for c in spec.columns if c not in cols]).mapInArrow(
-            set_min_scorer(bank_bc, spec, id_col, out, cols[1:]), schema)
-    v_rows, v_elems = vector_table_size(
-        df.select(_as_vector(spec).alias("_v")), "_v")
-    nvb, nsb = block_counts(v_rows, rows, elems, v_elems,
-                            min_tasks=2 * max(1, spark.sparkContext.defaultParallelism))
-    mins = block_set_min(df, m, spec, id_col, "point", nvb, nsb, out)
-    # rows whose every block was empty would be missing: bring all ids back
-    return df.select(id_col).join(mins, id_col, "left")
-
-
-def _as_vector(spec: VectorSpec):
-    if spec.array_col:
-        return F.col(spec.array_col)
-    return F.array(*[F.col(c).cast("double") for c in spec.cols])
-
-
-def _set_refine_fn(key_col: str, vec_col: str, opts: RefineOptions, key_type):
-    def run(table: pa.Table) -> pa.Table:
-        key = table.column(key_col)[0].as_py()
-        arr = table.column(vec_col).combine_chunks()
-        dims = list_dims(arr)
-        dd = dims[dims >= 0]
-        schema = pa.schema([(key_col, key_type), ("dim", pa.int32()),
-                            ("best_point", pa.list_(pa.float64())), ("best_fit", pa.float64())])
-        if len(dd) == 0:
-            return schema.empty_table()
-        # the set's dimension is its most common valid length
-        vals, counts = np.unique(dd, return_counts=True)
-        d = int(vals[np.argmax(counts)])
-        mat, _ = list_to_matrix(arr, d)
-        seed = (zlib.crc32(repr(key).encode()) ^ (int(opts.seed) & 0xFFFFFFFF)) & 0xFFFFFFFF
-        best, fit = refine(np.zeros((1, d)), opts, objective=SetObjective(mat), seeds=[seed])
-        return pa.table({key_col: pa.array([key], type=key_type), "dim": pa.array([d], pa.int32()),
-                         "best_point": pa.array([best[0]], type=pa.list_(pa.float64())),
-                         "best_fit": pa.array([fit[0]], type=pa.float64())})
+    spec, key = VectorSpec(vec), RowKey(df, id_col)
+    names = key.names + [c for c in passthrough or [] if c not in key.names]
+    point = quoted(member_col).cast("array<double>")
+    held = materialize(members.filter(_whole(point)).select(point.alias("__p")), "set")
+    rows, elements = vector_table_size(held, "__p")
+    frame = df.select(*[quoted(c).alias(f"__c{i}") for i, c in enumerate(names)], *spec.select())
+    schema = StructType(frame.schema.fields + [StructField("__m", DoubleType()), StructField("__s", BooleanType())])
+    for i, bank in enumerate(broadcast_banks(held, "__p", [], rows, elements, broadcast_bytes)):
+        if i and i % PARTS_PER_PASS == 0:
+            frame = materialize(frame, "set-minima")
+        frame = frame.mapInArrow(set_min_scorer(bank, spec.inner(), i == 0, rows == 0), schema)
+    return frame.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(names)],
+                        F.when(F.col("__s"), F.col("__m")).alias(out))
+
+
+def _trial_minima(trials_bc):
+    """Per set, the smallest distance from each trial point to the members a task holds."""
+    def run(batches):
+        trials = trials_bc.value
+        low: dict[int, np.ndarray] = {}
+        for batch in batches:
+            sets, lists = batch.column(0).to_numpy(), batch.column(1)
+            for s in np.unique(sets).tolist():
+                points = trials.get(s)
+                if points is None:
+                    continue
+                mat, _ = list_to_matrix(lists.take(pa.array(np.flatnonzero(sets == s))), points.shape[1])
+                found = set_distances(points, mat)
+                low[s] = np.fmin(low[s], found) if s in low else found
+        for s, minima in low.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(minima), s), pa.int64()), pa.array(np.arange(len(minima)), pa.int64()),
+                 pa.array(minima, pa.float64())], names=["s", "i", "m"])
     return run
 
 
 def refine_against_sets(df: DataFrame, by: str, vec: str = "embedding",
                         options: RefineOptions | None = None,
-                        max_set_rows: int = MAX_SET_ROWS) -> DataFrame:
+                        broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Per group, the search with objective ``min(1, min_i cosdist(x, s_i))``.
 
-    Every objective evaluation needs the whole set, so one task must hold a
-    group's set.  Group sizes are measured first and a group above
-    ``max_set_rows`` is an error (no silent sampling or truncation).
+    Returns ``(by, dim, best_point, best_fit)``, a row for each length of
+    valid vectors in a group; a group without a valid vector has one row of
+    NULLs.  Every generation evaluates the trial points of all groups in one
+    job over the members, wherever they are: a group is never gathered.  Only
+    trial points (their number is fixed by the options) travel, for as many
+    groups at a time as a broadcast of ``broadcast_bytes`` holds.  Particles
+    of one generation share its first incumbent, where the sequential search
+    lets a particle see the improvements of those before it.
     """
-    from pyspark.sql.pandas.types import to_arrow_type
-
+    spark = df.sparkSession
+    attach(spark)
     opts = options or RefineOptions()
-    attach(df.sparkSession)
-    biggest = df.groupBy(by).count().agg(F.max("count")).collect()[0][0] or 0
-    if biggest > max_set_rows:
-        raise ValueError(f"largest set has {biggest} rows, above max_set_rows={max_set_rows}")
-    ktype = df.schema[by].dataType
-    sel = df.select(by, F.col(vec).cast("array<double>").alias(vec))
-    return sel.groupBy(by).applyInArrow(
-        _set_refine_fn(by, vec, opts, to_arrow_type(ktype)),
-        f"`{by}` {ktype.simpleString()}, dim int, best_point array<double>, best_fit double")
-
-
-__all__ = ["min_distance_to_set", "refine_against_sets", "QueryBank"]
+    vector = quoted(vec).cast("array<double>")
+    rows = materialize(df.select(quoted(by).alias("g"), F.when(_whole(vector), vector).alias("v"))
+                       .withColumn("n", F.when(F.col("v").isNotNull(), F.size("v"))), "set-rows")
+    kinds = rows.select("g", "n").distinct()
+    whole = kinds.groupBy("g").agg(F.max("n").alias("most"))
+    kept = (kinds.join(whole.withColumnRenamed("g", "g2"), F.col("g").eqNullSafe(F.col("g2")))
+            .filter(F.col("n").isNotNull() | F.col("most").isNull()).select("g", "n"))
+    sets = materialize(kept.withColumn("s", F.monotonically_increasing_id()), "sets")
+    members = materialize(
+        rows.join(sets.select(F.col("g").alias("g2"), F.col("n").alias("n2"), "s"),
+                  F.col("g").eqNullSafe(F.col("g2")) & (F.col("n") == F.col("n2")))
+        .select("s", "v", "n"), "set-members")
+    path = scratch_path(spark, "set-points")
+    schema = StructType([StructField("s", sets.schema["s"].dataType),
+                         *StructType.fromDDL("best_point array<double>, best_fit double").fields])
+    spark.createDataFrame([], schema).write.parquet(path)
+    widest = sets.agg(F.max("n")).first()[0] or 0
+    per_set = 8 * max(1, widest) * opts.population * (opts.diffusion + 2) + 64
+    step = max(1, broadcast_bytes // per_set)
+    total = sets.count()
+    parts = max(1, -(-total // step))
+    for part in range(parts):
+        chosen = sets.filter((F.pmod(F.xxhash64("s"), F.lit(parts)) == part) & F.col("n").isNotNull()).collect()
+        if chosen:
+            mine = members if parts == 1 else members.filter(F.pmod(F.xxhash64("s"), F.lit(parts)) == part)
+            found = _search_sets(spark, mine, chosen, opts)
+            spark.createDataFrame(found, schema).write.mode("append").parquet(path)
+    points = spark.read.schema(schema).parquet(path)
+    return (sets.join(points, "s", "left")
+            .select(F.col("g").alias(by), F.col("n").cast("int").alias("dim"), "best_point", "best_fit"))
+
+
+def _search_sets(spark, members: DataFrame, chosen: list, opts: RefineOptions) -> list[tuple]:
+    """The search for some sets together; ``chosen`` holds rows ``(g, n, s)``."""
+    state = {}
+    for r in chosen:
+        seed = (zlib.crc32(repr(r["g"]).encode()) ^ (int(opts.seed) & 0xFFFFFFFF)) & 0xFFFFFFFF
+        state[r["s"]] = query_box_start(r["n"], opts, seed)
+
+    def evaluate(trials: dict) -> dict:
+        held = spark.sparkContext.broadcast(trials)
+        rows = (members.select("s", "v").mapInArrow(_trial_minima(held), "s long, i long, m double")
+                .groupBy("s", "i").agg(F.min("m").alias("m")).collect())
+        held.destroy()
+        out = {s: np.ones(len(p)) for s, p in trials.items()}
+        for s, i, m in rows:
+            out[s][i] = min(1.0, m)
+        return out
+
+    first = evaluate({s: x.particles for s, x in state.items()})
+    for s, x in state.items():
+        x.start(first[s])
+    for _ in range(int(opts.generations)):
+        trials = {s: step_all(x, opts) for s, x in state.items()}
+        fits = evaluate({s: t.reshape(-1, t.shape[-1]) for s, t in trials.items()})
+        for s, x in state.items():
+            x.accept(trials[s], fits[s].reshape(trials[s].shape[:2]))
+    return [(s, [float(v) for v in x.particles[x.best]], float(x.fits[x.best])) for s, x in state.items()]
+
+
+__all__ = ["min_distance_to_set", "refine_against_sets"]

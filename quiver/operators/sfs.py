@@ -94,31 +94,61 @@ class CosineObjective:
         return 1.0 - dot
 
 
-class SetObjective:
-    """f(x) = min(1, min_i cosdist(x, s_i)); a zero norm makes that distance 1.
-
-    One set shared by every query slot of the call.
-    """
-
-    def __init__(self, members: np.ndarray, chunk: int = 65536):
-        self.s = np.asarray(members, dtype=np.float64)              # (n, d)
-        self.ns = np.sqrt(np.einsum("nd,nd->n", self.s, self.s))
-        self.chunk = chunk
-
-    def __call__(self, x: np.ndarray) -> np.ndarray:
-        shape = x.shape[:-1]
-        flat = x.reshape(-1, x.shape[-1])
-        nx = np.sqrt(np.einsum("nd,nd->n", flat, flat))
-        best = np.ones(flat.shape[0])
-        for lo in range(0, self.s.shape[0], self.chunk):
-            s = self.s[lo:lo + self.chunk]
-            ns = self.ns[lo:lo + self.chunk]
-            with np.errstate(invalid="ignore", divide="ignore"):
-                d = 1.0 - (flat @ s.T) / (nx[:, None] * ns[None, :])
-            d[(nx == 0)[:, None] | (ns == 0)[None, :]] = 1.0
-            d = np.where(np.isnan(d), np.inf, d)                    # NaN never wins a min
-            best = np.minimum(best, d.min(axis=1))
-        return best.reshape(shape)
+def set_distances(points: np.ndarray, members: np.ndarray, chunk: int = 4096) -> np.ndarray:
+    """``min_i cosdist(x, s_i)`` of each point over some members; a zero norm makes a distance 1."""
+    nx = np.sqrt(np.einsum("nd,nd->n", points, points))
+    best = np.full(len(points), np.inf)
+    for lo in range(0, len(members), chunk):
+        s = members[lo:lo + chunk]
+        ns = np.sqrt(np.einsum("nd,nd->n", s, s))
+        with np.errstate(invalid="ignore", divide="ignore"):
+            d = 1.0 - (points @ s.T) / (nx[:, None] * ns[None, :])
+        d[(nx == 0)[:, None] | (ns == 0)[None, :]] = 1.0
+        d = np.where(np.isnan(d), np.inf, d)                        # NaN never wins a min
+        best = np.minimum(best, d.min(axis=1))
+    return best
+
+
+class SetState:
+    """Particles of one search whose objective is evaluated elsewhere, a generation at a time."""
+
+    def __init__(self, particles: np.ndarray, rng: np.random.Generator):
+        self.particles, self.rng = particles, rng
+        self.fits = np.full(len(particles), np.inf)
+        self.best = 0
+
+    def start(self, fits: np.ndarray):
+        self.fits, self.best = fits.copy(), int(np.argmin(fits))
+
+    def accept(self, trials: np.ndarray, fits: np.ndarray):
+        """Each particle takes its trials in turn where they are strictly better."""
+        for m in range(trials.shape[1]):
+            better = fits[:, m] < self.fits
+            self.particles[better] = trials[better, m]
+            self.fits[better] = fits[better, m]
+        if self.fits.min() < self.fits[self.best]:
+            self.best = int(np.argmin(self.fits))
+
+
+def query_box_start(dim: int, opts: RefineOptions, seed: int) -> SetState:
+    """Random particles in the search box."""
+    rng = np.random.Generator(np.random.SFC64(int(seed)))
+    lo, hi = opts.box(dim)
+    return SetState(lo + rng.random((int(opts.population), dim)) * (hi - lo), rng)
+
+
+def step_all(state: SetState, opts: RefineOptions) -> np.ndarray:
+    """All trials ``(particle, trial, dim)`` of a generation, around one incumbent."""
+    size, dim = state.particles.shape
+    lo, hi = opts.box(dim)
+    noise = state.rng.standard_normal((size, int(opts.diffusion), dim))
+    x = state.particles[:, None, :]
+    if float(opts.walk) > 0:
+        incumbent = state.particles[state.best]
+        out = incumbent + noise * float(opts.walk) * (incumbent - x)
+    else:
+        out = x + noise * (LOCAL_STEP * (hi - lo))
+    return np.clip(out, lo, hi) if opts.clip else out
 
 
 def _first_best(fit: np.ndarray) -> np.ndarray:

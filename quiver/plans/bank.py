@@ -2,13 +2,14 @@
 
 The scoring tasks need every query point of a search in memory.  A bank is
 built only after its size is measured with an aggregate (rows and total
-elements of the query vectors); beyond the budget, callers switch to the
-shuffle-based block path in :mod:`quiver.plans.blocks`.
+elements of the query vectors); beyond the budget the points are cut into
+several banks (:func:`broadcast_banks`), and the rows are scanned once for
+each: neither side is ever shuffled to meet the other.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +23,12 @@ from ..functions.arrays import list_dims, list_to_matrix, sq_norms, unit_rows
 class QueryBank:
     """Query points grouped by dimension, plus the queries with no point."""
 
-    query_ids: np.ndarray                 # int64 (Q,), output id of each entry
+    size: int
     groups: list                          # [(dim, entry idx (Qd,), points (Qd, d), sq (Qd,))]
     null_idx: np.ndarray                  # entries whose point is NULL
+    keys: list = field(default_factory=list)         # Arrow columns that identify the entries
+    key_names: list = field(default_factory=list)
+    base: int = 0                         # place of the first entry among all banks' entries
 
     def unit(self, gi: int) -> np.ndarray:
         """Unit-length points of dimension group ``gi`` (cached per worker)."""
@@ -39,38 +43,21 @@ class QueryBank:
         state.pop("_units", None)
         return state
 
-    @property
-    def size(self) -> int:
-        return len(self.query_ids)
-
-    @property
-    def nbytes(self) -> int:
-        return int(sum(g[2].nbytes for g in self.groups) + self.query_ids.nbytes)
-
     @classmethod
-    def from_arrays(cls, ids: np.ndarray, points: pa.Array) -> "QueryBank":
-        ids = np.asarray(ids, dtype=np.int64)
+    def from_arrays(cls, points: pa.Array, keys: list | None = None, key_names: list | None = None,
+                    base: int = 0) -> "QueryBank":
         dims = list_dims(points)
         groups = []
         for d in np.unique(dims[dims >= 0]):
             idx = np.flatnonzero(dims == d)
             mat, _ = list_to_matrix(points.take(pa.array(idx)), int(d))
             groups.append((int(d), idx, mat, sq_norms(mat)))
-        return cls(ids, groups, np.flatnonzero(dims < 0))
+        return cls(len(points), groups, np.flatnonzero(dims < 0), keys or [], key_names or [], base)
 
     @classmethod
-    def from_table(cls, table: pa.Table, id_col: str, point_col: str) -> "QueryBank":
-        ids = table.column(id_col).combine_chunks()
-        if ids.null_count:
-            raise ValueError(f"query id column {id_col!r} must not contain NULL")
-        pts = table.column(point_col).combine_chunks()
-        return cls.from_arrays(ids.to_numpy(zero_copy_only=False), pts)
-
-    @classmethod
-    def single(cls, point, query_id: int = 0) -> "QueryBank":
-        arr = pa.array([None if point is None else np.asarray(point, dtype=np.float64)],
-                       type=pa.list_(pa.float64()))
-        return cls.from_arrays(np.array([query_id]), arr)
+    def single(cls, point) -> "QueryBank":
+        return cls.from_arrays(pa.array([None if point is None else np.asarray(point, dtype=np.float64)],
+                                        type=pa.list_(pa.float64())))
 
 
 def vector_table_size(df: DataFrame, vec_col: str) -> tuple[int, int]:
@@ -90,18 +77,35 @@ def fits_broadcast(rows: int, elements: int, budget: int) -> bool:
     return estimated_bytes(rows, elements) <= budget
 
 
-def collect_bank(df: DataFrame, id_col: str, point_col: str, budget: int) -> QueryBank:
-    """Collect an already size-checked ``(id, point)`` frame into a bank.
-
-    The frame must have been measured with :func:`vector_table_size`; the
-    check is repeated on the arrived bytes as a guard.
-    """
-    table = df.select(id_col, point_col).toArrow()
-    bank = QueryBank.from_table(table, id_col, point_col)
-    if bank.nbytes > 2 * budget:
-        raise RuntimeError(f"query bank of {bank.nbytes} bytes exceeds the broadcast budget")
-    return bank
+def collect_bank(points: DataFrame, point_col: str, key_names: list[str], base: int = 0) -> QueryBank:
+    """Collect an already measured ``(key columns, point)`` frame into a bank, in its row order."""
+    table = points.select(*key_names, point_col).toArrow()
+    return QueryBank.from_arrays(table.column(point_col).combine_chunks(),
+                                 [table.column(c).combine_chunks() for c in key_names], key_names, base)
 
 
 def broadcast_bank(spark, bank: QueryBank):
     return spark.sparkContext.broadcast(bank)
+
+
+def broadcast_banks(points: DataFrame, point_col: str, key_names: list[str], rows: int, elements: int,
+                    budget: int) -> list:
+    """Broadcast banks that together hold all points, each of about ``budget`` bytes at most.
+
+    ``points`` must be a written table: it is read once per bank.  Each is
+    collected and sent on its own, so the driver holds one at a time.
+    """
+    spark = points.sparkSession
+    parts = max(1, -(-estimated_bytes(rows, elements) // max(budget, 1)))
+    parts = max(1, min(parts, rows))
+    if parts == 1:
+        return [broadcast_bank(spark, collect_bank(points, point_col, key_names))]
+    # rows that repeat spread too: the place in the table decides
+    dealt = points.withColumn("__part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)))
+    out, base = [], 0
+    for i in range(parts):
+        bank = collect_bank(dealt.filter(F.col("__part") == i), point_col, key_names, base)
+        base += bank.size
+        if bank.size or not out:
+            out.append(broadcast_bank(spark, bank))
+    return out

@@ -6,10 +6,10 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Broadcast budget for query / reference matrices (bytes).  Anything larger
-# goes through the shuffle-based block path instead.
+# is cut into several broadcasts.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -69,6 +69,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the checkpoint folder once and read it from there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def planned_bytes(df: DataFrame) -> int | None:
+    """Spark's own size estimate of a plan, without running anything (None: it has none)."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    # frames made from driver data or RDDs report the largest long
+    return size if size < 1 << 60 else None
+
+
+def planned_tasks(df: DataFrame) -> int:
+    """About how many scan tasks a plan has, from its size estimate."""
+    spark = df.sparkSession
+    size = planned_bytes(df)
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    per_task = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+    return default_parallelism(spark) if size is None else max(1, -(-size // max(per_task, 1)))
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.sparkContext.defaultParallelism))
 

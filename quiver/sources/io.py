@@ -1,7 +1,7 @@
 """Sources, sinks and generators (IO1-IO6).
 
-Reading and writing is Spark's own; these helpers only fix the vector
-column's type and name the shapes the engine expects.
+Reading is Spark's own (``spark.table``, ``spark.read``); these helpers only
+fix the vector column's type and name the shapes the engine expects.
 """
 
 from __future__ import annotations
@@ -12,25 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """IO1: a catalog table or view."""
-    return spark.table(name)
-
-
-def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
-    """IO2: Parquet files, directories or globs (local, HDFS or object store)."""
-    return spark.read.parquet(*paths)
-
-
-def read_iceberg(spark: SparkSession, table: str) -> DataFrame:
-    """IO3: an Iceberg table; needs the Iceberg runtime jar on the classpath."""
-    try:
-        return spark.read.format("iceberg").load(table)
-    except Exception as exc:  # pragma: no cover - jar absent in the test image
-        raise RuntimeError("Iceberg source unavailable: add the iceberg-spark-runtime "
-                           "package to the session") from exc
-
-
 def vectors(df: DataFrame, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
     """Normalise to ``(id bigint, embedding array<double>)`` plus other columns."""
     return (df.withColumn(id_col, F.col(id_col).cast("bigint"))

@@ -10,17 +10,14 @@ micro-batch (see :func:`run_stream_top_k`).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.refine import refine_with_ids
-from ..operators.scoring import VectorSpec, radius_scorer, topk_scorer
-from ..operators.search import _cand_schema, fractal_distance, refined_point
+from ..operators.scoring import VectorSpec, candidate_ddl, radius_scorer, topk_scorer
+from ..operators.search import _query_names, _union, fractal_distance, query_points, refined_point
 from ..operators.sfs import RefineOptions
-from ..plans.bank import (QueryBank, broadcast_bank, collect_bank, fits_broadcast,
-                          vector_table_size)
+from ..plans.bank import QueryBank, broadcast_bank, broadcast_banks
+from ..plans.keys import RowKey
 from ..plans.session import DEFAULT_BROADCAST_BYTES, attach, scratch_path
 from ..plans.topk import global_top_k, top_k_per_key
 
@@ -36,12 +33,18 @@ def vector_stream(spark: SparkSession, path: str, schema=None, max_files: int |
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    if os.path.isfile(path):
-        folder, name = os.path.split(path)
-        return r.option("pathGlobFilter", name).parquet(folder)
+    file, fs = _file_system(spark, path)
+    if fs.exists(file) and fs.getFileStatus(file).isFile():
+        return r.option("pathGlobFilter", file.getName()).parquet(file.getParent().toString())
     return r.parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The path and its store, as Spark itself reaches them."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def score_stream(stream: DataFrame, query, vec="embedding", out: str = "dist",
                  options: RefineOptions | None = None, exact: bool = False) -> DataFrame:
     """Streaming DataFrame with the distance of every row to ``query``."""
@@ -71,95 +74,90 @@ def run_stream_score(spark: SparkSession, stream: DataFrame, query, id_col: str,
     return handle, out_path
 
 
-def _latest_version(spark: SparkSession, table_path: str, below: int | None = None):
-    """Largest ``batch_id`` written under ``table_path`` (optionally < ``below``)."""
-    try:
-        versions = spark.read.parquet(table_path).select("batch_id")
-    except Exception:  # nothing written yet
-        return None
-    if below is not None:
-        versions = versions.filter(F.col("batch_id") < below)
-    return versions.agg(F.max("batch_id")).collect()[0][0]
-
-
-def _bank_for(spark: SparkSession, queries, options: RefineOptions | None,
-              broadcast_bytes: int, query_id_col: str = "query_id", query_col: str = "query"):
-    """Refined, size-checked query bank: one literal vector or a queries table."""
-    if isinstance(queries, DataFrame):
-        rows, elems = vector_table_size(queries, query_col)
-        if not fits_broadcast(rows, elems, broadcast_bytes):
-            raise ValueError("the streaming query set exceeds the broadcast budget; "
-                             "split it into several streams")
-        qsel = queries.select(F.col(query_id_col).alias("query_id"),
-                              F.col(query_col).cast("array<double>").alias("query"))
-        points = refine_with_ids(qsel, "query_id", "query", options, bounded=True)
-        return broadcast_bank(spark, collect_bank(points, "query_id", "best_point",
-                                                  broadcast_bytes)), True
-    return broadcast_bank(spark, QueryBank.single(refined_point(spark, queries, options))), False
-
+def _versions(spark: SparkSession, table_path: str) -> list[int]:
+    """Batch ids of the complete state versions, ascending.
 
-def _drop_versions_before(spark: SparkSession, table_path: str, keep_from: int):
-    """Delete state versions ``batch_id < keep_from`` (Hadoop FileSystem API,
-    so it works on HDFS and object stores alike)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(table_path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    A version counts once Spark's commit marker is in its folder.  A folder
+    that does not exist has none; any other trouble with the store is an error.
+    """
+    root, fs = _file_system(spark, table_path)
     if not fs.exists(root):
-        return
+        return []
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = []
     for status in fs.listStatus(root):
         name = status.getPath().getName()
-        if name.startswith("batch_id="):
-            try:
-                version = int(name[len("batch_id="):])
-            except ValueError:
-                continue
-            if version < keep_from:
-                fs.delete(status.getPath(), True)
+        number = name.removeprefix("batch_id=")
+        if name != number and number.isdigit() and fs.exists(marker(status.getPath(), "_SUCCESS")):
+            out.append(int(number))
+    return sorted(out)
+
+
+def _version_path(table_path: str, batch_id: int) -> str:
+    return f"{table_path.rstrip('/')}/batch_id={batch_id}"
 
 
-def run_stream_top_k(spark: SparkSession, stream: DataFrame, queries, k: int, id_col: str,
+def _drop_versions_before(spark: SparkSession, table_path: str, keep_from: int):
+    """Delete state versions before ``keep_from``."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    _, fs = _file_system(spark, table_path)
+    for version in _versions(spark, table_path):
+        if version < keep_from:
+            fs.delete(jpath(_version_path(table_path, version)), True)
+
+
+def _banks_for(spark: SparkSession, queries, options: RefineOptions | None, broadcast_bytes: int,
+               query_id_col="query_id", query_col: str = "query"):
+    """Broadcasts of the refined queries (a literal vector or a table) and the table's key."""
+    if not isinstance(queries, DataFrame):
+        return [broadcast_bank(spark, QueryBank.single(refined_point(spark, queries, options)))], None
+    query_key = RowKey(queries, query_id_col, "__k")
+    points, rows, elements = query_points(queries, query_key, query_col, options, False, broadcast_bytes)
+    return broadcast_banks(points, "__p", query_key.inner, rows, elements, broadcast_bytes), query_key
+
+
+def run_stream_top_k(spark: SparkSession, stream: DataFrame, queries, k: int, id_col,
                      vec="embedding", table_path: str | None = None,
                      checkpoint: str | None = None, options: RefineOptions | None = None,
                      available_now: bool = True,
                      broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                     keep_versions: int | None = 2):
+                     keep_versions: int | None = 2, query_id_col="query_id"):
     """Running top-k of a stream, kept as versioned k-rows-per-query state.
 
     ``queries`` is one literal vector or a ``(query_id, query)`` table
-    (refined once, size-checked, broadcast).  Micro-batch ``b`` merges the
-    state of the latest earlier batch with its own per-task candidates and
-    writes the result as version ``b`` (dynamic partition overwrite).  A
-    replayed batch reads the same earlier version and rewrites the same
-    rows, so the state is idempotent; the answer is always one version of
-    at most ``k`` rows per query, however long the stream runs.  Versions
-    older than the last ``keep_versions`` are deleted after each batch (a
-    replay only ever reads the version before its own); ``None`` keeps all.
+    (refined once; above ``broadcast_bytes`` it is cut into several
+    broadcasts).  Keys may have any type.  Micro-batch ``b`` merges the state
+    of the latest complete earlier version with its own per-task candidates
+    and writes version ``b`` as a folder of its own, complete once Spark's
+    commit marker is there.  A replayed batch reads the same earlier version
+    and rewrites the same rows; a version that cannot be read fails the batch
+    instead of starting afresh.  The answer is always one version of at most
+    ``k`` rows per query, however long the stream runs.  Versions older than
+    the last ``keep_versions`` are deleted after each batch (a replay only
+    ever reads the version before its own); ``None`` keeps all.
     Returns ``(query handle, state path)``; read it with :func:`current_top_k`.
     """
     attach(spark)
     table_path = table_path or scratch_path(spark, "stream-topk")
     checkpoint = checkpoint or scratch_path(spark, "stream-topk-ckpt")
-    spec = VectorSpec(vec)
-    bank_bc, many = _bank_for(spark, queries, options, broadcast_bytes)
-    scorer = topk_scorer(bank_bc, spec, id_col, k)
-    schema = _cand_schema(id_col, "dist")
+    spec, key = VectorSpec(vec), RowKey(stream, id_col)
+    banks, query_key = _banks_for(spark, queries, options, broadcast_bytes, query_id_col)
+    by = query_key.inner if query_key else ["__q"]
+    ddl, inner = candidate_ddl(key, query_key), spec.inner()
 
     def merge(batch_df: DataFrame, batch_id: int):
-        cands = batch_df.select(id_col, *spec.columns).mapInArrow(scorer, schema) \
-            .select("query_id", id_col, "dist")
-        prev = _latest_version(batch_df.sparkSession, table_path, below=batch_id)
-        if prev is not None:
-            state = (batch_df.sparkSession.read.parquet(table_path)
-                     .filter(F.col("batch_id") == prev).select("query_id", id_col, "dist"))
-            cands = cands.unionByName(state)
-        top = top_k_per_key(cands, ["query_id"], id_col, "dist", k).drop("rank")
-        (top.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-         .parquet(table_path))
-        if keep_versions and prev is not None:
+        session = batch_df.sparkSession
+        rows = batch_df.select(*key.select(), *spec.select())
+        cands = _union([rows.mapInArrow(topk_scorer(b, inner, key, k), ddl) for b in banks])
+        cands = cands.select(*by, *key.inner, "__d")
+        before = [v for v in _versions(session, table_path) if v < batch_id]
+        if before:
+            cands = cands.unionByName(session.read.parquet(_version_path(table_path, before[-1])))
+        top_k_per_key(cands, by, key, k).drop("__r").write.mode("overwrite").parquet(
+            _version_path(table_path, batch_id))
+        if keep_versions and before:
             # keep this version and the ones a replay could still read
-            _drop_versions_before(batch_df.sparkSession, table_path,
-                                  min(prev, batch_id - keep_versions + 1))
+            _drop_versions_before(session, table_path, min(before[-1], batch_id - keep_versions + 1))
 
     w = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -169,36 +167,46 @@ def run_stream_top_k(spark: SparkSession, stream: DataFrame, queries, k: int, id
     return handle, table_path
 
 
-def current_top_k(spark: SparkSession, table_path: str, k: int, id_col: str,
-                  per_query: bool = False) -> DataFrame:
-    """The latest state version, ordered: ``(id, dist)`` for one query, or
+def current_top_k(spark: SparkSession, table_path: str, k: int, id_col,
+                  per_query: bool = False, query_id_col="query_id") -> DataFrame:
+    """The latest complete state version, ordered: ``(id, dist)`` for one query, or
     ``(query_id, rank, id, dist)`` with ``per_query=True``."""
-    latest = _latest_version(spark, table_path)
-    state = spark.read.parquet(table_path).filter(F.col("batch_id") == latest)
-    if per_query:
-        return top_k_per_key(state.select("query_id", id_col, "dist"), ["query_id"], id_col,
-                             "dist", k).select("query_id", "rank", id_col, "dist")
-    return global_top_k(state.select(id_col, "dist"), id_col, "dist", k)
+    versions = _versions(spark, table_path)
+    if not versions:
+        raise ValueError(f"no complete state version in {table_path}")
+    state = spark.read.parquet(_version_path(table_path, versions[-1]))
+    names = [id_col] if isinstance(id_col, str) else list(id_col)
+    key = RowKey(state, [f"__id{i}" for i in range(len(names))])
+    if not per_query:
+        return global_top_k(state, key, k).select(*key.restore(names), F.col("__d").alias("dist"))
+    queries = [query_id_col] if isinstance(query_id_col, str) else list(query_id_col)
+    by = [c for c in state.columns if c.startswith("__k")] or ["__q"]
+    return top_k_per_key(state, by, key, k).select(
+        *[F.col(b).alias(n) for b, n in zip(by, queries)], F.col("__r").alias("rank"),
+        *key.restore(names), F.col("__d").alias("dist"))
 
 
 def run_stream_radius(spark: SparkSession, stream: DataFrame, queries, radius: float,
-                      id_col: str, vec="embedding", out_path: str | None = None,
+                      id_col, vec="embedding", out_path: str | None = None,
                       checkpoint: str | None = None, options: RefineOptions | None = None,
                       available_now: bool = True,
-                      broadcast_bytes: int = DEFAULT_BROADCAST_BYTES):
+                      broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, query_id_col="query_id"):
     """Stateless stream matching: every (query, row) with ``dist <= radius``.
 
     Appends ``(query_id, id, dist)`` matches to a Parquet sink (exactly once
-    through the sink's log); only matches are emitted, never all pairs.
+    through the sink's log); only matches are emitted, never all pairs.  A
+    literal query has the id 0.
     """
     attach(spark)
     out_path = out_path or scratch_path(spark, "stream-radius")
     checkpoint = checkpoint or scratch_path(spark, "stream-radius-ckpt")
-    spec = VectorSpec(vec)
-    bank_bc, _ = _bank_for(spark, queries, options, broadcast_bytes)
-    matches = stream.select(id_col, *spec.columns).mapInArrow(
-        radius_scorer(bank_bc, spec, id_col, float(radius), "dist"),
-        _cand_schema(id_col, "dist"))
+    spec, key = VectorSpec(vec), RowKey(stream, id_col)
+    banks, query_key = _banks_for(spark, queries, options, broadcast_bytes, query_id_col)
+    ddl, inner = candidate_ddl(key, query_key), spec.inner()
+    rows = stream.select(*key.select(), *spec.select())
+    found = _union([rows.mapInArrow(radius_scorer(b, inner, key, float(radius)), ddl) for b in banks])
+    ids = query_key.restore(_query_names(query_key, key)) if query_key else [F.col("__q").alias("query_id")]
+    matches = found.select(*ids, *key.restore(), F.col("__d").alias("dist"))
     w = (matches.writeStream.format("parquet").option("path", out_path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -149,3 +149,33 @@ def test_screen_then_exact_is_bitwise_scalar_and_position_free():
         return 1.0 if na == 0 or nb == 0 else 1.0 - dot / (na ** 0.5 * nb ** 0.5)
 
     assert list(seen)[0] == tuple(scalar(v, P[j]) for j in range(7))
+
+
+def test_state_cost_per_row_stays_flat():
+    """Reductions come at doubling sizes: their number grows with the logarithm of the state."""
+    from quiver.functions.selection import TopKState
+
+    state, reductions = TopKState(16, 10), 0
+    plain = state._reduce
+
+    def counted():
+        nonlocal reductions
+        reductions += 1
+        plain()
+
+    state._reduce = counted
+    rng = np.random.default_rng(0)
+    for _ in range(60):
+        n = 10_000
+        state.add([np.zeros(n, dtype=np.int64), rng.integers(0, 100_000, n)], np.zeros(n, dtype=np.int8),
+                  rng.random(n), rng.integers(0, 1 << 40, n))
+    assert reductions <= 12
+
+
+def test_keys_of_any_type_sort_as_spark_sorts():
+    from quiver.functions.selection import keep_first_k
+
+    ids = np.empty(4, dtype=object)
+    ids[:] = [((True, "b"),), ((False, None),), ((True, "a"),), ((True, "B"),)]
+    keep = keep_first_k([np.zeros(4, dtype=np.int64)], np.zeros(4, dtype=np.int8), np.zeros(4), ids, 4)
+    assert keep.tolist() == [1, 3, 2, 0]

@@ -40,7 +40,7 @@ def test_group_top_k_is_partial_then_final_group_limit(spark):
     text = plan_text(df, "simple")
     assert "WindowGroupLimit" in text and "Partial" in text and "Final" in text
     assert count_nodes(df, "Exchange") == 1                    # one shuffle, on the group key
-    assert "hashpartitioning(label" in text
+    assert "hashpartitioning(__g" in text
 
 
 def test_many_queries_shuffle_only_candidates(spark):
@@ -48,7 +48,7 @@ def test_many_queries_shuffle_only_candidates(spark):
     qs = emb.filter("vec_id < 4").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
     df = search_many(emb, qs, 5, id_col="vec_id")
     text = plan_text(df, "simple")
-    assert count_nodes(df, "Exchange") == 1 and "hashpartitioning(query_id" in text
+    assert count_nodes(df, "Exchange") == 1 and "hashpartitioning(__q" in text
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
 
 
@@ -65,27 +65,28 @@ def test_vector_broadcast_plan_has_no_window_shuffle(spark):
     df = search_many(emb, qs, 5, id_col="vec_id", exact=True, broadcast_bytes=1,
                      vector_broadcast_bytes=1 << 26)
     text = plan_text(df, "simple")
-    assert count_nodes(df, "Exchange") == 1 and "xxhash64(query_id" in text   # the query spread
+    assert count_nodes(df, "Exchange") == 1 and "xxhash64(__k0" in text       # the query spread
     assert "Window" not in text and "CartesianProduct" not in text
 
 
 def test_hot_group_ships_at_most_k_per_task(spark):
     """A group holding 90% of the rows sends no more than k rows per task."""
-    from quiver.operators.scoring import VectorSpec, topk_scorer
-    from quiver.operators.search import _cand_schema
+    import pyarrow as pa
+
+    from quiver.operators.scoring import VectorSpec, candidate_ddl, topk_scorer
     from quiver.plans.bank import QueryBank, broadcast_bank
+    from quiver.plans.keys import RowKey
 
     emb = _emb(spark).withColumn("g", F.when(F.col("vec_id") % 10 == 0, F.col("label")).otherwise(-1))
     parts = 6
     df = emb.repartition(parts, "vec_id")
     k = 4
     bank_bc = broadcast_bank(spark, QueryBank.single(Q))
-    import pyarrow as pa
-    cands = df.select("vec_id", "g", "embedding").mapInArrow(
-        topk_scorer(bank_bc, VectorSpec("embedding"), "vec_id", k, group_col="g",
-                    group_type=pa.int32()),
-        _cand_schema("vec_id", "dist", "g", "int"))
-    per_task = cands.groupBy(F.spark_partition_id().alias("p"), "g").count().collect()
+    spec, key = VectorSpec("embedding"), RowKey(df, "vec_id")
+    cands = df.select(*key.select(), *spec.select(), F.col("g").alias("__g")).mapInArrow(
+        topk_scorer(bank_bc, spec.inner(), key, k, group_type=pa.int32()),
+        candidate_ddl(key, group_type="int"))
+    per_task = cands.groupBy(F.spark_partition_id().alias("p"), "__g").count().collect()
     assert max(r["count"] for r in per_task) <= k
     n_groups = emb.select("g").distinct().count()
     assert cands.count() <= parts * n_groups * k
@@ -93,6 +94,40 @@ def test_hot_group_ships_at_most_k_per_task(spark):
     assert got == k
 
 
+def test_building_a_grouped_search_runs_nothing(spark):
+    """A shuffle below the search is not executed to plan it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    emb = _emb(spark).select("vec_id", "label", "embedding")
+    below = emb.mapInArrow(touch, emb.schema).repartition(7, "vec_id")
+    df = search_groups(below, Q, "label", 5, id_col="vec_id")
+    assert seen.value == 0
+    df.collect()
+    assert seen.value == emb.count()
+
+
+def test_many_queries_are_evaluated_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    emb = _emb(spark)
+    qs = emb.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")).filter("query_id < 40")
+    counted = qs.mapInArrow(touch, qs.schema)
+    for budget in (1 << 26, 4000):
+        seen.value = 0
+        search_many(emb, counted, 3, id_col="vec_id", exact=True, broadcast_bytes=budget).collect()
+        assert seen.value == qs.count()
+
+
 def test_group_top_k_by_key_limits_before_the_shuffle(spark):
     emb = _emb(spark).withColumn("key", F.format_string("k%04d", "vec_id"))
     df = search_groups(emb, Q, "label", 5, id_col="key")

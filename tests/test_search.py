@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quiver import (cosine_distance, exact_search, fractal_distance, multi_probe_search,
+from quiver import (cosine_distance, exact_search, fractal_distance, multi_probe_search, radius_many,
                     radius_search, search, search_groups, search_many, search_top_k,
                     valid_vector)
 from quiver.functions.sql import fractal_search, register
@@ -223,8 +223,23 @@ def test_refine_against_sets(spark):
                                "g int, embedding array<double>")
     out = {r["g"]: r for r in refine_against_sets(df, "g").collect()}
     assert out[0]["dim"] == 2 and out[0]["best_fit"] < 0.01 and out[1]["best_fit"] < 0.01
-    with pytest.raises(ValueError):
-        refine_against_sets(df, "g", max_set_rows=1)
+    small = {r["g"]: r for r in refine_against_sets(df, "g", broadcast_bytes=1).collect()}
+    assert small == out
+
+
+def test_refine_against_sets_keeps_every_length_and_group(spark):
+    rows = [("a", [1.0, 0.0]), ("a", [0.8, 0.1]), ("a", [0.0, 1.0, 0.0]), ("b", None), ("b", [None, 1.0]),
+            (None, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "g string, embedding array<double>").repartition(3)
+    got = refine_against_sets(df, "g").collect()
+    assert {(r.g, r.dim) for r in got} == {("a", 2), ("a", 3), ("b", None), (None, 2)}
+    for r in got:
+        if r.dim is None:
+            assert r.best_point is None and r.best_fit is None
+            continue
+        members = [v for g, v in rows if g == r.g and v and None not in v and len(v) == r.dim]
+        assert abs(r.best_fit - min(1.0, min(_cos(r.best_point, m) for m in members))) < 1e-9
+        assert r.best_fit < 0.01 and all(-1 <= x <= 1 for x in r.best_point)
 
 
 def test_multi_probe_and_quality(spark):
@@ -262,27 +277,28 @@ def test_top_k_agg_orders_nan_and_null_last(spark, edge_df):
 
 
 def test_io_helpers(spark, tmp_dir):
-    from quiver.sources.io import create_table_as, read_parquet, vectors
+    from quiver.sources.io import create_table_as, vectors
 
-    emb = read_parquet(spark, f"{SF001}/embeddings.parquet")
+    emb = spark.read.parquet(f"{SF001}/embeddings.parquet")
     v = vectors(emb, "vec_id", "embedding")
     assert dict(v.dtypes)["embedding"] == "array<double>"
     t = create_table_as(v.filter("label = 2"), "quiver_ctas_test")
     assert spark.table("quiver_ctas_test").count() == t.count() == emb.filter("label = 2").count()
     path = f"{tmp_dir}/parts"
     emb.repartition(3).write.parquet(path)
-    assert read_parquet(spark, f"{path}/*.parquet").count() == emb.count()
+    assert spark.read.parquet(f"{path}/*.parquet").count() == emb.count()
 
 
-def test_sql_vector_valid_and_id_type_errors(spark, edge_df):
+def test_sql_vector_valid_and_string_ids(spark, edge_df):
     register(spark)
     edge_df.createOrReplaceTempView("edge_v")
     v = {r["id"]: r["v"] for r in spark.sql("SELECT id, vector_valid(embedding, 2) AS v FROM edge_v").collect()}
     assert v[1] is None or v[1] is False
     assert [bool(v[i]) for i in range(2, 12)] == [False, False, False, False] + [True] * 6
     sdf = edge_df.withColumn("id", F.col("id").cast("string"))
-    with pytest.raises(ValueError, match="integer id"):
-        search_many(sdf, spark.createDataFrame([(0, [0.6, 0.8])], "query_id long, query array<double>"), 2)
+    found = search_many(sdf, spark.createDataFrame([(0, [0.6, 0.8])], "query_id long, query array<double>"), 2,
+                        exact=True)
+    assert found.dtypes[2] == ("id", "string") and [r["rank"] for r in found.collect()] == [1, 2]
 
 
 def test_feature_columns_with_integer_ids(spark):
@@ -309,36 +325,85 @@ def test_bad_k_is_rejected(spark, edge_df, k):
         search(edge_df, [0.6, 0.8], k)
 
 
-def test_block_path_with_several_blocks_each_side(spark, monkeypatch):
-    import quiver.plans.blocks as blocks
-
-    monkeypatch.setattr(blocks, "VECTOR_BYTES_PER_BLOCK", 40_000)    # ~60 rows of 64-D per block
-    monkeypatch.setattr(blocks, "QUERY_BYTES_PER_BLOCK", 2_000)      # ~4 queries per block
-    # keep every shuffle partition: coalescing into one task would hide a
-    # block key that hashes differently on the two sides of the cogroup
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
-    try:
-        _check_several_blocks(spark, blocks)
-    finally:
-        spark.conf.set(key, before)
-
-
-def _check_several_blocks(spark, blocks):
-    emb = _emb(spark)
-    qs = emb.filter(F.col("vec_id") < 20).select(F.col("vec_id").alias("query_id"),
-                                                 F.col("embedding").alias("query"))
-    assert blocks.block_counts(500, 20, 20 * 64, 500 * 64)[0] > 1
-    many = search_many(emb, qs, 4, id_col="vec_id", exact=True, broadcast_bytes=1,
-                       vector_broadcast_bytes=1).orderBy("query_id", "rank").collect()
-    ref = search_many(emb, qs, 4, id_col="vec_id", exact=True).orderBy("query_id", "rank").collect()
-    assert many == ref and len(many) == 80
-    members = emb.filter("label = 4")
-    a = {r["vec_id"]: r["min_dist"] for r in min_distance_to_set(emb, members, id_col="vec_id").collect()}
-    b = {r["vec_id"]: r["min_dist"] for r in
-         min_distance_to_set(emb, members, id_col="vec_id", broadcast_bytes=1).collect()}
-    assert a.keys() == b.keys() and all(abs(a[i] - b[i]) < 1e-12 for i in a)
+@pytest.mark.parametrize("budget", [1 << 26, 3000, 1])
+def test_size_limits_change_no_result(spark, budget):
+    """Several broadcasts give the rows, columns and types that one gives."""
+    rows = [(f"r{i % 37:02d}", i, [float(x) for x in np.random.default_rng(i % 50).normal(size=3)]) for i in range(60)]
+    rows += [("null", 100, None), ("hole", 101, [1.0, None, 0.0]), ("short", 102, [1.0, 2.0]),
+             ("short", 103, [2.0, 1.0]), ("zero", 104, [0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "`row id` string, n int, `v.x` array<double>").repartition(4)
+    df = df.withColumn("query_id", F.lit("clash")).withColumn("__d", F.lit(1))
+    members = spark.createDataFrame([([1.0, 0.5],)] + [(None,)] * 50 + [([0.3, 0.2, 0.1],)] * 9 + [([0.0, 0.0, 0.0],)],
+                                    "m array<double>")
+    near = min_distance_to_set(df, members, "v.x", "m", ["row id", "n"], broadcast_bytes=budget,
+                               passthrough=["query_id"])
+    assert near.dtypes == [("row id", "string"), ("n", "int"), ("query_id", "string"), ("min_dist", "double")]
+    near = sorted(near.collect(), key=lambda r: r.n)
+    assert len(near) == 65
+    for (_, n, v), r in zip(sorted(rows, key=lambda x: x[1]), near):
+        same = [m for m in ([1.0, 0.5], [0.3, 0.2, 0.1], [0.0] * 3) if v and None not in v and len(m) == len(v)]
+        want = min([1.0] + [_cos(v, m) for m in same]) if same else None
+        assert (r.min_dist is None) == (want is None) and (want is None or abs(r.min_dist - want) < 1e-12)
+    none = min_distance_to_set(df, members.filter("m IS NULL"), "v.x", "m", "n", broadcast_bytes=budget).collect()
+    assert {r.min_dist for r in none if r.n not in (100, 101)} == {1.0}
+    assert {r.min_dist for r in none if r.n in (100, 101)} == {None}
+
+    queries = df.select(F.col("row id"), F.col("`v.x`").alias("query"), F.col("n").alias("q n")).filter("n % 3 = 0")
+    found = search_many(df, queries, 4, "v.x", ["row id", "n"], ["row id", "q n"], exact=True,
+                        broadcast_bytes=budget, vector_broadcast_bytes=1)
+    assert found.dtypes == [("query_row id", "string"), ("q n", "int"), ("rank", "int"), ("row id", "string"),
+                            ("n", "int"), ("dist", "double")]
+    found = sorted(found.collect(), key=lambda r: (r["q n"], r["rank"]))
+    vectors = search_many(df, queries, 4, "v.x", ["row id", "n"], ["row id", "q n"], exact=True,
+                          broadcast_bytes=1, vector_broadcast_bytes=1 << 26).collect()
+    assert sorted(vectors, key=lambda r: (r["q n"], r["rank"])) == found
+    by_n = {n: v for _, n, v in rows}
+    for n, q in by_n.items():
+        if n % 3 == 0:
+            scored = sorted(((d is None, d or 0.0, i, m) for i, m, v in rows
+                             for d in [_cos(q, v) if q and v and None not in q and None not in v
+                                       and len(q) == len(v) else None]))[:4]
+            assert [r["n"] for r in found if r["q n"] == n] == [s[3] for s in scored]
+
+    close = radius_many(df, queries, 0.2, "v.x", ["row id", "n"], ["row id", "q n"], exact=True,
+                        broadcast_bytes=budget)
+    want = {(a, b) for a, q in by_n.items() if a % 3 == 0 for b, v in by_n.items()
+            if q and v and None not in q and None not in v and len(q) == len(v) and _cos(q, v) <= 0.2}
+    assert {(r["q n"], r["n"]) for r in close.collect()} == want
+
+
+def test_overflowing_rows_do_not_hide_winners(spark):
+    rows = [(i, [1e308, 1e308]) for i in range(4)] + [(10 + i, [-1.0, 0.1 * i]) for i in range(6)]
+    rows += [(20, [1e-200, 2e-200])]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>").coalesce(1)
+    got = [r["id"] for r in search(df, [1.0, 1.0], 3, exact=True).collect()]
+    score = {i: _cos([1.0, 1.0], v) for i, v in rows}
+    want = sorted(score, key=lambda i: (math.isnan(score[i]), 0 if math.isnan(score[i]) else score[i], i))[:3]
+    assert got == want and not any(math.isnan(score[i]) for i in got)
+
+
+def test_names_and_types_survive(spark, edge_df):
+    df = edge_df.select(F.col("id").cast("int").alias("query_id"), "embedding", F.array(F.col("id") % 2).alias("g"))
+    out = search(df, [0.6, 0.8], 3, id_col="query_id", exact=True)
+    assert out.dtypes == [("query_id", "int"), ("dist", "double")]
+    by = search_groups(df, [0.6, 0.8], "query_id", 2, id_col="query_id", exact=True)
+    assert by.count() == df.count()
+    nested = search_groups(df, [0.6, 0.8], "g", 2, id_col="query_id", exact=True).collect()
+    assert {(tuple(r["g"]), r["rank"]) for r in nested} == {((g,), k) for g in (0, 1) for k in (1, 2)}
+
+
+def test_distance_to_a_query_column(spark):
+    from quiver.operators import refine as refine_module
+
+    emb = _emb(spark).filter("vec_id < 60")
+    q = F.when(F.col("vec_id") % 7 == 0, F.lit(None)).otherwise(
+        F.array(*[F.col("vec_id") % 3 + F.lit(float(j % 5)) for j in range(64)]))
+    got = {r["vec_id"]: r["dist"] for r in fractal_distance(emb, q).collect()}
+    udf = {r["vec_id"]: r["d"] for r in emb.select("vec_id", fractal_search(
+        F.col("embedding").cast("array<double>"), q.cast("array<double>")).alias("d")).collect()}
+    assert got == udf and sum(d is None for d in got.values()) == 9
+    refined = refine_module.refine_queries(emb.select(q.alias("query")))
+    assert refined.filter("best_point IS NOT NULL").count() == 3
 
 
 def test_arrow_and_catalyst_distances_are_bit_identical(spark):
@@ -352,13 +417,12 @@ def test_arrow_and_catalyst_distances_are_bit_identical(spark):
     assert all(native[i] == d for i, d in top.items())
 
 
-def test_with_payload_and_read_table(spark):
+def test_with_payload(spark):
     from quiver import with_payload
-    from quiver.sources.io import read_table
 
     emb = _emb(spark)
     emb.createOrReplaceTempView("emb_payload")
-    top = search(read_table(spark, "emb_payload"), Q, 5, id_col="vec_id")
+    top = search(spark.table("emb_payload"), Q, 5, id_col="vec_id")
     wide = with_payload(top, emb, "vec_id", ["label"]).collect()
     labels = {r["vec_id"]: r["label"] for r in emb.collect()}
     assert len(wide) == 5 and all(r["label"] == labels[r["vec_id"]] for r in wide)
@@ -470,10 +534,3 @@ def test_result_check_raises_on_bad_results(spark, edge_df):
     with_null = search(edge_df, [0.6, 0.8], 11, exact=True)           # NULL and NaN rows included
     row = check_search_result(with_null, 11).collect()[0]
     assert row["n_null"] == 5 and row["n_nonfinite"] == 1 and not row["ok"]
-
-
-def test_iceberg_without_runtime_is_a_clear_error(spark):
-    from quiver.sources.io import read_iceberg
-
-    with pytest.raises(RuntimeError, match="Iceberg"):
-        read_iceberg(spark, "db.embeddings").count()
