@@ -5,13 +5,14 @@ every implemented operator to a callable ``(spark, sf_dir) -> DataFrame``
 over the given tables; ``oracle_sql()`` gives the DuckDB SQL for the same
 result where SQL can express it.
 
-Refinement is a seeded stochastic search that SQL cannot run, so oracles of
-refined searches embed the refined point as a literal, computed in-process
-by the same kernel (same query bytes, same seed, same point).  They check
-scoring and selection; refinement itself is checked by the property tests.
-Refinement-only outputs (R1, R2, R3, R1b, S5, per-row queries, and S1m
-with every embedding refined as a query) have no oracle and get the
-row-count check; their properties are tested in ``tests/``.
+Oracles of refined searches embed the refined point as a literal, computed
+in-process by the same kernel (same query bytes, same seed, same point).  They
+check scoring and selection.  The refinement itself is checked in two ways:
+``refine_search``, ``refine_local_walk`` and ``refine_free_box`` draw from the
+hash stream, and their oracle runs the whole search in SQL, step by step, for
+every row; the queries with default options (R1, R1b, R2, R3, S5, S1m of all
+embeddings) return what can be verified from the data: points inside the box,
+fits equal to recomputed distances, particle counts, ranks in order.
 
 Distances are rounded to 6 digits on both sides; ties break by id.
 """
@@ -26,10 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiver import (RefineOptions, cosine_distance, exact_search, explore_queries,
-                    fractal_distance, multi_probe_search, radius_search, refine_with_ids,
+                    fractal_distance, multi_probe_search, radius_many, radius_search, refine_with_ids,
                     refinement_report, search, search_groups, search_many, search_top_k,
                     valid_vector)
-from quiver.functions.sql import fractal_search, register
+from quiver.functions.sql import register
 from quiver.operators.checks import (check_convergence, check_search_result,
                                      refinement_quality)
 from quiver.operators.refine import refine_local
@@ -51,6 +52,15 @@ RADIUS = 0.85
 N_PROBES = 5
 N_QUERIES = 8
 LINEITEM_QUERY = [0.5, 0.5, 0.5, 0.5]
+LINEITEM_QUERIES = {"even": LINEITEM_QUERY, "large": [0.9, 0.9, 0.1, 0.1], "taxed": [0.1, 0.2, 0.0, 0.9]}
+# searches small enough for an oracle to run them in SQL for every row
+HASH_DIM = 3
+HASH_OPTIONS = {
+    "refine_search": RefineOptions(generations=2, population=3, diffusion=2, seed=7, stream="hash"),
+    "refine_local_walk": RefineOptions(generations=2, population=3, diffusion=2, walk=0.0, seed=8, stream="hash"),
+    "refine_free_box": RefineOptions(generations=2, population=3, diffusion=2, lower=0.0, upper=0.5, clip=False,
+                                     seed=9, stream="hash"),
+}
 # Per-measure scale of the lineitem features (the measures'
 # upper ends: quantity 50, extended price 100000, discount 0.1, tax 0.08).
 LINEITEM_SCALE = {"l_quantity": 50.0, "l_extendedprice": 100000.0, "l_discount": 0.1,
@@ -150,11 +160,17 @@ def q_exact_self_top_k(spark, sf):
 
 
 def q_self_top_k(spark, sf):
-    """S1m refined, every embedding as a query against all embeddings (top-10)."""
+    """S1m refined, every embedding as a query against all embeddings (top-10); ranks in order."""
     emb = _t(spark, sf, "embeddings")
     queries = emb.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
-    return search_many(emb, queries, K, "embedding", "vec_id") \
-        .select("query_id", "rank", "vec_id", _r("dist"))
+    found = search_many(emb, queries, K, "embedding", "vec_id")
+    rows = F.array_sort(F.collect_list(F.struct("rank", "dist", "vec_id")))
+    each = found.groupBy("query_id").agg(rows.alias("rows"))
+    rising = F.aggregate("rows", F.struct(F.lit(True).alias("ok"), F.lit(-1.0).alias("last")),
+                         lambda s, r: F.struct((s["ok"] & (r["dist"] >= s["last"])).alias("ok"), r["dist"].alias("last")),
+                         lambda s: s["ok"])
+    return each.select("query_id", F.size("rows").alias("n"), rising.alias("rising"),
+                       F.size(F.array_distinct(F.transform("rows", lambda r: r["vec_id"]))).alias("distinct_rows"))
 
 
 def q_lineitem_top_k(spark, sf):
@@ -193,38 +209,103 @@ def q_min_distance_to_set(spark, sf):
         .select("vec_id", _r("min_dist", "min_dist"))
 
 
+def _in_box(point, lower=-1.0, upper=1.0):
+    return F.forall(point, lambda x: (x >= F.lit(lower)) & (x <= F.lit(upper)))
+
+
+def _same(a, b):
+    return F.abs(a - b) <= F.lit(1e-9)
+
+
 def q_refine_queries(spark, sf):
     """R1 + R4: every embedding refined as a query (one search per distinct vector)."""
     emb = _t(spark, sf, "embeddings")
     r = refine_with_ids(emb.select("vec_id", F.col("embedding").alias("query")), "vec_id")
-    return r.select("vec_id", F.size("best_point").alias("dim"), _r("best_fit", "best_fit"))
+    return r.select("vec_id", F.size("best_point").alias("dim"), _in_box("best_point").alias("in_box"),
+                    _same(F.col("best_fit"), cosine_distance("query", "best_point")).alias("fit_matches"),
+                    (F.col("best_fit") < 0.5).alias("improved"))
+
+
+def _refine_by_hash(spark, sf, options):
+    """Every embedding's first three components refined with the hash stream."""
+    emb = _t(spark, sf, "embeddings")
+    q = emb.select("vec_id", F.slice("embedding", 1, HASH_DIM).alias("query"))
+    r = refine_with_ids(q, "vec_id", options=options)
+    return r.select("vec_id", _r("best_fit", "best_fit"),
+                    *[_r(F.element_at("best_point", j + 1), f"p{j + 1}") for j in range(HASH_DIM)])
+
+
+def q_refine_search(spark, sf):
+    """R1, R1a, R1d: the search itself, checked step by step in SQL."""
+    return _refine_by_hash(spark, sf, HASH_OPTIONS["refine_search"])
+
+
+def q_refine_local_walk(spark, sf):
+    """R1d with ``walk <= 0``: local noise around each particle."""
+    return _refine_by_hash(spark, sf, HASH_OPTIONS["refine_local_walk"])
+
+
+def q_refine_free_box(spark, sf):
+    """Another search box, without clipping."""
+    return _refine_by_hash(spark, sf, HASH_OPTIONS["refine_free_box"])
 
 
 def q_refinement_report(spark, sf):
-    """R2: JSON report per distinct embedding query."""
+    """R2: JSON report per distinct embedding query, parsed and compared with R1's columns."""
     emb = _t(spark, sf, "embeddings")
-    return refinement_report(emb, "embedding").select("report")
+    r = refinement_report(emb, "embedding")
+    told = F.from_json("report", "best_point array<double>, best_fit double")
+    return r.select(_r(F.element_at("query", 1), "q1"), F.size(told["best_point"]).alias("dim"),
+                    (told["best_point"] == F.col("best_point")).alias("same_point"),
+                    _same(told["best_fit"], cosine_distance("query", told["best_point"])).alias("fit_matches"))
 
 
 def q_explore_queries(spark, sf):
-    """Final population (50 particles) per distinct embedding query."""
+    """Final population (50 particles) per distinct embedding query, every fit recomputed."""
     emb = _t(spark, sf, "embeddings")
-    return explore_queries(emb, "embedding").select("particle", _r("fit", "fit"), "is_best")
+    r = explore_queries(emb, "embedding").withColumn(
+        "ok", _in_box("point") & _same(F.col("fit"), cosine_distance("query", "point")))
+    return (r.groupBy("query").agg(F.count(F.lit(1)).alias("particles"), F.count_if("is_best").alias("n_best"),
+                                   F.count_if("ok").alias("n_ok"),
+                                   (F.min("fit") == F.min(F.when(F.col("is_best"), F.col("fit")))).alias("best_is_least"))
+            .select(_r(F.element_at("query", 1), "q1"), "particles", "n_best", "n_ok", "best_is_least"))
 
 
 def q_refine_against_sets(spark, sf):
     """Per label, a point refined against the label's set of embeddings."""
     emb = _t(spark, sf, "embeddings")
-    return refine_against_sets(emb, "label", "embedding").select("label", "dim", _r("best_fit", "best_fit"))
+    r = refine_against_sets(emb, "label", "embedding")
+    near = (emb.select("label", "embedding").join(r, "label")
+            .groupBy("label").agg(F.min(cosine_distance("embedding", "best_point")).alias("near")))
+    return (r.join(near, "label")
+            .select("label", "dim", _in_box("best_point").alias("in_box"),
+                    _same(F.col("best_fit"), F.least(F.lit(1.0), "near")).alias("fit_matches"),
+                    (F.col("best_fit") < 0.5).alias("improved")))
 
 
 def q_fractal_search_column(spark, sf):
-    """V3 with a per-row query: each embedding against the next one's refined point."""
-    a = _t(spark, sf, "embeddings").alias("a")
-    b = _t(spark, sf, "embeddings").alias("b")
-    j = a.join(b, F.col("b.vec_id") == F.col("a.vec_id") + 1)
-    return j.select(F.col("a.vec_id").alias("vec_id"),
-                    _r(fractal_search(F.col("a.embedding"), F.col("b.embedding"))))
+    """V3 with a per-row query: each embedding against a query of the family, by its id."""
+    emb = _t(spark, sf, "embeddings")
+    family = F.array(*[F.array(*[F.lit(x) for x in q]) for q in query_family()])
+    own = F.element_at(family, (F.pmod("vec_id", F.lit(N_QUERIES)) + 1).cast("int"))
+    return fractal_distance(emb, own).select("vec_id", _r("dist"))
+
+
+def q_radius_many(spark, sf):
+    """S1r for a query table: all embeddings within 0.85 of each refined family query."""
+    emb = _t(spark, sf, "embeddings")
+    return radius_many(emb, _family_frame(spark), RADIUS, "embedding", "vec_id") \
+        .select("query_id", "vec_id", _r("dist"))
+
+
+def q_lineitem_multi_top_k(spark, sf):
+    """S1m with a four-column row key: the top-10 lineitem rows of three measure vectors."""
+    li = _t(spark, sf, "lineitem")
+    feats = li.select(*LINEITEM_KEY, *[(F.col(c) / F.lit(LINEITEM_SCALE[c])).alias(c)
+                                       for c in LINEITEM_FEATURES])
+    qs = spark.createDataFrame(list(LINEITEM_QUERIES.items()), "query_id string, query array<double>")
+    return search_many(feats, qs, K, LINEITEM_FEATURES, LINEITEM_KEY) \
+        .select("query_id", "rank", *LINEITEM_KEY, _r("dist"))
 
 
 def q_multi_probe(spark, sf):
@@ -242,9 +323,14 @@ def q_refinement_quality(spark, sf):
 
 
 def q_convergence_check(spark, sf):
-    """Residual of every embedding used as a query (64-D: not expected < 0.01)."""
+    """Residual of every embedding used as a query (64-D: not expected < 0.01), and of their first two components."""
     emb = _t(spark, sf, "embeddings")
-    return check_convergence(emb, "embedding").select(_r("residual", "residual"), "converged")
+    wide = check_convergence(emb, "embedding")
+    flat = check_convergence(emb.select(F.slice("embedding", 1, 2).alias("embedding")), "embedding")
+    return (wide.unionByName(flat)
+            .select(_r(F.element_at("query", 1), "q1"), F.size("query").alias("dim"),
+                    (F.col("converged") == (F.abs("residual") <= 0.01)).alias("consistent"),
+                    ((F.size("query") > 2) | F.col("converged")).alias("flat_converges")))
 
 
 def q_result_check(spark, sf):
@@ -321,7 +407,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cosine_distance": q_cosine_distance,
         "vector_validity": q_vector_validity,
         "min_distance_to_set": q_min_distance_to_set,
+        "lineitem_multi_top_k": q_lineitem_multi_top_k,
+        "radius_many": q_radius_many,
         "refine_queries": q_refine_queries,
+        "refine_search": q_refine_search,
+        "refine_local_walk": q_refine_local_walk,
+        "refine_free_box": q_refine_free_box,
         "refinement_report": q_refinement_report,
         "explore_queries": q_explore_queries,
         "refine_against_sets": q_refine_against_sets,
@@ -353,6 +444,59 @@ def _dist(e: str, p: str) -> str:
             f"(sqrt(list_dot_product({e}, {e})) * sqrt(list_dot_product({p}, {p}))) END)")
 
 
+def _search_sql(o: RefineOptions) -> str:
+    """The search over every embedding's first components, one trial per recursion step.
+
+    Uniform number e of the stream is an integer hash of e; a normal takes two.
+    """
+    size, trials, dim = o.population, o.diffusion, HASH_DIM
+    lo, hi = float(o.lower), float(o.upper)
+    steps = o.generations * size * trials
+
+    def u(e):
+        return (f"((((({o.seed} + 7919 * (({e}) + 1)) % 2147483647) * 16807 % 2147483647 + ({e})) * 48271) "
+                f"% 2147483647 / 2147483647::DOUBLE)")
+
+    def norm(v):
+        return f"(CASE WHEN list_dot_product({v}, {v}) = 0 THEN 1.0::DOUBLE ELSE sqrt(list_dot_product({v}, {v})) END)"
+
+    def fit(v):
+        return f"(1.0::DOUBLE - list_dot_product({v}, q) / ({norm('q')} * {norm(v)}))"
+
+    first = f"({size * dim} + 2 * (s * {dim} + j - 1))"     # trials use the stream in step order
+    z = f"(sqrt(-2 * ln(greatest({u(first)}, 1e-300::DOUBLE))) * cos(2 * pi() * {u(first + ' + 1')}))"
+    at = f"x[(s // {trials}) % {size} + 1]"
+    if o.walk > 0:
+        move = f"base[j] + {z} * {float(o.walk)!r}::DOUBLE * (base[j] - {at}[j])"
+    else:
+        move = f"{at}[j] + {z} * {0.01 * (hi - lo)!r}::DOUBLE"
+    if o.clip:
+        move = f"least({hi!r}::DOUBLE, greatest({lo!r}::DOUBLE, {move}))"
+    mine = f"(s // {trials}) % {size} + 1"
+    return f"""
+WITH RECURSIVE queries AS (
+  SELECT vec_id, embedding[1:{dim}]::DOUBLE[] AS q FROM embeddings),
+drawn AS (
+  SELECT vec_id, q, list_transform(range(0, {size}), lambda i: list_transform(range(1, {dim + 1}),
+    lambda j: {lo!r}::DOUBLE + {u(f'i * {dim} + j - 1')} * {hi - lo!r}::DOUBLE)) AS x FROM queries),
+scored AS (
+  SELECT vec_id, q, x, list_transform(x, lambda v: {fit('v')}) AS f FROM drawn),
+search AS (
+  SELECT vec_id, q, 0::BIGINT AS s, x, f, list_position(f, list_min(f))::BIGINT AS b,
+         x[list_position(f, list_min(f))] AS base FROM scored
+  UNION ALL
+  SELECT vec_id, q, s + 1, nx, nf, nb,
+         CASE WHEN (s + 1) % {trials} = 0 THEN nx[nb] ELSE base END
+  FROM (
+    SELECT *, CASE WHEN ft < f[{mine}] AND ft < f[b] THEN {mine} ELSE b END AS nb,
+           list_transform(range(1, {size + 1}), lambda p: CASE WHEN p = {mine} AND ft < f[p] THEN t ELSE x[p] END) AS nx,
+           list_transform(range(1, {size + 1}), lambda p: CASE WHEN p = {mine} AND ft < f[p] THEN ft ELSE f[p] END) AS nf
+    FROM (SELECT *, {fit('t')} AS ft
+          FROM (SELECT *, list_transform(range(1, {dim + 1}), lambda j: {move}) AS t FROM search WHERE s < {steps}))))
+SELECT vec_id, round(f[b], 6) AS best_fit, {', '.join(f'round(x[b][{j + 1}], 6) AS p{j + 1}' for j in range(dim))}
+FROM search WHERE s = {steps}"""
+
+
 @lru_cache(maxsize=None)
 def _refined(query: tuple) -> tuple:
     return tuple(refine_local(list(query), RefineOptions())[0])
@@ -454,6 +598,37 @@ def oracle_sql() -> dict[str, str]:
         "stream_score": scalar,
         "stream_top_k": top_k,
     }
+    first = "round(embedding[1]::DOUBLE, 6) AS q1"
+    each = "(SELECT DISTINCT embedding FROM embeddings)"
+    out |= {name: _search_sql(options) for name, options in HASH_OPTIONS.items()}
+    out |= {
+        "refine_queries": "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dim, true AS in_box, "
+                          "true AS fit_matches, true AS improved FROM embeddings",
+        "refinement_report": f"SELECT {first}, CAST(len(embedding) AS INTEGER) AS dim, true AS same_point, "
+                             f"true AS fit_matches FROM {each}",
+        "explore_queries": f"SELECT {first}, 50::BIGINT AS particles, 1::BIGINT AS n_best, 50::BIGINT AS n_ok, "
+                           f"true AS best_is_least FROM {each}",
+        "refine_against_sets": f"SELECT DISTINCT label, {DIM} AS dim, true AS in_box, true AS fit_matches, "
+                               "true AS improved FROM embeddings",
+        "convergence_check": f"SELECT {first}, CAST(len(embedding) AS INTEGER) AS dim, true AS consistent, "
+                             f"true AS flat_converges FROM {each} UNION ALL SELECT {first}, 2, true, true "
+                             "FROM (SELECT DISTINCT embedding[1:2] AS embedding FROM embeddings)",
+        "self_top_k": f"SELECT vec_id AS query_id, CAST(least({K}, (SELECT count(*) FROM embeddings)) AS INTEGER) "
+                      f"AS n, true AS rising, CAST(least({K}, (SELECT count(*) FROM embeddings)) AS INTEGER) "
+                      "AS distinct_rows FROM embeddings",
+        "fractal_search_column": (
+            f"WITH {fam} SELECT e.vec_id, {_rnd(_dist('e.embedding::DOUBLE[]', 'fam.p'))} AS dist "
+            f"FROM embeddings e JOIN fam ON fam.query_id = e.vec_id % {N_QUERIES}"),
+        "radius_many": (
+            f"WITH {fam}, s AS (SELECT fam.query_id, e.vec_id, {_dist('e.embedding::DOUBLE[]', 'fam.p')} AS dist "
+            f"FROM embeddings e, fam) SELECT query_id, vec_id, {_rnd('dist')} AS dist FROM s WHERE dist <= {RADIUS}"),
+    }
+    li_vals = ", ".join(f"('{name}', {_lit(_refined(tuple(q)))})" for name, q in LINEITEM_QUERIES.items())
+    out["lineitem_multi_top_k"] = (
+        f"WITH fam(query_id, p) AS (VALUES {li_vals}), s AS (SELECT fam.query_id, {li_key}, {_dist(li_vec, 'fam.p')} "
+        f"AS dist FROM lineitem, fam), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY "
+        f"dist ASC NULLS LAST, {li_key}) AS INTEGER) AS rank FROM s) SELECT query_id, rank, {li_key}, "
+        f"{_rnd('dist')} AS dist FROM r WHERE rank <= {K}")
     out["stream_multi_top_k"] = out["multi_query_top_k"]
     out["stream_radius"] = out["radius_search"]
     out.update(_llm()[1])

@@ -16,7 +16,9 @@ own generator seeded by ``crc32(query bytes) ^ seed``.  The result therefore
 depends only on the query and the options, never on batching, partitioning,
 task order or retries.
 
-Random numbers: NumPy ``Generator(SFC64(seed))``; standard normals come from
+Random numbers: with ``stream="hash"`` every uniform is an integer hash of its
+place in the stream (any engine can compute it) and normals are Box-Muller
+pairs of them.  By default, NumPy ``Generator(SFC64(seed))``; standard normals come from
 its ziggurat sampler, which draws the same N(0, 1) as Box-Muller at about a
 quarter of the cost.  Streams are reproducible for a given NumPy version.
 """
@@ -52,6 +54,7 @@ class RefineOptions:
     upper: float | tuple = DEFAULT_UPPER
     clip: bool = DEFAULT_CLIP
     seed: int = 0
+    stream: str = "sfc64"
 
     def box(self, dim: int):
         lo = np.broadcast_to(np.asarray(self.lower, dtype=np.float64), (dim,)).copy()
@@ -62,7 +65,44 @@ class RefineOptions:
         return (self.generations, self.population, self.diffusion, float(self.walk),
                 np.asarray(self.lower, dtype=np.float64).tobytes(),
                 np.asarray(self.upper, dtype=np.float64).tobytes(), bool(self.clip),
-                int(self.seed))
+                int(self.seed), self.stream)
+
+
+# Fixed values of the hash stream: a prime modulus and three multipliers.
+HASH_MODULUS = 2147483647
+HASH_STEP, HASH_FIRST, HASH_SECOND = 7919, 16807, 48271
+
+
+class HashStream:
+    """Uniforms by integer hashing of ``(seed, place)``, normals by Box-Muller.
+
+    The same for every query of a seed; a search needs
+    ``(population + 2 generations population diffusion) * dim`` uniforms.
+    """
+
+    def __init__(self, seed: int):
+        self.seed, self.place = int(seed) % HASH_MODULUS, 0
+
+    def random(self, shape) -> np.ndarray:
+        n = int(np.prod(shape))
+        i = np.arange(self.place, self.place + n, dtype=np.int64)
+        self.place += n
+        h = (self.seed + HASH_STEP * (i + 1)) % HASH_MODULUS
+        h = (h * HASH_FIRST % HASH_MODULUS + i % HASH_MODULUS) * HASH_SECOND % HASH_MODULUS
+        return (h / float(HASH_MODULUS)).reshape(shape)
+
+    def standard_normal(self, shape, out: np.ndarray) -> None:
+        u = self.random((*shape, 2))
+        np.multiply(np.sqrt(-2 * np.log(np.maximum(u[..., 0], 1e-300))), np.cos(2 * np.pi * u[..., 1]), out=out)
+
+
+def random_stream(opts: RefineOptions, query: np.ndarray):
+    """A query's source of uniforms and normals."""
+    if opts.stream == "hash":
+        return HashStream(opts.seed)
+    if opts.stream != "sfc64":
+        raise ValueError(f"unknown random stream {opts.stream!r}")
+    return np.random.Generator(np.random.SFC64(int(query_seed(query, opts.seed))))
 
 
 def query_seed(query: np.ndarray, seed: int) -> int:
@@ -174,8 +214,9 @@ def refine(queries: np.ndarray, opts: RefineOptions, objective=None,
     span = hi - lo
     f = objective if objective is not None else CosineObjective(queries)
     if seeds is None:
-        seeds = [query_seed(q, opts.seed) for q in queries]
-    rngs = [np.random.Generator(np.random.SFC64(int(s))) for s in seeds]
+        rngs = [random_stream(opts, q) for q in queries]
+    else:
+        rngs = [np.random.Generator(np.random.SFC64(int(s))) for s in seeds]
 
     # particle-major layout: the slices touched in the sequential loop,
     # X[i] and Z[i, m], are contiguous (Q, d) blocks
