@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from ..functions.arrays import (columns_to_matrix, cosine_to_points, doubtful, exact_cosine, list_dims,
                                list_to_matrix, screen_margin, sq_norms, unit_rows)
 from ..functions.selection import NULL, TopKState, classify, keep_first_k
-from ..plans.keys import RowKey, as_objects, quoted
+from ..plans.keys import LazyKeys, RowKey, as_objects, built, quoted
 
 # cap on elements of one distance block (rows x queries) held at once
 BLOCK_ELEMENTS = 1 << 22
@@ -206,7 +206,8 @@ def topk_scorer(bank_bc, spec: VectorSpec, key: RowKey, k: int, group_type: pa.D
     return run
 
 
-def _smallest(held, ids: np.ndarray, k: int) -> np.ndarray:
+def _smallest(held, ids, k: int) -> np.ndarray:
+    ids = built(ids)
     if held is not None:
         if held.dtype == object or ids.dtype == object:
             held, ids = as_objects(held), as_objects(ids)
@@ -257,7 +258,7 @@ def _add(state, D, targets, vid, k, eps, exact, odd_rows=None, odd_columns=None)
     if len(r) == 0:
         return
     cls, dist = classify(exact(r, c))
-    state.add([targets[c]], cls, dist, vid[r])
+    state.add([targets[c]], cls, dist, built(vid[r]))
 
 
 def _exact_owner_min(mat, pts, starts, ends, r, c):
@@ -275,14 +276,29 @@ def _add_grouped(state, mat, pts, targets, vid, k, gcodes):
     """Per query, exact distances for every row, then k per group."""
     for j in range(pts.shape[0]):
         cls, dist = classify(exact_cosine(mat, pts[j]))
-        keep = keep_first_k([gcodes], cls, dist, vid, k)
-        state.add([np.full(len(keep), targets[j], dtype=np.int64), gcodes[keep]],
-                  cls[keep], dist[keep], vid[keep])
+        groups, rows = gcodes, vid
+        if isinstance(vid, LazyKeys):
+            # keys are built for the first k of each group and their ties only
+            some = _first_with_ties(groups, cls, dist, k)
+            groups, cls, dist, rows = groups[some], cls[some], dist[some], vid[some].values()
+        keep = keep_first_k([groups], cls, dist, rows, k)
+        state.add([np.full(len(keep), targets[j], dtype=np.int64), groups[keep]],
+                  cls[keep], dist[keep], rows[keep])
+
+
+def _first_with_ties(groups, cls, dist, k) -> np.ndarray:
+    """Rows that are among their group's first k by distance, or tie with the k-th."""
+    order = np.lexsort((dist, cls, groups))
+    g, c, d = groups[order], cls[order], dist[order]
+    start = np.searchsorted(g, g, side="left")
+    last = np.minimum(start + k, np.searchsorted(g, g, side="right")) - 1
+    return order[(c < c[last]) | ((c == c[last]) & (d <= d[last]))]
 
 
 def _add_nulls(state, targets, inv_ids, k, gcodes):
     """Rows with a NULL distance for every query in ``targets``."""
     targets = np.asarray(targets, dtype=np.int64)
+    inv_ids = built(inv_ids)
     if gcodes is None:
         keep = np.sort(inv_ids)[:k]
         key_cols = [np.repeat(targets, len(keep))]
@@ -328,7 +344,7 @@ def radius_scorer(bank_bc, spec: VectorSpec, key: RowKey, radius: float):
                     hit = exact <= radius
                     r, c, exact = r[hit], c[hit], exact[hit]
                     if len(r):
-                        yield _candidates(bank, entries[lo + c], key, ids[vidx[r]],
+                        yield _candidates(bank, entries[lo + c], key, built(ids[vidx[r]]),
                                           pa.array(exact, type=pa.float64()))
 
     return run

@@ -230,7 +230,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def query_points(queries: DataFrame, query_key: RowKey, query_col: str, options, exact: bool,
                  broadcast_bytes: int) -> tuple[DataFrame, int, int]:
-    """The written ``(query key, __p)`` table of points to score against, its rows and elements.
+    """The ``(query key, __p)`` table of points to score against, its rows and elements.
 
     ``queries`` is evaluated once: everything later reads what was written.
     """
@@ -241,10 +241,11 @@ def query_points(queries: DataFrame, query_key: RowKey, query_col: str, options,
     if exact:
         return held.withColumnRenamed("query", "__p"), rows, elements
     tasks = max(1, min(rows, max(2 * default_parallelism(spark), -(-rows // REFINED_PER_TASK))))
-    refined = refine_with_ids(held, query_key.inner, "query", options, tasks,
-                              bounded=fits_broadcast(rows, elements, broadcast_bytes))
+    small = fits_broadcast(rows, elements, broadcast_bytes)
+    refined = refine_with_ids(held, query_key.inner, "query", options, tasks, bounded=small)
     points = refined.select(*query_key.inner, F.col("best_point").alias("__p"))
-    return materialize(points, "refined"), rows, elements
+    # points that fit one broadcast are collected once, others are read part by part
+    return (points if small else materialize(points, "refined")), rows, elements
 
 
 def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedding",

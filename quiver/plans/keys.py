@@ -45,15 +45,12 @@ class RowKey:
     def order(self) -> list[Column]:
         return [F.col(a).asc_nulls_first() for a in self.inner]
 
-    def read(self, batch: pa.RecordBatch) -> np.ndarray:
-        """Comparable key values of a batch: integers, or tuples that sort as Spark sorts (NULL first)."""
+    def read(self, batch: pa.RecordBatch):
+        """Comparable keys of a batch: integers, or keys that are built where they are asked for."""
         arrays = [batch.column(a) for a in self.inner]
         if self.integral and not arrays[0].null_count:
             return np.asarray(arrays[0].to_numpy(zero_copy_only=False), dtype=np.int64)
-        out = np.empty(batch.num_rows, dtype=object)
-        for i, values in enumerate(zip(*[a.to_pylist() for a in arrays])):
-            out[i] = tuple((v is not None, v) for v in values)
-        return out
+        return LazyKeys(arrays, np.arange(batch.num_rows))
 
     def write(self, keys: np.ndarray) -> list[pa.Array]:
         if keys.dtype != object:
@@ -61,6 +58,34 @@ class RowKey:
         return [pa.array([x[j][1] for x in keys], type=t) for j, t in enumerate(self.arrow)]
 
 
+class LazyKeys:
+    """Keys of a batch's rows: places until :meth:`values` builds them.
+
+    Few of a batch's rows become candidates, and only theirs are built, as
+    tuples that sort as Spark sorts (NULL first).
+    """
+
+    def __init__(self, arrays: list[pa.Array], places: np.ndarray):
+        self.arrays, self.places = arrays, places
+
+    def __len__(self) -> int:
+        return len(self.places)
+
+    def __getitem__(self, rows) -> "LazyKeys":
+        return LazyKeys(self.arrays, self.places[rows])
+
+    def values(self) -> np.ndarray:
+        at = pa.array(self.places, pa.int64())
+        out = np.empty(len(self.places), dtype=object)
+        for i, row in enumerate(zip(*[a.take(at).to_pylist() for a in self.arrays])):
+            out[i] = tuple((v is not None, v) for v in row)
+        return out
+
+
+def built(keys) -> np.ndarray:
+    return keys.values() if isinstance(keys, LazyKeys) else keys
+
+
 def as_objects(keys: np.ndarray) -> np.ndarray:
     """Integer keys in the form of nullable ones (a task may meet both)."""
     if keys.dtype == object:
