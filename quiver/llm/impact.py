@@ -166,7 +166,7 @@ def search_index(index: DataFrame, queries: DataFrame, dim: int, k: int) -> Data
     """
     spark = index.sparkSession
 
-    def block(table: pa.Table) -> DataFrame:
+    def block(table: pa.Table):
         ids, lists = table.column("vec_id").to_numpy(), table.column("v").combine_chunks()
         sizes = np.diff(lists.offsets.to_numpy()) if len(lists) else np.zeros(0, int)
         by_dim = {}
@@ -175,7 +175,7 @@ def search_index(index: DataFrame, queries: DataFrame, dim: int, k: int) -> Data
             by_dim[d] = (ids[pick], lists.take(pa.array(pick)).flatten().to_numpy().reshape(-1, d))
         held = spark.sparkContext.broadcast(by_dim)
         found = index.mapInArrow(_search(held, k), "query_id long, vec_id long, score long")
-        return best_per_query(found, k, "long")
+        return best_per_query(found, k, "long"), held
 
     once = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     return in_query_blocks(once, dim, block, "impact-found")

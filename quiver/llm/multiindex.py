@@ -202,7 +202,7 @@ def search_multi_index(vectors: DataFrame, queries: DataFrame, k: int, centroids
     for cell, m in index.groupBy("cell").count().collect():     # a row per cell: bounded by the codebooks
         sizes[cell] = m
 
-    def block(table: pa.Table) -> DataFrame:
+    def block(table: pa.Table):
         ids = table.column("vec_id").to_numpy()
         raw = matrix(table.column("v").combine_chunks(), dim) if len(ids) else np.zeros((0, dim))
         units = unit(raw) if len(ids) else raw
@@ -214,7 +214,7 @@ def search_multi_index(vectors: DataFrame, queries: DataFrame, k: int, centroids
         uniq, begin = np.unique(cell[by], return_index=True)
         visitors = dict(zip(uniq.tolist(), np.split(who[by], begin[1:]))) if len(uniq) else {}
         held = spark.sparkContext.broadcast((ids, raw, visitors))
-        return best_per_query(index.mapInArrow(_scan(held, k, dim), found), k, "double")
+        return best_per_query(index.mapInArrow(_scan(held, k, dim), found), k, "double"), held
 
     once = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     # a block carries its visits too: up to a number per cell and query

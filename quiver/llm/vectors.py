@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,11 +28,13 @@ def matrix(lists: pa.Array, dim: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def in_query_blocks(queries: DataFrame, dim: int, run: Callable[[pa.Table], DataFrame], name: str) -> DataFrame:
+def in_query_blocks(queries: DataFrame, dim: int, run: Callable[[pa.Table], tuple[DataFrame, Broadcast]],
+                    name: str) -> DataFrame:
     """The union of ``run`` over blocks of ``queries``; each block fits a broadcast.
 
-    ``run`` gets a block as an Arrow table.  The result is written, block by
-    block, to the shared folder.
+    ``run`` gets a block as an Arrow table and gives its result and the
+    broadcast it reads, which is released once the result is written to the
+    shared folder: one block at a time is in memory, here and on executors.
     """
     spark = queries.sparkSession
     queries = save(queries.withColumn("h", F.xxhash64(*queries.columns)), f"{name}-queries")
@@ -40,9 +43,10 @@ def in_query_blocks(queries: DataFrame, dim: int, run: Callable[[pa.Table], Data
     path, schema = scratch_path(spark, name), None
     for b in range(blocks):
         part = queries if blocks == 1 else queries.filter(F.pmod("h", F.lit(blocks)) == b)
-        out = run(part.drop("h").toArrow())
+        out, held = run(part.drop("h").toArrow())
         schema = out.schema
         out.write.mode("append").parquet(path)
+        held.destroy()
     return spark.read.schema(schema).parquet(path)
 
 
