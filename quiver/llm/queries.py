@@ -168,4 +168,67 @@ SELECT d.doc_id, d.size, c.source_size, c.target,
 FROM docs d JOIN cut c ON d.source IS NOT DISTINCT FROM c.source
 """
 
-ORACLE_SQL = {"op2_line_dedup": LINES_SQL, "op8_mix_sources": MIX_SQL}
+JACCARD_SQL = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+met AS (
+  SELECT a.r AS u, b.r AS v, count(*) AS m FROM shingles a JOIN shingles b ON a.s = b.s AND a.r < b.r GROUP BY 1, 2),
+links AS (
+  SELECT u, v FROM met JOIN sizes x ON x.r = u JOIN sizes y ON y.r = v WHERE 100 * m >= {jaccard.PERCENT} * (x.n + y.n - m)),
+ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (
+  SELECT r AS u, r AS v FROM docs
+  UNION
+  SELECT reach.u, ways.v FROM reach JOIN ways ON reach.v = ways.u)
+SELECT any_value(d.doc_id) AS doc_id, CAST(coalesce(any_value(sizes.n), 0) AS BIGINT) AS n_shingles,
+       min(x.doc_id) AS component_id
+FROM reach JOIN docs d ON d.r = reach.u JOIN docs x ON x.r = reach.v LEFT JOIN sizes ON sizes.r = reach.u
+GROUP BY reach.u
+"""
+
+TOP_SQL = f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20
+"""
+
+SUBSTRING_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+windows AS (
+  SELECT r, i, md5(array_to_string(w[i:i + {WINDOW - 1}], ' ')) AS h
+  FROM (SELECT r, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM docs WHERE len(w) >= {WINDOW})),
+twice AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+covered AS (
+  SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + {WINDOW})) AS p FROM windows SEMI JOIN twice USING (h))),
+kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs) ANTI JOIN covered USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+ORACLE_SQL = {
+    "op1_jaccard_join": JACCARD_SQL,
+    "op2_line_dedup": LINES_SQL,
+    "op3_exact_top_k": TOP_SQL,
+    "op4_substring_dedup": SUBSTRING_SQL,
+    "op8_mix_sources": MIX_SQL,
+}
