@@ -85,8 +85,9 @@ def dedup_lines(docs: DataFrame, min_sites: int = 10, site_col: str = "source")
 
 def cleaned_documents(docs: DataFrame, min_sites: int = 10, site_col: str = "source") -> DataFrame:
     """``docs`` without boilerplate lines, in its own columns (``n_chars`` counted anew)."""
-    out = dedup_lines(docs, min_sites, site_col)
+    own = {c: f"__own_{c}" for c in ("n_lines", "n_removed") if c in docs.columns}
+    out = dedup_lines(docs.withColumnsRenamed(own), min_sites, site_col)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
                              .otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])

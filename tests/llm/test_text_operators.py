@@ -105,6 +105,13 @@ def test_lines_near_the_threshold_are_counted_exactly(spark):
     assert got == {d: int(d // 100 + 1 >= 30 and d % 100 > 0) for d, _, _ in rows}
 
 
+def test_cleaned_documents_keep_columns_of_any_name(clashing):
+    out = linededup.cleaned_documents(clashing, 5)
+    assert out.columns == clashing.columns
+    same = clashing.select("n_lines", "v").distinct().collect()
+    assert out.select("n_lines", "v").distinct().collect() == same
+
+
 def test_cleaned_documents_count_characters(docs):
     for r in linededup.cleaned_documents(docs, 5).filter("text IS NOT NULL").collect():
         assert r.n_chars in (len(r.text), 1)
