@@ -2,12 +2,12 @@
 
 Vectors of small integers are indexed in shards.  In a shard, a posting
 segment holds the rows with one value in one dimension; for a query, the
-segment's impact is the product of the query's component and that value, above
-the least such product of its dimension (so impacts are never negative).
-Segments are processed by descending impact, quantised into levels.  After a
-level, a row can still gain at most the level's floor in each dimension not
-met yet.  Processing stops only when this bound proves that few rows can be
-among the best k; these are rescored exactly.
+segment's impact is the size of the product of the query's component and that
+value.  Segments are processed by descending impact, quantised into levels
+(finer towards 0).  After a level, a row can still gain at most the level's
+floor in each dimension not met yet.  The bar is the k-th best exact score of the rows that lead so far.
+Processing stops only when the bound proves that few rows can reach the bar;
+these are rescored exactly.
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ from .shared import save
 from .vectors import best_per_query, in_query_blocks, usable
 
 SHARD_ROWS = 8192
-LEVELS = 24
-# rows of a shard that are rescored at most before more levels are processed
-RESCORED = 0.05
+LEVELS = 6
+# share of a shard that is rescored rather than process another level
+RESCORED = 0.25
 LARGEST = 1 << 26
 
 
@@ -36,54 +36,71 @@ class Shard:
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.rows = ids[order], rows[order]
-        posting, dim, value, start = [], [], [], []
+        posting, values, dim, value, start = [], [], [], [], []
         for d in range(rows.shape[1]):
             column = self.rows[:, d]
             by = np.argsort(column, kind="stable")
             ordered = column[by]
             begin = np.flatnonzero(np.diff(ordered, prepend=ordered[:1] - 1))
-            posting.append(by.astype(np.uint16 if len(ids) <= 65536 else np.uint32))
+            posting.append(by)
+            values.append(ordered)
             dim.append(np.full(len(begin), d))
             value.append(ordered[begin])
             start.append(begin + d * len(ids))
-        self.posting, self.dim = np.concatenate(posting), np.concatenate(dim)
-        self.value, self.start = np.concatenate(value), np.concatenate(start)
-        self.length = np.diff(self.start, append=len(self.posting))
+        # a row of both for each dimension
+        self.posting, self.values = np.stack(posting), np.stack(values).astype(np.float64)
+        self.dim, self.value, self.start = np.concatenate(dim), np.concatenate(value), np.concatenate(start)
         self.first = np.flatnonzero(np.diff(self.dim, prepend=-1))
 
     def best(self, query: np.ndarray, k: int, without: int | None) -> tuple[np.ndarray, np.ndarray]:
         """The ids and scores of the k best rows (ties to the smaller id)."""
         n, dims = self.rows.shape
-        product = query[self.dim] * self.value
-        impact = product - np.minimum.reduceat(product, self.first)[self.dim]
-        level = impact * LEVELS // (int(impact.max()) + 1)
-        order = np.argsort(-level, kind="stable")
-        cuts = np.searchsorted(-level[order], -np.arange(LEVELS - 1, -1, -1), side="right")
-        score, met = np.zeros(n), np.zeros(n)
-        own = np.zeros(n, dtype=bool) if without is None else self.ids == without
-        possible, begin = np.flatnonzero(~own), 0
+        possible = np.arange(n) if without is None else np.flatnonzero(self.ids != without)
         k = min(k, len(possible))
         if not k:
             return self.ids[:0], self.ids[:0]
-        for cut, floor in zip(cuts.tolist(), range(LEVELS - 1, -1, -1)):
-            segments = order[begin:cut]
-            begin = cut
-            if len(segments):
-                size = self.length[segments]
-                place = np.arange(int(size.sum())) + np.repeat(self.start[segments] - np.cumsum(size) + size, size)
-                rows = self.posting[place]
-                score += np.bincount(rows, np.repeat(impact[segments], size), n)
-                met += np.bincount(rows, minlength=n)
-            # what is left of a level below the floor adds less than this each time
-            gain = floor * (int(impact.max()) + 1) / LEVELS
-            sure = np.partition(score[possible], len(possible) - k)[len(possible) - k]
-            left = possible[score[possible] + (dims - met[possible]) * gain >= sure]
+        impact = np.abs(query[self.dim] * self.value)
+        most = np.maximum.reduceat(impact, self.first).astype(np.float64)
+        top = float(most.max()) + 1
+        level = (LEVELS * np.sqrt(impact / top)).astype(np.int64)
+        highest = np.maximum.reduceat(level, self.first)
+        # segments of one dimension and level that lie side by side
+        run = np.flatnonzero(np.diff(self.dim * LEVELS + level, prepend=-1))
+        begin, end = self.start[run], np.append(self.start[run[1:]], self.posting.size)
+        order = np.argsort(-level[run], kind="stable")
+        cuts = np.searchsorted(-level[run][order], -np.arange(LEVELS), side="right")
+        segments = list(zip(begin[order].tolist(), end[order].tolist()))
+        # a sum of products and a count share a float where both fit
+        unit = float(1 << 32) if top * dims < 1 << 31 else 0.0
+        weights = self.values * query[:, None].astype(np.float64)
+        weights += unit
+        weights, posting = weights.ravel(), self.posting.ravel()
+        score, met, done = np.zeros(n), np.zeros(n), 0
+        for lowest in range(LEVELS - 1, -1, -1):
+            here = segments[done:cuts[lowest]]
+            done = cuts[lowest]
+            if here:
+                rows = np.concatenate([posting[a:b] for a, b in here])
+                both = np.bincount(rows, np.concatenate([weights[a:b] for a, b in here]), n)
+                times = np.rint(both / unit) if unit else np.bincount(rows, minlength=n)
+                score += both - times * unit
+                met += times
+            if lowest > LEVELS // 2:
+                continue
+            # exact scores of the leaders give the bar; a dimension not met yet
+            # adds less than the level's floor, and no more than its largest
+            lead = possible[np.argpartition(score[possible], len(possible) - k)[-min(4 * k, len(possible)):]]
+            bar = np.partition(self.rows[lead] @ query, len(lead) - k)[len(lead) - k]
+            gain = top * (lowest / LEVELS) ** 2 + 1
+            small = highest < lowest
+            bound = score[possible] + most[small].sum() + (dims - small.sum() - met[possible]) * gain
+            left = possible[bound >= bar]
             if len(left) <= max(4 * k, RESCORED * n):
                 possible = left
                 break
         exact = self.rows[possible] @ query
-        top = np.lexsort((self.ids[possible], -exact))[:k]
-        return self.ids[possible[top]], exact[top]
+        first = np.lexsort((self.ids[possible], -exact))[:k]
+        return self.ids[possible[first]], exact[first]
 
     def pack(self) -> bytes:
         return (np.array([len(self.ids), self.rows.shape[1]], np.int64).tobytes() + self.ids.tobytes()
