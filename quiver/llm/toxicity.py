@@ -39,7 +39,7 @@ NEIGHBOURS = 15
 SHRINK = 0.5
 BLOCK = 64
 THRESHOLD = 0.7
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 WORD = re.compile(r"\w+")
 
 
