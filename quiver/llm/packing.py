@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.session import attach
-from .encode import ID, crc, encoder
+from .encode import ID, Encoder, crc
 from .shared import save
 
 # a bin with this much room or less is emitted at once
@@ -30,7 +30,8 @@ MEMBER_ARROW = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start
 
 def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path), np.array([end_id], dtype=ID).tobytes()
+        # of the task, not the worker: what it remembers goes with it
+        encode, end = Encoder(path), np.array([end_id], dtype=ID).tobytes()
         for batch in batches:
             doc, piece, start, length, sums = [], [], [], [], []
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
