@@ -30,14 +30,18 @@ def components(links: DataFrame) -> DataFrame:
     """
     now = save(links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                .distinct(), "links")
-    seen = None
-    while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(state) == seen or not state[0]:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")) \
-                .unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        seen = tuple(state)
+    while not _stars(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = save(_rewire(both, F.col("v") > F.col("u")).select(
             F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "large-star")
         now = save(_rewire(large, F.col("v") > F.col("m")), "small-star")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")) \
+        .unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def _stars(links: DataFrame) -> bool:
+    """Whether every node hangs on one other, which hangs on none."""
+    roles = (links.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+             .unionByName(links.select(F.col("v").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds"))))
+    return (roles.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+            .filter("hangs > 1 OR (hangs > 0 AND holds > 0)").isEmpty())

@@ -71,7 +71,6 @@ def shingles(texts: pa.Array, width: int = WORDS) -> tuple[np.ndarray, np.ndarra
 def _set_keys(rows: int, row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each set's size and a 64-bit hash of its members in any order."""
     sizes = np.bincount(row, minlength=rows)
-    sums = np.zeros(rows + 1, dtype=U)
     total = np.concatenate([np.zeros(1, U), np.cumsum(mix(hashes + U(0x5851F42D4C957F2D)))])
     ends = np.cumsum(sizes)
     sums = total[ends] - total[ends - sizes]
@@ -193,6 +192,8 @@ def _settle(sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     spans = save(prefix.groupBy("token").agg(
         F.count(F.lit(1)).alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"),
         F.min("id").alias("head")).filter("lo <> hi").select("token", "m", "head"), "spans")
+    if spans.isEmpty():
+        return known.limit(0)
     open_ = save(prefix.join(small_side(spans, 32), "token"), "open-postings")
 
     few = open_.filter(F.col("m") <= LISTED).select("token", "id", "n", "component", "l")
@@ -211,6 +212,8 @@ def _settle(sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
            .filter(100 * both >= percent * (F.col("nu") + F.col("nv") - both)).select("u", "v"))
 
     many = save(open_.filter(F.col("m") > LISTED).select("id", "head").distinct(), "long-postings")
+    if many.isEmpty():
+        return met
     family = save(components(many.select(F.col("id").alias("u"), F.col("head").alias("v")))
                   .withColumnRenamed("component", "family"), "families")
     sizes = family.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
