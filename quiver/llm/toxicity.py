@@ -1,12 +1,17 @@
 """Toxicity from the nearest labelled examples.
 
-Texts become TF-IDF vectors over a vocabulary of terms (words and word
-beginnings) that go with the label in the training rows.  The labelled
+Texts become TF-IDF vectors over a vocabulary of terms that go with the label
+in the training rows: words, and word beginnings that are as pure as the words
+(their toxic share is at least that of all chosen words together).  The labelled
 examples are in a block-max inverted index: beside its postings, a term keeps
 the largest weight per block of examples, so a block whose bound is below the
 k-th best cosine is never opened and the k nearest are exact.  Their votes,
 weighted by similarity and shrunk towards the rate of examples without any
-term, are the score; the neighbours are its evidence.
+term, are the vote; the neighbours are its evidence.
+
+The vote is calibrated: folds of the training rows are scored by vocabularies
+and examples of the other folds, and for each language the vote that parts its
+toxic from its clean rows best (by F1) becomes the score ``THRESHOLD``.
 
 Training uses a bounded sample of labelled rows (``sample``), fit on all of
 them up to that bound.  Document frequencies cover all documents.
@@ -39,6 +44,9 @@ NEIGHBOURS = 15
 SHRINK = 0.5
 BLOCK = 64
 THRESHOLD = 0.7
+FOLDS = 4
+# toxic and clean training rows of a language from which it has a cut of its own
+LEAST = 10
 REMEMBERED = 200_000
 WORD = re.compile(r"\w+")
 
@@ -124,18 +132,53 @@ class BlockMaxIndex:
 
 
 def _training_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of each class that have a term, added up per task."""
-    rows: tuple[Counter, Counter] = (Counter(), Counter())
+    """Rows of each class and fold that have a term, added up per task."""
+    rows: dict[tuple[int, int], Counter] = {(f, y): Counter() for f in range(FOLDS) for y in (0, 1)}
     for batch in batches:
-        for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
+        for text, toxic, fold in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             words = set(WORD.findall((text.as_py() or "").lower()))
-            rows[toxic].update({t for w in words for t in word_terms(w)})
-    terms = [t for t, n in (rows[0] + rows[1]).items()]
-    for lo in range(0, len(terms), 50_000):
-        part = terms[lo:lo + 50_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(part, pa.string()), pa.array([rows[1][t] for t in part], pa.int64()),
-             pa.array([rows[0][t] for t in part], pa.int64())], names=["term", "with1", "with0"])
+            rows[fold, toxic].update({t for w in words for t in word_terms(w)})
+    for f in range(FOLDS):
+        terms = list(rows[f, 0] | rows[f, 1])
+        for lo in range(0, len(terms), 50_000):
+            part = terms[lo:lo + 50_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.string()), pa.array([f] * len(part), pa.int32()),
+                 pa.array([rows[f, 1][t] for t in part], pa.int64()),
+                 pa.array([rows[f, 0][t] for t in part], pa.int64())], names=["term", "fold", "with1", "with0"])
+
+
+def _vocabularies(train: DataFrame, terms: int) -> list[set[str]]:
+    """The vocabulary of all training rows, and one without each fold."""
+    size = {(r["fold"], r["toxic"]): r["n"] for r in
+            train.groupBy("fold", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sides = [[f for f in range(FOLDS) if f != left] for left in (None, *range(FOLDS))]
+    in_side = [F.col("fold").isin(side) for side in sides]
+    stats = save(train.select("text", "toxic", "fold")
+                 .mapInArrow(_training_counts, "term string, fold int, with1 long, with0 long").groupBy("term")
+                 .agg(*[F.sum(F.when(c, F.col(f"with{y}")).otherwise(0)).cast("double").alias(f"{x}{g}")
+                        for g, c in enumerate(in_side) for x, y in (("a", 1), ("b", 0))])
+                 .filter(F.col("a0") + F.col("b0") >= SUPPORT), "term-counts")
+    whole, tests, chis = ~F.col("term").endswith("*"), [], []
+    for g, side in enumerate(sides):
+        n1, n0 = (sum(size.get((f, y), 0) for f in side) for y in (1, 0))
+        a, b = F.col(f"a{g}"), F.col(f"b{g}")
+        chi = (float(n1 + n0) * F.pow(a * (n0 - b) - b * (n1 - a), 2)
+               / ((a + b) * (float(n1 + n0) - a - b) * float(max(n1, 1)) * float(max(n0, 1))))
+        fits = (a + b >= SUPPORT) & (a >= PURITY * (a + b)) & (a + b < n1 + n0)
+        chis.append(F.when(fits, chi))
+        tests.append(chis[g] >= CHI)
+    # toxic share of the chosen words together, which a beginning must reach
+    share = stats.agg(*[(F.sum(F.when(t & whole, F.col(f"a{g}")))
+                         / F.sum(F.when(t & whole, F.col(f"a{g}") + F.col(f"b{g}")))).alias(f"s{g}")
+                        for g, t in enumerate(tests)]).first()
+    out = []
+    for g, test in enumerate(tests):
+        least = PURITY if share[g] is None else share[g]
+        pure = F.col(f"a{g}") >= least * (F.col(f"a{g}") + F.col(f"b{g}"))
+        out.append({r["term"] for r in stats.filter(test & (whole | pure)).withColumn("chi", chis[g])
+                    .orderBy(F.desc("chi"), "term").limit(terms).select("term").collect()})
+    return out
 
 
 def _frequencies(vocabulary):
@@ -155,27 +198,94 @@ def _vectors(vocabulary, idf: np.ndarray):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = TermMemo(vocabulary.value)
         for batch in batches:
-            found = [vector(term_counts(t.as_py(), memo), idf) for t in batch.column(2)]
+            found = [vector(term_counts(t.as_py(), memo), idf) for t in batch.column(4)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.list_(pa.int64())),
-                 pa.array([f[1] for f in found], pa.list_(pa.float64()))], names=["doc_id", "toxic", "terms", "weights"])
+                [*batch.columns[:4], pa.array([f[0] for f in found], pa.list_(pa.int64())),
+                 pa.array([f[1] for f in found], pa.list_(pa.float64()))],
+                names=["doc_id", "toxic", "lang", "fold", "terms", "weights"])
     return run
 
 
+def restricted(terms: np.ndarray, weights: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The unit vector of the kept terms alone."""
+    inside = keep[terms]
+    terms, weights = terms[inside], weights[inside]
+    return terms, weights / math.sqrt(float((weights * weights).sum())) if len(terms) else weights
+
+
+def fit(rows: list[tuple], keep: np.ndarray) -> tuple[BlockMaxIndex, float]:
+    """Index of (id, label, terms, weights) rows over the kept terms, and the rate of rows without any."""
+    cut = [(r[0], r[1], restricted(r[2], r[3], keep)) for r in rows]
+    with_terms = [r for r in cut if len(r[2][0])]
+    without = [r[1] for r in cut if not len(r[2][0])]
+    base = (sum(without) + 0.01) / (len(without) + 1) if rows else 0.0
+    return BlockMaxIndex([r[0] for r in with_terms], [r[1] for r in with_terms],
+                         [r[2] for r in with_terms], len(keep)), base
+
+
+def vote(index: BlockMaxIndex, base: float, near: np.ndarray, cosine: np.ndarray) -> float:
+    return float(((cosine * index.labels[near]).sum() + SHRINK * base) / (cosine.sum() + SHRINK))
+
+
+def _fold_votes(model):
+    """Votes on training rows by the other folds."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        folds, k = model.value
+        for batch in batches:
+            votes = []
+            for fold, terms, weights in zip(*(c.to_pylist() for c in batch.columns[3:])):
+                index, base, keep = folds[fold]
+                v = restricted(np.array(terms, np.int64), np.array(weights, np.float64), keep)
+                votes.append(vote(index, base, *index.nearest(*v, k)))
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(votes, pa.float64())],
+                                             names=["toxic", "lang", "vote"])
+    return run
+
+
+def best_cut(votes: np.ndarray, toxic: np.ndarray) -> float:
+    """The vote from which calling rows toxic has the largest F1: mid between two votes, ties the widest gap."""
+    order = np.argsort(-votes, kind="stable")
+    votes, toxic = votes[order], toxic[order]
+    hits, called = np.cumsum(toxic), np.arange(1, len(votes) + 1)
+    gap = votes - np.append(votes[1:], 0.0)
+    f1 = np.where(gap > 0, 2 * hits / (called + toxic.sum()), -1.0)
+    best = max(range(len(votes)), key=lambda i: (round(f1[i], 12), gap[i]))
+    return float(votes[best] - gap[best] / 2)
+
+
+def cuts(votes: np.ndarray, toxic: np.ndarray, lang: list) -> dict:
+    """The best cut of each language with enough rows, and at None that of all rows."""
+    if not toxic.any() or toxic.all():
+        return {None: THRESHOLD}
+    out = {None: best_cut(votes, toxic)}
+    lang = np.array(lang, dtype=object)
+    for name in set(lang.tolist()) - {None}:
+        own = lang == name
+        if min(toxic[own].sum(), (1 - toxic[own]).sum()) >= LEAST:
+            out[name] = best_cut(votes[own], toxic[own])
+    return out
+
+
+def calibrated(value: float, cut: float) -> float:
+    """A vote on the scale where its cut is ``THRESHOLD``, straight on both sides."""
+    if value < cut:
+        return value * THRESHOLD / cut
+    return THRESHOLD + (value - cut) * (1 - THRESHOLD) / (1 - cut) if cut < 1 else 1.0
+
+
 def _score(model):
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, idf, index, base, k = model.value
+        vocabulary, idf, index, base, cut, k = model.value
         memo = TermMemo(vocabulary)
         for batch in batches:
             scores, shown = [], []
-            for text in batch.column(1):
+            for text, lang in zip(batch.column(1), batch.column(3).to_pylist()):
                 near, cosine = index.nearest(*vector(term_counts(text.as_py(), memo), idf), k)
-                votes = index.labels[near]
-                scores.append(float(((cosine * votes).sum() + SHRINK * base) / (cosine.sum() + SHRINK)))
+                scores.append(calibrated(vote(index, base, near, cosine), cut.get(lang, cut[None])))
                 shown.append([{"doc_id": index.ids[i], "similarity": float(c), "toxic": int(y)}
-                              for i, c, y in zip(near.tolist(), cosine, votes)])
+                              for i, c, y in zip(near.tolist(), cosine, index.labels[near])])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(scores, pa.float64()), pa.array(shown, evidence)],
                 names=["doc_id", "fp", "score", "evidence"])
@@ -196,7 +306,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, te
     that are not held out, with a label 0 or 1; several labels of one document
     count as their largest.  Null and empty texts, and texts without any term
     of the vocabulary, get the base rate of such examples (0 without labelled
-    rows) and no evidence.
+    rows), on the calibrated scale, and no evidence.  Where ``docs`` has a
+    column ``lang``, each language with enough training rows has its own cut.
     """
     spark = docs.sparkSession
     attach(spark)
@@ -205,20 +316,16 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, te
     n = known.count()
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(n, 1))))
     drawn = save(drawn.limit(2 * sample).withColumnRenamed("doc_id", "l_id"), "labelled-sample")
-    train = save(docs.select("doc_id", "text").join(small_side(drawn, 16), F.col("doc_id") == F.col("l_id"))
-                 .select("doc_id", "toxic", "text"), "labelled-texts")
-    size = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n0 = size.get(1, 0), size.get(0, 0)
-
-    a, b = F.col("with1").cast("double"), F.col("with0").cast("double")
-    chi = (float(n1 + n0) * F.pow(a * (n0 - b) - b * (n1 - a), 2)
-           / ((a + b) * (float(n1 + n0) - a - b) * float(max(n1, 1)) * float(max(n0, 1))))
-    picked = (train.select("text", "toxic").mapInArrow(_training_counts, "term string, with1 long, with0 long")
-              .groupBy("term").agg(F.sum("with1").alias("with1"), F.sum("with0").alias("with0"))
-              .filter((a + b >= SUPPORT) & (a >= PURITY * (a + b)) & (a + b < n1 + n0))
-              .withColumn("chi", chi).filter(F.col("chi") >= CHI)
-              .orderBy(F.desc("chi"), "term").limit(terms))
-    vocabulary = {r["term"]: i for i, r in enumerate(picked.collect())}
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    # copies of a text are in one fold
+    train = save(docs.select("doc_id", "text", lang.alias("lang"))
+                 .join(small_side(drawn, 16), F.col("doc_id") == F.col("l_id"))
+                 .select("doc_id", "toxic", "lang", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"),
+                         "text"), "labelled-texts")
+    chosen = _vocabularies(train, terms)
+    every = sorted(set().union(*chosen))
+    vocabulary = {t: i for i, t in enumerate(every)}
+    keep = [np.array([t in c for t in every], dtype=bool) for c in chosen]
     shared = spark.sparkContext.broadcast(vocabulary)
 
     counted = {r["term"]: r["n"] for r in docs.select("text").mapInArrow(_frequencies(shared), "term long, n long")
@@ -227,18 +334,20 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, te
     idf = np.array([math.log((1 + total) / (1 + counted.get(t, 0))) + 1 for t in range(len(vocabulary))])
 
     # a row per labelled sample row, of vocabulary terms only: bounded by both parameters
-    examples = (train.select("doc_id", "toxic", "text").mapInArrow(
-        _vectors(shared, idf), "doc_id long, toxic int, terms array<long>, weights array<double>").toArrow())
-    rows = sorted(zip(examples.column("doc_id").to_pylist(), examples.column("toxic").to_pylist(),
-                      examples.column("terms").to_pylist(), examples.column("weights").to_pylist()),
+    drawn_vectors = save(train.mapInArrow(_vectors(shared, idf), "doc_id long, toxic int, lang string, fold int, "
+                                          "terms array<long>, weights array<double>"), "labelled-vectors")
+    examples = drawn_vectors.toArrow()
+    rows = sorted(zip(*(examples.column(c).to_pylist() for c in ("doc_id", "toxic", "terms", "weights", "fold"))),
                   key=lambda r: (r[0], r[2]))
-    with_terms = [r for r in rows if r[2]]
-    without = [r[1] for r in rows if not r[2]]
-    base = (sum(without) + 0.01) / (len(without) + 1) if rows else 0.0
-    index = BlockMaxIndex([r[0] for r in with_terms], [r[1] for r in with_terms],
-                          [(np.array(r[2], np.int64), np.array(r[3])) for r in with_terms], len(vocabulary))
-    model = spark.sparkContext.broadcast((vocabulary, idf, index, base, neighbours))
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("fp")).mapInArrow(
+    rows = [(r[0], r[1], np.array(r[2], np.int64), np.array(r[3], np.float64), r[4]) for r in rows]
+    folds = [(*fit([r for r in rows if r[4] != f], keep[f + 1]), keep[f + 1]) for f in range(FOLDS)]
+    votes = drawn_vectors.mapInArrow(_fold_votes(spark.sparkContext.broadcast((folds, neighbours))),
+                                     "toxic int, lang string, vote double").toArrow()
+    cut = cuts(votes.column("vote").to_numpy(), votes.column("toxic").to_numpy(), votes.column("lang").to_pylist())
+    index, base = fit(rows, keep[0])
+    own = {t: i for t, i in vocabulary.items() if keep[0][i]}
+    model = spark.sparkContext.broadcast((own, idf, index, base, cut, neighbours))
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("fp"), lang.alias("lang")).mapInArrow(
         _score(model), "doc_id long, fp long, score double, "
                        "evidence array<struct<doc_id:bigint,similarity:double,toxic:int>>")
 

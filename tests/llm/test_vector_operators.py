@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 import zlib
+from collections import Counter
 
 from quiver.llm import impact, multiindex, queries, toxicity
 
@@ -180,6 +181,48 @@ def test_toxicity(spark):
         r[0] or -1 for r in rows if r[0] not in gone)
 
 
+def test_toxicity_of_words_that_begin_like_ordinary_ones(spark):
+    """Mixed beginnings do not fill the neighbours with clean examples, in any language."""
+    rng, dealt = random.Random(11), Counter()
+    docs, labels = [], []
+    for i in range(2400):
+        lang = ("fr", "de")[i % 2]
+        stem = {"fr": "reeux", "de": "schöt"}[lang]
+        words = [f"{lang}{rng.randrange(400)}" for _ in range(rng.randint(5, 40))]
+        toxic = int(rng.random() < 0.12)
+        if toxic:
+            part = lang, zlib.crc32(str(i).encode()) % 3 == 1
+            words.append(f"{stem}bad{dealt[part] % 9}")
+            dealt[part] += 1
+        elif rng.random() < 0.1:
+            words += [f"{stem}ok{rng.randrange(10 ** 6)}" for _ in range(2)]
+        rng.shuffle(words)
+        docs.append((i, " ".join(words), lang))
+        labels.append((i, 1, toxic))
+    got = {r.doc_id: r.score for r in toxicity.score_documents(
+        spark.createDataFrame(docs, "doc_id long, text string, lang string"),
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    for lang in ("fr", "de"):
+        held = [(got[i], y) for i, _, y in labels if docs[i][2] == lang and zlib.crc32(str(i).encode()) % 3 == 1]
+        toxic = [s for s, y in held if y]
+        assert sum(s >= toxicity.THRESHOLD for s in toxic) >= 0.9 * len(toxic)
+        assert sum(s >= toxicity.THRESHOLD for s, y in held if not y) <= 0.02 * (len(held) - len(toxic))
+
+
+def test_the_best_cut_becomes_the_threshold():
+    votes, toxic = np.array([0.9, 0.5, 0.45, 0.1, 0.1]), np.array([1, 1, 1, 0, 0])
+    assert abs(toxicity.best_cut(votes, toxic) - 0.275) < 1e-12
+    assert toxicity.cuts(votes, np.zeros(5, int), ["en"] * 5) == {None: toxicity.THRESHOLD}
+    lang = ["en"] * 40 + ["de"] * 40 + ["es"] * 2
+    votes = np.array([0.9] * 20 + [0.1] * 20 + [0.4] * 20 + [0.05] * 20 + [0.5, 0.0])
+    own = toxicity.cuts(votes, np.array(([1] * 20 + [0] * 20) * 2 + [1, 0]), lang)
+    assert set(own) == {None, "en", "de"} and 0.05 < own["de"] < 0.4 < 0.45 < own["en"] < 0.9
+    for cut in (0.2, 0.7, 0.95, 1.0):
+        scale = [toxicity.calibrated(v, cut) for v in (0.0, cut / 2, cut, 1.0)]
+        assert scale == sorted(scale) and scale[0] == 0
+        assert cut == 1.0 or abs(scale[2] - toxicity.THRESHOLD) < 1e-9
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs, labels, _, rows = _labelled(spark, random.Random(5), 20)
     none = labels.limit(0)
