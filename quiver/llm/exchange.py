@@ -132,7 +132,8 @@ def shared_places(rows: DataFrame, hashed: Callable[[pa.RecordBatch], Hashed], b
     ``repeats`` any second occurrence counts, in the same row or in a copy of
     it; without, only one in a row of another key.  ``exact`` compares all 64
     bits, else 32 besides the bucket's (some places too many, none too few).
-    Places are in no order; rows without such a hash are left out.
+    Rows of one key count as one without ``repeats``, so a hash must have the
+    same place in all of them.  Places are in no order; rows without such a hash are left out.
     """
     attach(rows.sparkSession)
     width = np.uint64 if exact else np.uint32

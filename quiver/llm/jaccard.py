@@ -68,6 +68,17 @@ def shingles(texts: pa.Array, width: int = WORDS) -> tuple[np.ndarray, np.ndarra
     return row[first], hashes[first], place[first]
 
 
+def ordered_shingles(texts: pa.Array, width: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of each text: row, hash and rank by hash, in this order.
+
+    Equal sets have equal ranks, in whatever order their texts hold them.
+    """
+    row, hashes, _ = shingles(texts, width)
+    order = np.lexsort((hashes, row))
+    row, hashes = row[order], hashes[order]
+    return row, hashes, np.arange(len(row)) - np.searchsorted(row, row)
+
+
 def _set_keys(rows: int, row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each set's size and a 64-bit hash of its members in any order."""
     sizes = np.bincount(row, minlength=rows)
@@ -90,16 +101,16 @@ def _keyed(width: int):
 
 def _entries(width: int):
     def run(batch: pa.RecordBatch):
-        row, hashes, place = shingles(batch.column(0), width)
+        row, hashes, place = ordered_shingles(batch.column(0), width)
         return _set_keys(batch.num_rows, row, hashes)[1], row, hashes, place
     return run
 
 
 def _shared_sets(width: int):
-    """The shingles of a text at given places."""
+    """The shingles of a text at given ranks of its set."""
     def run(batches):
         for batch in (part for whole in batches for part in by_bytes(whole, 1)):
-            row, hashes, place = shingles(batch.column(1), width)
+            row, hashes, place = ordered_shingles(batch.column(1), width)
             marks = batch.column(2)
             at = marks.flatten().to_numpy().astype(np.int64)
             of = np.repeat(np.arange(batch.num_rows), np.diff(marks.offsets.to_numpy()))

@@ -73,6 +73,21 @@ def test_jaccard_settles_without_contraction(docs, corpus, monkeypatch):
     assert _multiset(got) == Counter((r[0], len(sets[i]), want[i]) for i, r in enumerate(corpus))
 
 
+def test_equal_sets_in_another_order_link_alike(spark):
+    """Shared shingles are found in any text of a class, whichever row of it comes first."""
+    h, s1, s2 = "h0 h1 h2 h3", [f"a{i}" for i in range(100)], " ".join(f"b{i}" for i in range(100))
+    near = list(s1)
+    for i in (10, 28, 46, 64, 82):
+        near[i] = f"new{i}"
+    s1, near = " ".join(s1), " ".join(near)
+    rows = [(2, f"{h} {s2} {h} {s1} {h}"), (1, f"{h} {s1} {h} {s2} {h}"), (3, f"{h} {near} {h} {s2} {h}")]
+    sets, want = brute.components(rows)
+    assert sets[0] == sets[1] and set(want.values()) == {1}
+    for order in (rows, rows[::-1]):
+        got = jaccard.link_documents(spark.createDataFrame(order, "doc_id long, text string").coalesce(1)).collect()
+        assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 1}
+
+
 def test_keep_one_of_each(clashing, corpus):
     sets, want = brute.components([(r[0], r[1]) for r in corpus])
     kept = jaccard.keep_one_of_each(clashing)
