@@ -291,6 +291,33 @@ def q_fractal_search_column(spark, sf):
     return fractal_distance(emb, own).select("vec_id", _r("dist"))
 
 
+def q_fractal_search_consecutive(spark, sf):
+    """V3 with as many queries as rows: each embedding against the next one's own refined point.
+
+    ``matches``: the distance is that to the point refined apart from it;
+    ``within_residual``: its angle differs from the exact one by no more than
+    the refinement's residual.
+    """
+    emb = _t(spark, sf, "embeddings")
+    after = emb.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("query"))
+    # pairs by grouping: Spark plans a join as large as the product of its sides, and tasks go by planned size
+    box = after.select(F.struct("query")).schema[0].dataType
+    own = emb.select("vec_id", F.struct("embedding").alias("a"), F.lit(None).cast(box).alias("b"))
+    other = after.select("vec_id", F.lit(None).cast(own.schema["a"].dataType).alias("a"), F.struct("query").alias("b"))
+    pairs = (own.unionByName(other).groupBy("vec_id").agg(F.first("a", True).alias("a"), F.first("b", True).alias("b"))
+             .filter("a IS NOT NULL AND b IS NOT NULL").select("vec_id", "a.embedding", "b.query"))
+    scored = fractal_distance(pairs, F.col("query"))
+    points = refine_with_ids(after, "vec_id").select("vec_id", "best_point", "best_fit")
+    exact = cosine_distance("embedding", "query")
+
+    def angle(d):
+        return F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), 1 - d)))
+
+    return scored.join(points, "vec_id").select(
+        "vec_id", _r(exact, "exact"), _same(F.col("dist"), cosine_distance("embedding", "best_point")).alias("matches"),
+        (F.abs(angle(F.col("dist")) - angle(exact)) <= angle(F.col("best_fit")) + F.lit(1e-6)).alias("within_residual"))
+
+
 def q_radius_many(spark, sf):
     """S1r for a query table: all embeddings within 0.85 of each refined family query."""
     emb = _t(spark, sf, "embeddings")
@@ -394,6 +421,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {
         "fractal_search_scalar": q_fractal_search_scalar,
         "fractal_search_column": q_fractal_search_column,
+        "fractal_search_consecutive": q_fractal_search_consecutive,
         "top_k": q_top_k,
         "sql_top_k": q_sql_top_k,
         "exact_top_k": q_exact_top_k,
@@ -619,6 +647,9 @@ def oracle_sql() -> dict[str, str]:
         "fractal_search_column": (
             f"WITH {fam} SELECT e.vec_id, {_rnd(_dist('e.embedding::DOUBLE[]', 'fam.p'))} AS dist "
             f"FROM embeddings e JOIN fam ON fam.query_id = e.vec_id % {N_QUERIES}"),
+        "fractal_search_consecutive": (
+            f"SELECT a.vec_id, {_rnd(_dist('b.embedding::DOUBLE[]', 'a.embedding::DOUBLE[]'))} AS exact, "
+            f"true AS matches, true AS within_residual FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"),
         "radius_many": (
             f"WITH {fam}, s AS (SELECT fam.query_id, e.vec_id, {_dist('e.embedding::DOUBLE[]', 'fam.p')} AS dist "
             f"FROM embeddings e, fam) SELECT query_id, vec_id, {_rnd('dist')} AS dist FROM s WHERE dist <= {RADIUS}"),

@@ -120,6 +120,13 @@ def test_registered_queries_match_duckdb(spark, name):
     assert mine == theirs
 
 
+def test_a_column_of_distinct_queries_is_registered(spark):
+    """Every embedding's successor is refined as a query of its own, and every row is scored."""
+    test_registered_queries_match_duckdb(spark, "fractal_search_consecutive")
+    n = spark.read.parquet(f"{SF001}/embeddings.parquet").count()
+    assert entry.queries()["fractal_search_consecutive"](spark, SF001).count() == n - 1
+
+
 def test_entry_runs_from_another_working_directory(tmp_dir):
     """Workers must import the package even when the driver starts elsewhere."""
     import subprocess
