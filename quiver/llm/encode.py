@@ -2,7 +2,7 @@
 
 Both public tokenizers here cut a text at spaces before they merge, so a text
 is the sequence of its space-separated pieces and a piece's ids depend on the
-piece alone.  A worker keeps the ids of the pieces it has met (bounded); a new
+piece alone.  A worker keeps the ids of the pieces it met last (bounded); a new
 piece goes through the library's own normalizer, pre-tokenizer and model.
 Where a cut at spaces is not safe (white space beside a space, for the
 byte-level kind) the library encodes the whole text.
@@ -16,8 +16,8 @@ from array import array
 
 import numpy as np
 
-# pieces a worker remembers, the first it meets; at about 210 bytes each, 100 MB
-REMEMBERED = 500_000
+# pieces a worker remembers; at about 210 bytes each, 126 MB
+REMEMBERED = 600_000
 ID = np.dtype("<u4")
 if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("token ids are kept as little-endian 32-bit numbers")
@@ -39,23 +39,31 @@ class Uncuttable(Exception):
 
 
 class Memo(dict):
-    """Ids by piece, computed when a piece is met first."""
+    """Values by key, computed when a key is not remembered; at most ``limit`` keys are.
 
-    def __init__(self, compute):
+    Two generations: a full young one becomes the old one, and whatever the
+    old one held that was not asked for since then goes.
+    """
+
+    def __init__(self, compute, limit: int = REMEMBERED):
         super().__init__()
-        self.compute = compute
+        self.compute, self.half, self.old = compute, max(1, limit // 2), {}
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.compute(piece)
-        if len(self) < REMEMBERED:
-            self[piece] = ids
-        return ids
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 class Encoder:
     """Encodes texts to little-endian 32-bit ids, without special tokens."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -65,9 +73,10 @@ class Encoder:
         # a byte-level vocabulary joins a word with the space before it
         self.spaced = "Ġthe" in self.tok.get_vocab()
         self.mark = "Ġ" if self.spaced else ""
-        self.first = Memo(lambda p: self._piece(p, ""))
-        self.later = Memo(lambda p: self._piece(p, " ")) if self.spaced else self.first
+        self.first = Memo(lambda p: self._piece(p, ""), remembered)
+        self.later = Memo(lambda p: self._piece(p, " "), remembered) if self.spaced else self.first
         self.marks = {m: self._unit(m) for m in ".,"}
+        self.line = self._unit(self.table[10]) if self.spaced else b""
 
     def _unit(self, unit: str) -> bytes:
         """Ids of one pre-token in the model's alphabet."""
@@ -76,20 +85,39 @@ class Encoder:
     def _piece(self, piece: str, space: str) -> bytes:
         if self.spaced and (not piece or piece[-1].isspace()):
             raise Uncuttable
+        memo = self.later if space else self.first
+        if "\n" in piece:
+            # a line end between two other characters is a unit of its own
+            head, *rest = piece.split("\n")
+            if not self.spaced or head and not head[-1].isspace() and not any(
+                    not r or r[0].isspace() or r[-1].isspace() for r in rest):
+                return memo[head] + b"".join([self.line + self.first[r] for r in rest])
         body, tail = (piece[:-1], piece[-1]) if piece.endswith((".", ",")) else (piece, "")
         if body.isalpha() and (body.isascii() or max(body) <= "\xff"):
             # Latin letters and one mark: two pre-tokens at sight
+            if tail:
+                return memo[body] + self.marks[tail]
             if not self.spaced:
                 body = body.lower()
             if not body.isascii():
                 body = body.encode().decode("latin-1").translate(self.table)
-            ids = self._unit(self.mark + body if space else body)
-            return ids + self.marks[tail] if tail else ids
+            return self._unit(self.mark + body if space else body)
         text = space + piece if self.spaced else piece
         if self.norm is not None:
             text = self.norm.normalize_str(text)
         return b"".join([self._unit(u) for u, _ in self.pre.pre_tokenize_str(text)])
 
+    def after_space(self, text: str) -> bytes:
+        """Ids of a space and the text after it, for a byte-level vocabulary."""
+        try:
+            return b"".join(map(self.later.__getitem__, text.split(" ")))
+        except Uncuttable:
+            return self._whole(" " + text)
+
+    def _whole(self, text: str) -> bytes:
+        whole = self.tok.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(whole.ids, dtype=ID).tobytes()
+
     def __call__(self, text: str | None) -> bytes:
         """Little-endian ids of a text (null: none)."""
         if not text:
@@ -98,8 +126,7 @@ class Encoder:
         try:
             return self.first[head] + b"".join(map(self.later.__getitem__, rest))
         except Uncuttable:
-            whole = self.tok.encode_batch_fast([text], add_special_tokens=False)[0]
-            return np.array(whole.ids, dtype=ID).tobytes()
+            return self._whole(text)
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (impact, jaccard, linededup, mixing, multiindex, packing, sharding, substrings, tokenfile,
-               toxicity)
+from . import (alignment, divergence, imatch, impact, jaccard, linededup, mixing, multiindex, packing, sharding,
+               substrings, tokenfile, toxicity)
 
 MIN_SITES = 10
 SHARDS = 16
@@ -101,6 +101,22 @@ def op10_shard_documents(spark, sf_dir):
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op11_source_divergence(spark, sf_dir):
+    """How the sources of each language differ, and the terms each of them overuses."""
+    return divergence.audit_sources(_table(spark, sf_dir, "documents"))
+
+
+def op12_document_fingerprints(spark, sf_dir):
+    """All documents and their edited forms fingerprinted, and how alike the fingerprints are."""
+    return imatch.fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
+def op13_tokenizer_alignment(spark, sf_dir):
+    """The ids of two tokenizers aligned over all documents."""
+    return alignment.align_documents(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                                     vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_line_dedup": op2_line_dedup,
@@ -112,6 +128,9 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_shard_documents": op10_shard_documents,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_document_fingerprints": op12_document_fingerprints,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 LINES_SQL = f"""
@@ -225,10 +244,50 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM docs LEFT JOIN kept USING (r)
 """
 
+DIVERGENCE_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT r, lang, source, translate(unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')),
+                                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS d FROM words GROUP BY ALL),
+kept AS (
+  SELECT lang, term, sum(n) AS total FROM counts GROUP BY ALL HAVING sum(d) >= {divergence.LEAST_DOCUMENTS}),
+langs AS (
+  SELECT g.lang, count(k.term) AS v, coalesce(sum(k.total), 0) AS total
+  FROM (SELECT DISTINCT lang FROM docs) g LEFT JOIN kept k USING (lang) GROUP BY g.lang),
+held AS (SELECT c.lang, c.source, c.term, c.n FROM counts c JOIN kept USING (lang, term)),
+sources AS (
+  SELECT g.lang, g.source, coalesce(sum(h.n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN held h USING (lang, source) GROUP BY ALL),
+shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(h.n, 0) AS n,
+         1 + ({divergence.SCALE}::HUGEINT * (coalesce(h.n, 0) + {divergence.SMOOTHING}))
+             // (s.total + {divergence.SMOOTHING} * l.v) AS p,
+         1 + ({divergence.SCALE}::HUGEINT * (k.total + {divergence.SMOOTHING}))
+             // (l.total + {divergence.SMOOTHING} * l.v) AS q
+  FROM sources s JOIN langs l USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN held h ON h.lang = s.lang AND h.source = s.source AND h.term = k.term),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce((SELECT sum(abs(x.p - y.p)) FROM shares x JOIN shares y USING (lang, term)
+                   WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+         CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP}
+"""
+
 ORACLE_SQL = {
     "op1_jaccard_join": JACCARD_SQL,
     "op2_line_dedup": LINES_SQL,
     "op3_exact_top_k": TOP_SQL,
     "op4_substring_dedup": SUBSTRING_SQL,
     "op8_mix_sources": MIX_SQL,
+    "op11_source_divergence": DIVERGENCE_SQL,
 }

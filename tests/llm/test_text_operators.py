@@ -239,7 +239,8 @@ def test_empty_tables(empty):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.sql(queries.ORACLE_SQL[name]).df()
     got = queries.QUERIES[name](spark, SF).toPandas()
     columns = sorted(want.columns)
