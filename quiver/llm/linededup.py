@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import boxed, save, small_side, unboxed
+from .shared import boxed, quoted_name, save, small_side, unboxed
 
 # 2^12 registers: a relative error of 1.6 %; up to some hundreds of sites the
 # sketch keeps its entries one by one and is nearly exact
@@ -69,7 +69,7 @@ def dedup_lines(docs: DataFrame, min_sites: int = 10, site_col: str = "source")
     cut = save(cut, "line-cuts")
 
     text = F.col("v.text")
-    keyed = boxed(docs.select(*[F.col(f"`{c}`") for c in columns])).withColumn("fp", F.xxhash64(text))
+    keyed = boxed(docs.select(*[F.col(quoted_name(c)) for c in columns])).withColumn("fp", F.xxhash64(text))
     joined = keyed.join(small_side(cut, 200), F.col("v.doc_id").eqNullSafe(F.col("c_id"))
                         & (F.col("fp") == F.col("c_fp")), "left")
     joined = joined.withColumn("parts", F.when(F.col("cut").isNotNull(), F.split(text, "\n")))
@@ -90,4 +90,4 @@ def cleaned_documents(docs: DataFrame, min_sites: int = 10, site_col: str = "sou
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
                              .otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])
+    return out.select(*[F.col(quoted_name(own.get(c, c))).alias(c) for c in docs.columns])

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import power_of_two, save, small_side
+from .shared import power_of_two, quoted_name, save, small_side
 
 # rows of a hash range of a shard that one task sorts, and ranges at least
 ROWS_PER_RANGE = 500_000
@@ -88,8 +88,12 @@ def shard_rows(df: DataFrame, shards: int, seed: int = 1, shard_col: str = "shar
     if shards < 1:
         raise ValueError(f"shards must be positive, got {shards!r}")
     columns = [c for c in df.columns if c not in (shard_col, slot_col)]
-    seeded = F.xxhash64(F.lit(seed), *[F.col(f"v.`{c}`") for c in columns])
-    held = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("v"))
+    # maps have no hash of their own
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    inner = [F.col(f"v.{quoted_name(c)}") for c in columns]
+    seeded = F.xxhash64(F.lit(seed), *[F.to_json(F.struct(x)) if "map<" in kinds[c].simpleString() else x
+                                       for c, x in zip(columns, inner)])
+    held = df.select(F.struct(*[F.col(quoted_name(c)) for c in columns]).alias("v"))
     local = F.monotonically_increasing_id()
     drawn = save(held.sortWithinPartitions(seeded)
                  .select("v", F.shiftright(local, 33).cast("int").alias("p"),
@@ -116,7 +120,7 @@ def shard_rows(df: DataFrame, shards: int, seed: int = 1, shard_col: str = "shar
     within = Window.partitionBy("s", "g").orderBy("o", "p", "r")
     return (dealt.withColumn("i", F.row_number().over(within) - 1)
             .join(small_side(starts, 32, shards * ranges), ["s", "g"])
-            .select(*[F.col(f"v.`{c}`").alias(c) for c in columns], F.col("s").alias(shard_col),
+            .select(*[F.col(f"v.{quoted_name(c)}").alias(c) for c in columns], F.col("s").alias(shard_col),
                     (F.col("start") + F.col("i")).cast("long").alias(slot_col)))
 
 

@@ -44,12 +44,17 @@ def power_of_two(n: float) -> int:
     return 1 << max(0, int(-(-n // 1)) - 1).bit_length()
 
 
+def quoted_name(name: str) -> str:
+    """A column name in back quotes, its own back quotes doubled."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def boxed(df: DataFrame) -> DataFrame:
     """All columns of ``df`` in one struct ``v``, so that none clashes with a helper column."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("v"))
+    return df.select(F.struct(*[F.col(quoted_name(c)) for c in df.columns]).alias("v"))
 
 
 def unboxed(df: DataFrame, columns: list[str], **new: Column) -> DataFrame:
     """The columns of the struct ``v`` again, some with new values, and new ones after them."""
-    same = [(new[c] if c in new else F.col(f"v.`{c}`")).alias(c) for c in columns]
+    same = [(new[c] if c in new else F.col(f"v.{quoted_name(c)}")).alias(c) for c in columns]
     return df.select(*same, *[e.alias(c) for c, e in new.items() if c not in columns])

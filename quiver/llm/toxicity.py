@@ -10,8 +10,8 @@ weighted by similarity and shrunk towards the rate of examples without any
 term, are the vote; the neighbours are its evidence.
 
 The vote is calibrated: folds of the training rows are scored by vocabularies
-and examples of the other folds, and for each language the vote that parts its
-toxic from its clean rows best (by F1) becomes the score ``THRESHOLD``.
+and examples of the other folds, and the vote that parts toxic from clean rows best
+(by F1) becomes the score ``THRESHOLD``.  A score comes from the text alone.
 
 Training uses a bounded sample of labelled rows (``sample``), fit on all of
 them up to that bound.  Document frequencies cover all documents.
@@ -33,7 +33,6 @@ from ..plans.session import attach
 from .shared import boxed, save, small_side, unboxed
 
 SAMPLE = 30_000
-TERMS = 4_000
 # a term's chi-square with the label, and the least rows that have it
 CHI = 30.0
 SUPPORT = 5
@@ -45,8 +44,6 @@ SHRINK = 0.5
 BLOCK = 64
 THRESHOLD = 0.7
 FOLDS = 4
-# toxic and clean training rows of a language from which it has a cut of its own
-LEAST = 10
 REMEMBERED = 200_000
 WORD = re.compile(r"\w+")
 
@@ -97,14 +94,17 @@ class BlockMaxIndex:
         order = np.lexsort((rows, term))
         self.rows, self.weight = rows[order], weight[order]
         self.start = np.searchsorted(term[order], np.arange(terms + 1))
-        self.bound = np.zeros((terms, self.blocks), dtype=np.float64)
-        np.maximum.at(self.bound, (term, rows // BLOCK), weight)
+        # single precision, rounded up: a bound is never too small
+        most = np.zeros(terms * self.blocks)
+        np.maximum.at(most, term * self.blocks + rows // BLOCK, weight)
+        self.bound = np.where(most > 0, np.nextafter(most.astype(np.float32), np.float32(2)), 0) \
+            .astype(np.float32).reshape(terms, self.blocks)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine above 0 (ties: the earlier example), exactly."""
         if not len(terms) or not self.ids:
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = weights @ self.bound[terms]
+        bound = weights @ self.bound[terms].astype(np.float64)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         lists = [(self.rows[a:b], self.weight[a:b] * w) for a, b, w in
@@ -148,7 +148,7 @@ def _training_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
                  pa.array([rows[f, 0][t] for t in part], pa.int64())], names=["term", "fold", "with1", "with0"])
 
 
-def _vocabularies(train: DataFrame, terms: int) -> list[set[str]]:
+def _vocabularies(train: DataFrame) -> list[set[str]]:
     """The vocabulary of all training rows, and one without each fold."""
     size = {(r["fold"], r["toxic"]): r["n"] for r in
             train.groupBy("fold", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -176,8 +176,8 @@ def _vocabularies(train: DataFrame, terms: int) -> list[set[str]]:
     for g, test in enumerate(tests):
         least = PURITY if share[g] is None else share[g]
         pure = F.col(f"a{g}") >= least * (F.col(f"a{g}") + F.col(f"b{g}"))
-        out.append({r["term"] for r in stats.filter(test & (whole | pure)).withColumn("chi", chis[g])
-                    .orderBy(F.desc("chi"), "term").limit(terms).select("term").collect()})
+        # terms of a bounded sample: its size bounds their number
+        out.append({r["term"] for r in stats.filter(test & (whole | pure)).select("term").collect()})
     return out
 
 
@@ -198,29 +198,30 @@ def _vectors(vocabulary, idf: np.ndarray):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = TermMemo(vocabulary.value)
         for batch in batches:
-            found = [vector(term_counts(t.as_py(), memo), idf) for t in batch.column(4)]
+            found = [vector(term_counts(t.as_py(), memo), idf) for t in batch.column(3)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array([f[0] for f in found], pa.list_(pa.int64())),
+                [*batch.columns[:3], pa.array([f[0] for f in found], pa.list_(pa.int64())),
                  pa.array([f[1] for f in found], pa.list_(pa.float64()))],
-                names=["doc_id", "toxic", "lang", "fold", "terms", "weights"])
+                names=["doc_id", "toxic", "fold", "terms", "weights"])
     return run
 
 
-def restricted(terms: np.ndarray, weights: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The unit vector of the kept terms alone."""
-    inside = keep[terms]
-    terms, weights = terms[inside], weights[inside]
-    return terms, weights / math.sqrt(float((weights * weights).sum())) if len(terms) else weights
+def restricted(terms: np.ndarray, weights: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The unit vector of the terms that have a place, under these places."""
+    at = place[terms]
+    inside = at >= 0
+    at, weights = at[inside], weights[inside]
+    return at, weights / math.sqrt(float((weights * weights).sum())) if len(at) else weights
 
 
-def fit(rows: list[tuple], keep: np.ndarray) -> tuple[BlockMaxIndex, float]:
-    """Index of (id, label, terms, weights) rows over the kept terms, and the rate of rows without any."""
-    cut = [(r[0], r[1], restricted(r[2], r[3], keep)) for r in rows]
+def fit(rows: list[tuple], place: np.ndarray) -> tuple[BlockMaxIndex, float]:
+    """Index of (id, label, terms, weights) rows over the terms with a place, and the rate of rows without any."""
+    cut = [(r[0], r[1], restricted(r[2], r[3], place)) for r in rows]
     with_terms = [r for r in cut if len(r[2][0])]
     without = [r[1] for r in cut if not len(r[2][0])]
     base = (sum(without) + 0.01) / (len(without) + 1) if rows else 0.0
     return BlockMaxIndex([r[0] for r in with_terms], [r[1] for r in with_terms],
-                         [r[2] for r in with_terms], len(keep)), base
+                         [r[2] for r in with_terms], int((place >= 0).sum())), base
 
 
 def vote(index: BlockMaxIndex, base: float, near: np.ndarray, cosine: np.ndarray) -> float:
@@ -233,12 +234,11 @@ def _fold_votes(model):
         folds, k = model.value
         for batch in batches:
             votes = []
-            for fold, terms, weights in zip(*(c.to_pylist() for c in batch.columns[3:])):
-                index, base, keep = folds[fold]
-                v = restricted(np.array(terms, np.int64), np.array(weights, np.float64), keep)
+            for fold, terms, weights in zip(*(c.to_pylist() for c in batch.columns[2:])):
+                index, base, place = folds[fold]
+                v = restricted(np.array(terms, np.int64), np.array(weights, np.float64), place)
                 votes.append(vote(index, base, *index.nearest(*v, k)))
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(votes, pa.float64())],
-                                             names=["toxic", "lang", "vote"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(votes, pa.float64())], names=["toxic", "vote"])
     return run
 
 
@@ -253,17 +253,9 @@ def best_cut(votes: np.ndarray, toxic: np.ndarray) -> float:
     return float(votes[best] - gap[best] / 2)
 
 
-def cuts(votes: np.ndarray, toxic: np.ndarray, lang: list) -> dict:
-    """The best cut of each language with enough rows, and at None that of all rows."""
-    if not toxic.any() or toxic.all():
-        return {None: THRESHOLD}
-    out = {None: best_cut(votes, toxic)}
-    lang = np.array(lang, dtype=object)
-    for name in set(lang.tolist()) - {None}:
-        own = lang == name
-        if min(toxic[own].sum(), (1 - toxic[own]).sum()) >= LEAST:
-            out[name] = best_cut(votes[own], toxic[own])
-    return out
+def cut_of(votes: np.ndarray, toxic: np.ndarray) -> float:
+    """The best cut, or the threshold itself where training rows are all of one label."""
+    return best_cut(votes, toxic) if toxic.any() and not toxic.all() else THRESHOLD
 
 
 def calibrated(value: float, cut: float) -> float:
@@ -281,9 +273,9 @@ def _score(model):
         memo = TermMemo(vocabulary)
         for batch in batches:
             scores, shown = [], []
-            for text, lang in zip(batch.column(1), batch.column(3).to_pylist()):
+            for text in batch.column(1):
                 near, cosine = index.nearest(*vector(term_counts(text.as_py(), memo), idf), k)
-                scores.append(calibrated(vote(index, base, near, cosine), cut.get(lang, cut[None])))
+                scores.append(calibrated(vote(index, base, near, cosine), cut))
                 shown.append([{"doc_id": index.ids[i], "similarity": float(c), "toxic": int(y)}
                               for i, c, y in zip(near.tolist(), cosine, index.labels[near])])
             yield pa.RecordBatch.from_arrays(
@@ -297,18 +289,29 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = TERMS,
+def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
                     neighbours: int = NEIGHBOURS) -> DataFrame:
     """``(doc_id, fp, score, evidence)``, a row for each document.
 
-    ``score`` is in 0 to 1; ``evidence`` lists the nearest examples (id,
-    cosine, label); ``fp`` is a hash of the text.  Labels are learnt from rows
-    that are not held out, with a label 0 or 1; several labels of one document
-    count as their largest.  Null and empty texts, and texts without any term
-    of the vocabulary, get the base rate of such examples (0 without labelled
-    rows), on the calibrated scale, and no evidence.  Where ``docs`` has a
-    column ``lang``, each language with enough training rows has its own cut.
+    ``score`` is in 0 to 1 and depends on the text alone; ``evidence`` lists
+    the nearest examples (id, cosine, label); ``fp`` is a hash of the text.
+    Labels are learnt from rows that are not held out, with a label 0 or 1;
+    several labels of one document count as their largest.  Null and empty
+    texts, and texts without any term of the vocabulary, get the base rate of
+    such examples (0 without labelled rows), on the calibrated scale, and no
+    evidence.
     """
+    return _scored(docs, _model(docs, labels, sample, neighbours))
+
+
+def _scored(docs: DataFrame, model) -> DataFrame:
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("fp")).mapInArrow(
+        _score(model), "doc_id long, fp long, score double, "
+                       "evidence array<struct<doc_id:bigint,similarity:double,toxic:int>>")
+
+
+def _model(docs: DataFrame, labels: DataFrame, sample: int, neighbours: int):
+    """A broadcast of all that a score needs: vocabulary, weights, index, cut."""
     spark = docs.sparkSession
     attach(spark)
     known = save(labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -316,16 +319,15 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, te
     n = known.count()
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(n, 1))))
     drawn = save(drawn.limit(2 * sample).withColumnRenamed("doc_id", "l_id"), "labelled-sample")
-    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     # copies of a text are in one fold
-    train = save(docs.select("doc_id", "text", lang.alias("lang"))
-                 .join(small_side(drawn, 16), F.col("doc_id") == F.col("l_id"))
-                 .select("doc_id", "toxic", "lang", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"),
+    train = save(docs.select("doc_id", "text").join(small_side(drawn, 16), F.col("doc_id") == F.col("l_id"))
+                 .select("doc_id", "toxic", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"),
                          "text"), "labelled-texts")
-    chosen = _vocabularies(train, terms)
+    chosen = _vocabularies(train)
     every = sorted(set().union(*chosen))
     vocabulary = {t: i for i, t in enumerate(every)}
-    keep = [np.array([t in c for t in every], dtype=bool) for c in chosen]
+    inside = [np.array([t in c for t in every], dtype=bool) for c in chosen]
+    place = [np.where(k, np.cumsum(k) - 1, -1) for k in inside]
     shared = spark.sparkContext.broadcast(vocabulary)
 
     counted = {r["term"]: r["n"] for r in docs.select("text").mapInArrow(_frequencies(shared), "term long, n long")
@@ -333,29 +335,31 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, te
     total = counted.get(-1, 0)
     idf = np.array([math.log((1 + total) / (1 + counted.get(t, 0))) + 1 for t in range(len(vocabulary))])
 
-    # a row per labelled sample row, of vocabulary terms only: bounded by both parameters
-    drawn_vectors = save(train.mapInArrow(_vectors(shared, idf), "doc_id long, toxic int, lang string, fold int, "
+    # a row per labelled sample row, of vocabulary terms only: bounded by the sample
+    drawn_vectors = save(train.mapInArrow(_vectors(shared, idf), "doc_id long, toxic int, fold int, "
                                           "terms array<long>, weights array<double>"), "labelled-vectors")
+    shared.destroy()
     examples = drawn_vectors.toArrow()
+    # in an order that no id decides: equal cosines go to the earlier example
     rows = sorted(zip(*(examples.column(c).to_pylist() for c in ("doc_id", "toxic", "terms", "weights", "fold"))),
-                  key=lambda r: (r[0], r[2]))
+                  key=lambda r: (r[2], r[3], r[1], r[0]))
     rows = [(r[0], r[1], np.array(r[2], np.int64), np.array(r[3], np.float64), r[4]) for r in rows]
-    folds = [(*fit([r for r in rows if r[4] != f], keep[f + 1]), keep[f + 1]) for f in range(FOLDS)]
-    votes = drawn_vectors.mapInArrow(_fold_votes(spark.sparkContext.broadcast((folds, neighbours))),
-                                     "toxic int, lang string, vote double").toArrow()
-    cut = cuts(votes.column("vote").to_numpy(), votes.column("toxic").to_numpy(), votes.column("lang").to_pylist())
-    index, base = fit(rows, keep[0])
-    own = {t: i for t, i in vocabulary.items() if keep[0][i]}
-    model = spark.sparkContext.broadcast((own, idf, index, base, cut, neighbours))
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("fp"), lang.alias("lang")).mapInArrow(
-        _score(model), "doc_id long, fp long, score double, "
-                       "evidence array<struct<doc_id:bigint,similarity:double,toxic:int>>")
+    folds = spark.sparkContext.broadcast(
+        ([(*fit([r for r in rows if r[4] != f], place[f + 1]), place[f + 1]) for f in range(FOLDS)], neighbours))
+    votes = drawn_vectors.mapInArrow(_fold_votes(folds), "toxic int, vote double").toArrow()
+    folds.destroy()
+    cut = cut_of(votes.column("vote").to_numpy(), votes.column("toxic").to_numpy())
+    index, base = fit(rows, place[0])
+    own = {t: int(place[0][i]) for t, i in vocabulary.items() if inside[0][i]}
+    return spark.sparkContext.broadcast((own, idf[inside[0]], index, base, cut, neighbours))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that score ``threshold`` or more."""
-    toxic = save(score_documents(docs, labels).filter(F.col("score") >= threshold)
+    model = _model(docs, labels, SAMPLE, NEIGHBOURS)
+    toxic = save(_scored(docs, model).filter(F.col("score") >= threshold)
                  .select(F.col("doc_id").alias("t_id"), F.col("fp").alias("t_fp")).distinct(), "toxic")
+    model.destroy()
     kept = boxed(docs).withColumn("fp", F.xxhash64("v.text")).join(
         small_side(toxic, 24), F.col("v.doc_id").eqNullSafe(F.col("t_id")) & (F.col("fp") == F.col("t_fp")),
         "left_anti")

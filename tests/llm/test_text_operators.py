@@ -204,6 +204,15 @@ def test_shards(clashing, corpus):
     assert {r.law for r in digest} == {"rows"} and {r.grown_shard for r in digest} == {None}
 
 
+def test_shards_of_maps_and_quoted_names(spark):
+    rows = spark.range(40).selectExpr("id AS doc_id", "map('k', id) AS m", "id AS `a``b`", "struct(map(id, 1) AS x) AS s")
+    got = sharding.shard_rows(rows, 3)
+    assert got.columns == ["doc_id", "m", "a`b", "s", "shard", "slot"]
+    assert sorted(Counter(r.shard for r in got.collect()).values()) == [13, 13, 14]
+    kept = linededup.cleaned_documents(rows.selectExpr("*", "'a line' AS text", "'src' AS source"), 2)
+    assert "a`b" in kept.columns and kept.count() == 40
+
+
 def test_communication_matrix_is_exact_and_uniform():
     sizes = [5, 0, 17, 300, 1]
     for seed in range(20):

@@ -212,11 +212,8 @@ def test_toxicity_of_words_that_begin_like_ordinary_ones(spark):
 def test_the_best_cut_becomes_the_threshold():
     votes, toxic = np.array([0.9, 0.5, 0.45, 0.1, 0.1]), np.array([1, 1, 1, 0, 0])
     assert abs(toxicity.best_cut(votes, toxic) - 0.275) < 1e-12
-    assert toxicity.cuts(votes, np.zeros(5, int), ["en"] * 5) == {None: toxicity.THRESHOLD}
-    lang = ["en"] * 40 + ["de"] * 40 + ["es"] * 2
-    votes = np.array([0.9] * 20 + [0.1] * 20 + [0.4] * 20 + [0.05] * 20 + [0.5, 0.0])
-    own = toxicity.cuts(votes, np.array(([1] * 20 + [0] * 20) * 2 + [1, 0]), lang)
-    assert set(own) == {None, "en", "de"} and 0.05 < own["de"] < 0.4 < 0.45 < own["en"] < 0.9
+    assert toxicity.cut_of(votes, np.zeros(5, int)) == toxicity.cut_of(votes, np.ones(5, int)) == toxicity.THRESHOLD
+    assert toxicity.cut_of(votes, toxic) == toxicity.best_cut(votes, toxic)
     for cut in (0.2, 0.7, 0.95, 1.0):
         scale = [toxicity.calibrated(v, cut) for v in (0.0, cut / 2, cut, 1.0)]
         assert scale == sorted(scale) and scale[0] == 0
@@ -235,3 +232,103 @@ def test_held_out_rows(spark):
     rows = queries.op6_toxicity(spark, SF).collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
     assert all(r.predicted == (r.score >= 0.7) for r in rows)
+
+
+def toxicity_by_hand(docs, labels, folds):
+    """Scores by counting, dense vectors and a full sort: ``docs`` (id, text), ``labels`` {id: 0 or 1}."""
+    def terms(text):
+        out = Counter()
+        for w in toxicity.WORD.findall((text or "").lower()):
+            out.update([w] + [w[:n] + "*" for n in toxicity.BEGINNINGS if len(w) > n])
+        return out
+
+    bags = [terms(t) for _, t in docs]
+    train = [(i, labels[d]) for i, (d, _) in enumerate(docs) if d in labels and zlib.crc32(str(d).encode()) % 3 != 1]
+
+    def vocabulary(rows):
+        n1, n = sum(y for _, y in rows), len(rows)
+        have, bad = Counter(), Counter()
+        for i, y in rows:
+            have.update(bags[i].keys())
+            bad.update(bags[i].keys() if y else ())
+        everywhere = Counter()
+        for i, _ in train:
+            everywhere.update(bags[i].keys())
+
+        def fits(t):
+            m, a = have[t], bad[t]
+            if everywhere[t] < toxicity.SUPPORT or m < toxicity.SUPPORT or a < toxicity.PURITY * m or m >= n:
+                return False
+            b, n0 = m - a, n - n1
+            return n * (a * (n0 - b) - b * (n1 - a)) ** 2 / (m * (n - m) * max(n1, 1) * max(n0, 1)) >= toxicity.CHI
+
+        chosen = [t for t in have if fits(t)]
+        whole = [t for t in chosen if not t.endswith("*")]
+        share = sum(bad[t] for t in whole) / sum(have[t] for t in whole) if whole else toxicity.PURITY
+        return sorted(t for t in chosen if not t.endswith("*") or bad[t] >= share * have[t])
+
+    everywhere = Counter(t for b in bags for t in b)
+
+    def vectors(words):
+        idf = [np.log((1 + len(docs)) / (1 + everywhere[t])) + 1 for t in words]
+        x = np.array([[(1 + np.log(b[t])) * w if b[t] else 0.0 for t, w in zip(words, idf)] for b in bags]).reshape(len(docs), -1)
+        return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-300)
+
+    def votes(rows, of):
+        x, y = vectors(vocabulary(rows)), np.array([y for _, y in rows], float)
+        at = [i for i, _ in rows]
+        bare = [v for i, v in rows if not x[i].any()]
+        base = (sum(bare) + 0.01) / (len(bare) + 1)
+        out = []
+        for i in of:
+            cosine = x[at] @ x[i]
+            near = np.argsort(-cosine, kind="stable")[:toxicity.NEIGHBOURS]
+            near = near[cosine[near] > 0]
+            out.append(((cosine[near] * y[near]).sum() + toxicity.SHRINK * base) / (cosine[near].sum() + toxicity.SHRINK))
+        return out
+
+    held = {}
+    for f in range(toxicity.FOLDS):
+        of = [i for i, _ in train if folds[docs[i][1]] == f]
+        held.update(zip(of, votes([r for r in train if folds[docs[r[0]][1]] != f], of)))
+    cut = toxicity.cut_of(np.array([held[i] for i, _ in train]), np.array([y for _, y in train]))
+    return {docs[i][0]: toxicity.calibrated(v, cut) for i, v in enumerate(votes(train, range(len(docs))))}
+
+
+def test_toxicity_equals_brute_force(spark):
+    rng = random.Random(9)
+    docs, labels = [], {}
+    for i in range(700):
+        words = [f"w{rng.randrange(300)}" for _ in range(rng.randint(3, 30))] + [f"only{i}"]
+        if rng.random() < 0.25:
+            labels[i] = 1
+            words += [rng.choice(["vile", "grubbel", "grubben", "scum", "muckworm"]) for _ in range(rng.randint(1, 4))]
+        elif rng.random() < 0.8:
+            labels[i] = 0
+        docs.append((i, " ".join(words)))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    folds = {r.text: r.f for r in table.selectExpr("text", f"CAST(pmod(xxhash64(text), {toxicity.FOLDS}) AS INT) AS f").collect()}
+    want = toxicity_by_hand(docs, labels, folds)
+    known = spark.createDataFrame([(d, 0, y) for d, y in labels.items()], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score_documents(table, known).collect()}
+    # equal cosines at the last place may be told apart otherwise
+    close = [abs(got[d] - want[d]) < 1e-6 for d in want]
+    assert got.keys() == want.keys() and np.mean(close) >= 0.97
+    assert all((got[d] >= 0.7) == (want[d] >= 0.7) for d in want)
+
+
+def test_scores_come_from_texts_alone(spark):
+    from pyspark.sql import functions as F
+
+    docs, labels, *_ = _labelled(spark, random.Random(5))
+    plain = docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    before = {r.doc_id: r.score for r in toxicity.score_documents(plain, labels).collect()}
+    tagged = plain.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "de").otherwise("en")) \
+        .withColumn("source", F.concat(F.lit("s"), F.col("doc_id") % 7)).repartition(7)
+    assert {r.doc_id: r.score for r in toxicity.score_documents(tagged, labels).collect()} == before
+    # other ids for rows that are no examples
+    examples = [r.doc_id for r in labels.collect()]
+    moved = plain.withColumn("doc_id", F.when(F.col("doc_id").isin([e for e in examples if e is not None]), F.col("doc_id"))
+                             .otherwise(F.col("doc_id") + 3_000_000))
+    after = {r.doc_id: r.score for r in toxicity.score_documents(moved, labels).collect()}
+    assert all(before[d if d < 3_000_000 else d - 3_000_000] == s for d, s in after.items())
