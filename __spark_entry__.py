@@ -31,11 +31,14 @@ from quiver import (RefineOptions, cosine_distance, exact_search, explore_querie
                     refinement_report, search, search_groups, search_many, search_top_k,
                     valid_vector)
 from quiver.functions.sql import register
+from quiver.functions.tables import register_tables
 from quiver.operators.checks import (check_convergence, check_search_result,
                                      refinement_quality)
+from quiver.operators.points import PointTable
 from quiver.operators.refine import refine_local
 from quiver.operators.search import probe_points
 from quiver.operators.setdist import min_distance_to_set, refine_against_sets
+from quiver.plans.session import scratch_path
 from quiver.sources.io import LINEITEM_FEATURES
 from quiver.streaming.score import (current_top_k, run_stream_radius, run_stream_score,
                                     run_stream_top_k, vector_stream)
@@ -61,6 +64,12 @@ HASH_OPTIONS = {
     "refine_free_box": RefineOptions(generations=2, population=3, diffusion=2, lower=0.0, upper=0.5, clip=False,
                                      seed=9, stream="hash"),
 }
+# other options than the defaults, for whole vectors
+WHOLE_OPTIONS = {
+    "refine_local_walk_whole": RefineOptions(walk=0.0),
+    "refine_free_box_whole": RefineOptions(lower=-0.5, upper=1.5, clip=False),
+    "refine_narrow_box_whole": RefineOptions(lower=-0.25, upper=0.5),
+}
 # Per-measure scale of the lineitem features (the measures'
 # upper ends: quantity 50, extended price 100000, discount 0.1, tax 0.08).
 LINEITEM_SCALE = {"l_quantity": 50.0, "l_extendedprice": 100000.0, "l_discount": 0.1,
@@ -159,18 +168,31 @@ def q_exact_self_top_k(spark, sf):
         .select("query_id", "rank", "vec_id", _r("dist"))
 
 
+def _self_queries(emb):
+    return emb.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+
+
 def q_self_top_k(spark, sf):
-    """S1m refined, every embedding as a query against all embeddings (top-10); ranks in order."""
+    """S1m refined, every embedding as a query against all embeddings: its top-10."""
     emb = _t(spark, sf, "embeddings")
-    queries = emb.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
-    found = search_many(emb, queries, K, "embedding", "vec_id")
-    rows = F.array_sort(F.collect_list(F.struct("rank", "dist", "vec_id")))
-    each = found.groupBy("query_id").agg(rows.alias("rows"))
-    rising = F.aggregate("rows", F.struct(F.lit(True).alias("ok"), F.lit(-1.0).alias("last")),
-                         lambda s, r: F.struct((s["ok"] & (r["dist"] >= s["last"])).alias("ok"), r["dist"].alias("last")),
-                         lambda s: s["ok"])
-    return each.select("query_id", F.size("rows").alias("n"), rising.alias("rising"),
-                       F.size(F.array_distinct(F.transform("rows", lambda r: r["vec_id"]))).alias("distinct_rows"))
+    return search_many(emb, _self_queries(emb), K, "embedding", "vec_id") \
+        .select("query_id", "rank", "vec_id", _r("dist"))
+
+
+def q_self_top_k_check(spark, sf):
+    """S1m refined, as above, every neighbour checked: its distance recomputed, its rank held against an exact
+    search around the point that a refinement of its own gives."""
+    emb = _t(spark, sf, "embeddings")
+    found = search_many(emb, _self_queries(emb), K, "embedding", "vec_id")
+    points = refine_with_ids(_self_queries(emb), "query_id").select("query_id", F.col("best_point").alias("query"))
+    true = search_many(emb, points, K, "embedding", "vec_id", exact=True) \
+        .select("query_id", "rank", F.col("vec_id").alias("true_id"), F.col("dist").alias("true_dist"))
+    each = (found.join(true, ["query_id", "rank"], "full")
+            .join(points.select("query_id", F.col("query").alias("point")), "query_id")
+            .join(emb.select("vec_id", "embedding"), "vec_id", "left"))
+    return each.select("query_id", "rank", _same(F.col("dist"), cosine_distance("embedding", "point")).alias("matches"),
+                       (F.col("vec_id") == F.col("true_id")).alias("true_neighbour"),
+                       (F.col("dist") == F.col("true_dist")).alias("true_distance"))
 
 
 def q_lineitem_top_k(spark, sf):
@@ -226,6 +248,130 @@ def q_refine_queries(spark, sf):
                     (F.col("best_fit") < 0.5).alias("improved"))
 
 
+def _refined_whole(spark, sf, options):
+    """Every embedding refined with other options: default population, generations and trials, all 64 components."""
+    emb = _t(spark, sf, "embeddings")
+    r = refine_with_ids(emb.select("vec_id", F.col("embedding").alias("query")), "vec_id", options=options)
+    lower, upper = float(options.lower), float(options.upper)
+    start = F.transform("query", lambda x: F.lit((lower + upper) / 2.0))
+    return r.select("vec_id", F.size("best_point").alias("dim"), _in_box("best_point", lower, upper).alias("in_box"),
+                    _same(F.col("best_fit"), cosine_distance("query", "best_point")).alias("fit_matches"),
+                    (F.col("best_fit") < F.least(F.lit(1.0), cosine_distance("query", start))).alias("improved"))
+
+
+def q_refine_local_walk_whole(spark, sf):
+    """R1d with ``walk <= 0`` over whole vectors."""
+    return _refined_whole(spark, sf, WHOLE_OPTIONS["refine_local_walk_whole"])
+
+
+def q_refine_free_box_whole(spark, sf):
+    """Another search box, without clipping, over whole vectors."""
+    return _refined_whole(spark, sf, WHOLE_OPTIONS["refine_free_box_whole"]).drop("in_box")
+
+
+def q_refine_narrow_box_whole(spark, sf):
+    """Another search box, with clipping, over whole vectors."""
+    return _refined_whole(spark, sf, WHOLE_OPTIONS["refine_narrow_box_whole"])
+
+
+def q_point_table(spark, sf):
+    """R4 across queries: points kept by one call serve the next, which refines the new queries only."""
+    emb = _t(spark, sf, "embeddings")
+    kept = PointTable(spark, scratch_path(spark, "kept-points"))
+    kept.refine(emb.filter("vec_id % 10 <> 0"), "embedding")
+    first = kept.known().select("query", F.lit(True).alias("was_kept"))
+    points = kept.refine(emb, "embedding")
+    own = emb.select("vec_id", F.col("embedding").cast("array<double>").alias("query"))
+    fresh = refine_with_ids(own, "vec_id").select("vec_id", F.col("best_point").alias("fresh"))
+    return (own.join(points, "query").join(first, "query", "left").join(fresh, "vec_id")
+            .select("vec_id", F.coalesce("was_kept", F.lit(False)).alias("was_kept"),
+                    (F.col("best_point") == F.col("fresh")).alias("same_point"),
+                    _same(F.col("best_fit"), cosine_distance("query", "best_point")).alias("fit_matches")))
+
+
+def _sql_point(spark):
+    """The refined main query in the session variable ``search_point``, by one job."""
+    spark.sql("DECLARE OR REPLACE VARIABLE search_point ARRAY<DOUBLE>")
+    spark.sql("SET VARIABLE search_point = (SELECT best_point FROM fractal_points(TABLE(SELECT "
+              "CAST(:q AS ARRAY<DOUBLE>) AS query)))", args={"q": main_query()})
+
+
+def q_sql_point_top_k(spark, sf):
+    """V3 / R4 in SQL: the constant query refined once by a job, its point a session variable."""
+    register_tables(spark)
+    _t(spark, sf, "embeddings").createOrReplaceTempView("embeddings")
+    _sql_point(spark)
+    return spark.sql("SELECT vec_id, round(dist, 6) AS dist FROM (SELECT vec_id, nearest_distance("
+                     "CAST(embedding AS ARRAY<DOUBLE>), search_point) AS dist FROM embeddings "
+                     f"ORDER BY dist ASC NULLS LAST, vec_id LIMIT {K})")
+
+
+def q_sql_top_k_agg(spark, sf):
+    """S2 in SQL, two steps: k rows per task and group, then the aggregate."""
+    register_tables(spark)
+    _t(spark, sf, "embeddings").createOrReplaceTempView("embeddings")
+    _sql_point(spark)
+    return spark.sql(
+        "SELECT label, CAST(pos + 1 AS INT) AS rank, item.vec_id AS vec_id, round(item.dist, 6) AS dist FROM ("
+        f"SELECT label, nearest_top_k(top_k, {GROUP_K}) AS top_k FROM nearest_parts(TABLE(SELECT label, vec_id, "
+        f"CAST(embedding AS ARRAY<DOUBLE>) FROM embeddings), search_point, {GROUP_K}) GROUP BY label) "
+        "LATERAL VIEW posexplode(top_k) AS pos, item")
+
+
+def q_sql_top_k_agg_groups(spark, sf):
+    """S2 in SQL with two group columns and a string id."""
+    register_tables(spark, groups="label int, half string", id_ddl="name string")
+    _t(spark, sf, "embeddings").createOrReplaceTempView("embeddings")
+    _sql_point(spark)
+    return spark.sql(
+        "SELECT label, half, CAST(pos + 1 AS INT) AS rank, item.name AS name, round(item.dist, 6) AS dist FROM ("
+        f"SELECT label, half, nearest_top_k(top_k, {GROUP_K}) AS top_k FROM nearest_parts(TABLE(SELECT label, "
+        "IF(vec_id % 2 = 0, 'even', NULL) AS half, CONCAT('v', vec_id) AS name, CAST(embedding AS ARRAY<DOUBLE>) "
+        f"FROM embeddings), search_point, {GROUP_K}) GROUP BY label, half) LATERAL VIEW posexplode(top_k) AS pos, item")
+
+
+def q_sql_top_k_agg_direct(spark, sf):
+    """S2 in SQL in one step, as an aggregate over rows with a bound list parameter."""
+    register_tables(spark)
+    _t(spark, sf, "embeddings").createOrReplaceTempView("embeddings")
+    return spark.sql(
+        "SELECT label, CAST(pos + 1 AS INT) AS rank, item.vec_id AS vec_id, round(item.dist, 6) AS dist FROM ("
+        f"SELECT label, fractal_search_top_k(CAST(embedding AS ARRAY<DOUBLE>), vec_id, :q, {GROUP_K}) AS top_k "
+        "FROM embeddings GROUP BY label) LATERAL VIEW posexplode(top_k) AS pos, item", args={"q": main_query()})
+
+
+SQL_POINTS = ("SELECT * FROM {f}(TABLE(SELECT /*+ REPARTITION(64) */ DISTINCT CAST(embedding AS ARRAY<DOUBLE>) "
+              "AS query FROM embeddings))")
+
+
+def q_sql_column_search(spark, sf):
+    """V3 in SQL with a query per row: each distinct query refined once in a table that the rows are joined to."""
+    register_tables(spark)
+    register(spark)
+    _t(spark, sf, "embeddings").createOrReplaceTempView("embeddings")
+    return spark.sql(
+        f"WITH points AS ({SQL_POINTS.format(f='fractal_points')}), pairs AS ("
+        "SELECT a.vec_id, CAST(a.embedding AS ARRAY<DOUBLE>) AS v, CAST(b.embedding AS ARRAY<DOUBLE>) AS query "
+        "FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1) "
+        "SELECT vec_id, round(cosine_distance(v, query), 6) AS exact, "
+        "abs(acos(greatest(-1D, least(1D, 1 - nearest_distance(v, best_point)))) "
+        "- acos(greatest(-1D, least(1D, 1 - cosine_distance(v, query))))) "
+        "<= acos(greatest(-1D, least(1D, 1 - best_fit))) + 1e-6D AS within_residual "
+        "FROM pairs JOIN points USING (query)")
+
+
+def q_sql_population(spark, sf):
+    """R3 as a table function: the final population of every distinct embedding, every fit recomputed."""
+    register_tables(spark)
+    register(spark)
+    _t(spark, sf, "embeddings").createOrReplaceTempView("embeddings")
+    return spark.sql(
+        "SELECT round(query[0], 6) AS q1, count(*) AS particles, count_if(is_best) AS n_best, "
+        "count_if(abs(fit - cosine_distance(query, point)) <= 1e-9D AND forall(point, x -> abs(x) <= 1)) AS n_ok, "
+        "min(fit) = min(IF(is_best, fit, NULL)) AS best_is_least "
+        f"FROM ({SQL_POINTS.format(f='fractal_population')}) GROUP BY query")
+
+
 def _refine_by_hash(spark, sf, options):
     """Every embedding's first three components refined with the hash stream."""
     emb = _t(spark, sf, "embeddings")
@@ -300,12 +446,7 @@ def q_fractal_search_consecutive(spark, sf):
     """
     emb = _t(spark, sf, "embeddings")
     after = emb.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("query"))
-    # pairs by grouping: Spark plans a join as large as the product of its sides, and tasks go by planned size
-    box = after.select(F.struct("query")).schema[0].dataType
-    own = emb.select("vec_id", F.struct("embedding").alias("a"), F.lit(None).cast(box).alias("b"))
-    other = after.select("vec_id", F.lit(None).cast(own.schema["a"].dataType).alias("a"), F.struct("query").alias("b"))
-    pairs = (own.unionByName(other).groupBy("vec_id").agg(F.first("a", True).alias("a"), F.first("b", True).alias("b"))
-             .filter("a IS NOT NULL AND b IS NOT NULL").select("vec_id", "a.embedding", "b.query"))
+    pairs = emb.select("vec_id", "embedding").join(after, "vec_id")
     scored = fractal_distance(pairs, F.col("query"))
     points = refine_with_ids(after, "vec_id").select("vec_id", "best_point", "best_fit")
     exact = cosine_distance("embedding", "query")
@@ -452,6 +593,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_top_k": q_stream_top_k,
         "stream_multi_top_k": q_stream_multi_top_k,
         "stream_radius": q_stream_radius,
+        "self_top_k_check": q_self_top_k_check,
+        "refine_local_walk_whole": q_refine_local_walk_whole,
+        "refine_free_box_whole": q_refine_free_box_whole,
+        "refine_narrow_box_whole": q_refine_narrow_box_whole,
+        "point_table": q_point_table,
+        "sql_point_top_k": q_sql_point_top_k,
+        "sql_top_k_agg": q_sql_top_k_agg,
+        "sql_top_k_agg_groups": q_sql_top_k_agg_groups,
+        "sql_top_k_agg_direct": q_sql_top_k_agg_direct,
+        "sql_column_search": q_sql_column_search,
+        "sql_population": q_sql_population,
     }
     out.update(_llm()[0])
     return out
@@ -641,9 +793,23 @@ def oracle_sql() -> dict[str, str]:
         "convergence_check": f"SELECT {first}, CAST(len(embedding) AS INTEGER) AS dim, true AS consistent, "
                              f"true AS flat_converges FROM {each} UNION ALL SELECT {first}, 2, true, true "
                              "FROM (SELECT DISTINCT embedding[1:2] AS embedding FROM embeddings)",
-        "self_top_k": f"SELECT vec_id AS query_id, CAST(least({K}, (SELECT count(*) FROM embeddings)) AS INTEGER) "
-                      f"AS n, true AS rising, CAST(least({K}, (SELECT count(*) FROM embeddings)) AS INTEGER) "
-                      "AS distinct_rows FROM embeddings",
+        "self_top_k_check": "SELECT vec_id AS query_id, CAST(rank AS INTEGER) AS rank, true AS matches, "
+                            f"true AS true_neighbour, true AS true_distance FROM embeddings, range(1, {K + 1}) r(rank) "
+                            "WHERE rank <= (SELECT count(*) FROM embeddings)",
+        "point_table": "SELECT vec_id, vec_id % 10 <> 0 AS was_kept, true AS same_point, true AS fit_matches FROM embeddings",
+        "sql_population": f"SELECT {first}, 50::BIGINT AS particles, 1::BIGINT AS n_best, 50::BIGINT AS n_ok, "
+                          f"true AS best_is_least FROM {each}",
+        "sql_column_search": (
+            f"SELECT a.vec_id, {_rnd(_dist('b.embedding::DOUBLE[]', 'a.embedding::DOUBLE[]'))} AS exact, "
+            "true AS within_residual FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"),
+        "sql_point_top_k": top_k,
+        "sql_top_k_agg": group,
+        "sql_top_k_agg_direct": group,
+        "sql_top_k_agg_groups": (
+            f"WITH q AS (SELECT {p_main} AS p), s AS (SELECT label, CASE WHEN vec_id % 2 = 0 THEN 'even' END AS half, "
+            f"'v' || vec_id AS name, {d_main} AS dist FROM embeddings, q), r AS (SELECT *, CAST(row_number() OVER ("
+            "PARTITION BY label, half ORDER BY dist ASC NULLS LAST, name) AS INTEGER) AS rank FROM s) "
+            f"SELECT label, half, rank, name, {_rnd('dist')} AS dist FROM r WHERE rank <= {GROUP_K}"),
         "fractal_search_column": (
             f"WITH {fam} SELECT e.vec_id, {_rnd(_dist('e.embedding::DOUBLE[]', 'fam.p'))} AS dist "
             f"FROM embeddings e JOIN fam ON fam.query_id = e.vec_id % {N_QUERIES}"),
@@ -654,6 +820,10 @@ def oracle_sql() -> dict[str, str]:
             f"WITH {fam}, s AS (SELECT fam.query_id, e.vec_id, {_dist('e.embedding::DOUBLE[]', 'fam.p')} AS dist "
             f"FROM embeddings e, fam) SELECT query_id, vec_id, {_rnd('dist')} AS dist FROM s WHERE dist <= {RADIUS}"),
     }
+    for name, o in WHOLE_OPTIONS.items():
+        box = "true AS in_box, " if o.clip else ""
+        out[name] = (f"SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dim, {box}true AS fit_matches, "
+                     "true AS improved FROM embeddings")
     li_vals = ", ".join(f"('{name}', {_lit(_refined(tuple(q)))})" for name, q in LINEITEM_QUERIES.items())
     out["lineitem_multi_top_k"] = (
         f"WITH fam(query_id, p) AS (VALUES {li_vals}), s AS (SELECT fam.query_id, {li_key}, {_dist(li_vec, 'fam.p')} "

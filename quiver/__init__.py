@@ -7,9 +7,11 @@ and window operators, a SQL function, and streaming scoring.
 """
 
 from .functions.sql import fractal_search, register
+from .functions.tables import register_tables
 from .functions.vectors import cosine_distance, feature_vector, valid_vector
 from .operators.checks import (check_convergence, check_search_result, refinement_quality,
                                single_query_quality)
+from .operators.points import PointTable
 from .operators.refine import (explore_queries, refine_queries, refine_with_ids,
                                refinement_report)
 from .operators.search import (exact_search, fractal_distance, multi_probe_search,
@@ -19,7 +21,7 @@ from .operators.setdist import min_distance_to_set, refine_against_sets
 from .operators.sfs import RefineOptions
 
 __all__ = [
-    "RefineOptions", "register", "fractal_search", "cosine_distance", "feature_vector",
+    "PointTable", "RefineOptions", "register", "register_tables", "fractal_search", "cosine_distance", "feature_vector",
     "valid_vector", "refine_queries", "refine_with_ids", "refinement_report", "explore_queries",
     "search", "exact_search", "search_groups", "radius_search", "radius_many", "fractal_distance",
     "search_many", "search_top_k", "multi_probe_search", "with_payload",

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import list_dims, list_to_matrix
-from ..plans.session import attach, default_parallelism, planned_bytes
+from ..plans.session import attach, default_parallelism, materialize
 from .sfs import RefineOptions, refine
 
 REFINED_SCHEMA = "query array<double>, best_point array<double>, best_fit double"
@@ -24,8 +24,8 @@ POPULATION_SCHEMA = ("query array<double>, particle int, point array<double>, "
 # queries refined together in one lockstep call, and the cap on the
 # per-generation noise block (queries x population x trials x dim doubles)
 LOCKSTEP = 256
-# planned bytes of query vectors per refining task (some thousand vectors)
-BYTES_PER_TASK = 1 << 20
+# distinct queries per refining task, where there are more than two tasks a core would hold
+REFINED_PER_TASK = 2_000
 # parts into which one repeated query is dealt where queries and points are joined
 SALT = 16
 NOISE_ELEMENTS = 1 << 21
@@ -36,7 +36,7 @@ def lockstep_size(opts: RefineOptions, dim: int) -> int:
     return max(1, min(LOCKSTEP, NOISE_ELEMENTS // per_query))
 
 
-def _same_numpy(version: str):
+def same_numpy(version: str):
     """Random draws are only the same everywhere under one NumPy version."""
     if np.__version__ != version:
         raise RuntimeError(f"the driver has NumPy {version}, this worker {np.__version__}: "
@@ -68,7 +68,7 @@ def _refine_fn(opts: RefineOptions):
     version = np.__version__
 
     def run(batches):
-        _same_numpy(version)
+        same_numpy(version)
         for batch in batches:
             qarr = batch.column(0).cast(pa.list_(pa.float64()))
             for rows, mat in _chunks(qarr, opts):
@@ -86,7 +86,7 @@ def _population_fn(opts: RefineOptions):
     version = np.__version__
 
     def run(batches):
-        _same_numpy(version)
+        same_numpy(version)
         for batch in batches:
             qarr = batch.column(0).cast(pa.list_(pa.float64()))
             for rows, mat in _chunks(qarr, opts):
@@ -114,17 +114,22 @@ def distinct_queries(queries: DataFrame, query_col: str = "query",
     (the dedup's own partitioning does not satisfy it), and AQE never
     coalesces an explicit partition count.  Which task refines a query
     does not matter: each result depends on the query bytes alone.
+
+    Without ``parallelism`` the distinct queries are written first and
+    counted: a plan's size guess says little about them (a join's is the
+    product of its sides).
     """
     spark = queries.sparkSession
     attach(spark)
-    n = parallelism or max(2 * default_parallelism(spark),
-                           -(-(planned_bytes(queries.select(query_col)) or 0) // BYTES_PER_TASK))
     # deduplicate the stored values (float widens to double exactly and
     # one-to-one, so the distinct set is the same): the shuffles move the
     # narrow type, and the Arrow function widens to double
-    return (queries.select(F.col(query_col).alias("query"))
-            .dropDuplicates(["query"])
-            .repartition(n))
+    once = queries.select(F.col(query_col).alias("query")).dropDuplicates(["query"])
+    if parallelism is None:
+        once = materialize(once, "distinct-queries")
+        rows = once.count()
+        parallelism = max(1, min(rows, max(2 * default_parallelism(spark), -(-rows // REFINED_PER_TASK))))
+    return once.repartition(parallelism)
 
 
 def refine_queries(queries: DataFrame, query_col: str = "query",

@@ -408,31 +408,6 @@ def set_min_scorer(bank_bc, spec: VectorSpec, first: bool, empty: bool):
     return run
 
 
-def probes_scorer(probes, spec: VectorSpec):
-    """Arrow UDF body: each row's exact minimum distance over fixed probes
-    (NaN propagates, as the per-task multi-probe path does)."""
-    pts = [np.asarray(p, dtype=np.float64) for p in (probes or [])]
-
-    def score(*cols):
-        n = len(cols[0])
-        if not pts:
-            return pa.nulls(n, type=pa.float64())
-        d = len(pts[0])
-        if spec.array_col:
-            mat, valid = list_to_matrix(cols[0], d)
-        else:
-            mat, valid = columns_to_matrix(list(cols))
-            if len(cols) != d:
-                valid[:] = False
-                mat = mat[:0]
-        out = np.zeros(n)
-        if valid.any():
-            out[valid] = np.stack([exact_cosine(mat, p) for p in pts]).min(axis=0)
-        return pa.array(out, type=pa.float64(), mask=~valid)
-
-    return score
-
-
 def point_scorer(point, spec: VectorSpec):
     """Arrow UDF body: cosine distance of each row to one fixed point."""
     p = None if point is None else np.asarray(point, dtype=np.float64)

@@ -33,16 +33,14 @@ from ..plans.keys import RowKey, quoted
 from ..plans.session import (DEFAULT_BROADCAST_BYTES, attach, default_parallelism, materialize,
                              planned_bytes, planned_tasks)
 from ..plans.topk import auto_salt, global_top_k, top_k_per_key
-from .refine import refine_with_ids
+from .refine import REFINED_PER_TASK, refine_with_ids
 from .scoring import (VectorSpec, candidate_ddl, point_scorer, query_side_scorer,
                       radius_scorer, topk_scorer)
 from .sfs import RefineOptions, refine
 
 
-# queries per task when the vector table is the broadcast side, and when
-# queries are refined
+# queries per task when the vector table is the broadcast side
 QUERIES_PER_TASK = 20_000
-REFINED_PER_TASK = 2_000
 
 
 def _spark(df: DataFrame) -> SparkSession:
