@@ -32,6 +32,8 @@ from .shared import save
 PIECES = 400_000
 WINDOWS = 200_000
 LONGEST = 48
+# text that is aligned together: some 70 MB of arrays
+PART_BYTES = 1 << 20
 # links of a group that are listed one by one; of a longer group each pair is listed once
 LISTED = 1024
 # pairs of the count table that one broadcast holds (17 bytes each)
@@ -70,6 +72,8 @@ class Aligner:
         self.sizes = tuple(np.array([len(t) for t in x]) for x in (self.bytes_a, self.bytes_b))
         self.marked = tuple(np.array([t[:1] == b" " for t in x]) for x in (self.bytes_a, self.bytes_b))
         self.width = len(self.bytes_b)
+        # without a normalizer and with an id for every byte, side a gives back any text
+        self.lossless = self.a.norm is None and {bytes([b]) for b in range(256)} <= set(self.bytes_a)
         # every id's decimal digits and a place behind them, in one row
         names = [str(i).encode() for i in range(max(len(self.bytes_a), self.width))]
         self.digits = np.array([len(x) + 1 for x in names])
@@ -83,7 +87,7 @@ class Aligner:
         for text, ids_b in zip(texts, self.b.encode(texts, num_threads=1)):
             plain, ids_a = b" " + text.encode(), self.a.after_space(text)
             back = (text and b"".join(map(self.bytes_b.__getitem__, ids_b)) == plain
-                    and b"".join(map(self.bytes_a.__getitem__, array("I", ids_a))) == plain)
+                    and (self.lossless or b"".join(map(self.bytes_a.__getitem__, array("I", ids_a))) == plain))
             out.append((ids_a, array("I", ids_b).tobytes()) if back else None)
         return out
 
@@ -252,7 +256,7 @@ def _aligned(path_a: str, path_b: str):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(path_a, path_b)
-        for part in (p for b in batches for p in by_bytes(b, 2)):
+        for part in (p for b in batches for p in by_bytes(b, 2, PART_BYTES)):
             ids = both.encoded([t or "" for t in part.column(2).to_pylist()])
             found = iter(both.align([x for x in ids if x]))
             rows = [(len(x[0]) // 4, len(x[1]) // 4, *next(found)) if x else (0, 0, 0, 0, "", none, none) for x in ids]
