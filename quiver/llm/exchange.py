@@ -31,9 +31,9 @@ MIN_BUCKETS = 24
 Hashed = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def bucket_count(docs: DataFrame) -> int:
+def bucket_count(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(MIN_BUCKETS, -(-size // BUCKET_BYTES))
+    return max(MIN_BUCKETS, -(-size // bucket_bytes))
 
 
 def _pack(hashed: Hashed, buckets: int, width: type, repeats: bool) -> Iterator[pa.RecordBatch]:
@@ -86,7 +86,7 @@ def _pack(hashed: Hashed, buckets: int, width: type, repeats: bool) -> Iterator[
 def _answer(width: type, repeats: bool):
     def run(table: pa.Table) -> pa.Table:
         def arrays(name, dtype):
-            return [np.frombuffer(x.as_py(), dtype) for x in table.column(name)]
+            return [np.frombuffer(x.as_buffer(), dtype) for x in table.column(name)]
 
         keys, counts = np.concatenate(arrays("keys", np.int64)), np.concatenate(arrays("counts", np.uint32))
         place = np.concatenate(arrays("places", np.uint32))

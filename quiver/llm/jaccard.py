@@ -43,6 +43,8 @@ BLOCK = 512
 # postings up to this length are listed as pairs
 LISTED = 128
 ROUNDS = 2
+# text whose shingles one task compares: about four bytes of shingles a byte
+BUCKET_BYTES = 16 << 20
 # estimated candidates per doubling of which a document's prefix grows by one match
 COST_UNIT = 64
 
@@ -256,7 +258,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, width: int = WORDS)
         F.min(F.struct("doc_id", "fp")).alias("pick")), "classes")
     least = F.ceil(F.col("n") * percent / 100).cast("int")
 
-    shared = shared_places(docs.select("text"), _entries(width), bucket_count(docs), False, False)
+    shared = shared_places(docs.select("text"), _entries(width), bucket_count(docs, BUCKET_BYTES), False, False)
     alive = save(shared.withColumnRenamed("key", "set").join(classes, "set")
                  .filter(F.size("places") >= least)
                  .select("set", "n", F.col("pick.doc_id").alias("p_id"), F.col("pick.fp").alias("p_fp"), "places"),
