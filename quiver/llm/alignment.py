@@ -29,8 +29,8 @@ from .hashing import U, by_bytes, mix
 from .shared import save
 
 # pieces and windows a worker remembers (at about 210 and 400 bytes each), and the longest such window in tokens
-PIECES = 400_000
-WINDOWS = 200_000
+PIECES = 800_000
+WINDOWS = 400_000
 LONGEST = 48
 # text that is aligned together: some 70 MB of arrays
 PART_BYTES = 1 << 20

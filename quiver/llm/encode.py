@@ -16,8 +16,8 @@ from array import array
 
 import numpy as np
 
-# pieces a worker remembers; at about 210 bytes each, 126 MB
-REMEMBERED = 600_000
+# pieces a worker remembers; at about 210 bytes each, 250 MB
+REMEMBERED = 1_200_000
 ID = np.dtype("<u4")
 if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("token ids are kept as little-endian 32-bit numbers")

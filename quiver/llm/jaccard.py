@@ -44,7 +44,7 @@ BLOCK = 512
 LISTED = 128
 ROUNDS = 2
 # text whose shingles one task compares: about four bytes of shingles a byte
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 # estimated candidates per doubling of which a document's prefix grows by one match
 COST_UNIT = 64
 

@@ -23,6 +23,8 @@ from .shared import save
 ROOM = 8
 ITEMS_PER_TASK = 50_000
 FAN_IN = 4
+# pieces an encoding task remembers, 105 MB
+TASK_REMEMBERED = 500_000
 MEMBER = "struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint>"
 MEMBER_ARROW = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                           ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -31,7 +33,7 @@ MEMBER_ARROW = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start
 def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # of the task, not the worker: what it remembers goes with it
-        encode, end = Encoder(path), np.array([end_id], dtype=ID).tobytes()
+        encode, end = Encoder(path, TASK_REMEMBERED), np.array([end_id], dtype=ID).tobytes()
         for batch in batches:
             doc, piece, start, length, sums = [], [], [], [], []
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
