@@ -63,7 +63,7 @@ class Memo(dict):
 class Encoder:
     """Encodes texts to little-endian 32-bit ids, without special tokens."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str, remembered: int | None = None):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -73,6 +73,7 @@ class Encoder:
         # a byte-level vocabulary joins a word with the space before it
         self.spaced = "Ġthe" in self.tok.get_vocab()
         self.mark = "Ġ" if self.spaced else ""
+        remembered = REMEMBERED if remembered is None else remembered
         self.first = Memo(lambda p: self._piece(p, ""), remembered)
         self.later = Memo(lambda p: self._piece(p, " "), remembered) if self.spaced else self.first
         self.marks = {m: self._unit(m) for m in ".,"}
