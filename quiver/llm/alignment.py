@@ -24,12 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.session import attach, scratch_path
-from .encode import Encoder, byte_alphabet
+from .encode import BATCH_BYTES, Encoder, byte_alphabet
 from .hashing import U, by_bytes, mix
 from .shared import save
 
-# pieces and windows a worker remembers (at about 210 and 400 bytes each), and the longest such window in tokens
-PIECES = 800_000
+# windows a worker remembers (at about 400 bytes each), and the longest such window in tokens
 WINDOWS = 400_000
 LONGEST = 48
 # text that is aligned together: some 70 MB of arrays
@@ -67,7 +66,7 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
 
-        self.a, self.b = Encoder(path_a, PIECES), sentencepiece.SentencePieceProcessor(model_file=path_b)
+        self.a, self.b = Encoder(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a, self.bytes_b = byte_level_tokens(self.a.tok), piece_tokens(self.b)
         self.sizes = tuple(np.array([len(t) for t in x]) for x in (self.bytes_a, self.bytes_b))
         self.marked = tuple(np.array([t[:1] == b" " for t in x]) for x in (self.bytes_a, self.bytes_b))
@@ -83,9 +82,23 @@ class Aligner:
 
     def encoded(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """Ids of both sides of each text, if both give back a space and the text byte by byte."""
-        out = []
-        for text, ids_b in zip(texts, self.b.encode(texts, num_threads=1)):
-            plain, ids_a = b" " + text.encode(), self.a.after_space(text)
+        ids, counts = self.a.many(pa.array(texts, pa.string()), after_space=True)
+        return self._checked(texts, ids, np.cumsum(counts))
+
+    def parts(self, batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[tuple[bytes, bytes] | None]]]:
+        """Parts of a batch of rows (texts in column 2) that are aligned together, and their ids; one call for side a."""
+        ids, counts = self.a.many(batch.column(2), after_space=True)
+        stops, done = np.append(0, np.cumsum(counts)), 0
+        for part in by_bytes(batch, 2, PART_BYTES):
+            own = stops[done:done + part.num_rows + 1]
+            texts = [t or "" for t in part.column(2).to_pylist()]
+            yield part, self._checked(texts, ids[own[0]:own[-1]], own[1:] - own[0])
+            done += part.num_rows
+
+    def _checked(self, texts: list[str], ids: np.ndarray, stops: np.ndarray) -> list[tuple[bytes, bytes] | None]:
+        out, raw, ends = [], ids.tobytes(), (4 * stops).tolist()
+        for text, i, j, ids_b in zip(texts, [0, *ends], ends, self.b.encode(texts, num_threads=1)):
+            plain, ids_a = b" " + text.encode(), raw[i:j]
             back = (text and b"".join(map(self.bytes_b.__getitem__, ids_b)) == plain
                     and (self.lossless or b"".join(map(self.bytes_a.__getitem__, array("I", ids_a))) == plain))
             out.append((ids_a, array("I", ids_b).tobytes()) if back else None)
@@ -256,8 +269,8 @@ def _aligned(path_a: str, path_b: str):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(path_a, path_b)
-        for part in (p for b in batches for p in by_bytes(b, 2, PART_BYTES)):
-            ids = both.encoded([t or "" for t in part.column(2).to_pylist()])
+        for part, ids in ((p, x) for b in batches for whole in by_bytes(b, 2, BATCH_BYTES)
+                          for p, x in both.parts(whole)):
             found = iter(both.align([x for x in ids if x]))
             rows = [(len(x[0]) // 4, len(x[1]) // 4, *next(found)) if x else (0, 0, 0, 0, "", none, none) for x in ids]
             n_a, n_b, n_groups, n_links, digest, pairs, times = zip(*rows)

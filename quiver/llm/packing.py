@@ -16,15 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.session import attach
-from .encode import ID, Encoder, crc
+from .encode import BATCH_BYTES, crc, encoder, with_ends
+from .hashing import by_bytes
 from .shared import save
 
 # a bin with this much room or less is emitted at once
 ROOM = 8
 ITEMS_PER_TASK = 50_000
 FAN_IN = 4
-# pieces an encoding task remembers, 105 MB
-TASK_REMEMBERED = 500_000
 MEMBER = "struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint>"
 MEMBER_ARROW = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                           ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -32,19 +31,20 @@ MEMBER_ARROW = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start
 
 def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # of the task, not the worker: what it remembers goes with it
-        encode, end = Encoder(path, TASK_REMEMBERED), np.array([end_id], dtype=ID).tobytes()
-        for batch in batches:
+        encode = encoder(path)
+        for rows in (p for batch in batches for p in by_bytes(batch, 1, BATCH_BYTES)):
             doc, piece, start, length, sums = [], [], [], [], []
-            for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py()) + end
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at:at + 4 * capacity]
+            ids, ends = with_ends(*encode.many(rows.column(1)), end_id)
+            raw, begin = ids.tobytes(), 0
+            for d, stop in zip(rows.column(0).to_pylist(), (4 * ends).tolist()):
+                for k, at in enumerate(range(begin, stop, 4 * capacity)):
+                    part = raw[at:min(stop, at + 4 * capacity)]
                     doc.append(d)
                     piece.append(k)
-                    start.append(at // 4)
+                    start.append((at - begin) // 4)
                     length.append(len(part) // 4)
                     sums.append(crc(part))
+                begin = stop
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                  pa.array(length, pa.int64()), pa.array(sums, pa.int64())],

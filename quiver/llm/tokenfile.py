@@ -13,13 +13,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.session import attach, scratch_path
 from . import wavelet
-from .encode import ID, crc, encoder
+from .encode import BATCH_BYTES, ID, crc, encoder, with_ends
+from .hashing import by_bytes
 from .shared import small_side
 
 SHARD_IDS = 1 << 20
@@ -29,30 +31,34 @@ DIGEST_SCHEMA = "part long, seq long, doc_id long, before long, n_tokens long, i
 
 def _write(path: str, end_id: int, bits: int, shard_ids: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path), np.array([end_id], dtype=ID).tobytes()
+        encode = encoder(path)
         part, seq = TaskContext.get().partitionId(), 0
-        docs, parts, held = [], [], 0
+        held, parts = 0, []          # parts: ids, document ids, which of these are null, lengths
 
         def shard() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(parts), dtype=ID)
-            image = wavelet.build(ids, np.array([d or 0 for d in docs], dtype=np.int64),
-                                  np.array([d is None for d in docs]),
-                                  np.array([len(p) // 4 for p in parts], dtype=np.uint64), bits)
+            ids, docs, nulls, lengths = (np.concatenate(x) for x in zip(*parts))
+            image = wavelet.build(ids, docs, nulls, lengths, bits)
             return pa.RecordBatch.from_arrays(
                 [pa.array([x], t) for x, t in ((part, pa.int64()), (seq, pa.int64()), (len(ids), pa.int64()),
                                                (len(docs), pa.int64()), (image, pa.binary()))],
                 names=["part", "seq", "n_ids", "n_docs", "image"])
 
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py()) + end
-                docs.append(doc)
-                parts.append(ids)
-                held += len(ids) // 4
+        for rows in (p for batch in batches for p in by_bytes(batch, 1, BATCH_BYTES)):
+            doc = rows.column(0)
+            docs, nulls = pc.fill_null(doc, 0).to_numpy(), doc.is_null().to_numpy(zero_copy_only=False)
+            ids, ends = with_ends(*encode.many(rows.column(1)), end_id)
+            lengths, lo = np.diff(ends, prepend=0), 0
+            while lo < len(docs):
+                # up to the document that fills the shard
+                before = ends[lo] - lengths[lo]
+                hi = min(len(docs), int(np.searchsorted(ends, before + shard_ids - held)) + 1)
+                parts.append((ids[before:ends[hi - 1]], docs[lo:hi], nulls[lo:hi], lengths[lo:hi]))
+                held += int(ends[hi - 1] - before)
                 if held >= shard_ids:
                     yield shard()
-                    docs, parts, held, seq = [], [], 0, seq + 1
-        if docs:
+                    held, parts, seq = 0, [], seq + 1
+                lo = hi
+        if parts:
             yield shard()
     return run
 

@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 P = pytest.importorskip("public_tokenizers")
@@ -34,14 +35,31 @@ def test_encoder_agrees_with_the_library(path, corpus):
             assert encode(text) == want[:-1].tobytes(), text
 
 
-def test_encoder_without_memory(monkeypatch, corpus):
-    from quiver.llm import encode
-
-    monkeypatch.setattr(encode, "REMEMBERED", 3)
-    texts = [r[1] for r in corpus[:40]]
-    e = Encoder(BYTES)
-    assert [e(t) for t in texts] == [w[:-1].tobytes() for w in _reference(BYTES, texts, 0)]
-    assert len(e.later) <= 3
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_batches_agree_with_the_library(path, corpus):
+    texts = [None, *ODD, *[r[1] for r in corpus], "ÿþ. ÀÖ,\nçÿ. Ãé\nx", "\0 \1 a\1b", "# ##. a\nb.\n c", "</w> x</w>"]
+    encode, want = Encoder(path), _reference(path, texts, 0)
+    for size in (1, 7, len(texts)):
+        for lo in range(0, len(texts), size):
+            ids, counts = encode.many(pa.array(texts)[lo:lo + size])
+            assert counts.tolist() == [len(w) - 1 for w in want[lo:lo + size]]
+            assert ids.tolist() == [i for w in want[lo:lo + size] for i in w[:-1].tolist()]
+    assert [len(x) for x in encode.many(pa.array([], pa.string()))] == [0, 0]
+
+
+def test_batches_after_a_space(corpus):
+    texts = [None, *ODD, *[r[1] for r in corpus]]
+    ids, counts = Encoder(BYTES).many(pa.array(texts), after_space=True)
+    want = _reference(BYTES, [" " + (t or "") for t in texts], 0)
+    assert counts.tolist() == [len(w) - 1 for w in want]
+    assert ids.tolist() == [i for w in want for i in w[:-1].tolist()]
+
+
+def test_characters_without_an_id(monkeypatch, corpus):
+    # lengths that fit no unit: every unit is encoded by itself
+    encode, texts = Encoder(BYTES), [r[1] for r in corpus[:40]]
+    encode.lengths[:] = 10 ** 6
+    assert [encode(t) for t in texts] == [w[:-1].tobytes() for w in _reference(BYTES, texts, 0)]
 
 
 @pytest.mark.parametrize("n, bits", [(0, 16), (1, 3), (511, 16), (512, 16), (5000, 17)])
