@@ -8,11 +8,16 @@ value.  Segments are processed by descending impact, quantised into levels
 floor in each dimension not met yet.  The bar is the k-th best exact score of the rows that lead so far.
 Processing stops only when the bound proves that few rows can reach the bar;
 these are rescored exactly.
+
+Scores that fit 62 bits are 64-bit sums.  For wider components a shard bounds
+in doubles, with a margin for their rounding, and rescores in whole numbers of
+any size; the sizes of the shard and the query decide, per shard and query.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +32,18 @@ SHARD_ROWS = 8192
 LEVELS = 6
 # share of a shard that is rescored rather than process another level
 RESCORED = 0.25
-LARGEST = 1 << 26
+# sums below this are exact in 64 bits, and products below the other one in doubles
+EXACT_SUMS, EXACT_DOUBLES = 1 << 62, 1 << 52
+LONG = (1 << 63) - 1
+
+
+def _largest(rows: np.ndarray) -> int:
+    return max(int(rows.max()), -int(rows.min())) if rows.size else 0
+
+
+def beyond(score: int) -> bytes | None:
+    """An exact score at or beyond the ends of 64 bits, in the order of its size (other scores: None)."""
+    return None if -LONG < score < LONG else (score + (1 << 255)).to_bytes(32, "big")
 
 
 class Shard:
@@ -51,18 +67,29 @@ class Shard:
         self.posting, self.values = np.stack(posting), np.stack(values).astype(np.float64)
         self.dim, self.value, self.start = np.concatenate(dim), np.concatenate(value), np.concatenate(start)
         self.first = np.flatnonzero(np.diff(self.dim, prepend=-1))
+        self.sizes = np.abs(self.value.astype(np.float64))
+        self.largest = _largest(self.rows)
+
+    def scores(self, rows: np.ndarray, query: np.ndarray) -> list[int] | np.ndarray:
+        """Exact inner products with some rows."""
+        if self.largest * _largest(query) * len(query) < EXACT_SUMS:
+            return self.rows[rows] @ query
+        wide = query.tolist()
+        return [sum(map(mul, row, wide)) for row in self.rows[rows].tolist()]
 
     def best(self, query: np.ndarray, k: int, without: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """The ids and scores of the k best rows (ties to the smaller id)."""
+        """The ids and exact scores of the k best rows (ties to the smaller id); wide scores are objects."""
         n, dims = self.rows.shape
         possible = np.arange(n) if without is None else np.flatnonzero(self.ids != without)
         k = min(k, len(possible))
         if not k:
             return self.ids[:0], self.ids[:0]
-        impact = np.abs(query[self.dim] * self.value)
-        most = np.maximum.reduceat(impact, self.first).astype(np.float64)
+        impact = np.abs(query.astype(np.float64))[self.dim] * self.sizes
+        most = np.maximum.reduceat(impact, self.first)
         top = float(most.max()) + 1
-        level = (LEVELS * np.sqrt(impact / top)).astype(np.int64)
+        # what rounding may take from a bound in doubles
+        margin = 0.0 if top * dims < EXACT_DOUBLES else float(most.sum()) * dims * 2.0 ** -48
+        level = np.minimum((LEVELS * np.sqrt(impact / top)).astype(np.int64), LEVELS - 1)
         highest = np.maximum.reduceat(level, self.first)
         # segments of one dimension and level that lie side by side
         run = np.flatnonzero(np.diff(self.dim * LEVELS + level, prepend=-1))
@@ -90,27 +117,31 @@ class Shard:
             # exact scores of the leaders give the bar; a dimension not met yet
             # adds less than the level's floor, and no more than its largest
             lead = possible[np.argpartition(score[possible], len(possible) - k)[-min(4 * k, len(possible)):]]
-            bar = np.partition(self.rows[lead] @ query, len(lead) - k)[len(lead) - k]
+            bar = float(sorted(self.scores(lead, query))[-k])
             gain = top * (lowest / LEVELS) ** 2 + 1
             small = highest < lowest
-            bound = score[possible] + most[small].sum() + (dims - small.sum() - met[possible]) * gain
+            bound = score[possible] + most[small].sum() + (dims - small.sum() - met[possible]) * gain + margin
             left = possible[bound >= bar]
             if len(left) <= max(4 * k, RESCORED * n):
                 possible = left
                 break
-        exact = self.rows[possible] @ query
-        first = np.lexsort((self.ids[possible], -exact))[:k]
-        return self.ids[possible[first]], exact[first]
+        exact, ids = self.scores(possible, query), self.ids[possible]
+        if isinstance(exact, np.ndarray):
+            first = np.lexsort((ids, -exact))[:k]
+            return ids[first], exact[first]
+        found = sorted(zip(exact, ids.tolist()), key=lambda x: (-x[0], x[1]))[:k]
+        return np.array([i for _, i in found]), np.array([x for x, _ in found], dtype=object)
 
     def pack(self) -> bytes:
-        return (np.array([len(self.ids), self.rows.shape[1]], np.int64).tobytes() + self.ids.tobytes()
-                + self.rows.astype(np.int32).tobytes())
+        kind = np.int32 if self.largest < 1 << 31 else np.int64
+        return (np.array([len(self.ids), self.rows.shape[1], np.dtype(kind).itemsize], np.int64).tobytes()
+                + self.ids.tobytes() + self.rows.astype(kind).tobytes())
 
     @classmethod
     def unpack(cls, image: bytes) -> Shard:
-        n, dims = np.frombuffer(image, np.int64, 2)
-        return cls(np.frombuffer(image, np.int64, n, 16),
-                   np.frombuffer(image, np.int32, n * dims, 16 + 8 * n).reshape(n, dims).astype(np.int64))
+        n, dims, size = np.frombuffer(image, np.int64, 3)
+        return cls(np.frombuffer(image, np.int64, n, 24),
+                   np.frombuffer(image, f"i{size}", n * dims, 24 + 8 * n).reshape(n, dims).astype(np.int64))
 
 
 def _build(shard_rows: int):
@@ -130,8 +161,6 @@ def _build(shard_rows: int):
             for dim in np.unique(sizes).tolist():
                 pick = np.flatnonzero(sizes == dim)
                 rows = lists.take(pa.array(pick)).flatten().to_numpy().reshape(-1, dim)
-                if np.abs(rows).max(initial=0) > LARGEST:
-                    raise ValueError(f"components must be within {LARGEST} in size")
                 for lo in range(0, len(pick), shard_rows):
                     held.setdefault(dim, []).append((ids[pick[lo:lo + shard_rows]], rows[lo:lo + shard_rows]))
                     if sum(len(p[0]) for p in held[dim]) >= shard_rows:
@@ -151,16 +180,21 @@ def _search(queries, k: int):
                 shard = Shard.unpack(image.as_py())
                 found = [shard.best(q, k, i) for i, q in zip(ids.tolist(), rows)]
                 sizes = [len(f[0]) for f in found]
+                scores = [x for f in found for x in f[1].tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(ids, sizes), pa.int64()),
                      pa.array(np.concatenate([f[0] for f in found]), pa.int64()),
-                     pa.array(np.concatenate([f[1] for f in found]), pa.int64())],
-                    names=["query_id", "vec_id", "score"])
+                     pa.array([min(max(x, -LONG - 1), LONG) for x in scores], pa.int64()),
+                     pa.array([beyond(x) for x in scores], pa.binary())],
+                    names=["query_id", "vec_id", "score", "beyond"])
     return run
 
 
 def quantised(vectors: DataFrame, scale: int = 64, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """``(vec_id, v)``: components as floor(scale * x); rows that are not usable go."""
+    """``(vec_id, v)``: components as floor(scale * x); rows that are not usable go.
+
+    Components beyond 64 bits stop at its ends.
+    """
     return (vectors.filter(usable(F.col(vec_col)) & F.col(id_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("vec_id"),
                     F.transform(vec_col, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v")))
@@ -179,7 +213,9 @@ def search_index(index: DataFrame, queries: DataFrame, dim: int, k: int) -> Data
     ``queries (vec_id, v)``; a row is no candidate of a query with its own id,
     and vectors of another length are none either.  Fewer than k candidates
     give all there are.  Queries that repeat an id count once (the smallest
-    vector).  An empty index or query set gives an empty result.
+    vector).  Components may have any 64-bit value: rows are ranked by their
+    exact scores, and a score beyond 64 bits is shown as the nearest end of
+    these.  An empty index or query set gives an empty result.
     """
     spark = index.sparkSession
 
@@ -191,8 +227,8 @@ def search_index(index: DataFrame, queries: DataFrame, dim: int, k: int) -> Data
             pick = np.flatnonzero(sizes == d)
             by_dim[d] = (ids[pick], lists.take(pa.array(pick)).flatten().to_numpy().reshape(-1, d))
         held = spark.sparkContext.broadcast(by_dim)
-        found = index.mapInArrow(_search(held, k), "query_id long, vec_id long, score long")
-        return best_per_query(found, k, "long"), held
+        found = index.mapInArrow(_search(held, k), "query_id long, vec_id long, score long, beyond binary")
+        return best_per_query(found, k, "long", F.col("beyond").desc()), held
 
     once = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     return in_query_blocks(once, dim, block, "impact-found")

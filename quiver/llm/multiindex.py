@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,9 @@ SHARE = 0.5
 # screened scores this close to the k-th best are settled by exact scores
 MARGIN = 1e-9
 INDEX_SCHEMA = "cell int, vec_id long, v array<double>"
+FOUND_SCHEMA = "query_id long, vec_id long, score double"
+# queries whose cells one task walks
+WALKS_PER_TASK = 512
 
 
 def fit_codebook(rows: np.ndarray, centroids: int, seed: int) -> np.ndarray:
@@ -65,6 +69,14 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
+def halves(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two parts that are quantised (of one component: itself and nothing)."""
+    if units.shape[1] == 1:
+        return units, np.zeros_like(units)
+    half = units.shape[1] // 2
+    return units[:, :half], units[:, half:]
+
+
 def walk_cells(first: np.ndarray, second: np.ndarray, sizes: np.ndarray, enough: float) -> list[int]:
     """Cells by ascending sum of both distances until their lists hold ``enough`` rows.
 
@@ -97,19 +109,32 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
-def _assign(books):
+def _assign(books, dim: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book1, book2 = books.value
-        half, dim = book1.shape[1], book1.shape[1] + book2.shape[1]
         for batch in batches:
             if batch.num_rows:
-                rows = unit(matrix(batch.column(1), dim))
-                cell = nearest(rows[:, :half], book1) * len(book2) + nearest(rows[:, half:], book2)
+                one, two = halves(unit(matrix(batch.column(1), dim)))
+                cell = nearest(one, book1) * len(book2) + nearest(two, book2)
                 yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), batch.column(0), batch.column(1)],
                                                  names=["cell", "vec_id", "v"])
     return run
 
 
+def _walks(books, sizes: np.ndarray, enough: float, dim: int):
+    """The cells that each query visits."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                parts = halves(unit(matrix(batch.column(1), dim)))
+                near = [distances(part, book) for part, book in zip(parts, books.value)]
+                visits = [walk_cells(a, b, sizes, enough) for a, b in zip(*near)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1),
+                                                  pa.array(visits, pa.list_(pa.int32()))],
+                                                 names=["vec_id", "v", "cells"])
+    return run
+
+
 def _scan(held, k: int, dim: int):
     """The k best of each query among the lists it visits, over one task's part of the index."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,52 +196,58 @@ def search_multi_index(vectors: DataFrame, queries: DataFrame, k: int, centroids
                        share: float = SHARE, sample: int = SAMPLE, seed: int = 1) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k nearest found of every query.
 
-    Both tables hold ``(vec_id, v)`` as of :func:`usable_vectors`.  Only
-    vectors of the most common length of ``queries`` take part.  A row is no
-    candidate of a query with its own id; ties go to the smaller id; queries
-    that repeat an id count once.  The codebooks are fitted on a hash sample
-    of about ``sample`` rows.  Empty tables give an empty result.
+    Both tables hold ``(vec_id, v)`` as of :func:`usable_vectors`.  Vectors of
+    another length than a query's are no candidates: each length has an index
+    of its own.  A row is no candidate of a query with its own id; ties go to
+    the smaller id; queries that repeat an id count once (the smallest
+    vector).  The codebooks are fitted on a hash sample of about ``sample``
+    rows.  Empty tables give an empty result.
     """
+    attach(vectors.sparkSession)
+    once = save(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "multi-queries")
+    found = [_search_length(vectors.filter(F.size("v") == dim), once.filter(F.size("v") == dim), dim, m, k, centroids,
+                            share, sample, seed)
+             for dim, m in once.groupBy(F.size("v").alias("d")).count().orderBy("d").collect()]
+    empty = best_per_query(vectors.sparkSession.createDataFrame([], FOUND_SCHEMA), k, "double")
+    return reduce(DataFrame.unionByName, found) if found else empty
+
+
+def _search_length(vectors: DataFrame, queries: DataFrame, dim: int, n_queries: int, k: int, centroids: int,
+                   share: float, sample: int, seed: int) -> DataFrame:
+    """The search among vectors of one length."""
     spark = vectors.sparkSession
-    attach(spark)
-    lengths = queries.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    dim = lengths["d"] if lengths else 2
-    vectors, queries = vectors.filter(F.size("v") == dim), queries.filter(F.size("v") == dim)
     n = vectors.count()
-    found = "query_id long, vec_id long, score double"
-    if not n:
-        return best_per_query(spark.createDataFrame([], found), k, "double")
-    if dim < 2:
-        raise ValueError("vectors need at least two components to be cut in halves")
-    drawn = (vectors.filter(F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / n)))
+    drawn = (vectors.filter(F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(1 << 30))
+                            < int((1 << 30) * min(1.0, sample / max(n, 1))))
              .limit(2 * sample).select("v").toArrow().column("v").combine_chunks())
     if not len(drawn):
         drawn = vectors.select("v").limit(sample).toArrow().column("v").combine_chunks()
-    rows, half = unit(matrix(drawn, dim)), dim // 2
-    books = (fit_codebook(rows[:, :half], centroids, seed), fit_codebook(rows[:, half:], centroids, seed + 1))
+    if not len(drawn):
+        return best_per_query(spark.createDataFrame([], FOUND_SCHEMA), k, "double")
+    one, two = halves(unit(matrix(drawn, dim)))
+    books = (fit_codebook(one, centroids, seed), fit_codebook(two, centroids, seed + 1))
     shared = spark.sparkContext.broadcast(books)
     order = ["cell", F.xxhash64("vec_id")]
-    index = save(vectors.mapInArrow(_assign(shared), INDEX_SCHEMA).repartitionByRange(*order)
+    index = save(vectors.mapInArrow(_assign(shared, dim), INDEX_SCHEMA).repartitionByRange(*order)
                  .sortWithinPartitions("cell", "vec_id"), "multi-index")
     sizes = np.zeros(len(books[0]) * len(books[1]), dtype=np.int64)
     for cell, m in index.groupBy("cell").count().collect():     # a row per cell: bounded by the codebooks
         sizes[cell] = m
+    tasks = -(-n_queries // WALKS_PER_TASK)
+    walked = save(queries.repartition(tasks, "vec_id").mapInArrow(
+        _walks(shared, sizes, share * n, dim), "vec_id long, v array<double>, cells array<int>"), "multi-walks")
+    shared.destroy()
 
     def block(table: pa.Table):
         ids = table.column("vec_id").to_numpy()
         raw = matrix(table.column("v").combine_chunks(), dim) if len(ids) else np.zeros((0, dim))
-        units = unit(raw) if len(ids) else raw
-        d1, d2 = distances(units[:, :half], books[0]), distances(units[:, half:], books[1])
-        visits = [walk_cells(a, b, sizes, share * n) for a, b in zip(d1, d2)]
-        cell = np.array([c for v in visits for c in v], dtype=np.int64)
-        who = np.repeat(np.arange(len(ids)), [len(v) for v in visits])
+        lists = table.column("cells").combine_chunks()
+        cell, who = lists.flatten().to_numpy(), np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy())
         by = np.argsort(cell, kind="stable")
         uniq, begin = np.unique(cell[by], return_index=True)
         visitors = dict(zip(uniq.tolist(), np.split(who[by], begin[1:]))) if len(uniq) else {}
         held = spark.sparkContext.broadcast((ids, raw, visitors))
-        return best_per_query(index.mapInArrow(_scan(held, k, dim), found), k, "double"), held
+        return best_per_query(index.mapInArrow(_scan(held, k, dim), FOUND_SCHEMA), k, "double"), held
 
-    once = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     # a block carries its visits too: up to a number per cell and query
-    return in_query_blocks(once, dim + len(sizes) // 2, block, "multi-found")
-
+    return in_query_blocks(walked, dim + len(sizes) // 2, block, "multi-found")

@@ -50,8 +50,8 @@ def in_query_blocks(queries: DataFrame, dim: int, run: Callable[[pa.Table], tupl
     return spark.read.schema(schema).parquet(path)
 
 
-def best_per_query(found: DataFrame, k: int, score_type: str) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: the k best, ties to the smaller id."""
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
+def best_per_query(found: DataFrame, k: int, score_type: str, *then: Column) -> DataFrame:
+    """``(query_id, rank, vec_id, score)``: the k best, ties by ``then`` and to the smaller id."""
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), *then, F.col("vec_id").asc())
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", F.col("score").cast(score_type).alias("score")))
