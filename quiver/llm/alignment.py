@@ -16,10 +16,11 @@ from __future__ import annotations
 import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ from .hashing import U, by_bytes, mix
 from .shared import save
 
 # windows a worker remembers (at about 400 bytes each), and the longest such window in tokens
-WINDOWS = 400_000
+WINDOWS = 150_000
 LONGEST = 48
 # text that is aligned together: some 70 MB of arrays
 PART_BYTES = 1 << 20
@@ -68,6 +69,8 @@ class Aligner:
 
         self.a, self.b = Encoder(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a, self.bytes_b = byte_level_tokens(self.a.tok), piece_tokens(self.b)
+        # no space mark behind another character
+        self.cuttable = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(len(self.bytes_b)))
         self.sizes = tuple(np.array([len(t) for t in x]) for x in (self.bytes_a, self.bytes_b))
         self.marked = tuple(np.array([t[:1] == b" " for t in x]) for x in (self.bytes_a, self.bytes_b))
         self.width = len(self.bytes_b)
@@ -82,26 +85,70 @@ class Aligner:
 
     def encoded(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """Ids of both sides of each text, if both give back a space and the text byte by byte."""
-        ids, counts = self.a.many(pa.array(texts, pa.string()), after_space=True)
-        return self._checked(texts, ids, np.cumsum(counts))
+        held = pa.array(texts, pa.string())
+        ids, counts = self.a.many(held, after_space=True)
+        return self._checked(texts, ids, np.cumsum(counts), self.side_b(held))
 
     def parts(self, batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[tuple[bytes, bytes] | None]]]:
-        """Parts of a batch of rows (texts in column 2) that are aligned together, and their ids; one call for side a."""
+        """Parts of a batch of rows (texts in column 2) that are aligned together, and their ids; each side is encoded in one go."""
         ids, counts = self.a.many(batch.column(2), after_space=True)
-        stops, done = np.append(0, np.cumsum(counts)), 0
+        stops, done, side_b = np.append(0, np.cumsum(counts)), 0, self.side_b(batch.column(2))
         for part in by_bytes(batch, 2, PART_BYTES):
-            own = stops[done:done + part.num_rows + 1]
+            end = done + part.num_rows
+            own = stops[done:end + 1]
             texts = [t or "" for t in part.column(2).to_pylist()]
-            yield part, self._checked(texts, ids[own[0]:own[-1]], own[1:] - own[0])
-            done += part.num_rows
+            yield part, self._checked(texts, ids[own[0]:own[-1]], own[1:] - own[0], side_b[done:end])
+            done = end
 
-    def _checked(self, texts: list[str], ids: np.ndarray, stops: np.ndarray) -> list[tuple[bytes, bytes] | None]:
+    def _checked(self, texts: list[str], ids: np.ndarray, stops: np.ndarray,
+                 side_b: list[bytes | None]) -> list[tuple[bytes, bytes] | None]:
         out, raw, ends = [], ids.tobytes(), (4 * stops).tolist()
-        for text, i, j, ids_b in zip(texts, [0, *ends], ends, self.b.encode(texts, num_threads=1)):
-            plain, ids_a = b" " + text.encode(), raw[i:j]
-            back = (text and b"".join(map(self.bytes_b.__getitem__, ids_b)) == plain
-                    and (self.lossless or b"".join(map(self.bytes_a.__getitem__, array("I", ids_a))) == plain))
-            out.append((ids_a, array("I", ids_b).tobytes()) if back else None)
+        for text, i, j, ids_b in zip(texts, [0, *ends], ends, side_b):
+            ids_a = raw[i:j]
+            back = ids_b is not None and (self.lossless or b"".join(
+                map(self.bytes_a.__getitem__, array("I", ids_a))) == b" " + text.encode())
+            out.append((ids_a, ids_b) if back else None)
+        return out
+
+    def gives_back(self, ids: Iterable[int], text: str) -> bool:
+        return b"".join(map(self.bytes_b.__getitem__, ids)) == b" " + text.encode()
+
+    def side_b(self, texts: pa.Array) -> list[bytes | None]:
+        """Ids of side b of each text; None where they do not give back a space and the text, or there is none.
+
+        Where no entry of the vocabulary has a space mark behind another
+        character, a text's ids are those of its space-separated pieces, so
+        each distinct piece is encoded once.  Texts with empty pieces (spaces
+        side by side or at an end) are encoded whole.
+        """
+        if not len(texts):
+            return []
+        lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        ends = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        pieces, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        found = self.b.encode(pieces, num_threads=1)
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), "<u4", int(size.sum()))
+        filled = [p for p in pieces if p]
+        stops = np.cumsum(self.sizes[1][ids])[np.cumsum(size)[size > 0] - 1]
+        plain = np.array([len(p.encode()) + 1 for p in filled])
+        if len(stops) == len(plain) and (stops == np.cumsum(plain)).all() and self.gives_back(ids.tolist(), " ".join(filled)):
+            good = np.array([p != "" for p in pieces])
+        else:
+            good = np.array([p != "" and self.gives_back(x, p) for p, x in zip(pieces, found)])
+        like = np.logical_and.reduceat(good[codes], ends[:-1])
+        empty = np.array([p == "" for p in pieces])
+        apart = np.logical_or.reduceat(empty[codes], ends[:-1]) | (not self.cuttable)
+        _, flat = _gathered(ids, size, codes)
+        raw = flat.astype("<u4").tobytes()
+        each = np.add.reduceat(size[codes], ends[:-1])
+        ends_b = (4 * np.cumsum(each)).tolist()
+        out = [raw[i:j] if ok else None for ok, i, j in zip(like.tolist(), [0, *ends_b], ends_b)]
+        for r in np.flatnonzero(apart).tolist():
+            text = texts[r].as_py()
+            own = self.b.encode(text, num_threads=1) if text else []
+            out[r] = array("I", own).tobytes() if text and self.gives_back(own, text) else None
         return out
 
     def windows_of(self, a: np.ndarray, b: np.ndarray, docs_a: np.ndarray, docs_b: np.ndarray):
@@ -246,7 +293,10 @@ def _gathered(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[n
     """Spans of ``flat`` (of the given sizes, end to end) picked by ``which``: where each ends, and all of them."""
     begin, size = (np.cumsum(sizes) - sizes)[which], sizes[which]
     ends = np.cumsum(size)
-    return ends, flat[np.repeat(begin - (ends - size), size) + np.arange(ends[-1])]
+    small = np.int32 if max(len(flat), ends[-1]) < 1 << 31 else np.int64
+    at = np.repeat((begin - (ends - size)).astype(small), size)
+    at += np.arange(ends[-1], dtype=small)
+    return ends, flat[at]
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}

@@ -22,8 +22,9 @@ import pyarrow.compute as pc
 ID = np.dtype("<u4")
 if sys.byteorder != "little":
     raise ImportError("token ids are kept as little-endian 32-bit numbers")
-# bytes of text that are encoded together: a batch's arrays take some ten times as much
-BATCH_BYTES = 8 << 20
+# bytes of text that are encoded together, and pre-tokens that the model meets in one call
+BATCH_BYTES = 6 << 20
+CALL_UNITS = 30_000
 # words of Latin letters with a mark behind some, and line ends between them
 _WORD = "[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?"
 PLAIN = f"^{_WORD}(?:\n{_WORD})*$"
@@ -46,7 +47,10 @@ def _gathered(ids: np.ndarray, first: np.ndarray, size: np.ndarray, codes: np.nd
     """Spans of ``ids`` picked by ``codes``, end to end, and how long each is."""
     each = size[codes]
     stop = np.cumsum(each)
-    return ids[np.repeat(first[codes] - (stop - each), each) + np.arange(stop[-1])], each
+    small = np.int32 if max(len(ids), stop[-1]) < 1 << 31 else np.int64
+    at = np.repeat((first[codes] - (stop - each)).astype(small), each)
+    at += np.arange(stop[-1], dtype=small)
+    return ids[at], each
 
 
 class Encoder:
@@ -91,8 +95,10 @@ class Encoder:
 
     def _units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct pre-tokens, and where those of each end."""
-        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(units)], units), INSIDE)[0].as_py()
-        ids = np.array(self.model.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=ID)
+        lots = np.append(np.arange(0, len(units), CALL_UNITS), len(units)).astype(np.int32)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(lots), units), INSIDE)
+        ids = np.concatenate([np.array(self.model.encode_batch_fast([x], add_special_tokens=False)[0].ids, dtype=ID)
+                              for x in joined.to_pylist()])
         ends, stops = np.cumsum(self.lengths[ids]), np.cumsum(pc.utf8_length(units).to_numpy())
         at = np.searchsorted(ends, stops, side="right")
         if (np.append(0, ends)[at] == stops).all():
