@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from quiver import (RefineOptions, cosine_distance, exact_search, explore_queries,
                     fractal_distance, multi_probe_search, radius_many, radius_search, refine_with_ids,
-                    refinement_report, search, search_groups, search_many, search_top_k,
+                    pivot_search_many, refinement_report, search, search_groups, search_many, search_top_k,
                     valid_vector)
 from quiver.functions.sql import register
 from quiver.functions.tables import register_tables
@@ -168,6 +168,24 @@ def q_exact_self_top_k(spark, sf):
         .select("query_id", "rank", "vec_id", _r("dist"))
 
 
+def q_pivot_self_top_k(spark, sf):
+    """S1m exact by the pivot join, every embedding as a query against all embeddings (top-5)."""
+    emb = _t(spark, sf, "embeddings")
+    return pivot_search_many(emb, _self_queries(emb), GROUP_K, "embedding", "vec_id", exact=True) \
+        .select("query_id", "rank", "vec_id", _r("dist"))
+
+
+def q_pivot_lineitem_top_k(spark, sf):
+    """S1m exact by the pivot join: the lineitem rows most like each supplier's first one, in 4 measures."""
+    li = _t(spark, sf, "lineitem")
+    feats = li.select(*LINEITEM_KEY, *[(F.col(c) / F.lit(LINEITEM_SCALE[c])).alias(c) for c in LINEITEM_FEATURES])
+    first = feats.groupBy("l_suppkey").agg(F.min(F.struct(*LINEITEM_KEY, *LINEITEM_FEATURES)).alias("f"))
+    asked = first.select(F.col("l_suppkey").alias("query_id"),
+                         F.array(*[F.col("f")[c].cast("double") for c in LINEITEM_FEATURES]).alias("query"))
+    return pivot_search_many(feats, asked, GROUP_K, LINEITEM_FEATURES, LINEITEM_KEY, exact=True) \
+        .select("query_id", "rank", *LINEITEM_KEY, _r("dist"))
+
+
 def _self_queries(emb):
     return emb.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
 
@@ -604,6 +622,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sql_top_k_agg_direct": q_sql_top_k_agg_direct,
         "sql_column_search": q_sql_column_search,
         "sql_population": q_sql_population,
+        "pivot_self_top_k": q_pivot_self_top_k,
+        "pivot_lineitem_top_k": q_pivot_lineitem_top_k,
     }
     out.update(_llm()[0])
     return out
@@ -832,5 +852,13 @@ def oracle_sql() -> dict[str, str]:
         f"{_rnd('dist')} AS dist FROM r WHERE rank <= {K}")
     out["stream_multi_top_k"] = out["multi_query_top_k"]
     out["stream_radius"] = out["radius_search"]
+    out["pivot_self_top_k"] = out["exact_self_top_k"]
+    out["pivot_lineitem_top_k"] = (
+        f"WITH f AS (SELECT {li_key}, {li_vec} AS v FROM lineitem), asked AS (SELECT l_suppkey AS query_id, v AS p "
+        f"FROM f QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY {li_key}, v) = 1), "
+        f"s AS (SELECT asked.query_id, {li_key}, {_dist('f.v', 'asked.p')} AS dist FROM f, asked), "
+        f"r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY dist ASC NULLS LAST, {li_key}) "
+        f"AS INTEGER) AS rank FROM s) SELECT query_id, rank, {li_key}, {_rnd('dist')} AS dist "
+        f"FROM r WHERE rank <= {GROUP_K}")
     out.update(_llm()[1])
     return out

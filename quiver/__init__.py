@@ -11,6 +11,7 @@ from .functions.tables import register_tables
 from .functions.vectors import cosine_distance, feature_vector, valid_vector
 from .operators.checks import (check_convergence, check_search_result, refinement_quality,
                                single_query_quality)
+from .operators.pivots import pivot_search_many, pivot_search_report
 from .operators.points import PointTable
 from .operators.refine import (explore_queries, refine_queries, refine_with_ids,
                                refinement_report)
@@ -24,7 +25,7 @@ __all__ = [
     "PointTable", "RefineOptions", "register", "register_tables", "fractal_search", "cosine_distance", "feature_vector",
     "valid_vector", "refine_queries", "refine_with_ids", "refinement_report", "explore_queries",
     "search", "exact_search", "search_groups", "radius_search", "radius_many", "fractal_distance",
-    "search_many", "search_top_k", "multi_probe_search", "with_payload",
+    "search_many", "pivot_search_many", "pivot_search_report", "search_top_k", "multi_probe_search", "with_payload",
     "min_distance_to_set", "refine_against_sets", "check_convergence", "check_search_result",
     "refinement_quality", "single_query_quality",
 ]
