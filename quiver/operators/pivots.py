@@ -43,6 +43,7 @@ VISIT_VALUES = 1 << 21      # elements of query vectors in one batch of visits
 QUERY_SALT = 16
 ROWS_PER_TASK = 200_000
 SECOND_ROUND = 8            # cells between the home cells and the rest
+SCAN_SHARE = 0.5            # of all pairs left after the first round: beyond, rows are scanned instead
 
 NEVER, ALWAYS = -2, -1      # cells of rows without a number, and of rows without a bound
 
@@ -173,62 +174,85 @@ def _query_kinds(batches):
         yield pa.RecordBatch.from_arrays([batch.column("__q"), points, pa.array(kind)], names=["__q", "__p", "__n"])
 
 
+def _by_bound(pivots: dict, cells: dict, dim: int, units, cut, k: int):
+    """Per query the cells in the order of their bounds, and what decides about them.
+
+    ``(cells, rows of each, angles to their pivots, order, bounds in that order,
+    number of cells until k rows are met, reach)``; without a cut the reach is
+    beyond any angle.
+    """
+    held = cells.get(dim)
+    if held is None:
+        held = np.array([0]), np.array([0.0]), np.array([np.pi]), np.array([k])
+    ids, lo, hi, rows = held
+    phi = _angles(units, _pivots_of(pivots, dim)[ids])
+    bound = np.maximum(0.0, np.maximum(phi - hi, lo - phi))
+    order = np.lexsort((phi, bound), axis=1)
+    enough = (np.cumsum(rows[order], axis=1) < k).sum(axis=1) + 1
+    reach = np.where(np.isnan(cut), 4.0, np.arccos(np.clip(1.0 - cut, -1.0, 1.0)) + angle_margin(dim))
+    return ids, rows, phi, order, np.take_along_axis(bound, order, axis=1), enough, reach
+
+
+def _by_length(batch: pa.RecordBatch, pivots: dict):
+    """A batch's queries in bounded pieces of one length: (length, places, unit vectors, cuts)."""
+    dims = np.asarray(batch.column("__n"))
+    for dim in np.unique(dims).tolist():
+        at = np.flatnonzero(dims == dim)
+        step = max(1, VISIT_VALUES // (max(dim, 1) * len(_pivots_of(pivots, dim))))
+        for lo in range(0, len(at), step):
+            some = pa.array(at[lo:lo + step])
+            mat, _ = list_to_matrix(batch.column("__p").take(some), dim)
+            cut = batch.column("__cut").take(some).to_numpy(zero_copy_only=False)
+            yield dim, at[lo:lo + step], unit_rows(mat), np.asarray(cut, dtype=np.float64)
+
+
+def _pairs_left(pivots_bc, cells_bc, k: int):
+    """Pairs in the cells that the rounds after the first would meet."""
+
+    def run(batches):
+        for batch in batches:
+            left = 0
+            for dim, _, units, cut in _by_length(batch, pivots_bc.value):
+                _, rows, _, order, bound, enough, reach = _by_bound(pivots_bc.value, cells_bc.value, dim, units, cut, k)
+                later = (np.arange(len(rows)) >= enough[:, None]) & (bound <= reach[:, None])
+                left += int((rows[order] * later).sum())
+            yield pa.RecordBatch.from_arrays([pa.array([left], pa.int64())], names=["__m"])
+
+    return run
+
+
 def _visits(pivots_bc, cells_bc, k: int, turn: int):
     """The cells each query meets in a round: (query, length, cell, angle to the pivot, reach, cut, vector).
 
-    Cells of a query stand in the order of their bounds.  Round 0 takes as many
-    as hold k rows, round 1 the next few, round 2 the rest; later rounds leave
-    out what lies beyond the k-th distance found so far.
+    Round 0 takes as many cells, in the order of their bounds, as hold k rows,
+    round 1 the next few, round 2 the rest; later rounds leave out what lies
+    beyond the k-th distance found so far.
     """
 
-    def chosen(units, dim, cut):
-        held = cells_bc.value.get(dim)
-        if held is None:
-            ids, lo, hi, rows = np.array([0]), np.array([0.0]), np.array([np.pi]), np.array([k])
-        else:
-            ids, lo, hi, rows = held
-        phi = _angles(units, _pivots_of(pivots_bc.value, dim)[ids])
-        bound = np.maximum(0.0, np.maximum(phi - hi, lo - phi))
-        order = np.lexsort((phi, bound), axis=1)
-        enough = (np.cumsum(rows[order], axis=1) < k).sum(axis=1) + 1
-        first = (np.zeros_like(enough), enough, enough + SECOND_ROUND)[turn]
-        last = (enough, enough + SECOND_ROUND, np.full_like(enough, len(ids)))[turn]
-        place = np.arange(len(ids))
-        reach = np.full(len(units), 4.0)
-        if turn:
-            reach = np.arccos(np.clip(1.0 - cut, -1.0, 1.0)) + angle_margin(dim)
-        take = (place >= first[:, None]) & (place < last[:, None])
-        take &= np.take_along_axis(bound, order, axis=1) <= reach[:, None]
-        q, at = np.nonzero(take)
-        cell = order[q, at]
-        angle = phi[q, cell]
-        cell = ids[cell]
-        if turn == 0:
-            # rows without a bound meet every query
-            q = np.concatenate([q, np.arange(len(units))])
-            cell = np.concatenate([cell, np.full(len(units), ALWAYS)])
-            angle = np.concatenate([angle, np.zeros(len(units))])
-        return q, cell, angle, reach
-
     def run(batches):
         for batch in batches:
-            dims = np.asarray(batch.column("__n"))
-            for dim in np.unique(dims).tolist():
-                part = batch.take(pa.array(np.flatnonzero(dims == dim)))
-                mat, _ = list_to_matrix(part.column("__p"), dim)
-                units = unit_rows(mat)
-                cut = np.asarray(part.column("__cut").to_numpy(zero_copy_only=False), dtype=np.float64)
-                step = max(1, VISIT_VALUES // (max(dim, 1) * len(_pivots_of(pivots_bc.value, dim))))
-                for lo in range(0, len(mat), step):
-                    q, cell, angle, reach = chosen(units[lo:lo + step], dim, cut[lo:lo + step])
-                    if not len(q):
-                        continue
-                    at = pa.array(q + lo)
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("__q").take(at), pa.array(np.full(len(q), dim, dtype=np.int32)),
-                         pa.array(cell.astype(np.int32)), pa.array(angle), pa.array(reach[q]),
-                         pa.array(cut[q + lo]), part.column("__p").take(at)],
-                        names=["__q", "__n", "__c", "__phi", "__reach", "__cut", "__p"])
+            for dim, at, units, cut in _by_length(batch, pivots_bc.value):
+                ids, _, phi, order, bound, enough, reach = _by_bound(
+                    pivots_bc.value, cells_bc.value, dim, units, cut, k)
+                place = np.arange(len(ids))
+                first = (np.zeros_like(enough), enough, enough + SECOND_ROUND)[turn]
+                last = (enough, enough + SECOND_ROUND, np.full_like(enough, len(ids)))[turn]
+                q, nth = np.nonzero((place >= first[:, None]) & (place < last[:, None]) & (bound <= reach[:, None]))
+                cell = order[q, nth]
+                angle, cell = phi[q, cell], ids[cell]
+                if turn == 0:
+                    # rows without a bound meet every query
+                    q = np.concatenate([q, np.arange(len(units))])
+                    cell = np.concatenate([cell, np.full(len(units), ALWAYS)])
+                    angle = np.concatenate([angle, np.zeros(len(units))])
+                if not len(q):
+                    continue
+                rows = pa.array(at[q])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("__q").take(rows), pa.array(np.full(len(q), dim, dtype=np.int32)),
+                     pa.array(cell.astype(np.int32)), pa.array(angle), pa.array(reach[q]), pa.array(cut[q]),
+                     batch.column("__p").take(rows)],
+                    names=["__q", "__n", "__c", "__phi", "__reach", "__cut", "__p"])
 
     return run
 
@@ -321,7 +345,8 @@ def _fitted(frame: DataFrame, rows: int, elements: int) -> dict:
     return out
 
 
-def _joined(vectors, queries, k, vec, id_col, query_id_col, query_col, options, exact, dist_col, broadcast_bytes):
+def _joined(vectors, queries, k, vec, id_col, query_id_col, query_col, options, exact, dist_col, broadcast_bytes,
+            scan_share):
     _require_k(k)
     spark = _spark(vectors)
     spec, key = VectorSpec(vec), RowKey(vectors, id_col)
@@ -370,6 +395,11 @@ def _joined(vectors, queries, k, vec, id_col, query_id_col, query_col, options,
     asked = kinds.join(enough, "__n", "left_semi").withColumn("__cut", F.lit(None).cast("double"))
     rest = kinds.join(enough, "__n", "left_anti").select("__q", "__p")
 
+    def scanned(points, name):
+        out = search_many(vectors, points, k, vec, id_col, name, "__p", exact=True, dist_col="__d",
+                          broadcast_bytes=broadcast_bytes)
+        return out.select(name, F.col("rank").alias("__r"), *key.select(), "__d")
+
     met_ddl = f"__q long, {key.ddl}, __d double, __m long"
     wide = asked.schema["__p"].dataType.simpleString()
     found, pairs = None, 0
@@ -380,6 +410,13 @@ def _joined(vectors, queries, k, vec, id_col, query_id_col, query_col, options,
         if turn:
             cut = found.groupBy("__q").agg(F.max("__d").alias("__cut"))
             asked = asked.drop("__cut").join(cut, "__q")
+        if turn == 1:
+            left = asked.select("__p", "__n", "__cut").mapInArrow(_pairs_left(pivots_bc, cells_bc, k), "__m long")
+            if (left.agg(F.sum("__m")).first()[0] or 0) > scan_share * found.select("__q").distinct().count() * rows:
+                # bounds leave most pairs: one plain scan without a shuffle of the vectors meets them for less
+                found = scanned(asked.select("__q", "__p"), "__q").select(found.columns)
+                pairs = asked.count() * rows
+                break
         visits = asked.select("__q", "__p", "__n", "__cut").mapInArrow(
             _visits(pivots_bc, cells_bc, k, turn),
             f"__q long, __n int, __c int, __phi double, __reach double, __cut double, __p {wide}")
@@ -402,9 +439,7 @@ def _joined(vectors, queries, k, vec, id_col, query_id_col, query_col, options,
         # equal vectors have equal neighbours: each is searched once
         each = materialize(rest.select("__p").dropDuplicates().withColumn("__u", F.monotonically_increasing_id()),
                            "pivot-rest")
-        plain = search_many(vectors, each, k, vec, id_col, "__u", "__p", exact=True, dist_col="__d",
-                            broadcast_bytes=broadcast_bytes)
-        plain = plain.select("__u", F.col("rank").alias("__r"), *key.select(), "__d")
+        plain = scanned(each, "__u")
         mine = rest.join(each.withColumnRenamed("__p", "__p2"), F.col("__p").eqNullSafe(F.col("__p2")))
         found = found.unionByName(mine.select("__q", "__u").join(plain, "__u").select(found.columns))
 
@@ -415,28 +450,31 @@ def _joined(vectors, queries, k, vec, id_col, query_id_col, query_col, options,
 
 def pivot_search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedding", id_col="id",
                       query_id_col="query_id", query_col: str = "query", options=None, exact: bool = False,
-                      dist_col: str = "dist", broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                      dist_col: str = "dist", broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                      scan_share: float = SCAN_SHARE) -> DataFrame:
     """S1m for two large tables: the same ``(query key, rank, row key, dist)`` as ``search_many``.
 
     Rounds run when called, as their cuts depend on each other; tables between
     them are written to the checkpoint folder.  NULL, zero, non-finite and
     very large or small query vectors, and queries of a length with fewer than
     k ordinary rows, have no useful bound: their distinct vectors go through
-    ``search_many``.  Empty tables give an empty result.
+    ``search_many``.  So do all queries if, after the first round, the bounds
+    leave more than ``scan_share`` of all pairs (vectors without structure);
+    rows are the same either way.  Empty tables give an empty result.
     """
     return _joined(vectors, queries, k, vec, id_col, query_id_col, query_col, options, exact, dist_col,
-                   broadcast_bytes)[0]
+                   broadcast_bytes, scan_share)[0]
 
 
 def pivot_search_report(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedding", id_col="id",
                         query_id_col="query_id", query_col: str = "query", options=None, exact: bool = False,
-                        broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                        broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, scan_share: float = SCAN_SHARE) -> DataFrame:
     """What the bounds saved: one row ``(queries, rows, cells, pairs, pairs_met, skipped)``.
 
     ``pairs`` counts queries with a bound times rows; ``skipped`` is the share of them no task met.
     """
     _, kinds, cells, rows, met = _joined(vectors, queries, k, vec, id_col, query_id_col, query_col, options, exact,
-                                         "dist", broadcast_bytes)
+                                         "dist", broadcast_bytes, scan_share)
     asked = kinds.agg(F.count(F.lit(1)).alias("queries"), F.count(F.when(F.col("__n") >= 0, 1)).alias("bounded"))
     n = F.lit(int(rows))
     pairs = F.col("bounded") * n

@@ -28,8 +28,9 @@ def _clusters(rng, n, dim, centres, spread):
 def _both(spark, vectors, queries, k, **kw):
     emb = _frame(spark, vectors, kw.pop("id_type", LongType()))
     asked = _frame(spark, queries, name="query_id", vector="query")
-    return (_rows(pivot_search_many(emb, asked, k, exact=True, **kw)),
-            _rows(search_many(emb, asked, k, exact=True, **kw)))
+    # no scan: the rounds themselves are tested
+    return (_rows(pivot_search_many(emb, asked, k, exact=True, scan_share=1.0)),
+            _rows(search_many(emb, asked, k, exact=True)))
 
 
 def test_same_rows_as_search_many_on_the_given_table(spark):
@@ -114,6 +115,14 @@ def test_clusters_are_skipped_and_noise_loses_nothing(spark):
         assert _rows(pivot_search_many(emb, asked, 5, exact=True)) == _rows(search_many(emb, asked, 5, exact=True))
 
 
+def test_scan_and_rounds_agree(spark):
+    rows = list(enumerate(np.random.default_rng(4).normal(size=(200, 12)).tolist()))
+    emb, asked = _frame(spark, rows), _frame(spark, rows, name="query_id", vector="query")
+    found = [_rows(pivot_search_many(emb, asked, 3, exact=True, scan_share=x)) for x in (0.0, 1.0)]
+    assert found[0] == found[1] == _rows(search_many(emb, asked, 3, exact=True))
+    assert pivot_search_report(emb, asked, 3, exact=True, scan_share=0.0).first()["skipped"] == 0.0
+
+
 def test_bounds_hold_for_fitted_cells():
     rng = np.random.default_rng(2)
     mat = rng.normal(size=(400, 8))
