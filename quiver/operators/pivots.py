@@ -435,6 +435,10 @@ def _joined(vectors, queries, k, vec, id_col, query_id_col, query_col, options,
             cands = found.drop("__r").unionByName(cands)
         found = materialize(top_k_per_key(cands, ["__q"], key, k), "pivot-found")
 
+    # every round is written: nothing that runs later reads these
+    pivots_bc.destroy()
+    cells_bc.destroy()
+
     if not rest.isEmpty():
         # equal vectors have equal neighbours: each is searched once
         each = materialize(rest.select("__p").dropDuplicates().withColumn("__u", F.monotonically_increasing_id()),
