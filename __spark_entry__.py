@@ -38,7 +38,7 @@ from quiver.operators.points import PointTable
 from quiver.operators.refine import refine_local
 from quiver.operators.search import probe_points
 from quiver.operators.setdist import min_distance_to_set, refine_against_sets
-from quiver.plans.session import scratch_path
+from quiver.plans.session import materialize, scratch_path
 from quiver.sources.io import LINEITEM_FEATURES
 from quiver.streaming.score import (current_top_k, run_stream_radius, run_stream_score,
                                     run_stream_top_k, vector_stream)
@@ -202,12 +202,13 @@ def q_self_top_k_check(spark, sf):
     search around the point that a refinement of its own gives."""
     emb = _t(spark, sf, "embeddings")
     found = search_many(emb, _self_queries(emb), K, "embedding", "vec_id")
-    points = refine_with_ids(_self_queries(emb), "query_id").select("query_id", F.col("best_point").alias("query"))
+    points = materialize(refine_with_ids(_self_queries(emb), "query_id")
+                         .select("query_id", F.col("best_point").alias("query")), "points")
     true = search_many(emb, points, K, "embedding", "vec_id", exact=True) \
         .select("query_id", "rank", F.col("vec_id").alias("true_id"), F.col("dist").alias("true_dist"))
     each = (found.join(true, ["query_id", "rank"], "full")
-            .join(points.select("query_id", F.col("query").alias("point")), "query_id")
-            .join(emb.select("vec_id", "embedding"), "vec_id", "left"))
+            .join(emb.select("vec_id", "embedding"), "vec_id", "left")
+            .join(points.select("query_id", F.col("query").alias("point")), "query_id"))
     return each.select("query_id", "rank", _same(F.col("dist"), cosine_distance("embedding", "point")).alias("matches"),
                        (F.col("vec_id") == F.col("true_id")).alias("true_neighbour"),
                        (F.col("dist") == F.col("true_dist")).alias("true_distance"))

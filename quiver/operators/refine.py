@@ -26,8 +26,11 @@ POPULATION_SCHEMA = ("query array<double>, particle int, point array<double>, "
 LOCKSTEP = 256
 # distinct queries per refining task, where there are more than two tasks a core would hold
 REFINED_PER_TASK = 2_000
-# parts into which one repeated query is dealt where queries and points are joined
+# parts into which one repeated query is dealt where queries and points are joined, the rows from which a
+# query counts as repeated, and how many such queries there are at most
 SALT = 16
+REPEATED = 10_000
+REPEATED_QUERIES = 1_000
 NOISE_ELEMENTS = 1 << 21
 
 
@@ -127,11 +130,14 @@ def distinct_queries(queries: DataFrame, query_col: str = "query",
     once = queries.select(F.col(query_col).alias("query")).dropDuplicates(["query"])
     if parallelism is None:
         once = materialize(once, "distinct-queries")
-        rows = once.count()
-        parallelism = max(1, min(rows, max(2 * default_parallelism(spark), -(-rows // REFINED_PER_TASK))))
+        parallelism = _refining_tasks(spark, once.count())
     return once.repartition(parallelism)
 
 
+def _refining_tasks(spark, rows: int) -> int:
+    return max(1, min(rows, max(2 * default_parallelism(spark), -(-rows // REFINED_PER_TASK))))
+
+
 def refine_queries(queries: DataFrame, query_col: str = "query",
                    options: RefineOptions | None = None,
                    parallelism: int | None = None) -> DataFrame:
@@ -155,29 +161,53 @@ def refine_with_ids(queries: DataFrame, id_col="query_id",
     array value (hash + equality), so equal queries share one refinement.
     ``bounded=True`` states that the caller measured the query set under a
     broadcast budget (the refined side is no larger), so the join-back is a
-    broadcast hash join.  Otherwise a query that many rows repeat is dealt
-    over several parts of the join, and NULL queries go around it.
+    broadcast hash join.  Otherwise only a query that many rows repeat is dealt
+    over several parts of the join, with a copy of its point for each; other
+    points are moved once.  Rows with a NULL query are spread by their ids.
     """
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
     q = queries.select(*ids, F.col(query_col).alias("query"))
     have = q.filter(F.col("query").isNotNull())
-    refined = refine_queries(have, "query", options, parallelism)
-    if bounded:
-        points = F.broadcast(refined.withColumnRenamed("query", "__query"))
-        found = have.join(points, F.col("query").cast("array<double>").eqNullSafe(F.col("__query")), "left")
-    else:
-        points = (refined.withColumnRenamed("query", "__query")
-                  .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))))
-        dealt = have.withColumn("__part", F.pmod(F.xxhash64(*ids), F.lit(SALT)).cast("int"))
-        found = dealt.join(points, F.col("query").cast("array<double>").eqNullSafe(F.col("__query"))
-                           & (F.col("__part") == F.col("__salt")), "left")
     columns = [*ids, F.col("query").cast("array<double>").alias("query"), "best_point", "best_fit"]
+    if not bounded:
+        return _join_points(q, have, ids, options, parallelism).select(*columns)
+    points = F.broadcast(refine_queries(have, "query", options, parallelism).withColumnRenamed("query", "__query"))
+    found = have.join(points, F.col("query").cast("array<double>").eqNullSafe(F.col("__query")), "left")
     none = q.filter(F.col("query").isNull()).select(
         *ids, F.col("query").cast("array<double>").alias("query"),
         F.lit(None).cast("array<double>").alias("best_point"), F.lit(None).cast("double").alias("best_fit"))
     return found.select(*columns).unionByName(none)
 
 
+def _join_points(q: DataFrame, have: DataFrame, ids: list[str], options: RefineOptions | None,
+                 parallelism: int | None) -> DataFrame:
+    """The rows of ``q`` with their points, by a join that moves every row and point once."""
+    spark = q.sparkSession
+    attach(spark)
+    once = materialize(have.groupBy("query").agg(F.count(F.lit(1)).alias("__n")), "distinct-queries")
+    size = once.agg(F.count(F.lit(1)).alias("n"), F.sum("__n").alias("rows")).first()
+    often = once.filter(F.col("__n") > max(REPEATED, (size["rows"] or 0) // REPEATED_QUERIES)).select("query")
+    refined = once.select("query").repartition(parallelism or _refining_tasks(spark, size["n"])).mapInArrow(
+        _refine_fn(options or RefineOptions()), REFINED_SCHEMA)
+    # a float widens to double and back without loss: the join moves the stored type
+    kept = "array<float>" if q.schema["query"].dataType.simpleString() == "array<float>" else "array<double>"
+    points = refined.withColumn("__query", F.col("query").cast(kept)).drop("query")
+    dealt = q.withColumn("__key", F.col("query").cast(kept))
+    part = F.lit(0).cast("long")
+    if not often.isEmpty():
+        many = F.broadcast(often.select(F.col("query").cast(kept).alias("__often")).distinct())
+        points = points.join(many, F.col("__query").eqNullSafe(F.col("__often")), "left") \
+            .withColumn("__salt", F.explode(F.sequence(part, F.when(F.col("__often").isNull(), part)
+                                                       .otherwise(F.lit(SALT - 1).cast("long"))))).drop("__often")
+        dealt = dealt.join(many, F.col("__key").eqNullSafe(F.col("__often")), "left")
+        part = F.when(F.col("__often").isNull(), part).otherwise(F.pmod(F.xxhash64(*ids), F.lit(SALT)))
+    else:
+        points = points.withColumn("__salt", part)
+    dealt = dealt.withColumn("__part", F.when(F.col("query").isNull(), F.xxhash64(*ids)).otherwise(part))
+    return dealt.join(points, F.col("__key").eqNullSafe(F.col("__query"))
+                      & (F.col("__part") == F.col("__salt")), "left")
+
+
 def refinement_report(queries: DataFrame, query_col: str = "query",
                       options: RefineOptions | None = None,
                       parallelism: int | None = None) -> DataFrame:

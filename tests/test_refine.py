@@ -134,3 +134,36 @@ def test_report_json_round_trips(spark):
     for r in refinement_report(df).collect():
         rep = json.loads(r["report"])
         assert rep["best_point"] == list(r["best_point"]) and rep["best_fit"] == r["best_fit"]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_points_are_not_copied_for_queries_that_few_rows_repeat(spark, monkeypatch):
+    from quiver.operators import refine as module
+
+    rows = [(i, [float(np.sin(i % 7 + j)) for j in range(4)] if i % 5 else None) for i in range(60)]
+    rows += [(100 + i, [1.0, -1.0, 0.5, 0.25]) for i in range(30)] + [(None, [1.0, -1.0, 0.5, 0.25]), (None, None)]
+    options = RefineOptions(generations=2, population=4)
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"query_id long, query array<{kind}>")
+        plain = refine_with_ids(df, "query_id", options=options)
+        assert "Generate" not in _plan(plain) and plain.count() == len(rows)
+        want = sorted(map(repr, refine_with_ids(df, "query_id", options=options, bounded=True).collect()))
+        assert sorted(map(repr, plain.collect())) == want
+        with monkeypatch.context() as m:
+            m.setattr(module, "REPEATED", 20)
+            dealt = refine_with_ids(df, "query_id", options=options)
+            assert "Generate" in _plan(dealt) and sorted(map(repr, dealt.collect())) == want
+
+
+def test_checked_neighbours_refine_their_own_points_once(spark, tmp_dir):
+    import __spark_entry__ as entry
+
+    rows = [(i, [float(np.sin(i * (j + 1))) for j in range(64)], i % 2) for i in range(12)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_dir}/embeddings.parquet")
+    out = entry.queries()["self_top_k_check"](spark, tmp_dir)
+    # one scoring function for each search; points are read from where they were written
+    assert _plan(out).count("MapInArrow") == 2
+    assert [tuple(r)[2:] for r in out.collect()] == [(True, True, True)] * 120
