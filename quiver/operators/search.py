@@ -201,13 +201,16 @@ def fractal_distance(df: DataFrame, query, vec="embedding", out: str = "dist",
 
 
 def _distance_to_column(df, query, spec, out, options, exact):
-    row = df.select(F.struct(*[quoted(c) for c in df.columns]).alias("__row"),
-                    query.cast("array<double>").alias("query"), _vector_column(spec).alias("__v"))
+    # the row holds the vector: it is not moved twice, and a query of floats as such
+    row = df.select(F.struct(*[quoted(c) for c in df.columns]).alias("__row"), query.alias("query"))
+    if row.schema["query"].dataType.simpleString() != "array<float>":
+        row = row.withColumn("query", F.col("query").cast("array<double>"))
     if exact:
         points = row.withColumn("best_point", F.col("query"))
     else:
-        points = refine_with_ids(row, ["__row", "__v"], "query", options)
-    scored = points.select("__row", cosine_distance(F.col("__v"), F.col("best_point")).alias("__d"))
+        points = refine_with_ids(row, "__row", "query", options)
+    vector = _vector_column(spec, F.col("__row").getField)
+    scored = points.select("__row", cosine_distance(vector, F.col("best_point")).alias("__d"))
     kept = [c for c in df.columns if c != out]
     return scored.select(*[F.col("__row").getField(c).alias(c) for c in kept], F.col("__d").alias(out))
 
@@ -292,7 +295,8 @@ def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedd
                                   F.col("__d").alias(dist_col))
 
     banks = broadcast_banks(points, "__p", query_key.inner, rows, elements, broadcast_bytes)
-    frame, inner = _inner(vectors, key, spec), spec.inner()
+    # every task gives k candidates a query: no more tasks than run at once
+    frame, inner = _inner(vectors, key, spec).coalesce(default_parallelism(spark)), spec.inner()
     cands = _union([frame.mapInArrow(topk_scorer(b, inner, key, k), candidate_ddl(key, query_key))
                     for b in banks])
     salt = salt_buckets if salt_buckets is not None else auto_salt(planned_tasks(vectors), k)
@@ -301,10 +305,10 @@ def search_many(vectors: DataFrame, queries: DataFrame, k: int = 10, vec="embedd
                       F.col("__d").alias(dist_col))
 
 
-def _vector_column(spec: VectorSpec):
+def _vector_column(spec: VectorSpec, column=quoted):
     if spec.array_col:
-        return quoted(spec.array_col).cast("array<double>")
-    return F.array(*[quoted(c).cast("double") for c in spec.cols])
+        return column(spec.array_col).cast("array<double>")
+    return F.array(*[column(c).cast("double") for c in spec.cols])
 
 
 # ---------------------------------------------------------------- S2

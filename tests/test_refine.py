@@ -167,3 +167,16 @@ def test_checked_neighbours_refine_their_own_points_once(spark, tmp_dir):
     # one scoring function for each search; points are read from where they were written
     assert _plan(out).count("MapInArrow") == 2
     assert [tuple(r)[2:] for r in out.collect()] == [(True, True, True)] * 120
+
+
+def test_a_query_column_moves_no_vector_twice(spark):
+    from quiver import fractal_distance
+
+    rows = [(i, [float(np.sin(i + j)) for j in range(4)], [float(np.cos(i % 3 + j)) for j in range(4)] if i % 4 else None)
+            for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, embedding array<float>, q array<float>")
+    out = fractal_distance(df, F.col("q"), options=RefineOptions(generations=2, population=4))
+    assert out.columns == ["id", "embedding", "q", "dist"] and out.count() == 20
+    plan = _plan(out)
+    assert "Generate" not in plan and "__v" not in plan
+    assert out.filter("dist IS NULL").count() == 5
