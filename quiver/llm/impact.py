@@ -5,7 +5,9 @@ segment holds the rows with one value in one dimension; for a query, the
 segment's impact is the size of the product of the query's component and that
 value.  Segments are processed by descending impact, quantised into levels
 (finer towards 0).  After a level, a row can still gain at most the level's
-floor in each dimension not met yet.  The bar is the k-th best exact score of the rows that lead so far.
+floor in each dimension not met yet.  A dimension of which a level would
+process a large share is added as a whole there, and bounded by its largest
+impact until then.  The bar is the k-th best exact score of the rows that lead so far.
 Processing stops only when the bound proves that few rows can reach the bar;
 these are rescored exactly.
 
@@ -30,6 +32,8 @@ from .vectors import best_per_query, in_query_blocks, usable
 
 SHARD_ROWS = 8192
 LEVELS = 6
+# share of a dimension's postings from which all of them are added at once
+WHOLE = 0.25
 # share of a shard that is rescored rather than process another level
 RESCORED = 0.25
 # sums below this are exact in 64 bits, and products below the other one in doubles
@@ -69,10 +73,18 @@ class Shard:
         self.first = np.flatnonzero(np.diff(self.dim, prepend=-1))
         self.sizes = np.abs(self.value.astype(np.float64))
         self.largest = _largest(self.rows)
+        # products and their sums are exact in doubles where they are this small
+        narrow = self.largest ** 2 * rows.shape[1] < EXACT_DOUBLES
+        self.doubles = self.rows.astype(np.float64) if narrow else None
+        self.columns = np.ascontiguousarray(self.rows.T, dtype=np.float64)
+        self.counts = np.diff(self.start, append=self.posting.size)
 
     def scores(self, rows: np.ndarray, query: np.ndarray) -> list[int] | np.ndarray:
         """Exact inner products with some rows."""
-        if self.largest * _largest(query) * len(query) < EXACT_SUMS:
+        size = self.largest * _largest(query) * len(query)
+        if self.doubles is not None and size < EXACT_DOUBLES:
+            return (self.doubles[rows] @ query.astype(np.float64)).astype(np.int64)
+        if size < EXACT_SUMS:
             return self.rows[rows] @ query
         wide = query.tolist()
         return [sum(map(mul, row, wide)) for row in self.rows[rows].tolist()]
@@ -91,36 +103,51 @@ class Shard:
         margin = 0.0 if top * dims < EXACT_DOUBLES else float(most.sum()) * dims * 2.0 ** -48
         level = np.minimum((LEVELS * np.sqrt(impact / top)).astype(np.int64), LEVELS - 1)
         highest = np.maximum.reduceat(level, self.first)
+        # the level above 0 at which a dimension is added as a whole (0: segment by segment)
+        filled = np.bincount(self.dim * LEVELS + level, self.counts, dims * LEVELS).reshape(dims, LEVELS)
+        reached = filled[:, :0:-1].cumsum(axis=1) >= WHOLE * n
+        whole = (reached * np.arange(LEVELS - 1, 0, -1)).max(axis=1, initial=0)
         # segments of one dimension and level that lie side by side
         run = np.flatnonzero(np.diff(self.dim * LEVELS + level, prepend=-1))
         begin, end = self.start[run], np.append(self.start[run[1:]], self.posting.size)
         order = np.argsort(-level[run], kind="stable")
+        order = order[whole[self.dim[run[order]]] == 0]
         cuts = np.searchsorted(-level[run][order], -np.arange(LEVELS), side="right")
         segments = list(zip(begin[order].tolist(), end[order].tolist()))
+        lengths, dealt = (end - begin)[order], query.astype(np.float64)
+        factors = dealt[self.dim[run[order]]]
         # a sum of products and a count share a float where both fit
         unit = float(1 << 32) if top * dims < 1 << 31 else 0.0
-        weights = self.values * query[:, None].astype(np.float64)
-        weights += unit
-        weights, posting = weights.ravel(), self.posting.ravel()
-        score, met, done = np.zeros(n), np.zeros(n), 0
+        posting, values = self.posting.ravel(), self.values.ravel()
+        score, met, done, postings = np.zeros(n), np.zeros(n), 0, 0
         for lowest in range(LEVELS - 1, -1, -1):
-            here = segments[done:cuts[lowest]]
+            new = slice(done, cuts[lowest])
+            here = segments[new]
             done = cuts[lowest]
+            added = np.flatnonzero(whole == lowest) if lowest else ()
+            if len(added):
+                score += dealt[added] @ self.columns[added]
             if here:
                 rows = np.concatenate([posting[a:b] for a, b in here])
-                both = np.bincount(rows, np.concatenate([weights[a:b] for a, b in here]), n)
+                weights = np.concatenate([values[a:b] for a, b in here])
+                weights *= np.repeat(factors[new], lengths[new])
+                weights += unit
+                both = np.bincount(rows, weights, n)
                 times = np.rint(both / unit) if unit else np.bincount(rows, minlength=n)
                 score += both - times * unit
                 met += times
-            if lowest > LEVELS // 2:
+                postings += len(rows)
+            # a dimension not met yet adds less than the level's floor, and no more than its largest
+            gain = top * (lowest / LEVELS) ** 2 + 1
+            small = np.where(whole > 0, whole < lowest, highest < lowest)
+            never, open_ = most[small].sum(), np.count_nonzero((whole == 0) & ~small)
+            # too early to leave rows out: what an average row can gain is more than the best score
+            if lowest and never + (open_ - postings / n) * gain > score.max():
                 continue
-            # exact scores of the leaders give the bar; a dimension not met yet
-            # adds less than the level's floor, and no more than its largest
+            # exact scores of the leaders give the bar
             lead = possible[np.argpartition(score[possible], len(possible) - k)[-min(4 * k, len(possible)):]]
             bar = float(sorted(self.scores(lead, query))[-k])
-            gain = top * (lowest / LEVELS) ** 2 + 1
-            small = highest < lowest
-            bound = score[possible] + most[small].sum() + (dims - small.sum() - met[possible]) * gain + margin
+            bound = (score + (never + margin) + (open_ - met) * gain)[possible]
             left = possible[bound >= bar]
             if len(left) <= max(4 * k, RESCORED * n):
                 possible = left

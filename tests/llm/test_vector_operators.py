@@ -365,3 +365,23 @@ def test_scores_come_from_texts_alone(spark):
                              .otherwise(F.col("doc_id") + 3_000_000))
     after = {r.doc_id: r.score for r in toxicity.score_documents(moved, labels).collect()}
     assert all(before[d if d < 3_000_000 else d - 3_000_000] == s for d, s in after.items())
+
+
+def test_impact_index_adds_dimensions_with_most_postings_as_a_whole(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = np.rint(rng.normal(0, 8, (2000, 64))).astype(np.int64)
+    shard = impact.Shard(np.arange(2000), rows)
+    single, plain = [], np.bincount
+
+    def counted(x, weights=None, minlength=0):
+        if minlength == 2000:
+            single.append(len(x))
+        return plain(x, weights, minlength)
+
+    monkeypatch.setattr(impact.np, "bincount", counted)
+    for i in range(0, 2000, 100):
+        ids, scores = shard.best(rows[i], 20, i)
+        want = sorted((-int(s), j) for j, s in enumerate(rows @ rows[i]) if j != i)[:20]
+        assert [(-s, j) for j, s in zip(ids.tolist(), scores.tolist())] == want
+    # posting by posting for the rest only (more than half of all before)
+    assert sum(single) < 0.25 * 20 * rows.size
