@@ -3,8 +3,10 @@
 Rows of a table carry many hashes at places of their own (windows of a text,
 shingles of a set).  To learn which of them occur more than once in the whole
 table, every Arrow batch packs its hashes into one binary list per hash
-bucket; a bucket's task compares the lists and answers with the places, per
-row key.  A hash that a batch already holds twice is known there and then:
+bucket; a bucket's task compares the lists and answers with the places, packed
+by the row keys' owner; an owner's task merges the answers of all buckets.  The
+number of packed rows depends on the buckets and owners alone, not on how many
+of them a row's hashes meet.  A hash that a batch already holds twice is known there and then:
 only one mark of it is sent, so a hash that a third of all rows hold costs a
 bucket no more than one entry per batch.
 """
@@ -26,6 +28,9 @@ _NAMES = ["bucket", "known", "keys", "counts", "hashes", "places", "marks"]
 # text bytes whose hashes one bucket holds, and buckets at least
 BUCKET_BYTES = 32 << 20
 MIN_BUCKETS = 24
+# buckets per owner, a share of the row keys whose places one task merges (owners: MIN_BUCKETS at least)
+OWNED = 4
+ANSWER_SCHEMA = "owner int, keys binary, counts binary, places binary"
 
 #: (keys, row of each hash, hashes, places) of a batch
 Hashed = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
@@ -83,16 +88,27 @@ def _pack(hashed: Hashed, buckets: int, width: type, repeats: bool) -> Iterator[
     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=_NAMES)
 
 
-def _answer(width: type, repeats: bool):
-    def run(table: pa.Table) -> pa.Table:
-        def arrays(name, dtype):
-            return [np.frombuffer(x.as_buffer(), dtype) for x in table.column(name)]
+def _arrays(table: pa.Table, name: str, dtype: type) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x.as_buffer(), dtype) for x in table.column(name)])
+
+
+def _once(key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and their places in order, each pair once."""
+    order = np.lexsort((place, key))
+    key, place = key[order], place[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = (key[1:] != key[:-1]) | (place[1:] != place[:-1])
+    return key[new], place[new]
+
 
-        keys, counts = np.concatenate(arrays("keys", np.int64)), np.concatenate(arrays("counts", np.uint32))
-        place = np.concatenate(arrays("places", np.uint32))
+def _answer(width: type, repeats: bool, owners: int):
+    """The places of a bucket's shared hashes, a packed row for each owner of keys."""
+    def run(table: pa.Table) -> pa.Table:
+        keys, counts, place = (_arrays(table, "keys", np.int64), _arrays(table, "counts", np.uint32),
+                               _arrays(table, "places", np.uint32))
         key = np.repeat(keys, counts)
         if not table.column("known")[0].as_py():
-            hashes, marks = np.concatenate(arrays("hashes", width)), np.concatenate(arrays("marks", width))
+            hashes, marks = _arrays(table, "hashes", width), _arrays(table, "marks", width)
             order = np.argsort(hashes, kind="stable")
             ordered = hashes[order]
             new = np.diff(ordered, prepend=ordered[:1] ^ width(1)) != 0 if len(ordered) else order.astype(bool)
@@ -110,19 +126,33 @@ def _answer(width: type, repeats: bool):
             hit[order] = np.repeat(shared, size)
             key, place = key[hit], place[hit]
         # a key's places once, however many batches hold copies of its row
-        order = np.lexsort((place, key))
-        key, place = key[order], place[order]
-        if len(key):
-            new = np.ones(len(key), dtype=bool)
-            new[1:] = (key[1:] != key[:-1]) | (place[1:] != place[:-1])
-            key, place = key[new], place[new]
-        uniq, begin = np.unique(key, return_index=True)
-        offsets = np.append(begin, len(key)).astype(np.int32)
-        return pa.table({"key": pa.array(uniq, pa.int64()),
-                         "places": pa.ListArray.from_arrays(pa.array(offsets), pa.array(place.astype(np.int32)))})
+        key, place = _once(key, place)
+        uniq, counts = np.unique(key, return_counts=True)
+        owner = (uniq.view(np.uint64) % np.uint64(owners)).astype(np.int64)
+        by, by_place = np.argsort(owner, kind="stable"), np.argsort(np.repeat(owner, counts), kind="stable")
+        ends = np.cumsum(counts[by])
+        out: list[list] = [[], [], [], []]
+        for o in np.unique(owner).tolist():
+            a, b = np.searchsorted(owner[by], [o, o + 1])
+            pick = by_place[ends[a] - counts[by[a]]:ends[b - 1]]
+            for col, value in zip(out, (o, uniq[by[a:b]].tobytes(), counts[by[a:b]].astype(np.uint32).tobytes(),
+                                        place[pick].tobytes())):
+                col.append(value)
+        return pa.table([pa.array(v, t) for v, t in zip(out, [pa.int32()] + [pa.binary()] * 3)],
+                        names=["owner", "keys", "counts", "places"])
     return run
 
 
+def _merged(table: pa.Table) -> pa.Table:
+    """All places of an owner's keys, each once."""
+    key, place = _once(np.repeat(_arrays(table, "keys", np.int64), _arrays(table, "counts", np.uint32)),
+                       _arrays(table, "places", np.uint32))
+    uniq, begin = np.unique(key, return_index=True)
+    offsets = np.append(begin, len(key)).astype(np.int32)
+    return pa.table({"key": pa.array(uniq, pa.int64()),
+                     "places": pa.ListArray.from_arrays(pa.array(offsets), pa.array(place.astype(np.int32)))})
+
+
 def shared_places(rows: DataFrame, hashed: Callable[[pa.RecordBatch], Hashed], buckets: int,
                   exact: bool, repeats: bool, text: int = 0) -> DataFrame:
     """``(key, places)``: where rows hold hashes that occur elsewhere too.
@@ -144,5 +174,5 @@ def shared_places(rows: DataFrame, hashed: Callable[[pa.RecordBatch], Hashed], b
                 yield from _pack(hashed(part), buckets, width, repeats)
 
     answers = (rows.mapInArrow(pack, ENTRY_SCHEMA).groupBy("bucket")
-               .applyInArrow(_answer(width, repeats), "key long, places array<int>"))
-    return answers.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+               .applyInArrow(_answer(width, repeats, max(MIN_BUCKETS, -(-buckets // OWNED))), ANSWER_SCHEMA))
+    return answers.groupBy("owner").applyInArrow(_merged, "key long, places array<int>")

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from quiver.llm import components, jaccard, linededup, mixing, queries, sharding, substrings
@@ -256,3 +257,37 @@ def test_oracles(spark, name):
     assert columns == sorted(got.columns)
     got, want = (x[columns].sort_values(columns).reset_index(drop=True) for x in (got, want))
     assert got.equals(want)
+
+
+def test_exchange_answers_are_packed_by_owner():
+    from quiver.llm import exchange
+
+    rng = np.random.default_rng(3)
+    keys = rng.integers(-1 << 62, 1 << 62, 300)
+    pool = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
+    hashed = []
+    for lo in range(0, 300, 100):
+        row = np.repeat(np.arange(100), 50)
+        hashed.append((keys[lo:lo + 100], row, rng.choice(pool, len(row)), np.tile(np.arange(50), 100)))
+    held = {}
+    for k, row, hashes, place in hashed:
+        for r, h, p in zip(row.tolist(), hashes.tolist(), place.tolist()):
+            held.setdefault(h, set()).add((int(k[r]), p))
+    for repeats in (False, True):
+        want = {x for v in held.values() for x in v
+                if (len(v) > 1 if repeats else len({k for k, _ in v}) > 1)}
+        for buckets in (3, 200):
+            packed = pa.Table.from_batches([b for h in hashed for b in exchange._pack(h, buckets, np.uint64, repeats)])
+            answers = [exchange._answer(np.uint64, repeats, 24)(packed.filter(pc.equal(packed["bucket"], b)))
+                       for b in sorted(set(packed["bucket"].to_pylist()))]
+            # a bucket answers once per owner, however many keys it meets
+            assert all(a.num_rows <= 24 and len(set(a["owner"].to_pylist())) == a.num_rows for a in answers)
+            answers = pa.concat_tables(answers)
+            got = set()
+            for owner in set(answers["owner"].to_pylist()):
+                merged = exchange._merged(answers.filter(pc.equal(answers["owner"], owner)))
+                got |= {(k, p) for k, v in zip(merged["key"].to_pylist(), merged["places"].to_pylist()) for p in v}
+                assert sum(map(len, merged["places"].to_pylist())) == len({(k, p) for k, v in zip(
+                    merged["key"].to_pylist(), merged["places"].to_pylist()) for p in v})
+            # with one batch's repeats known there and then, nothing is lost and nothing added
+            assert want <= got and got <= {x for v in held.values() for x in v if len(v) > 1}
