@@ -44,12 +44,16 @@ def byte_alphabet() -> dict[int, str]:
 
 
 def _gathered(ids: np.ndarray, first: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Spans of ``ids`` picked by ``codes``, end to end, and how long each is."""
-    each = size[codes]
-    stop = np.cumsum(each)
-    small = np.int32 if max(len(ids), stop[-1]) < 1 << 31 else np.int64
-    at = np.repeat((first[codes] - (stop - each)).astype(small), each)
-    at += np.arange(stop[-1], dtype=small)
+    """Spans of ``ids`` picked by ``codes``, end to end, and how long each is (32-bit numbers where they do)."""
+    small = np.int32 if len(ids) < 1 << 31 else np.int64
+    each = size.astype(small)[codes]
+    n = int(each.sum(dtype=np.int64))
+    small = small if n < 1 << 31 else np.int64
+    at = first.astype(small)[codes]
+    at -= np.cumsum(each, dtype=small)
+    at += each
+    at = np.repeat(at, each)
+    at += np.arange(n, dtype=small)
     return ids[at], each
 
 
@@ -127,7 +131,7 @@ class Encoder:
         ids, each = _gathered(ids, stops - size, size, coded.indices.to_numpy())
         count = np.empty(n, np.int64)
         order = np.concatenate([np.flatnonzero(plain), rest])
-        by_row = np.add.reduceat(each, lists.offsets.to_numpy()[:-1])
+        by_row = np.add.reduceat(each, lists.offsets.to_numpy()[:-1], dtype=np.int64)
         first = np.empty(n, np.int64)
         count[order], first[order] = by_row, np.cumsum(by_row) - by_row
         return ids, first, count, uncut
@@ -145,11 +149,14 @@ class Encoder:
         lists = pc.split_pattern(texts, " ")
         ends = lists.offsets.to_numpy().astype(np.int64)
         begin, coded = ends[:-1], lists.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy().astype(np.int64)
-        ids, first, size, uncut = self._pieces(coded.dictionary, " ")
+        # the pieces one by one are not kept while their ids are made
+        del lists
+        codes, distinct = coded.indices.to_numpy().copy(), coded.dictionary
+        del coded
+        ids, first, size, uncut = self._pieces(distinct, " ")
         if self.spaced and not after_space:
             # no space before a text's first piece
-            parts = self._pieces(coded.dictionary.take(pa.array(codes[begin])), "")
+            parts = self._pieces(distinct.take(pa.array(codes[begin])), "")
             codes[begin] = len(size) + np.arange(n)
             first = np.concatenate([first, parts[1] + len(ids)])
             ids, size, uncut = (np.concatenate(x) for x in ((ids, parts[0]), (size, parts[2]), (uncut, parts[3])))
@@ -164,7 +171,7 @@ class Encoder:
             first = np.concatenate([first, len(ids) + np.cumsum(own) - own])
             size, ids = np.concatenate([size, own]), np.concatenate([ids, *parts])
         out, each = _gathered(ids, first, size, codes)
-        return out, np.add.reduceat(each, begin)
+        return out, np.add.reduceat(each, begin, dtype=np.int64)
 
     def __call__(self, text: str | None) -> bytes:
         """Little-endian ids of one text (null: none)."""

@@ -34,7 +34,7 @@ from ..plans.session import attach
 from .components import components
 from .exchange import bucket_count, shared_places
 from .hashing import U, by_bytes, mix, places, window_hashes, word_hashes
-from .shared import boxed, save, small_side, unboxed
+from .shared import TEXT_BATCH, boxed, save, small_side, unboxed
 
 WORDS = 5
 PERCENT = 75
@@ -252,7 +252,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, width: int = WORDS)
     """
     attach(docs.sparkSession)
     keyed = save(docs.select("doc_id", F.xxhash64("text").alias("fp"), "text")
-                 .mapInArrow(_keyed(width), "doc_id long, fp long, n long, set long"), "sets")
+                 .mapInArrow(_keyed(width), "doc_id long, fp long, n long, set long"), "sets", TEXT_BATCH)
     classes = save(keyed.filter("n > 0").groupBy("set").agg(
         F.first("n").alias("n"), F.min("doc_id").alias("smallest"),
         F.min(F.struct("doc_id", "fp")).alias("pick")), "classes")
@@ -262,13 +262,13 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, width: int = WORDS)
     alive = save(shared.withColumnRenamed("key", "set").join(classes, "set")
                  .filter(F.size("places") >= least)
                  .select("set", "n", F.col("pick.doc_id").alias("p_id"), F.col("pick.fp").alias("p_fp"), "places"),
-                 "candidates")
+                 "candidates", TEXT_BATCH)
     wanted = small_side(alive.select("set", "p_id", "p_fp"), 32)
     texts = (docs.select("doc_id", F.xxhash64("text").alias("fp"), "text")
              .join(wanted, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("fp") == F.col("p_fp")))
              .select("set", "text").join(alive.select("set", "places"), "set"))
     tokens = save(texts.select("set", "text", "places").mapInArrow(_shared_sets(width), "id long, tokens array<long>")
-                  .groupBy("id").agg(F.first("tokens").alias("tokens")), "tokens")
+                  .groupBy("id").agg(F.first("tokens").alias("tokens")), "tokens", TEXT_BATCH)
 
     each = tokens.select("id", F.explode("tokens").alias("token"))
     frequent = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")

@@ -170,4 +170,5 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity:
     longer than a sequence are cut.  Rows that repeat are documents of their
     own; no documents give no sequences.
     """
-    return pack_pieces(save(token_pieces(docs, vocabulary, end_id, capacity), "pieces"), capacity)
+    pieces = save(token_pieces(docs, vocabulary, end_id, capacity), "pieces", BATCH_BYTES)
+    return pack_pieces(pieces, capacity)

@@ -11,20 +11,35 @@ from ..plans.session import attach, scratch_path
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+# bytes of an Arrow batch of texts, as many as are hashed together
+TEXT_BATCH = 4 << 20
+
 # ASCII white space as the contracts define it
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
+def save(df: DataFrame, name: str, batch_bytes: int | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor costs only the tasks that read from it.
+    While it is written, the Arrow batches of Python functions hold about
+    ``batch_bytes`` or one row (where the session has no bound of its own):
+    by rows alone, a batch grows with the length of the texts, in the task's
+    JVM and in its Python worker.
     """
     spark = df.sparkSession
     attach(spark)
     path = scratch_path(spark, name)
     schema = df.schema
-    df.write.parquet(path)
+    bound = batch_bytes is not None and BATCH_CONF not in spark.conf.getAll
+    if bound:
+        spark.conf.set(BATCH_CONF, batch_bytes)
+    try:
+        df.write.parquet(path)
+    finally:
+        if bound:
+            spark.conf.unset(BATCH_CONF)
     return spark.read.schema(schema).parquet(path)
 
 

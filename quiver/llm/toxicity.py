@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.session import attach
-from .shared import boxed, save, small_side, unboxed
+from .shared import TEXT_BATCH, boxed, save, small_side, unboxed
 
 SAMPLE = 30_000
 # a term's chi-square with the label, and the least rows that have it
@@ -158,7 +158,7 @@ def _vocabularies(train: DataFrame) -> list[set[str]]:
                  .mapInArrow(_training_counts, "term string, fold int, with1 long, with0 long").groupBy("term")
                  .agg(*[F.sum(F.when(c, F.col(f"with{y}")).otherwise(0)).cast("double").alias(f"{x}{g}")
                         for g, c in enumerate(in_side) for x, y in (("a", 1), ("b", 0))])
-                 .filter(F.col("a0") + F.col("b0") >= SUPPORT), "term-counts")
+                 .filter(F.col("a0") + F.col("b0") >= SUPPORT), "term-counts", TEXT_BATCH)
     whole, tests, chis = ~F.col("term").endswith("*"), [], []
     for g, side in enumerate(sides):
         n1, n0 = (sum(size.get((f, y), 0) for f in side) for y in (1, 0))
@@ -330,14 +330,15 @@ def _model(docs: DataFrame, labels: DataFrame, sample: int, neighbours: int):
     place = [np.where(k, np.cumsum(k) - 1, -1) for k in inside]
     shared = spark.sparkContext.broadcast(vocabulary)
 
-    counted = {r["term"]: r["n"] for r in docs.select("text").mapInArrow(_frequencies(shared), "term long, n long")
-               .groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    having = save(docs.select("text").mapInArrow(_frequencies(shared), "term long, n long")
+                  .groupBy("term").agg(F.sum("n").alias("n")), "term-documents", TEXT_BATCH)
+    counted = {r["term"]: r["n"] for r in having.collect()}
     total = counted.get(-1, 0)
     idf = np.array([math.log((1 + total) / (1 + counted.get(t, 0))) + 1 for t in range(len(vocabulary))])
 
     # a row per labelled sample row, of vocabulary terms only: bounded by the sample
     drawn_vectors = save(train.mapInArrow(_vectors(shared, idf), "doc_id long, toxic int, fold int, "
-                                          "terms array<long>, weights array<double>"), "labelled-vectors")
+                                          "terms array<long>, weights array<double>"), "labelled-vectors", TEXT_BATCH)
     shared.destroy()
     examples = drawn_vectors.toArrow()
     # in an order that no id decides: equal cosines go to the earlier example
@@ -358,7 +359,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """``docs`` without the documents that score ``threshold`` or more."""
     model = _model(docs, labels, SAMPLE, NEIGHBOURS)
     toxic = save(_scored(docs, model).filter(F.col("score") >= threshold)
-                 .select(F.col("doc_id").alias("t_id"), F.col("fp").alias("t_fp")).distinct(), "toxic")
+                 .select(F.col("doc_id").alias("t_id"), F.col("fp").alias("t_fp")).distinct(), "toxic", TEXT_BATCH)
     model.destroy()
     kept = boxed(docs).withColumn("fp", F.xxhash64("v.text")).join(
         small_side(toxic, 24), F.col("v.doc_id").eqNullSafe(F.col("t_id")) & (F.col("fp") == F.col("t_fp")),

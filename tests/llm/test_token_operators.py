@@ -146,3 +146,31 @@ def test_packing_in_rounds(spark, clashing, corpus):
     # bins that never merge end the rounds
     halves = spark.range(90).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "300L AS length", "0L AS ids_crc32")
     assert packing.pack_pieces(halves, 512, items_per_task=10).select("sequence_id").distinct().count() == 90
+
+
+def test_packing_meets_texts_in_batches_bounded_by_bytes(spark, monkeypatch):
+    """Long texts do not make long Arrow batches: the bytes of each one, as its only piece."""
+    def sizes(path, end_id, capacity):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[:1], pa.array([0], pa.int32()), pa.array([batch.num_rows], pa.int64()),
+                     pa.array([1], pa.int64()), pa.array([batch.column(1).nbytes], pa.int64())],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        return run
+
+    monkeypatch.setattr(packing, "_pieces", sizes)
+    docs = spark.range(0, 700, 1, 1).selectExpr("id AS doc_id", "repeat('some words ', 3000) AS text")
+    got = packing.pack_documents(docs, WORDS).collect()
+    assert sum(r.start for r in got) == 700
+    assert len(got) > 3 and max(r.ids_crc32 for r in got) < 7 << 20
+    # the session is as before, and a bound of its own is kept
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    assert key not in spark.conf.getAll
+    spark.conf.set(key, 1 << 20)
+    try:
+        got = packing.pack_documents(docs, WORDS).collect()
+        assert spark.conf.get(key) == str(1 << 20)
+    finally:
+        spark.conf.unset(key)
+    assert sum(r.start for r in got) == 700 and max(r.ids_crc32 for r in got) < 2 << 20
